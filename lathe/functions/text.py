@@ -107,5 +107,5 @@ def split_explode_distinct(df: DataFrame, col: str, sep: str = ",",
                            out: str = "token") -> DataFrame:
     """Vocabulary of a multi-value text column: split, trim, distinct,
     empty tokens dropped."""
-    tok = F.trim(F.explode(F.split(F.col(col), re.escape(sep), -1)))
-    return (df.select(tok.alias(out)).where(F.col(out) != "").distinct())
+    tok = df.select(F.explode(F.split(F.col(col), re.escape(sep), -1)).alias(out))
+    return tok.select(F.trim(F.col(out)).alias(out)).where(F.col(out) != "").distinct()

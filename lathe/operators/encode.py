@@ -97,8 +97,8 @@ def multi_select_flags(train: DataFrame, df: DataFrame, col: str, sep: str = ","
                        prefix: str = "verified", count_col: str = "verification_count") -> DataFrame:
     """Token vocabulary from train; a literal-substring flag per token and
     the token count."""
-    toks = (train.select(F.trim(F.explode(F.split(F.col(col), re.escape(sep), -1))).alias("t"))
-            .where(F.col("t") != "").distinct().orderBy("t"))
+    toks = (train.select(F.explode(F.split(F.col(col), re.escape(sep), -1)).alias("t"))
+            .select(F.trim("t").alias("t")).where(F.col("t") != "").distinct().orderBy("t"))
     vocab = [r[0] for r in toks.limit(MAX_LITERAL_VOCAB + 1).collect()]
     if len(vocab) > MAX_LITERAL_VOCAB:
         raise ValueError("vocabulary too large for indicator columns")
