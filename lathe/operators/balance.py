@@ -67,8 +67,11 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, cat_col: str | Non
         cols.append(F.col(cat_col).alias("_cat"))
     base = df.select(*cols).withColumn("_b", hash_int("_id", modulus=blocks, seed="knn"))
     seq = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    q = base.select("*", seq.alias("_cb")).withColumnRenamed("_b", "_qb")
-    c = base.select("*", seq.alias("_qb")).withColumnRenamed("_b", "_cb")
+    data = [c for c in base.columns if c != "_b"]
+    # fresh aliases on each side: the two sides of the cogroup descend from
+    # the same plan and must not share attribute ids
+    q = base.select(*[F.col(c).alias(c) for c in data], F.col("_b").alias("_qb"), seq.alias("_cb"))
+    c = base.select(*[F.col(c).alias(c) for c in data], F.col("_b").alias("_cb"), seq.alias("_qb"))
     cand = (q.groupBy("_qb", "_cb").cogroup(c.groupBy("_qb", "_cb"))
             .applyInPandas(_block_topk(k, penalty), _KNN_SCHEMA))
     w = Window.partitionBy("q_id").orderBy("dist2", "nn_id")  # <= blocks*k rows per id
