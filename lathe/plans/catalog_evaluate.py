@@ -1 +1,333 @@
-"""placeholder"""
+"""Evaluation and explanation queries on deterministic, SQL-expressible
+predictors, so every metric has an exact oracle:
+
+* regression: log1p(price) of ``orders`` predicted by the train mean per
+  priority (global train mean as fallback);
+* classification: ``l_linestatus = 'F'`` scored by the train positive rate
+  per (return flag, ship year), predicted positive at score >= 0.5;
+* attribution: a linear scorer whose weights are the train correlations of
+  each feature with log1p(extended price)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lathe.functions.hashing import hash_order
+from lathe.operators import evaluate, explain
+from lathe.operators.joins import map_encode_join
+from lathe.plans.catalog_features import _LINE_SPLIT_SQL, line_split
+from lathe.plans.catalog_regression import _SQL_BASE, split_orders
+from lathe.plans.registry import query
+from lathe.sources.tables import table
+
+
+def reg_predictions(spark, sf, by: str = "o_orderpriority"):
+    s = split_orders(spark, sf)
+    tr = s.where(F.col("split") == "train")
+    g = tr.agg(F.avg("y")).first()[0]
+    if by is None:
+        return s.withColumn("yhat", F.lit(g))
+    d = tr.groupBy(by).agg(F.avg("y").alias("value")).withColumnRenamed(by, "key")
+    return map_encode_join(s, by, d, "yhat", default=g)
+
+
+_REG_SQL = _SQL_BASE + """
+, tm AS (SELECT o_orderpriority, avg(y) AS pm FROM splitted WHERE split = 'train' GROUP BY o_orderpriority),
+gm AS (SELECT avg(y) AS g FROM splitted WHERE split = 'train'),
+pred AS (SELECT s.*, coalesce(tm.pm, gm.g) AS yhat FROM splitted s LEFT JOIN tm USING (o_orderpriority), gm)
+"""
+
+
+def cls_predictions(spark, sf):
+    ls = line_split(spark, sf).withColumn("y", (F.col("l_linestatus") == "F").cast("int")) \
+        .withColumn("yr", F.year("l_shipdate"))
+    tr = ls.where(F.col("split") == "train")
+    g = tr.agg(F.avg("y")).first()[0]
+    rates = tr.groupBy("l_returnflag", "yr").agg(F.avg("y").alias("_rate"))
+    j = ls.join(rates, ["l_returnflag", "yr"], "left")  # rates: one row per (flag, year)
+    j = j.withColumn("p", F.round(F.coalesce("_rate", F.lit(g)), 6)).drop("_rate")
+    return j.withColumn("yhat", (F.col("p") >= 0.5).cast("int"))
+
+
+_CLS_SQL = _LINE_SPLIT_SQL + """
+, ls2 AS (SELECT *, CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS y, year(l_shipdate) AS yr FROM ls),
+tr AS (SELECT l_returnflag, yr, avg(y) AS rate FROM ls2 WHERE split = 'train' GROUP BY l_returnflag, yr),
+g AS (SELECT avg(y) AS grate FROM ls2 WHERE split = 'train'),
+pr AS (SELECT ls2.*, round(coalesce(tr.rate, g.grate), 6) AS p FROM ls2 LEFT JOIN tr USING (l_returnflag, yr), g),
+pred AS (SELECT *, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS yhat FROM pr)
+"""
+
+
+@query("m17_regression_metrics", _REG_SQL + """
+SELECT split, count(*) AS n, round(sqrt(avg(power(yhat - y, 2))), 6) AS rmse_log, round(avg(abs(yhat - y)), 6) AS mae_log,
+       round(1 - sum(power(yhat - y, 2)) / (count(*) * var_pop(y)), 6) AS r2_log,
+       round(sqrt(avg(power((exp(yhat) - 1) - (exp(y) - 1), 2))), 4) AS rmse,
+       round(avg(abs((exp(yhat) - 1) - (exp(y) - 1))), 4) AS mae,
+       round(1 - sum(power((exp(yhat) - 1) - (exp(y) - 1), 2)) / (count(*) * var_pop(exp(y) - 1)), 6) AS r2
+FROM pred GROUP BY split""")
+def m17(spark, sf):
+    return evaluate.regression_metrics(reg_predictions(spark, sf), "y", "yhat", by=["split"])
+
+
+@query("m21_residual_stats", _REG_SQL + """
+SELECT split, round(avg(y - yhat), 4) AS mean, round(stddev_pop(y - yhat), 4) AS std,
+       round(1.96 * stddev_pop(y - yhat), 4) AS ci95, round(min(y - yhat), 4) AS min, round(max(y - yhat), 4) AS max,
+       round(avg(abs(y - yhat)) * 100 / median(y), 4) AS mae_pct_of_median
+FROM pred GROUP BY split""")
+def m21(spark, sf):
+    return evaluate.residual_stats(reg_predictions(spark, sf), "y", "yhat", by=["split"])
+
+
+# fixed values: price bands [lo, hi) of the error-by-band report
+BANDS = [("low", 15000.0, 50000.0), ("lower_mid", 50000.0, 75000.0), ("mid", 75000.0, 100000.0),
+         ("upper_mid", 100000.0, 150000.0), ("high", 150000.0, 500000.0)]
+
+
+@query("m22_error_by_band", _REG_SQL + """
+, t AS (SELECT CASE """ + " ".join(f"WHEN exp(y) - 1 >= {lo} AND exp(y) - 1 < {hi} THEN '{nm}'" for nm, lo, hi in BANDS)
+    + """ END AS band, (exp(yhat) - 1) - (exp(y) - 1) AS e FROM pred WHERE split = 'test')
+SELECT band, count(*) AS count, round(avg(abs(e)), 4) AS mean_error, round(median(abs(e)), 4) AS median_error,
+       round(sqrt(avg(e * e)), 4) AS rmse FROM t WHERE band IS NOT NULL GROUP BY band""")
+def m22(spark, sf):
+    p = reg_predictions(spark, sf).where(F.col("split") == "test") \
+        .select(F.expm1("y").alias("actual"), F.expm1("yhat").alias("predicted"))
+    return evaluate.error_by_band(p, "actual", "predicted", BANDS)
+
+
+@query("m25_bias_by_group", _REG_SQL + """
+SELECT o_orderstatus, count(*) AS n, round(avg(exp(y) - 1), 4) AS mean_actual, round(avg(exp(yhat) - 1), 4) AS mean_predicted,
+       round(avg(abs((exp(yhat) - 1) - (exp(y) - 1))), 4) AS mae, round(avg((exp(yhat) - 1) - (exp(y) - 1)), 4) AS mean_signed_error
+FROM pred WHERE split = 'test' GROUP BY o_orderstatus""")
+def m25(spark, sf):
+    p = reg_predictions(spark, sf).where(F.col("split") == "test") \
+        .select("o_orderstatus", F.expm1("y").alias("actual"), F.expm1("yhat").alias("predicted"))
+    return evaluate.bias_by_group(p, "o_orderstatus", "actual", "predicted")
+
+
+def _reg_long(spark, sf, model, by):
+    m = evaluate.regression_metrics(reg_predictions(spark, sf, by).where(F.col("split") == "test"), "y", "yhat")
+    cols = ["rmse_log", "mae_log", "r2_log", "rmse", "mae", "r2"]
+    return m.select(F.lit(model).alias("model"), *[F.col(c).cast("double") for c in cols]) \
+        .unpivot(["model"], cols, "metric", "value")
+
+
+_REG_LONG_SQL = """
+, gm2 AS (SELECT avg(y) AS g FROM splitted WHERE split = 'train'),
+pg AS (SELECT s.*, g AS yhat FROM splitted s, gm2),
+ts AS (SELECT o_orderstatus AS k, avg(y) AS v FROM splitted WHERE split = 'train' GROUP BY o_orderstatus),
+ps AS (SELECT s.*, coalesce(ts.v, gm2.g) AS yhat FROM splitted s LEFT JOIN ts ON s.o_orderstatus = ts.k, gm2),
+allp AS (SELECT 'global_mean' AS model, y, yhat, split FROM pg UNION ALL SELECT 'priority_mean', y, yhat, split FROM pred
+         UNION ALL SELECT 'status_mean', y, yhat, split FROM ps),
+mt AS (SELECT model, round(sqrt(avg(power(yhat - y, 2))), 6) AS rmse_log, round(avg(abs(yhat - y)), 6) AS mae_log,
+       round(1 - sum(power(yhat - y, 2)) / (count(*) * var_pop(y)), 6) AS r2_log,
+       round(sqrt(avg(power((exp(yhat) - 1) - (exp(y) - 1), 2))), 4) AS rmse,
+       round(avg(abs((exp(yhat) - 1) - (exp(y) - 1))), 4) AS mae,
+       round(1 - sum(power((exp(yhat) - 1) - (exp(y) - 1), 2)) / (count(*) * var_pop(exp(y) - 1)), 6) AS r2
+       FROM allp WHERE split = 'test' GROUP BY model)
+"""
+
+
+@query("m16_improvement_report", _REG_SQL + _REG_LONG_SQL + """
+, lng AS (UNPIVOT mt ON rmse_log, mae_log, r2_log, rmse, mae, r2 INTO NAME metric VALUE value),
+b AS (SELECT metric, value AS baseline FROM lng WHERE model = 'global_mean'),
+c AS (SELECT metric, value AS candidate FROM lng WHERE model = 'priority_mean')
+SELECT metric, round(baseline, 6) AS baseline, round(candidate, 6) AS candidate, round(candidate - baseline, 6) AS abs_change,
+       round((candidate - baseline) * 100 / nullif(baseline, 0), 6) AS pct_change FROM b JOIN c USING (metric)""")
+def m16(spark, sf):
+    long = _reg_long(spark, sf, "global_mean", None).unionByName(_reg_long(spark, sf, "priority_mean", "o_orderpriority"))
+    return evaluate.improvement_report(long, "global_mean", "priority_mean")
+
+
+@query("m35_model_comparison", _REG_SQL + _REG_LONG_SQL + """
+SELECT model, rmse_log, mae_log, r2_log, rmse, mae, r2 FROM mt ORDER BY rmse_log""")
+def m35(spark, sf):
+    tabs = []
+    for model, by in (("global_mean", None), ("priority_mean", "o_orderpriority"), ("status_mean", "o_orderstatus")):
+        m = evaluate.regression_metrics(reg_predictions(spark, sf, by).where(F.col("split") == "test"), "y", "yhat")
+        tabs.append(m.select(F.lit(model).alias("model"), "rmse_log", "mae_log", "r2_log", "rmse", "mae", "r2"))
+    return evaluate.model_comparison(tabs, "rmse_log")
+
+
+@query("m18_classification_metrics", _CLS_SQL + """
+, cm AS (SELECT split, count(*) FILTER (WHERE y = 1 AND yhat = 1) * 1.0 AS tp, count(*) FILTER (WHERE y = 0 AND yhat = 1) * 1.0 AS fp,
+                count(*) FILTER (WHERE y = 1 AND yhat = 0) * 1.0 AS fn, count(*) FILTER (WHERE y = 0 AND yhat = 0) * 1.0 AS tn
+         FROM pred GROUP BY split),
+sc AS (SELECT split, p, sum(y) AS pos, sum(1 - y) AS neg FROM pred GROUP BY split, p),
+cu AS (SELECT *, sum(neg) OVER (PARTITION BY split ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cneg FROM sc),
+au AS (SELECT split, round(sum(pos * (cneg - neg) + 0.5 * pos * neg) / (sum(pos) * sum(neg)), 6) AS auc FROM cu GROUP BY split),
+m AS (SELECT split, CAST(tp + fp + fn + tn AS BIGINT) AS n, (tp + tn) / (tp + tn + fp + fn) AS accuracy,
+             coalesce(tp / nullif(tp + fp, 0), 0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0) AS recall,
+             coalesce(tn / nullif(tn + fp, 0), 0) AS spec FROM cm)
+SELECT split, n, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(coalesce(2 * precision * recall / nullif(precision + recall, 0), 0), 6) AS f1,
+       round((recall + spec) / 2, 6) AS balanced_accuracy, auc FROM m JOIN au USING (split)""")
+def m18(spark, sf):
+    return evaluate.classification_metrics(cls_predictions(spark, sf), "y", "yhat", "p", by=["split"])
+
+
+@query("m19_confusion_matrix", _CLS_SQL + """
+, cells AS (SELECT * FROM (VALUES (1, 1), (0, 1), (1, 0), (0, 0)) t(actual, predicted)),
+sp AS (SELECT DISTINCT split FROM pred)
+SELECT sp.split, CAST(c.actual AS INTEGER) AS actual, CAST(c.predicted AS INTEGER) AS predicted,
+       (SELECT count(*) FROM pred WHERE pred.split = sp.split AND y = c.actual AND yhat = c.predicted) AS count
+FROM sp, cells c""")
+def m19(spark, sf):
+    return evaluate.confusion_matrix(cls_predictions(spark, sf), "y", "yhat", by=["split"])
+
+
+@query("m20_roc_curve", _CLS_SQL + """
+, sc AS (SELECT p AS threshold, sum(y) AS pos, sum(1 - y) AS neg FROM pred WHERE split = 'test' GROUP BY p),
+cu AS (SELECT *, sum(pos) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cp,
+              sum(neg) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cn FROM sc)
+SELECT threshold, round(cn / (SELECT sum(neg) FROM sc), 6) AS fpr, round(cp / (SELECT sum(pos) FROM sc), 6) AS tpr FROM cu""")
+def m20(spark, sf):
+    return evaluate.roc_curve(cls_predictions(spark, sf).where(F.col("split") == "test"), "y", "p")
+
+
+@query("m20_auc", _CLS_SQL + """
+, sc AS (SELECT split, p, sum(y) AS pos, sum(1 - y) AS neg FROM pred GROUP BY split, p),
+cu AS (SELECT *, sum(neg) OVER (PARTITION BY split ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cneg FROM sc)
+SELECT split, round(sum(pos * (cneg - neg) + 0.5 * pos * neg) / (sum(pos) * sum(neg)), 6) AS auc FROM cu GROUP BY split""")
+def m20a(spark, sf):
+    return evaluate.auc(cls_predictions(spark, sf), "y", "p", by=["split"])
+
+
+@query("m23_misclassification_report", _CLS_SQL + """
+SELECT count(*) FILTER (WHERE y = yhat) AS correct, count(*) FILTER (WHERE y <> yhat) AS wrong,
+       count(*) FILTER (WHERE yhat = 1 AND y = 0) AS false_positives, count(*) FILTER (WHERE yhat = 0 AND y = 1) AS false_negatives,
+       round(avg(abs(p - 0.5)) FILTER (WHERE y = yhat), 6) AS mean_conf_correct,
+       round(avg(abs(p - 0.5)) FILTER (WHERE y <> yhat), 6) AS mean_conf_wrong,
+       count(*) FILTER (WHERE y <> yhat AND abs(p - 0.5) > 0.4) AS confident_errors
+FROM pred WHERE split = 'test'""")
+def m23(spark, sf):
+    return evaluate.misclassification_report(cls_predictions(spark, sf).where(F.col("split") == "test"), "y", "yhat", "p")
+
+
+_FAIR_SQL = """
+, per AS (SELECT l_returnflag, round(avg(yhat), 6) AS pred_rate, round(avg(y), 6) AS actual_rate, round(avg(p), 6) AS mean_score,
+                 count(*) AS n, round(avg(CAST(y = yhat AS INTEGER)), 6) AS accuracy,
+                 count(*) FILTER (WHERE yhat = 1 AND y = 1) AS tp, count(*) FILTER (WHERE yhat = 1 AND y = 0) AS fp
+          FROM pred WHERE split = 'test' GROUP BY l_returnflag)
+"""
+
+
+@query("m24_fairness_by_group", _CLS_SQL + _FAIR_SQL + "SELECT * FROM per")
+def m24(spark, sf):
+    per, _ = evaluate.fairness_by_group(cls_predictions(spark, sf).where(F.col("split") == "test"),
+                                        "l_returnflag", "y", "yhat", "p")
+    return per
+
+
+@query("m24_fairness_summary", _CLS_SQL + _FAIR_SQL + """
+SELECT round(max(pred_rate) - min(pred_rate), 6) AS pred_rate_range, round(stddev_samp(pred_rate), 6) AS pred_rate_std,
+       round(max(actual_rate) - min(actual_rate), 6) AS actual_rate_range, round(stddev_samp(actual_rate), 6) AS actual_rate_std FROM per""")
+def m24s(spark, sf):
+    _, summary = evaluate.fairness_by_group(cls_predictions(spark, sf).where(F.col("split") == "test"),
+                                            "l_returnflag", "y", "yhat", "p")
+    return summary
+
+
+@query("m07_balanced_weights", _CLS_SQL + """
+SELECT y, round((SELECT count(*) FROM pred WHERE split = 'train') * 1.0 / (2 * count(*)), 6) AS weight FROM pred WHERE split = 'train' GROUP BY y""")
+def m07(spark, sf):
+    tr = cls_predictions(spark, sf).where(F.col("split") == "train").select("y")
+    return evaluate.balanced_weights(tr, "y").groupBy("y").agg(F.round(F.first("weight"), 6).alias("weight"))
+
+
+@query("m11_constant_baseline", _CLS_SQL + """
+, maj AS (SELECT CASE WHEN avg(y) >= 0.5 THEN 1 ELSE 0 END AS m FROM pred WHERE split = 'train'),
+bl AS (SELECT y, m AS yhat FROM pred, maj WHERE split = 'test'),
+cm AS (SELECT count(*) FILTER (WHERE y = 1 AND yhat = 1) * 1.0 AS tp, count(*) FILTER (WHERE y = 0 AND yhat = 1) * 1.0 AS fp,
+              count(*) FILTER (WHERE y = 1 AND yhat = 0) * 1.0 AS fn, count(*) FILTER (WHERE y = 0 AND yhat = 0) * 1.0 AS tn FROM bl)
+SELECT CAST(tp + fp + fn + tn AS BIGINT) AS n, round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy,
+       round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,
+       round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1,
+       round((coalesce(tp / nullif(tp + fn, 0), 0) + coalesce(tn / nullif(tn + fp, 0), 0)) / 2, 6) AS balanced_accuracy,
+       CAST(0.5 AS DOUBLE) AS auc FROM cm""")
+def m11(spark, sf):
+    p = cls_predictions(spark, sf)
+    maj = int(p.where(F.col("split") == "train").agg(F.avg("y")).first()[0] >= 0.5)
+    b = evaluate.constant_baseline(p.where(F.col("split") == "test").select("y"), "y", maj)
+    return evaluate.classification_metrics(b, "y", "prediction", "score")
+
+
+# --- attribution on a linear scorer -----------------------------------------
+ATTR_FEATS = ["l_quantity", "l_discount", "l_tax", "p_retailprice"]
+# fixed values: feature -> group map for grouped attribution
+ATTR_GROUPS = {"l_quantity": "volume", "l_discount": "pricing", "l_tax": "pricing", "p_retailprice": "part"}
+
+
+def attr_frame(spark, sf):
+    ls = line_split(spark, sf).join(table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice"),
+                                    "l_partkey").withColumn("target", F.log1p("l_extendedprice"))
+    tr = ls.where(F.col("split") == "train")
+    st = tr.agg(*[F.corr(c, "target").alias(f"r_{c}") for c in ATTR_FEATS],
+                *[F.avg(c).alias(f"m_{c}") for c in ATTR_FEATS]).first()
+    coefs = {c: st[f"r_{c}"] for c in ATTR_FEATS}
+    means = {c: st[f"m_{c}"] for c in ATTR_FEATS}
+    test = ls.where(F.col("split") == "test")
+    return explain.linear_attribution(test, "line_key", coefs, means), test
+
+
+_ATTR_SQL = _LINE_SPLIT_SQL + """
+, lp AS (SELECT ls.*, p_retailprice, ln(1 + l_extendedprice) AS target FROM ls JOIN part ON l_partkey = p_partkey),
+st AS (SELECT """ + ", ".join(f"corr({c}, target) AS r_{c}, avg({c}) AS m_{c}" for c in ATTR_FEATS) + """ FROM lp WHERE split = 'train'),
+attr AS (""" + " UNION ALL ".join(
+    f"SELECT line_key, '{c}' AS feature, r_{c} * ({c} - m_{c}) AS attr FROM lp, st WHERE split = 'test'" for c in ATTR_FEATS) + """),
+gm AS (SELECT * FROM (VALUES """ + ", ".join(f"('{k}', '{v}')" for k, v in ATTR_GROUPS.items()) + """) t(feature, "group"))
+"""
+
+
+@query("m29_linear_attribution", _ATTR_SQL + "SELECT line_key, feature, round(attr, 6) AS attr FROM attr")
+def m29(spark, sf):
+    a, _ = attr_frame(spark, sf)
+    return a.select("line_key", "feature", F.round("attr", 6).alias("attr"))
+
+
+@query("m30_attribution_importance", _ATTR_SQL + """
+, g AS (SELECT feature, avg(abs(attr)) AS mean_abs FROM attr GROUP BY feature)
+SELECT feature, round(mean_abs, 6) AS mean_abs, round(mean_abs * 100 / (SELECT sum(mean_abs) FROM g), 4) AS share_pct FROM g""")
+def m30(spark, sf):
+    a, _ = attr_frame(spark, sf)
+    return explain.attribution_importance(a)
+
+
+@query("m31_group_attribution_abs", _ATTR_SQL + """
+, pr AS (SELECT line_key, "group", sum(abs(attr)) AS g FROM attr JOIN gm USING (feature) GROUP BY line_key, "group")
+SELECT "group", round(avg(abs(g)), 6) AS mean_abs, round(stddev_pop(g), 6) AS std, round(sum(g), 6) AS total FROM pr GROUP BY "group\"""")
+def m31(spark, sf):
+    a, _ = attr_frame(spark, sf)
+    return explain.group_attribution(a, "line_key", ATTR_GROUPS, signed=False)
+
+
+@query("m31_group_attribution_signed", _ATTR_SQL + """
+, pr AS (SELECT line_key, "group", sum(attr) AS g FROM attr JOIN gm USING (feature) GROUP BY line_key, "group")
+SELECT "group", round(avg(abs(g)), 6) AS mean_abs, round(stddev_pop(g), 6) AS std, round(sum(g), 6) AS total FROM pr GROUP BY "group\"""")
+def m31s(spark, sf):
+    a, _ = attr_frame(spark, sf)
+    return explain.group_attribution(a, "line_key", ATTR_GROUPS, signed=True)
+
+
+@query("m32_group_importance_ratio", _ATTR_SQL + """
+SELECT round(avg(abs(attr)) FILTER (WHERE "group" = 'pricing') / avg(abs(attr)), 6) AS ratio FROM attr LEFT JOIN gm USING (feature)""")
+def m32(spark, sf):
+    a, _ = attr_frame(spark, sf)
+    return explain.group_importance_ratio(a, ATTR_GROUPS, "pricing")
+
+
+@query("m33_local_explanation", _ATTR_SQL + """
+, pick AS (SELECT DISTINCT line_key FROM attr ORDER BY md5(concat_ws('|', CAST(line_key AS VARCHAR), '42')), line_key LIMIT 4),
+rr AS (SELECT line_key, feature, attr, row_number() OVER (PARTITION BY line_key ORDER BY abs(attr) DESC, feature) AS rk
+      FROM attr WHERE line_key IN (SELECT line_key FROM pick))
+SELECT line_key, feature, round(attr, 6) AS attr, CAST(rk AS INTEGER) AS rank FROM rr WHERE rk <= 2""")
+def m33(spark, sf):
+    a, test = attr_frame(spark, sf)
+    ids = test.select("line_key").withColumn("_h", hash_order("line_key")).orderBy("_h", "line_key").limit(4)
+    return explain.local_explanation(a, "line_key", ids, k=2)
+
+
+@query("m34_feature_target_corr", _ATTR_SQL + """
+SELECT round(corr(p_retailprice, target), 6) AS r FROM lp WHERE split = 'test'""")
+def m34(spark, sf):
+    _, test = attr_frame(spark, sf)
+    return explain.feature_target_corr(test, "p_retailprice", "target")
