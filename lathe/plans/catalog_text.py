@@ -1 +1,76 @@
-"""placeholder"""
+"""Text queries: normalisation, length features and fuzzy entity matching
+(documents, pages, conversations, part names, customer nations)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lathe.functions import text
+from lathe.operators import fuzzy
+from lathe.operators.filters import contains_any
+from lathe.plans.registry import query
+from lathe.sources.tables import table
+
+
+@query("p05_normalize_text", """
+SELECT doc_id, trim(regexp_replace(lower(text), '[^a-zA-Z\\s]', '', 'g')) AS norm FROM documents""")
+def p05(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", text.normalize_text("text", "letters").alias("norm"))
+
+
+@query("p05_normalize_text_dots", """
+SELECT page_id, lower(trim(regexp_replace(url, '\\.', '', 'g'))) AS norm FROM pages""")
+def p05d(spark, sf):
+    p = table(spark, sf, "pages")
+    return p.select("page_id", text.normalize_text("url", "dots").alias("norm"))
+
+
+@query("p14_text_length_features", """
+SELECT doc_id, lang, CAST(strlen(text) AS INTEGER) AS text_length, CAST(len(string_split(text, ' ')) AS INTEGER) AS text_word_count
+FROM documents""")
+def p14(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    return text.text_length_features(d, ["text", "not_a_column"], unit="bytes")
+
+
+@query("p14_text_length_chars", """
+SELECT conv_id, turn, CAST(length(text) AS INTEGER) AS text_length, CAST(len(string_split(text, ' ')) AS INTEGER) AS text_word_count
+FROM conversations""")
+def p14c(spark, sf):
+    c = table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    return text.text_length_features(c, ["text"], unit="chars")
+
+
+@query("u01_fuzzy_word_match", None)
+def u01(spark, sf):
+    """Package rule: some word of the part name within 0.6 of 'gears'."""
+    p = table(spark, sf, "part").select("p_partkey", "p_name")
+    return fuzzy.fuzzy_word_match(p, "p_name", "gears", 0.6).select("p_partkey", "p_name", "is_match")
+
+
+@query("u02_fuzzy_bigram_match", None)
+def u02(spark, sf):
+    """Notebook rule on part names: an adjacent word pair close to
+    ('red', 'widget') with mean ratio strictly above 0.6."""
+    p = table(spark, sf, "part").select("p_partkey", "p_name")
+    return fuzzy.fuzzy_bigram_match(p, "p_name", ("red", "widget"), 0.6).select("p_partkey", "p_name", "is_match")
+
+
+@query("u03_edit_similarity", """
+SELECT p_partkey, list_bool_or(list_transform(string_split_regex(lower(p_name), '\\s+'),
+       lambda w: 1.0 - levenshtein(w, 'widgets') / greatest(length(w), length('widgets')) >= 0.6)) AS is_close
+FROM part""")
+def u03(spark, sf):
+    p = table(spark, sf, "part")
+    return p.select("p_partkey", fuzzy.edit_similarity("p_name", "widgets", 0.6).alias("is_close"))
+
+
+@query("u04_fuzzy_recovery_report", None)
+def u04(spark, sf):
+    """Exact list first, fuzzy bigram ('blue', 'gears') for the rest; rows
+    and distinct names recovered by kind."""
+    p = table(spark, sf, "part").select("p_partkey", "p_name")
+    exact = contains_any("p_name", ["blue gear", "red gear"])
+    m = fuzzy.fuzzy_bigram_match(p, "p_name", ("blue", "gears"), 0.6)
+    return fuzzy.fuzzy_recovery_report(m, "p_name", exact, "is_match")
