@@ -1 +1,253 @@
-"""placeholder"""
+"""Model queries (rows-only checks: fitted models are not SQL-expressible)
+and source/sink round trips (these keep an oracle: what is written and read
+back must equal the SQL result).
+
+Model frame: lineitem ⋈ part, target ``log1p(l_extendedprice)`` for
+regression and ``l_linestatus = 'F'`` for classification, split 70/15/15 by
+hashed line key.  Tree counts and iterations are kept small in these
+registered queries (the library defaults are the reference's values)."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from lathe.operators import evaluate, explain, models, scale, split
+from lathe.plans.catalog_features import LINE_FEATS, line_split
+from lathe.plans.catalog_regression import _SQL_BASE, split_orders
+from lathe.plans.registry import query
+from lathe.session import checkpoint_dir
+from lathe.sources import files
+from lathe.sources.tables import table
+
+FEATS = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"]
+
+
+def model_frame(spark, sf):
+    ls = line_split(spark, sf).join(
+        table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice",
+                                        F.col("p_size").cast("double").alias("p_size")), "l_partkey")
+    return ls.select("line_key", "split", *FEATS, F.log1p("l_extendedprice").alias("target"),
+                     (F.col("l_linestatus") == "F").cast("int").alias("y"))
+
+
+def _train(spark, sf):
+    return model_frame(spark, sf).where(F.col("split") == "train")
+
+
+def _reg_eval(model, spark, sf):
+    d = models.assemble(model_frame(spark, sf), FEATS)
+    p = model.transform(d).withColumnRenamed("prediction", "yhat")
+    return evaluate.regression_metrics(p, "target", "yhat", by=["split"])
+
+
+def _cls_eval(model, spark, sf):
+    d = models.assemble(model_frame(spark, sf), FEATS)
+    p = model.transform(d)
+    p = p.withColumn("p1", F.round(vector_to_array(F.col("probability"))[1], 6))
+    return evaluate.classification_metrics(p.withColumn("yhat", F.col("prediction").cast("int")),
+                                           "y", "yhat", "p1", by=["split"])
+
+
+@query("m01_fit_linear")
+def m01(spark, sf):
+    return _reg_eval(models.fit_linear(_train(spark, sf), FEATS, "target"), spark, sf)
+
+
+@query("m02_fit_ridge")
+def m02(spark, sf):
+    return _reg_eval(models.fit_ridge(_train(spark, sf), FEATS, "target", alpha=1.0), spark, sf)
+
+
+@query("m03_fit_gbt_regressor")
+def m03(spark, sf):
+    m = models.fit_gbt_regressor(_train(spark, sf), FEATS, "target", n_trees=10, depth=4, subsample=0.8,
+                                 colsample="0.8")
+    return _reg_eval(m, spark, sf)
+
+
+@query("m04_fit_rf_regressor")
+def m04(spark, sf):
+    return _reg_eval(models.fit_rf_regressor(_train(spark, sf), FEATS, "target", n_trees=20), spark, sf)
+
+
+@query("m05_fit_stacking")
+def m05(spark, sf):
+    tr = split.assign_folds(_train(spark, sf), "line_key", k=3)
+    st = models.fit_stacking(tr, FEATS, "target", "fold", k=3, base_factories={
+        "ridge": lambda d, f, y: models.fit_ridge(d, f, y, 1.0),
+        "gbt": lambda d, f, y: models.fit_gbt_regressor(d, f, y, 5, 3)})
+    p = st.transform(model_frame(spark, sf)).withColumnRenamed("prediction", "yhat")
+    return evaluate.regression_metrics(p, "target", "yhat", by=["split"])
+
+
+@query("m06_fit_logistic")
+def m06(spark, sf):
+    return _cls_eval(models.fit_logistic(_train(spark, sf), FEATS, "y", max_iter=100), spark, sf)
+
+
+@query("m08_fit_rf_classifier")
+def m08(spark, sf):
+    return _cls_eval(models.fit_rf_classifier(_train(spark, sf), FEATS, "y", n_trees=20, depth=8), spark, sf)
+
+
+@query("m09_fit_gbt_classifier")
+def m09(spark, sf):
+    return _cls_eval(models.fit_gbt_classifier(_train(spark, sf), FEATS, "y", n_trees=10, depth=4), spark, sf)
+
+
+@query("m10_fit_mlp_classifier")
+def m10(spark, sf):
+    tr = _train(spark, sf)
+    scaled, fitted = scale.standard_scale(tr, tr, FEATS)
+    m = models.fit_mlp_classifier(scaled, FEATS, "y", hidden=(127, 64, 32), max_iter=20)
+    d = scale.apply_scaler(model_frame(spark, sf), fitted)
+    p = m.transform(models.assemble(d, FEATS))
+    p = p.withColumn("p1", F.round(vector_to_array(F.col("probability"))[1], 6))
+    return evaluate.classification_metrics(p.withColumn("yhat", F.col("prediction").cast("int")),
+                                           "y", "yhat", "p1", by=["split"])
+
+
+def _ridge_scores(m, d):
+    return models.regression_scores(m, d, FEATS, "target")
+
+
+@query("m12_cross_validate")
+def m12(spark, sf):
+    tr = split.assign_folds(_train(spark, sf), "line_key", k=3)
+    folds = models.cross_validate(lambda d: models.fit_ridge(d, FEATS, "target"), _ridge_scores, tr, "fold", 3)
+    return models.summarize_folds(folds)
+
+
+@query("m13_random_search")
+def m13(spark, sf):
+    from pyspark.ml.regression import LinearRegression
+    tr = models.assemble(split.assign_folds(_train(spark, sf), "line_key", k=3), FEATS)
+    est = LinearRegression(featuresCol="features", labelCol="target", solver="normal")
+    _, table_ = models.random_search(est, {"regParam": (0.0, 0.1), "elasticNetParam": [0.0]}, 4,
+                                     models.rmse_evaluator("target"), tr, "fold")
+    return table_
+
+
+@query("m14_refine_grid")
+def m14(spark, sf):
+    from pyspark.ml.regression import LinearRegression
+    tr = models.assemble(split.assign_folds(_train(spark, sf), "line_key", k=3), FEATS)
+    est = LinearRegression(featuresCol="features", labelCol="target", solver="normal")
+    grid = models.refine_grid(est, {"regParam": 0.01}, {"regParam": [-0.02, -0.005, 0.0, 0.005, 0.02]},
+                              valid=lambda n, v: v >= 0)
+    _, table_ = models.tune(est, grid, models.rmse_evaluator("target"), tr, "fold")
+    return table_
+
+
+@query("m15_learning_curve")
+def m15(spark, sf):
+    tr = split.assign_folds(_train(spark, sf), "line_key", k=3)
+    tr = split.learning_sizes(tr, "line_key", n_sizes=4, lo=0.25, hi=1.0)
+    return models.learning_curve(lambda d: models.fit_ridge(d, FEATS, "target"),
+                                 lambda m, d: _ridge_scores(m, d)["r2"], tr, "size_index", "fold", 4, 3)
+
+
+@query("m26_coefficient_table")
+def m26(spark, sf):
+    m = models.fit_ridge(_train(spark, sf), FEATS, "target")
+    return explain.coefficient_table(spark, FEATS, m.coefficients.toArray(), k=2)
+
+
+@query("m27_tree_importance")
+def m27(spark, sf):
+    m = models.fit_rf_regressor(_train(spark, sf), FEATS, "target", n_trees=20)
+    return explain.tree_importance(spark, FEATS, m.featureImportances.toArray(), k=3)
+
+
+@query("m28_permutation_importance")
+def m28(spark, sf):
+    tr = _train(spark, sf)
+    m = models.fit_ridge(tr, FEATS, "target")
+    test = model_frame(spark, sf).where(F.col("split") == "test")
+    return explain.permutation_importance(
+        m, test, "line_key", FEATS,
+        score_fn=lambda p: p.agg(1 - F.sum((F.col("prediction") - F.col("target")) ** 2) /
+                                 (F.count(F.lit(1)) * F.var_pop("target"))).first()[0],
+        assemble_fn=lambda d: models.assemble(d, FEATS))
+
+
+@query("m36_classification_flow")
+def m36c(spark, sf):
+    """Classification end to end on embeddings: split -> population scaling
+    fitted on train -> SMOTE + undersampling on train -> balanced logistic
+    -> metrics per split."""
+    from lathe.operators import balance
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding",
+                                              (F.col("label") == 0).cast("int").alias("y"))
+    e = split.stratified_split(e, "vec_id", "y")
+    dims = [f"x{i}" for i in range(8)]
+    flat = e.select("vec_id", "split", "y", "embedding", *[F.col("embedding")[i].cast("double").alias(d)
+                                                           for i, d in enumerate(dims)])
+    tr = flat.where(F.col("split") == "train")
+    scaled, fitted = scale.standard_scale(tr, flat, dims)
+    scaled = scaled.withColumn("vec", F.array(*dims))
+    tr_s = scaled.where(F.col("split") == "train")
+    bal = balance.rebalance(tr_s.select("vec_id", "vec", "y"), "vec_id", "vec", "y", 1)
+    bal = bal.select("y", *[F.col("vec")[i].alias(d) for i, d in enumerate(dims)])
+    m = models.fit_logistic(bal, dims, "y", max_iter=100)
+    p = m.transform(models.assemble(scaled, dims))
+    p = p.withColumn("p1", F.round(vector_to_array(F.col("probability"))[1], 6))
+    return evaluate.classification_metrics(p.withColumn("yhat", F.col("prediction").cast("int")),
+                                           "y", "yhat", "p1", by=["split"])
+
+
+def _io_dir(spark, name):
+    return f"{checkpoint_dir(spark)}/lathe-io/{name}-{uuid.uuid4().hex}"
+
+
+@query("i01_i05_csv_roundtrip", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""")
+def i01(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    path = _io_dir(spark, "csv")
+    files.write_csv_table(o, path)
+    return files.read_csv_table(spark, path, o.schema)
+
+
+@query("i03_i04_parquet_roundtrip", _SQL_BASE + """
+SELECT split, count(*) AS rows FROM splitted GROUP BY split""")
+def i03(spark, sf):
+    path = _io_dir(spark, "split")
+    files.write_parquet_table(split_orders(spark, sf).select("o_orderkey", "y", "split"), path, partition_by=["split"])
+    back = files.read_parquet_table(spark, path)
+    return back.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("i06_write_metrics", """
+WITH b AS (SELECT ln(1 + o_totalprice) AS y, o_orderstatus FROM orders WHERE o_totalprice BETWEEN 15000 AND 500000)
+SELECT o_orderstatus, count(*) AS n, round(avg(y), 6) AS mean_y FROM b GROUP BY o_orderstatus""")
+def i06(spark, sf):
+    o = split_orders(spark, sf)
+    m = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("y"), 6).alias("mean_y"))
+    path = _io_dir(spark, "metrics")
+    files.write_metrics(m, path)
+    return spark.read.schema(m.schema).json(path)
+
+
+@query("i07_save_load_fitted", """
+WITH b AS (SELECT *, l_orderkey * 100 + l_linenumber AS line_key FROM lineitem),
+r AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', CAST(line_key AS VARCHAR), '42')), line_key) AS rk,
+                count(*) OVER () AS n FROM b),
+tr AS (SELECT * FROM r WHERE rk <= floor((n * 70 + 50) / 100))
+SELECT * FROM (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, 'scaler' AS kind, 'mean' AS key, round(avg({c}), 6) AS value FROM tr UNION ALL "
+    f"SELECT '{c}', 'scaler', 'std', round(CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END, 6) FROM tr"
+    for c in LINE_FEATS) + ")")
+def i07(spark, sf):
+    ls = line_split(spark, sf)
+    fitted = scale.fit_standard_scaler(ls.where(F.col("split") == "train"), LINE_FEATS)
+    long = fitted.select("feature", F.lit("scaler").alias("kind"), F.lit("mean").alias("key"),
+                         F.round("mean", 6).alias("value")).unionByName(
+        fitted.select("feature", F.lit("scaler").alias("kind"), F.lit("std").alias("key"),
+                      F.round("std", 6).alias("value")))
+    path = _io_dir(spark, "fitted")
+    files.save_fitted(long, path)
+    return files.load_fitted(spark, path)
