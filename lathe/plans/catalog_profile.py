@@ -337,3 +337,24 @@ def w06(spark, sf):
         "l_returnflag", (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("line_key"), "l_extendedprice")
     out = windows.top_k_per_group(li, ["l_returnflag"], [F.col("l_extendedprice").desc()], 3, tiebreak="line_key")
     return out.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query("k01_join_features", """
+SELECT l_orderkey, l_linenumber, o_orderpriority, o_orderstatus
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+def k01(spark, sf):
+    from lathe.operators.joins import join_features
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority", "o_orderstatus")
+    return join_features(li, o, "l_orderkey")
+
+
+@query("k03_map_encode_join", """
+WITH d AS (SELECT n_nationkey AS k, n_regionkey AS v FROM nation)
+SELECT c_custkey, CAST(coalesce(v, -1) AS INTEGER) AS region_code FROM customer LEFT JOIN d ON c_nationkey = d.k""")
+def k03(spark, sf):
+    from lathe.operators.joins import map_encode_join
+    d = table(spark, sf, "nation").select(F.col("n_nationkey").alias("key"), F.col("n_regionkey").alias("value"))
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    out = map_encode_join(c, "c_nationkey", d, "region_code", default=-1, bounded=True)
+    return out.select("c_custkey", F.col("region_code").cast("int"))

@@ -27,3 +27,18 @@ def test_entry_and_registry(spark):
     assert out.count() == 3
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs) and len(qs) >= 100
+
+
+def test_stream_scoring_matches_batch(spark, tmp_path):
+    from lathe.operators.scale import apply_scaler, fit_standard_scaler
+    from lathe.streaming.scoring import read_stream, score_stream, start_sink
+    src = str(tmp_path / "in")
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_totalprice")
+    o.write.parquet(src)
+    fitted = fit_standard_scaler(o, ["o_totalprice"])
+    out = str(tmp_path / "out")
+    q = start_sink(score_stream(read_stream(spark, src, o.schema), scaler=fitted), out, trigger_once=True)
+    q.awaitTermination(120)
+    got = {r.o_orderkey: r.o_totalprice for r in spark.read.parquet(out).collect()}
+    exp = {r.o_orderkey: r.o_totalprice for r in apply_scaler(o, fitted).collect()}
+    assert got.keys() == exp.keys() and all(abs(got[k] - exp[k]) < 1e-12 for k in exp)
