@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lathe.functions.hashing import DEFAULT_SEED, hash_int, hash_order, hash_unit
-from lathe.operators.ordering import rank_within
+from lathe.operators.ordering import hash_rank_within
 
 _KNN_SCHEMA = "q_id long, nn_id long, dist2 double"
 
@@ -92,10 +92,10 @@ def random_undersample(df: DataFrame, key: str, is_minority, ratio: float = 0.75
     the smallest ``md5(key|seed)`` first (exact count)."""
     n_min, n_maj = class_counts(df, is_minority)
     n_keep = min(n_maj, int(n_min / ratio))
-    d = df.withColumn("_maj", (~is_minority).cast("int")).withColumn("_h", hash_order(key, seed=seed))
-    ranked = rank_within(d, ["_maj"], [F.col("_h"), F.col(key)], rank_col="_r", count_col=None,
-                         bounded_groups=True)
-    return ranked.where((F.col("_maj") == 0) | (F.col("_r") <= n_keep)).drop("_maj", "_h", "_r")
+    d = df.withColumn("_maj", (~is_minority).cast("int"))
+    ranked = hash_rank_within(d, ["_maj"], key, seed=seed, rank_col="_r", count_col=None,
+                              bounded_groups=True)
+    return ranked.where((F.col("_maj") == 0) | (F.col("_r") <= n_keep)).drop("_maj", "_r")
 
 
 def smote(df: DataFrame, id_col: str, vec_col: str, is_minority, ratio: float = 0.5, k: int = 5,
@@ -119,10 +119,9 @@ def smote(df: DataFrame, id_col: str, vec_col: str, is_minority, ratio: float =
     nn = neighbours if neighbours is not None else knn(
         mino, id_col, vec_col, k=kk, cat_col=cat_col, penalty=penalty)
     base = mino.select(F.col(id_col).cast("long").alias("base_id"),
-                       F.col(vec_col).alias("_x"), *([F.col(cat_col).alias("_xc")] if cat_col else []),
-                       hash_order(id_col, seed=seed).alias("_h"))
-    ranked = rank_within(base, [], [F.col("_h"), F.col("base_id")], rank_col="_r", count_col=None,
-                         bounded_groups=True)
+                       F.col(vec_col).alias("_x"), *([F.col(cat_col).alias("_xc")] if cat_col else []))
+    ranked = hash_rank_within(base, [], "base_id", seed=seed, rank_col="_r", count_col=None,
+                              bounded_groups=True)
     per, extra = divmod(n_synth, n_min)
     cnt = F.lit(per) + (F.col("_r") <= extra).cast("int")
     ex = ranked.where(cnt > 0).select("*", F.explode(F.sequence(F.lit(1), cnt)).alias("_j"))

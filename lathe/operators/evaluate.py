@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lathe.operators.ordering import exact_quantiles, global_cumsum
+from lathe.operators.ordering import bucketed_cumsum, exact_quantiles
 from lathe.functions.rules import tier_label
 
 
@@ -57,7 +57,7 @@ def auc(df: DataFrame, y: str, p: str, by: list[str] | None = None, digits: int
     by = list(by or [])
     t = F.col(y).cast("int")
     g = df.groupBy(*by, F.col(p).alias("_s")).agg(F.sum(t).alias("_pos"), F.sum(1 - t).alias("_neg"))
-    c = global_cumsum(g, [F.col("_s").asc()], {"_cneg": "_neg"}, group_cols=by)
+    c = bucketed_cumsum(g, "_s", {"_cneg": "_neg"}, group_cols=by)
     part = (F.col("_pos") * (F.col("_cneg") - F.col("_neg")) + 0.5 * F.col("_pos") * F.col("_neg"))
     agg = c.groupBy(*by).agg(F.sum(part).alias("_a"), F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
     return agg.select(*by, _r(F.col("_a") / (F.col("_P") * F.col("_N")), digits).alias("auc"))
@@ -68,7 +68,7 @@ def roc_curve(df: DataFrame, y: str, p: str, by: list[str] | None = None, digits
     by = list(by or [])
     t = F.col(y).cast("int")
     g = df.groupBy(*by, F.col(p).alias("threshold")).agg(F.sum(t).alias("_pos"), F.sum(1 - t).alias("_neg"))
-    c = global_cumsum(g, [F.col("threshold").desc()], {"_cp": "_pos", "_cn": "_neg"}, group_cols=by)
+    c = bucketed_cumsum(g, "threshold", {"_cp": "_pos", "_cn": "_neg"}, group_cols=by, descending=True)
     tot = c.groupBy(*by).agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
     if by:
         j = c.join(F.broadcast(tot), by)

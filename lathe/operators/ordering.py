@@ -114,9 +114,17 @@ def global_cumsum(df: DataFrame, order_by, sums: dict, group_cols: list[str] | N
 
 def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
                     group_cols: list[str] | None = None, method: str = "linear",
-                    partitions: int | None = None, bounded_groups: bool = False,
-                    names: list[str] | None = None) -> DataFrame:
-    """Exact quantiles per group (nulls ignored).
+                    bounded_groups: bool = False, names: list[str] | None = None) -> DataFrame:
+    """Exact quantiles per group (NULLs ignored); see ``select_quantiles``."""
+    return select_quantiles(df, value_col, qs, group_cols=group_cols, method=method, names=names,
+                            bounded_groups=bounded_groups)
+
+
+def staged_quantiles(df: DataFrame, value_col: str, qs: list[float],
+                     group_cols: list[str] | None = None, method: str = "linear",
+                     partitions: int | None = None, bounded_groups: bool = False,
+                     names: list[str] | None = None) -> DataFrame:
+    """Exact quantiles per group (nulls ignored) from fully ranked rows.
 
     ``linear``: ``v[lo] + (pos - lo)·(v[hi] - v[lo])`` with ``pos = q·(n-1)``
     (the same as ``percentile``/``quantile_cont``); ``nearest``: the value at
@@ -151,3 +159,230 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
     if group_cols:
         return small.groupBy(*group_cols).agg(*aggs)
     return small.agg(*aggs)
+
+
+# --------------------------------------------------------------------------
+# Fast exact paths that need no staging.
+#
+# * hash order: md5 is uniform, so its leading hex digits cut every group
+#   (however hot) into up to 16^digits balanced buckets; rows are numbered
+#   inside (group, bucket) and the bucket counts are prefix-summed.
+# * value order (single numeric key): approximate cut points (a bounded list
+#   of scalars) define range buckets in which every cut value has a
+#   singleton bucket of its own, so a hot value never has to be sorted;
+#   bucket counts give exact offsets.
+# --------------------------------------------------------------------------
+
+def hash_rank_within(df: DataFrame, group_cols: list[str], key: str, *, seed=42,
+                     rank_col: str = "_rank", count_col: str | None = "_n", digits: int = 4,
+                     bounded_groups: bool = False, keep_hash: str | None = None) -> DataFrame:
+    """Exact 1-based rank of each row inside its group in ``(md5(key|seed),
+    key)`` order, plus the group size.  The counts table has at most
+    ``groups · 16^digits`` rows."""
+    from lathe.functions.hashing import hash_order
+    group_cols = list(group_cols)
+    d = (df.withColumn("_h", hash_order(key, seed=seed))
+           .withColumn("_hb", F.conv(F.substring("_h", 1, digits), 16, 10).cast("int")))
+    wl = Window.partitionBy(*group_cols, "_hb").orderBy("_h", key)
+    local = d.withColumn("_lr", F.row_number().over(wl))
+    counts = local.groupBy(*group_cols, "_hb").agg(F.max("_lr").alias("_c"))
+    w_prev = Window.partitionBy(*group_cols).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
+    cols = [F.coalesce(F.sum("_c").over(w_prev), F.lit(0)).alias("_off")]
+    if count_col:
+        cols.append(F.sum("_c").over(Window.partitionBy(*group_cols)).cast("long").alias(count_col))
+    offs = counts.select(*[F.col(g).alias(f"_g_{g}") for g in group_cols], F.col("_hb").alias("_ob"), *cols)
+    if bounded_groups:
+        offs = F.broadcast(offs)
+    cond = F.col("_hb") == F.col("_ob")
+    for g in group_cols:
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    j = local.join(offs, cond, "inner")
+    out = j.withColumn(rank_col, (F.col("_off") + F.col("_lr")).cast("long"))
+    drop = ["_hb", "_ob", "_lr", "_off", *[f"_g_{g}" for g in group_cols]]
+    if keep_hash:
+        out = out.withColumnRenamed("_h", keep_hash)
+    else:
+        drop.append("_h")
+    return out.drop(*drop)
+
+
+def _splits(cuts) -> list[float]:
+    """Bucketizer splits from cut points: every cut ``c`` is followed by
+    ``nextafter(c)``, so ``[c, nextafter(c))`` holds exactly the value ``c``."""
+    import math
+    pts = set()
+    for c in cuts or []:
+        if c is None or math.isnan(c) or math.isinf(c):
+            continue
+        pts.add(float(c))
+        pts.add(math.nextafter(float(c), math.inf))
+    return [-math.inf, *sorted(pts), math.inf]
+
+
+MAX_PIVOT_GROUPS = 256
+
+
+def _bucket_by_cuts(df: DataFrame, col: str, group_cols: list[str], buckets: int,
+                    bounded_groups: bool, out: str = "_vb", accuracy: int = 10000) -> DataFrame:
+    """Add a range-bucket index of ``col``, monotone in ``col`` inside each
+    group.  Cut points are approximate quantiles PER GROUP (one grouped
+    aggregate, at most ``buckets-1`` per group) so groups on very different
+    scales are cut evenly, and every cut value has a singleton bucket, so a
+    value holding a third of the rows never needs sorting.  The lookup is
+    Spark ML's ``Bucketizer`` (a JVM binary search); with a bounded number
+    of groups each group gets its own splits column."""
+    from pyspark.ml.feature import Bucketizer
+    probs = [i / buckets for i in range(1, buckets)]
+    pa = F.percentile_approx(F.col(col).cast("double"), probs, accuracy)
+    per_bucket = 64  # sample rows per bucket: cut points only steer balance, never exactness
+    if not group_cols:
+        n = df.count()
+        frac = min(1.0, per_bucket * buckets / max(n, 1))
+        smp = df if frac >= 1.0 else df.where(F.rand(17) < F.lit(frac))
+        cuts = smp.agg(pa.alias("c")).first()["c"]
+        b = Bucketizer(splits=_splits(cuts), inputCol="_bin", outputCol="_bout", handleInvalid="keep")
+        return b.transform(df.withColumn("_bin", F.col(col).cast("double"))) \
+            .withColumn(out, F.col("_bout").cast("int")).drop("_bin", "_bout")
+    if bounded_groups:
+        sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n")).limit(MAX_PIVOT_GROUPS + 1).collect()
+        if len(sizes) <= MAX_PIVOT_GROUPS:
+            def gcond(r):
+                cond = None
+                for g in group_cols:
+                    c = F.col(g).eqNullSafe(F.lit(r[g]))
+                    cond = c if cond is None else cond & c
+                return cond
+            keep = None
+            for r in sizes:
+                frac = min(1.0, per_bucket * buckets / max(r["n"], 1))
+                c = gcond(r) & (F.rand(17) < F.lit(frac))
+                keep = c if keep is None else keep | c
+            rows = df.where(keep).groupBy(*group_cols).agg(pa.alias("c")).collect()
+            ins, outs, splits, conds = [], [], [], []
+            d = df
+            for i, r in enumerate(rows):
+                cond = gcond(r)
+                d = d.withColumn(f"_bi{i}", F.when(cond, F.col(col).cast("double")))
+                ins.append(f"_bi{i}")
+                outs.append(f"_bo{i}")
+                splits.append(_splits(r["c"]))
+                conds.append(cond)
+            b = Bucketizer(splitsArray=splits, inputCols=ins, outputCols=outs, handleInvalid="keep")
+            d = b.transform(d)
+            expr = None
+            for cond, o in zip(conds, outs):
+                expr = F.when(cond, F.col(o)) if expr is None else expr.when(cond, F.col(o))
+            return d.withColumn(out, expr.cast("int")).drop(*ins, *outs)
+    return _bucket_by_search(df, col, group_cols, buckets, bounded_groups, out, accuracy)
+
+
+def _bucket_by_search(df: DataFrame, col: str, group_cols: list[str], buckets: int,
+                      bounded_groups: bool, out: str = "_vb", accuracy: int = 10000) -> DataFrame:
+    """Unbounded number of groups: the per-group cut arrays are joined to the
+    rows and searched with a ``log2(buckets)``-step binary search; index
+    ``2·#(cuts <= v) − [v is a cut]`` keeps cut values in singleton buckets."""
+    import math
+    probs = [i / buckets for i in range(1, buckets)]
+    pa = F.array_sort(F.array_distinct(F.percentile_approx(F.col(col), probs, accuracy)))
+    cuts = df.groupBy(*group_cols).agg(pa.alias("_cuts"))
+    ren = cuts.select(*[F.col(g).alias(f"_cg_{g}") for g in group_cols], "_cuts")
+    cond = None
+    for g in group_cols:
+        c = F.col(g).eqNullSafe(F.col(f"_cg_{g}"))
+        cond = c if cond is None else cond & c
+    d = df.join(F.broadcast(ren) if bounded_groups else ren, cond, "inner") \
+        .drop(*[f"_cg_{g}" for g in group_cols])
+    steps = max(1, int(math.ceil(math.log2(buckets + 1))) + 1)
+    v = F.col(col).cast("double")
+    init = F.struct(F.lit(0).alias("lo"), F.size("_cuts").alias("hi"))
+
+    def step(acc, _):
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        le = F.try_element_at(F.col("_cuts"), mid + 1) <= v
+        return F.when(acc["lo"] >= acc["hi"], acc).when(
+            le, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))).otherwise(
+            F.struct(acc["lo"].alias("lo"), mid.alias("hi")))
+
+    le = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+    on_cut = F.when((le > 0) & (F.try_element_at(F.col("_cuts"), F.greatest(le, F.lit(1))) == v), 1).otherwise(0)
+    return d.withColumn(out, (2 * le - on_cut).cast("int")).drop("_cuts")
+
+
+def select_quantiles(df: DataFrame, value_col: str, qs: list[float], group_cols: list[str] | None = None,
+                     method: str = "linear", names: list[str] | None = None, buckets: int = 1024,
+                     bounded_groups: bool = False) -> DataFrame:
+    """Exact quantiles by distributed selection: bucket counts locate each
+    target rank; a bucket holding one value answers directly, otherwise
+    only the rows of the few target buckets are ranked."""
+    group_cols = list(group_cols or [])
+    names = names or [f"q{int(round(q * 100)):02d}" for q in qs]
+    base = df.where(F.col(value_col).isNotNull()).select(*group_cols, F.col(value_col).cast("double").alias("_v"))
+    bk = _bucket_by_cuts(base, "_v", group_cols, buckets, bounded_groups)
+    st = bk.groupBy(*group_cols, "_vb").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_mn"),
+                                           F.max("_v").alias("_mx"))
+    w_prev = Window.partitionBy(*group_cols).orderBy("_vb").rowsBetween(Window.unboundedPreceding, -1)
+    st = st.select("*", F.coalesce(F.sum("_c").over(w_prev), F.lit(0)).alias("_cb"),
+                   F.sum("_c").over(Window.partitionBy(*group_cols)).alias("_n"))
+    # target ranks per group and quantile (lo and hi neighbours)
+    tgt = []
+    for i, q in enumerate(qs):
+        pos = (F.col("_n") - 1).cast("double") * F.lit(float(q))
+        if method == "nearest":
+            lo = F.floor(pos + F.lit(0.5)) + 1
+            hi, frac = lo, F.lit(0.0)
+        else:
+            lo, hi, frac = F.floor(pos) + 1, F.ceil(pos) + 1, pos - F.floor(pos)
+        tgt.append(F.struct(F.lit(i).alias("qi"), lo.cast("long").alias("lo"), hi.cast("long").alias("hi"),
+                            frac.alias("fr")))
+    hit = st.select("*", F.explode(F.array(*tgt)).alias("_t")).select("*", "_t.*").drop("_t")
+    hit = hit.select("*", F.explode(F.array(
+        F.struct(F.lit("lo").alias("side"), F.col("lo").alias("r")),
+        F.struct(F.lit("hi").alias("side"), F.col("hi").alias("r")))).alias("_s")).select("*", "_s.*").drop("_s")
+    hit = hit.where((F.col("r") > F.col("_cb")) & (F.col("r") <= F.col("_cb") + F.col("_c"))) \
+        .withColumn("_local", F.col("r") - F.col("_cb"))
+    known = hit.where(F.col("_mn") == F.col("_mx")).select(*group_cols, "qi", "side", "fr", F.col("_mn").alias("val"))
+    need = hit.where(F.col("_mn") < F.col("_mx")).select(*group_cols, "_vb", "qi", "side", "fr", "_local")
+    need_b = need.select(*group_cols, "_vb").distinct()
+    if bounded_groups:
+        need_b = F.broadcast(need_b)
+    rows = bk.join(need_b, [*group_cols, "_vb"], "left_semi")
+    w = Window.partitionBy(*group_cols, "_vb").orderBy("_v")
+    ranked = rows.select("*", F.row_number().over(w).alias("_lr"))
+    picked = ranked.join(need, [*group_cols, "_vb"]).where(F.col("_lr") == F.col("_local")) \
+        .select(*group_cols, "qi", "side", "fr", F.col("_v").alias("val"))
+    vals = known.unionByName(picked)
+    aggs = []
+    for i, nm in enumerate(names):
+        lo_v = F.max(F.when((F.col("qi") == i) & (F.col("side") == "lo"), F.col("val")))
+        hi_v = F.max(F.when((F.col("qi") == i) & (F.col("side") == "hi"), F.col("val")))
+        fr = F.max(F.when(F.col("qi") == i, F.col("fr")))
+        aggs.append((lo_v + fr * (hi_v - lo_v)).alias(nm))
+    if group_cols:
+        return vals.groupBy(*group_cols).agg(*aggs)
+    return vals.agg(*aggs)
+
+
+def bucketed_cumsum(df: DataFrame, order_col: str, sums: dict, group_cols: list[str] | None = None,
+                    descending: bool = False, buckets: int = 1024, bounded_groups: bool = True) -> DataFrame:
+    """Inclusive running sums over a single numeric key that is DISTINCT
+    within each group (e.g. after grouping by score): rows are bucketed on
+    cut points of the key, summed inside (group, bucket) windows and offset
+    by the sums of the preceding buckets."""
+    group_cols = list(group_cols or [])
+    key = F.col(order_col).cast("double")
+    d = df.withColumn("_k", -key if descending else key)
+    bk = _bucket_by_cuts(d, "_k", group_cols, buckets, bounded_groups)
+    tot = bk.groupBy(*group_cols, "_vb").agg(*[F.sum(v).alias(f"_t_{o}") for o, v in sums.items()])
+    w_prev = Window.partitionBy(*group_cols).orderBy("_vb").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select(*[F.col(g).alias(f"_g_{g}") for g in group_cols], F.col("_vb").alias("_ob"),
+                      *[F.coalesce(F.sum(f"_t_{o}").over(w_prev), F.lit(0)).alias(f"_o_{o}") for o in sums])
+    if bounded_groups:
+        offs = F.broadcast(offs)
+    cond = F.col("_vb") == F.col("_ob")
+    for g in group_cols:
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    w = Window.partitionBy(*group_cols, "_vb").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
+    local = bk.select("*", *[F.sum(v).over(w).alias(f"_l_{o}") for o, v in sums.items()])
+    j = local.join(offs, cond, "inner")
+    out = j.select(*df.columns, *[(F.col(f"_l_{o}") + F.col(f"_o_{o}")).alias(o) for o in sums])
+    return out

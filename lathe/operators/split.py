@@ -1,15 +1,15 @@
 """Leakage-safe splits, folds and samples.
 
 Randomness comes only from ``hash_order`` (md5 of key and seed), and ranks
-are exact per stratum through ``rank_within`` (range-partitioned, so a
-stratum holding a third of the rows is still spread over many tasks)."""
+are exact per stratum through ``hash_rank_within``: the uniform md5 prefix
+cuts a stratum holding a third of the rows into many balanced buckets."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lathe.functions.hashing import DEFAULT_SEED, hash_order
-from lathe.operators.ordering import rank_within
+from lathe.operators.ordering import hash_rank_within
 from lathe.operators.profile import last_by_group
 
 
@@ -46,15 +46,14 @@ def stratified_split(df: DataFrame, key: str, strata: str | None = None,
     ``round(n·(f1+f2))`` ``val``, the rest ``test``.  Disjoint, exhaustive,
     deterministic in the seed and independent of partitioning."""
     groups = [strata] if strata else []
-    h = df.withColumn("_h", hash_order(key, seed=seed))
-    ranked = rank_within(h, groups, [F.col("_h"), F.col(key)], rank_col="_rank",
-                         count_col="_n", bounded_groups=True)
+    ranked = hash_rank_within(df, groups, key, seed=seed, rank_col="_rank", count_col="_n",
+                              bounded_groups=True)
     expr = None
     for pct, nm in zip(_cuts(fractions), names):
         cut = F.floor((F.col("_n") * pct + 50) / 100)
         expr = F.when(F.col("_rank") <= cut, nm) if expr is None else expr.when(F.col("_rank") <= cut, nm)
     expr = expr.otherwise(names[len(fractions) - 1])
-    return ranked.withColumn(out, expr).drop("_h", "_rank", "_n")
+    return ranked.withColumn(out, expr).drop("_rank", "_n")
 
 
 def group_stratified_split(df: DataFrame, id_col: str, order_col: str, label_col: str,
@@ -73,11 +72,9 @@ def assign_folds(df: DataFrame, key: str, k: int = 5, strata: str | None = None,
     """k folds: ``(rank - 1) mod k`` in hash order, inside each stratum when
     one is given (stratified k-fold), else over the whole table."""
     groups = [strata] if strata else []
-    h = df.withColumn("_h", hash_order(key, seed=seed))
-    ranked = rank_within(h, groups, [F.col("_h"), F.col(key)], rank_col="_rank", count_col=None,
-                         bounded_groups=True)
-    return ranked.withColumn(out, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")) \
-        .drop("_h", "_rank")
+    ranked = hash_rank_within(df, groups, key, seed=seed, rank_col="_rank", count_col=None,
+                              bounded_groups=True)
+    return ranked.withColumn(out, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_rank")
 
 
 def learning_sizes(df: DataFrame, key: str, n_sizes: int = 8, lo: float = 0.25, hi: float = 1.0,
@@ -85,15 +82,14 @@ def learning_sizes(df: DataFrame, key: str, n_sizes: int = 8, lo: float = 0.25,
     """Nested training subsets: fractions ``linspace(lo, hi, n_sizes)``; a row
     belongs to every size from ``size_index`` on (hash-ordered prefixes)."""
     fr = [lo + (hi - lo) * i / (n_sizes - 1) for i in range(n_sizes)] if n_sizes > 1 else [hi]
-    h = df.withColumn("_h", hash_order(key, seed=seed))
-    ranked = rank_within(h, [], [F.col("_h"), F.col(key)], rank_col="_rank", count_col="_n",
-                         bounded_groups=True)
+    ranked = hash_rank_within(df, [], key, seed=seed, rank_col="_rank", count_col="_n",
+                              bounded_groups=True)
     # smallest i whose prefix holds the row
     expr = None
     for i, f in enumerate(fr):
         cond = F.col("_rank") <= F.floor(F.col("_n") * F.lit(f) + F.lit(0.5))
         expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return ranked.withColumn(out, expr.cast("int")).drop("_h", "_rank", "_n")
+    return ranked.withColumn(out, expr.cast("int")).drop("_rank", "_n")
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed=DEFAULT_SEED) -> DataFrame:
