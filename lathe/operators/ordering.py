@@ -317,6 +317,9 @@ def select_quantiles(df: DataFrame, value_col: str, qs: list[float], group_cols:
     group_cols = list(group_cols or [])
     names = names or [f"q{int(round(q * 100)):02d}" for q in qs]
     base = df.where(F.col(value_col).isNotNull()).select(*group_cols, F.col(value_col).cast("double").alias("_v"))
+    # several passes follow (sizes, sampled cuts, counts, target rows): stage
+    # the narrow (group, value) table once instead of recomputing upstream
+    base = stage_table(base, "quantile-input")
     bk = _bucket_by_cuts(base, "_v", group_cols, buckets, bounded_groups)
     st = bk.groupBy(*group_cols, "_vb").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_mn"),
                                            F.max("_v").alias("_mx"))
@@ -369,6 +372,7 @@ def bucketed_cumsum(df: DataFrame, order_col: str, sums: dict, group_cols: list[
     cut points of the key, summed inside (group, bucket) windows and offset
     by the sums of the preceding buckets."""
     group_cols = list(group_cols or [])
+    df = stage_table(df, "cumsum-input")  # several passes follow
     key = F.col(order_col).cast("double")
     d = df.withColumn("_k", -key if descending else key)
     bk = _bucket_by_cuts(d, "_k", group_cols, buckets, bounded_groups)

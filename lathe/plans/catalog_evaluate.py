@@ -18,6 +18,7 @@ from lathe.operators.joins import map_encode_join
 from lathe.plans.catalog_features import _LINE_SPLIT_SQL, line_split
 from lathe.plans.catalog_regression import _SQL_BASE, split_orders
 from lathe.plans.registry import query
+from lathe.session import stage_table
 from lathe.sources.tables import table
 
 
@@ -28,7 +29,7 @@ def reg_predictions(spark, sf, by: str = "o_orderpriority"):
     if by is None:
         return s.withColumn("yhat", F.lit(g))
     d = tr.groupBy(by).agg(F.avg("y").alias("value")).withColumnRenamed(by, "key")
-    return map_encode_join(s, by, d, "yhat", default=g)
+    return stage_table(map_encode_join(s, by, d, "yhat", default=g), "reg-predictions")
 
 
 _REG_SQL = _SQL_BASE + """
@@ -46,7 +47,7 @@ def cls_predictions(spark, sf):
     rates = tr.groupBy("l_returnflag", "yr").agg(F.avg("y").alias("_rate"))
     j = ls.join(rates, ["l_returnflag", "yr"], "left")  # rates: one row per (flag, year)
     j = j.withColumn("p", F.round(F.coalesce("_rate", F.lit(g)), 6)).drop("_rate")
-    return j.withColumn("yhat", (F.col("p") >= 0.5).cast("int"))
+    return stage_table(j.withColumn("yhat", (F.col("p") >= 0.5).cast("int")), "cls-predictions")
 
 
 _CLS_SQL = _LINE_SPLIT_SQL + """

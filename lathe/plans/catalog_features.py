@@ -9,6 +9,7 @@ from lathe.functions import dates, numeric, rules, text
 from lathe.operators import encode, scale, split
 from lathe.plans.catalog_profile import LINE_FEATS, events_with_gaps
 from lathe.plans.registry import query
+from lathe.session import stage_table
 from lathe.sources.tables import table
 
 # fixed values: the ordinal code of each part type (E02's explicit map)
@@ -19,7 +20,7 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 def part_split(spark, sf):
     """70/15/15 hash split of parts (train = fitting rows for encoders)."""
-    return split.stratified_split(table(spark, sf, "part"), "p_partkey")
+    return stage_table(split.stratified_split(table(spark, sf, "part"), "p_partkey"), "part-split")
 
 
 _PART_SPLIT_SQL = """
@@ -34,7 +35,7 @@ tr AS (SELECT * FROM ps WHERE split = 'train')
 def line_split(spark, sf):
     li = table(spark, sf, "lineitem").withColumn(
         "line_key", F.col("l_orderkey") * 100 + F.col("l_linenumber"))
-    return split.stratified_split(li, "line_key")
+    return stage_table(split.stratified_split(li, "line_key"), "lineitem-split")
 
 
 _LINE_SPLIT_SQL = """

@@ -251,3 +251,26 @@ def i07(spark, sf):
     path = _io_dir(spark, "fitted")
     files.save_fitted(long, path)
     return files.load_fitted(spark, path)
+
+
+@query("m36_regression_flow_metrics")
+def m36r(spark, sf):
+    """Regression track end to end as one Spark program: clean (range) ->
+    log1p target -> 20-edge bins -> exact stratified split -> ordinal,
+    one-hot and date features -> population scaler fitted on train ->
+    ridge on train -> RMSE / MAE / R² on log and price scale per split."""
+    from lathe.functions import dates, rules
+    from lathe.operators import encode
+    from lathe.plans.catalog_regression import PRIORITY_ORDER
+    s = split_orders(spark, sf)
+    f = encode.ordinal_encode(s, {"o_orderpriority": PRIORITY_ORDER})
+    f = f.select("o_orderkey", "split", "y", "o_orderpriority_ordinal",
+                 *rules.one_hot_fixed("o_orderstatus", ["F", "O", "P"], "status"),
+                 *dates.timestamp_parts("o_orderdate"))
+    feats = ["o_orderpriority_ordinal", "status_f", "status_o", "status_p", "month", "day_of_week", "hour"]
+    f = f.select("o_orderkey", "split", "y", *[F.col(c).cast("double").alias(c) for c in feats])
+    tr = f.where(F.col("split") == "train")
+    scaled, _ = scale.standard_scale(tr, f, feats)
+    m = models.fit_ridge(scaled.where(F.col("split") == "train"), feats, "y", alpha=1.0)
+    p = m.transform(models.assemble(scaled, feats)).withColumnRenamed("prediction", "yhat")
+    return evaluate.regression_metrics(p, "y", "yhat", by=["split"])

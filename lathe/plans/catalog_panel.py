@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from lathe.operators import encode, joins, profile, sets, split, windows
 from lathe.plans.catalog_profile import events_with_gaps
 from lathe.plans.registry import query
+from lathe.session import stage_table
 
 
 def panel_split(spark, sf):
     """Ids stratified by their last known label, rows follow their id."""
     e = events_with_gaps(spark, sf).withColumn("is_purchase", (F.col("event_type") == "purchase").cast("int"))
-    return split.group_stratified_split(e, "user_id", "ts", "is_purchase", tiebreak="event_id")
+    return stage_table(split.group_stratified_split(e, "user_id", "ts", "is_purchase", tiebreak="event_id"),
+                       "panel-split")
 
 
 _PANEL_SQL = """

@@ -11,6 +11,7 @@ from lathe.functions import dates, numeric, rules, text
 from lathe.operators import encode, filters, profile, split
 from lathe.operators.ordering import exact_quantiles
 from lathe.plans.registry import query
+from lathe.session import stage_table
 from lathe.sources.tables import table
 
 PRICE_MIN, PRICE_MAX = 15_000, 500_000
@@ -26,9 +27,11 @@ def cleaned_orders(spark, sf):
 
 
 def split_orders(spark, sf):
-    """D01 + D02: 20-edge target bins, exact 70/15/15 split per bin."""
+    """D01 + D02: 20-edge target bins, exact 70/15/15 split per bin; the
+    split table is a stage of its own (written once, read by every later
+    fit and aggregate)."""
     binned = split.target_bins(cleaned_orders(spark, sf), "y", 20, out="stratum")
-    return split.stratified_split(binned, "o_orderkey", "stratum")
+    return stage_table(split.stratified_split(binned, "o_orderkey", "stratum"), "orders-split")
 
 
 _SQL_BASE = """
