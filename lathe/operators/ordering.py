@@ -173,6 +173,25 @@ def staged_quantiles(df: DataFrame, value_col: str, qs: list[float],
 #   bucket counts give exact offsets.
 # --------------------------------------------------------------------------
 
+SMALL_GROUP_ROWS = 2_000_000
+"""Largest group (rows) whose exact quantiles may come from the built-in
+``percentile`` aggregate (its per-group value map is bounded by this size);
+above it the bucketed selection runs.  Override with
+``spark.lathe.smallGroupRows``."""
+
+
+def small_group_limit(spark) -> int:
+    return int(spark.conf.get("spark.lathe.smallGroupRows", str(SMALL_GROUP_ROWS)))
+
+
+def max_group_size(df: DataFrame, group_cols: list[str]) -> int:
+    """Rows in the largest group (one partial aggregate, one small result)."""
+    if not group_cols:
+        return df.count()
+    r = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return int(r or 0)
+
+
 def hash_rank_within(df: DataFrame, group_cols: list[str], key: str, *, seed=42,
                      rank_col: str = "_rank", count_col: str | None = "_n", digits: int = 4,
                      bounded_groups: bool = False, keep_hash: str | None = None) -> DataFrame:
@@ -317,6 +336,12 @@ def select_quantiles(df: DataFrame, value_col: str, qs: list[float], group_cols:
     group_cols = list(group_cols or [])
     names = names or [f"q{int(round(q * 100)):02d}" for q in qs]
     base = df.where(F.col(value_col).isNotNull()).select(*group_cols, F.col(value_col).cast("double").alias("_v"))
+    if method == "linear" and max_group_size(base, group_cols) <= small_group_limit(df.sparkSession):
+        # size-checked fast path: exact built-in percentile (its value map per
+        # group is bounded by the checked group size)
+        pc = F.percentile(F.col("_v"), [float(q) for q in qs]).alias("_p")
+        agg = base.groupBy(*group_cols).agg(pc) if group_cols else base.agg(pc)
+        return agg.select(*group_cols, *[F.col("_p")[i].alias(nm) for i, nm in enumerate(names)])
     # several passes follow (sizes, sampled cuts, counts, target rows): stage
     # the narrow (group, value) table once instead of recomputing upstream
     base = stage_table(base, "quantile-input")

@@ -48,3 +48,42 @@ def test_exact_quantiles_linear_and_nearest(spark):
     near = exact_quantiles(df, "v", [0.5], method="nearest", names=["m"]).first()["m"]
     vals = np.sort(pdf["v"].to_numpy())
     assert near == vals[int(np.floor((len(vals) - 1) * 0.5 + 0.5))]
+
+
+def test_bucketed_selection_path_is_exact(spark):
+    """Force the scale path (bucket selection) and compare with numpy,
+    including a value that holds a third of all rows and groups on very
+    different scales."""
+    rng = np.random.default_rng(7)
+    n = 3000
+    g = np.where(np.arange(n) % 3 == 0, "tiny", np.where(np.arange(n) % 3 == 1, "huge", "mid"))
+    v = np.where(g == "tiny", rng.random(n) * 0.01, np.where(g == "huge", rng.lognormal(10, 2, n), rng.normal(0, 1, n)))
+    v[: n // 3] = 42.0  # a hot value: a third of all rows
+    pdf = pd.DataFrame({"g": g, "v": v})
+    df = spark.createDataFrame(pdf)
+    qs = [0.0, 0.1, 0.5, 0.77, 1.0]
+    old = spark.conf.get("spark.lathe.smallGroupRows", None)
+    spark.conf.set("spark.lathe.smallGroupRows", "0")
+    try:
+        got = exact_quantiles(df, "v", qs, group_cols=["g"], bounded_groups=True,
+                              names=[f"q{i}" for i in range(len(qs))]).toPandas()
+        glob = exact_quantiles(df, "v", [0.5], names=["m"]).first()["m"]
+    finally:
+        spark.conf.set("spark.lathe.smallGroupRows", old or "2000000")
+    for _, row in got.iterrows():
+        vals = np.sort(pdf.loc[pdf.g == row["g"], "v"].to_numpy())
+        for i, q in enumerate(qs):
+            assert abs(row[f"q{i}"] - np.percentile(vals, q * 100)) <= 1e-9 * max(1.0, abs(row[f"q{i}"]))
+    assert abs(glob - np.percentile(pdf["v"], 50)) < 1e-9
+
+
+def test_hash_rank_matches_window(spark):
+    from lathe.functions.hashing import hash_order
+    from lathe.operators.ordering import hash_rank_within
+    from pyspark.sql import Window
+    df = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("g"))
+    a = hash_rank_within(df, ["g"], "k", digits=2).select("k", "_rank", "_n")
+    w = Window.partitionBy("g").orderBy(hash_order("k"), "k")
+    b = df.select("k", F.row_number().over(w).alias("r"))
+    j = a.join(b, "k")
+    assert j.where(F.col("_rank") != F.col("r")).count() == 0 and j.count() == 5000
