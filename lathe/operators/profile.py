@@ -170,15 +170,15 @@ def group_means(df: DataFrame, by: list[str], cols: list[str], digits: int = 4)
 
 
 def correlation_matrix(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
-    """Pearson correlation of every pair on complete rows, one aggregate."""
+    """Pearson correlation of every pair on complete rows: ONE aggregate over
+    the unordered pairs, stacked into both orientations."""
     complete = df.select(*cols).na.drop("any")
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     one = complete.agg(*[F.corr(a, b).alias(f"r__{k}") for k, (a, b) in enumerate(pairs)])
-    parts = ", ".join(f"'{a}', '{b}', `r__{k}`" for k, (a, b) in enumerate(pairs))
-    long = one.selectExpr(f"stack({len(pairs)}, {parts}) as (col_a, col_b, r)")
-    mirror = long.where(F.col("col_a") != F.col("col_b")).select(
-        F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "r")
-    return long.unionByName(mirror).select("col_a", "col_b", F.round("r", digits).alias("r"))
+    entries = [f"'{a}', '{b}', `r__{k}`" for k, (a, b) in enumerate(pairs)]
+    entries += [f"'{b}', '{a}', `r__{k}`" for k, (a, b) in enumerate(pairs) if a != b]
+    long = one.selectExpr(f"stack({len(entries)}, {', '.join(entries)}) as (col_a, col_b, r)")
+    return long.select("col_a", "col_b", F.round("r", digits).alias("r"))
 
 
 def target_correlation_topk(df: DataFrame, target: Column, feats: list[str], k: int,
