@@ -194,16 +194,21 @@ def max_group_size(df: DataFrame, group_cols: list[str]) -> int:
 
 def hash_rank_within(df: DataFrame, group_cols: list[str], key: str, *, seed=42,
                      rank_col: str = "_rank", count_col: str | None = "_n", digits: int = 4,
-                     bounded_groups: bool = False, keep_hash: str | None = None) -> DataFrame:
+                     bounded_groups: bool = False, keep_hash: str | None = None,
+                     stage: bool = True) -> DataFrame:
     """Exact 1-based rank of each row inside its group in ``(md5(key|seed),
-    key)`` order, plus the group size.  The counts table has at most
-    ``groups · 16^digits`` rows."""
+    key)`` order, plus the group size.  One pass computes md5 and numbers the
+    rows inside their (group, bucket); that table is staged once, and the
+    bucket counts (at most ``groups · 16^digits`` rows) are read back from it
+    and prefix-summed — so md5 and the shuffle happen once."""
     from lathe.functions.hashing import hash_order
     group_cols = list(group_cols)
     d = (df.withColumn("_h", hash_order(key, seed=seed))
            .withColumn("_hb", F.conv(F.substring("_h", 1, digits), 16, 10).cast("int")))
     wl = Window.partitionBy(*group_cols, "_hb").orderBy("_h", key)
     local = d.withColumn("_lr", F.row_number().over(wl))
+    if stage:
+        local = stage_table(local, "hash-rank")
     counts = local.groupBy(*group_cols, "_hb").agg(F.max("_lr").alias("_c"))
     w_prev = Window.partitionBy(*group_cols).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
     cols = [F.coalesce(F.sum("_c").over(w_prev), F.lit(0)).alias("_off")]
