@@ -139,3 +139,29 @@ SELECT o_orderstatus AS "group", o_orderkey FROM (
 def d10g(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     return split.sample_per_group(o, "o_orderkey", "o_orderstatus", 1).select("group", "o_orderkey")
+
+
+def _docs_mixed(spark, sf):
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").where(F.col("quality") == 0)
+    return d.select("doc_id", F.array(F.col("n_chars").cast("double"), word_count("text").cast("double")).alias("num"),
+                    F.array("lang", "source").alias("cat"))
+
+
+@query("d07_smotenc_neighbours", """
+WITH m AS (SELECT doc_id, CAST(n_chars AS DOUBLE) AS a, CAST(len(string_split(text, ' ')) AS DOUBLE) AS b, lang, source
+           FROM documents JOIN labels USING (doc_id) WHERE quality = 0),
+sd AS (SELECT (stddev_pop(a) + stddev_pop(b)) / 2 AS med FROM m),
+d AS (SELECT x.doc_id AS q, y.doc_id AS c,
+             power(x.a - y.a, 2) + power(x.b - y.b, 2)
+             + med * med * (CAST(x.lang <> y.lang AS INTEGER) + CAST(x.source <> y.source AS INTEGER)) AS d2
+      FROM m x JOIN m y ON x.doc_id <> y.doc_id, sd)
+SELECT q AS doc_id, CAST(row_number() OVER (PARTITION BY q ORDER BY d2, c) AS INTEGER) AS nn_rank, c AS nn_id
+FROM d QUALIFY nn_rank <= 5""")
+def d07n(spark, sf):
+    """SMOTENC's neighbour table: numeric squared distance plus (median of
+    the minority numeric population stds)^2 per categorical mismatch."""
+    m = _docs_mixed(spark, sf)
+    st = m.agg(F.stddev_pop(F.col("num")[0]).alias("a"), F.stddev_pop(F.col("num")[1]).alias("b")).first()
+    med = ((st["a"] or 0.0) + (st["b"] or 0.0)) / 2
+    nn = balance.knn(m, "doc_id", "num", k=K, cat_col="cat", penalty=med * med)
+    return nn.select("doc_id", "nn_rank", "nn_id")
