@@ -146,9 +146,10 @@ def rate_by_category(df: DataFrame, cats: list[str], target: Column, min_count:
         F.sum("_y").cast("long").alias("positives"), F.count(F.lit(1)).alias("total"))
     g = g.withColumn("rate_pct", F.round(F.col("positives") * 100.0 / F.col("total"), digits))
     if top:
-        # per feature, the category rows are few (one per distinct value)
-        w = Window.partitionBy("feature").orderBy(F.desc("rate_pct"), F.asc_nulls_first("category"))
-        g = g.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top).drop("_r")
+        # a feature may have millions of categories: two-phase salted top-k
+        from lathe.operators.windows import top_k_per_group
+        g = top_k_per_group(g, ["feature"], [F.desc("rate_pct"), F.asc_nulls_first("category")], top,
+                            tiebreak="category").drop("rank")
     return g.where(F.col("total") > min_count)
 
 

@@ -103,7 +103,7 @@ def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: int
     """k first rows per group in ``order``.  Two phases so a hot group is not
     sorted in one task: top-k inside (group, salt) buckets, then top-k over
     the at most ``salts·k`` survivors of each group."""
-    order = list(order) + ([F.col(tiebreak).asc()] if tiebreak else [])
+    order = list(order) + ([F.col(tiebreak).asc_nulls_first()] if tiebreak else [])
     if salts > 1 and tiebreak:
         salted = df.withColumn("_salt", hash_int(tiebreak, modulus=salts, seed="salt"))
         w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
