@@ -33,18 +33,18 @@ def model_frame(spark, sf):
                      (F.col("l_linestatus") == "F").cast("int").alias("y"))
 
 
-def _train(spark, sf):
-    return model_frame(spark, sf).where(F.col("split") == "train")
+def _train(mf):
+    return mf.where(F.col("split") == "train")
 
 
-def _reg_eval(model, spark, sf):
-    d = models.assemble(model_frame(spark, sf), FEATS)
+def _reg_eval(model, mf):
+    d = models.assemble(mf, FEATS)
     p = model.transform(d).withColumnRenamed("prediction", "yhat")
     return evaluate.regression_metrics(p, "target", "yhat", by=["split"])
 
 
-def _cls_eval(model, spark, sf):
-    d = models.assemble(model_frame(spark, sf), FEATS)
+def _cls_eval(model, mf):
+    d = models.assemble(mf, FEATS)
     p = model.transform(d)
     p = p.withColumn("p1", F.round(vector_to_array(F.col("probability"))[1], 6))
     return evaluate.classification_metrics(p.withColumn("yhat", F.col("prediction").cast("int")),
@@ -53,57 +53,66 @@ def _cls_eval(model, spark, sf):
 
 @query("m01_fit_linear")
 def m01(spark, sf):
-    return _reg_eval(models.fit_linear(_train(spark, sf), FEATS, "target"), spark, sf)
+    mf = model_frame(spark, sf)
+    return _reg_eval(models.fit_linear(_train(mf), FEATS, "target"), mf)
 
 
 @query("m02_fit_ridge")
 def m02(spark, sf):
-    return _reg_eval(models.fit_ridge(_train(spark, sf), FEATS, "target", alpha=1.0), spark, sf)
+    mf = model_frame(spark, sf)
+    return _reg_eval(models.fit_ridge(_train(mf), FEATS, "target", alpha=1.0), mf)
 
 
 @query("m03_fit_gbt_regressor")
 def m03(spark, sf):
-    m = models.fit_gbt_regressor(_train(spark, sf), FEATS, "target", n_trees=10, depth=4, subsample=0.8,
+    mf = model_frame(spark, sf)
+    m = models.fit_gbt_regressor(_train(mf), FEATS, "target", n_trees=10, depth=4, subsample=0.8,
                                  colsample="0.8")
-    return _reg_eval(m, spark, sf)
+    return _reg_eval(m, mf)
 
 
 @query("m04_fit_rf_regressor")
 def m04(spark, sf):
-    return _reg_eval(models.fit_rf_regressor(_train(spark, sf), FEATS, "target", n_trees=20), spark, sf)
+    mf = model_frame(spark, sf)
+    return _reg_eval(models.fit_rf_regressor(_train(mf), FEATS, "target", n_trees=20), mf)
 
 
 @query("m05_fit_stacking")
 def m05(spark, sf):
-    tr = split.assign_folds(_train(spark, sf), "line_key", k=3)
+    mf = model_frame(spark, sf)
+    tr = split.assign_folds(_train(mf), "line_key", k=3)
     st = models.fit_stacking(tr, FEATS, "target", "fold", k=3, base_factories={
         "ridge": lambda d, f, y: models.fit_ridge(d, f, y, 1.0),
         "gbt": lambda d, f, y: models.fit_gbt_regressor(d, f, y, 5, 3)})
-    p = st.transform(model_frame(spark, sf)).withColumnRenamed("prediction", "yhat")
+    p = st.transform(mf).withColumnRenamed("prediction", "yhat")
     return evaluate.regression_metrics(p, "target", "yhat", by=["split"])
 
 
 @query("m06_fit_logistic")
 def m06(spark, sf):
-    return _cls_eval(models.fit_logistic(_train(spark, sf), FEATS, "y", max_iter=100), spark, sf)
+    mf = model_frame(spark, sf)
+    return _cls_eval(models.fit_logistic(_train(mf), FEATS, "y", max_iter=100), mf)
 
 
 @query("m08_fit_rf_classifier")
 def m08(spark, sf):
-    return _cls_eval(models.fit_rf_classifier(_train(spark, sf), FEATS, "y", n_trees=20, depth=8), spark, sf)
+    mf = model_frame(spark, sf)
+    return _cls_eval(models.fit_rf_classifier(_train(mf), FEATS, "y", n_trees=20, depth=8), mf)
 
 
 @query("m09_fit_gbt_classifier")
 def m09(spark, sf):
-    return _cls_eval(models.fit_gbt_classifier(_train(spark, sf), FEATS, "y", n_trees=10, depth=4), spark, sf)
+    mf = model_frame(spark, sf)
+    return _cls_eval(models.fit_gbt_classifier(_train(mf), FEATS, "y", n_trees=10, depth=4), mf)
 
 
 @query("m10_fit_mlp_classifier")
 def m10(spark, sf):
-    tr = _train(spark, sf)
+    mf = model_frame(spark, sf)
+    tr = _train(mf)
     scaled, fitted = scale.standard_scale(tr, tr, FEATS)
     m = models.fit_mlp_classifier(scaled, FEATS, "y", hidden=(127, 64, 32), max_iter=20)
-    d = scale.apply_scaler(model_frame(spark, sf), fitted)
+    d = scale.apply_scaler(mf, fitted)
     p = m.transform(models.assemble(d, FEATS))
     p = p.withColumn("p1", F.round(vector_to_array(F.col("probability"))[1], 6))
     return evaluate.classification_metrics(p.withColumn("yhat", F.col("prediction").cast("int")),
@@ -116,7 +125,7 @@ def _ridge_scores(m, d):
 
 @query("m12_cross_validate")
 def m12(spark, sf):
-    tr = split.assign_folds(_train(spark, sf), "line_key", k=3)
+    tr = split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=3)
     folds = models.cross_validate(lambda d: models.fit_ridge(d, FEATS, "target"), _ridge_scores, tr, "fold", 3)
     return models.summarize_folds(folds)
 
@@ -124,7 +133,7 @@ def m12(spark, sf):
 @query("m13_random_search")
 def m13(spark, sf):
     from pyspark.ml.regression import LinearRegression
-    tr = models.assemble(split.assign_folds(_train(spark, sf), "line_key", k=3), FEATS)
+    tr = models.assemble(split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=3), FEATS)
     est = LinearRegression(featuresCol="features", labelCol="target", solver="normal")
     _, table_ = models.random_search(est, {"regParam": (0.0, 0.1), "elasticNetParam": [0.0]}, 4,
                                      models.rmse_evaluator("target"), tr, "fold")
@@ -134,7 +143,7 @@ def m13(spark, sf):
 @query("m14_refine_grid")
 def m14(spark, sf):
     from pyspark.ml.regression import LinearRegression
-    tr = models.assemble(split.assign_folds(_train(spark, sf), "line_key", k=3), FEATS)
+    tr = models.assemble(split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=3), FEATS)
     est = LinearRegression(featuresCol="features", labelCol="target", solver="normal")
     grid = models.refine_grid(est, {"regParam": 0.01}, {"regParam": [-0.02, -0.005, 0.0, 0.005, 0.02]},
                               valid=lambda n, v: v >= 0)
@@ -144,7 +153,7 @@ def m14(spark, sf):
 
 @query("m15_learning_curve")
 def m15(spark, sf):
-    tr = split.assign_folds(_train(spark, sf), "line_key", k=3)
+    tr = split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=3)
     tr = split.learning_sizes(tr, "line_key", n_sizes=4, lo=0.25, hi=1.0)
     return models.learning_curve(lambda d: models.fit_ridge(d, FEATS, "target"),
                                  lambda m, d: _ridge_scores(m, d)["r2"], tr, "size_index", "fold", 4, 3)
@@ -152,21 +161,21 @@ def m15(spark, sf):
 
 @query("m26_coefficient_table")
 def m26(spark, sf):
-    m = models.fit_ridge(_train(spark, sf), FEATS, "target")
+    m = models.fit_ridge(_train(model_frame(spark, sf)), FEATS, "target")
     return explain.coefficient_table(spark, FEATS, m.coefficients.toArray(), k=2)
 
 
 @query("m27_tree_importance")
 def m27(spark, sf):
-    m = models.fit_rf_regressor(_train(spark, sf), FEATS, "target", n_trees=20)
+    m = models.fit_rf_regressor(_train(model_frame(spark, sf)), FEATS, "target", n_trees=20)
     return explain.tree_importance(spark, FEATS, m.featureImportances.toArray(), k=3)
 
 
 @query("m28_permutation_importance")
 def m28(spark, sf):
-    tr = _train(spark, sf)
-    m = models.fit_ridge(tr, FEATS, "target")
-    test = model_frame(spark, sf).where(F.col("split") == "test")
+    mf = model_frame(spark, sf)
+    m = models.fit_ridge(_train(mf), FEATS, "target")
+    test = mf.where(F.col("split") == "test")
     return explain.permutation_importance(
         m, test, "line_key", FEATS,
         score_fn=lambda p: p.agg(1 - F.sum((F.col("prediction") - F.col("target")) ** 2) /
