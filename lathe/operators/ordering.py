@@ -207,6 +207,8 @@ def hash_rank_within(df: DataFrame, group_cols: list[str], key: str, *, seed=42,
            .withColumn("_hb", F.conv(F.substring("_h", 1, digits), 16, 10).cast("int")))
     wl = Window.partitionBy(*group_cols, "_hb").orderBy("_h", key)
     local = d.withColumn("_lr", F.row_number().over(wl))
+    if not keep_hash:
+        local = local.drop("_h")  # the ordering is already captured by (_hb, _lr)
     if stage:
         local = stage_table(local, "hash-rank")
     counts = local.groupBy(*group_cols, "_hb").agg(F.max("_lr").alias("_c"))
@@ -225,8 +227,6 @@ def hash_rank_within(df: DataFrame, group_cols: list[str], key: str, *, seed=42,
     drop = ["_hb", "_ob", "_lr", "_off", *[f"_g_{g}" for g in group_cols]]
     if keep_hash:
         out = out.withColumnRenamed("_h", keep_hash)
-    else:
-        drop.append("_h")
     return out.drop(*drop)
 
 
