@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lathe.functions.hashing import DEFAULT_SEED, hash_int, hash_order, hash_unit
+from lathe.functions.hashing import DEFAULT_SEED, hash_int, hash_unit
 from lathe.operators.ordering import hash_rank_within
 
 _KNN_SCHEMA = "q_id long, nn_id long, dist2 double"

@@ -120,47 +120,6 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
                             bounded_groups=bounded_groups)
 
 
-def staged_quantiles(df: DataFrame, value_col: str, qs: list[float],
-                     group_cols: list[str] | None = None, method: str = "linear",
-                     partitions: int | None = None, bounded_groups: bool = False,
-                     names: list[str] | None = None) -> DataFrame:
-    """Exact quantiles per group (nulls ignored) from fully ranked rows.
-
-    ``linear``: ``v[lo] + (pos - lo)·(v[hi] - v[lo])`` with ``pos = q·(n-1)``
-    (the same as ``percentile``/``quantile_cont``); ``nearest``: the value at
-    rank ``floor(q·(n-1) + 0.5)``.  Only the two rows around each target rank
-    leave the staged table, so nothing unbounded reaches one task.
-    """
-    group_cols = list(group_cols or [])
-    names = names or [f"q{int(round(q * 100)):02d}" for q in qs]
-    base = df.where(F.col(value_col).isNotNull()).select(*group_cols, value_col)
-    ranked = rank_within(base, group_cols, [F.col(value_col).asc()], rank_col="_r",
-                         count_col="_n", partitions=partitions,
-                         bounded_groups=bounded_groups)
-    targets, sel, cond = [], [*group_cols], None
-    for i, q in enumerate(qs):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(q))
-        if method == "nearest":
-            lo_r = F.floor(pos + F.lit(0.5)) + 1
-            hi_r, frac = lo_r, F.lit(0.0)
-        else:
-            lo_r, hi_r = F.floor(pos) + 1, F.ceil(pos) + 1
-            frac = pos - F.floor(pos)
-        hit = (F.col("_r") == lo_r) | (F.col("_r") == hi_r)
-        cond = hit if cond is None else (cond | hit)
-        sel += [F.when(F.col("_r") == lo_r, F.col(value_col)).alias(f"_lo{i}"),
-                F.when(F.col("_r") == hi_r, F.col(value_col)).alias(f"_hi{i}"),
-                frac.alias(f"_fr{i}")]
-    small = ranked.where(cond).select(*sel)
-    aggs = []
-    for i, nm in enumerate(names):
-        lo_v, hi_v, fr = F.max(f"_lo{i}"), F.max(f"_hi{i}"), F.max(f"_fr{i}")
-        aggs.append((lo_v + fr * (hi_v - lo_v)).alias(nm))
-    if group_cols:
-        return small.groupBy(*group_cols).agg(*aggs)
-    return small.agg(*aggs)
-
-
 # --------------------------------------------------------------------------
 # Fast exact paths that need no staging.
 #

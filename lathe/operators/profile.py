@@ -4,24 +4,11 @@ quantiles are exact and computed without a one-task window."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lathe.operators.ordering import exact_quantiles
 
 
-def _stack(one_row: DataFrame, names: list[str], fields: list[str], key: str = "column") -> DataFrame:
-    """One-row wide aggregate with columns ``{field}__{i}`` -> long table."""
-    n = len(names)
-    parts = []
-    for i, nm in enumerate(names):
-        lit = "'" + nm.replace("'", "''") + "'"
-        parts.append(", ".join([lit] + [f"`{f}__{i}`" for f in fields]))
-    expr = f"stack({n}, {', '.join(parts)}) as ({key}, {', '.join(fields)})"
-    return one_row.selectExpr(expr)
-
-
 def unpivot(df: DataFrame, ids: list[str], cols: list[str], var: str = "column",
             value: str = "value") -> DataFrame:
     """Long form ``(ids..., column, value)`` with values cast to double."""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from lathe.functions.hashing import hash_order

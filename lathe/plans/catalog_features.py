@@ -9,7 +9,6 @@ from lathe.functions import dates, numeric, rules, text
 from lathe.operators import encode, scale, split
 from lathe.plans.catalog_profile import LINE_FEATS, events_with_gaps
 from lathe.plans.registry import query
-from lathe.session import stage_table
 from lathe.sources.tables import table
 
 # fixed values: the ordinal code of each part type (E02's explicit map)

@@ -7,11 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lathe.functions import dates, numeric, rules, text
+from lathe.functions import dates, numeric, rules
 from lathe.operators import encode, filters, profile, split
 from lathe.operators.ordering import exact_quantiles
 from lathe.plans.registry import query
-from lathe.session import stage_table
 from lathe.sources.tables import table
 
 PRICE_MIN, PRICE_MAX = 15_000, 500_000

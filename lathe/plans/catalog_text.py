@@ -3,8 +3,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from lathe.functions import text
 from lathe.operators import fuzzy
 from lathe.operators.filters import contains_any
