@@ -1,10 +1,10 @@
 """Class rebalancing.
 
-k-NN is exact and blocked: rows are hashed into ``B`` blocks; every
-(query block, candidate block) pair meets in one ``cogroup`` task that
-computes the block's distance matrix with numpy and emits only the k best
-candidates per query row, so no task ever holds more than two blocks and
-no all-pairs table is materialised.  A final top-k over the ``B·k``
+k-NN is exact and blocked: rows are hashed into ``B`` blocks; every block
+pair ``qb <= cb`` meets in one ``cogroup`` task that computes the pair's
+distance matrix with numpy and emits only the k best candidates per row of
+both blocks, so no task ever holds more than two blocks and no all-pairs
+table is materialised.  A final top-k over the ``B·k``
 survivors per row gives the exact neighbours (ties by neighbour id).
 Synthetic draws (base row, neighbour, gap) are hash-derived, hence
 reproducible and checkable in SQL.
@@ -24,10 +24,28 @@ from lathe.operators.ordering import hash_rank_within
 _KNN_SCHEMA = "q_id long, nn_id long, dist2 double"
 
 
+def _topk_rows(d, row_ids, col_ids, k):
+    """Per row of the distance matrix, the k best (distance, id) columns."""
+    out_q, out_c, out_d = [], [], []
+    kk = min(k, d.shape[1])
+    for i in range(d.shape[0]):
+        order = np.lexsort((col_ids, d[i]))[:kk]
+        order = order[np.isfinite(d[i][order])]
+        out_q.append(np.full(len(order), row_ids[i]))
+        out_c.append(col_ids[order])
+        out_d.append(d[i][order])
+    if not out_q:
+        return [np.array([], dtype="int64")] * 2 + [np.array([], dtype="float64")]
+    return np.concatenate(out_q), np.concatenate(out_c), np.concatenate(out_d)
+
+
 def _block_topk(k: int, penalty: float):
-    def run(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+    def run(key, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"q_id": pd.Series([], dtype="int64"), "nn_id": pd.Series([], dtype="int64"),
+                              "dist2": pd.Series([], dtype="float64")})
         if q.empty or c.empty:
-            return pd.DataFrame({"q_id": [], "nn_id": [], "dist2": []})
+            return empty
+        qb, cb = int(key[0]), int(key[1])
         qx = np.stack(q["_v"].to_numpy()).astype(np.float64)
         cx = np.stack(c["_v"].to_numpy()).astype(np.float64)
         d = ((qx[:, None, :] - cx[None, :, :]) ** 2).sum(axis=2)
@@ -35,23 +53,15 @@ def _block_topk(k: int, penalty: float):
             qc = np.stack(q["_cat"].to_numpy())
             cc = np.stack(c["_cat"].to_numpy())
             d = d + penalty * (qc[:, None, :] != cc[None, :, :]).sum(axis=2)
-        qid = q["_id"].to_numpy()
-        cid = c["_id"].to_numpy()
+        qid = q["_id"].to_numpy().astype("int64")
+        cid = c["_id"].to_numpy().astype("int64")
         d[qid[:, None] == cid[None, :]] = np.inf  # never your own neighbour
-        out_q, out_c, out_d = [], [], []
-        kk = min(k, d.shape[1])
-        for i in range(d.shape[0]):
-            # order by (distance, id); keep the k best finite ones
-            order = np.lexsort((cid, d[i]))[:kk]
-            order = order[np.isfinite(d[i][order])]
-            out_q.append(np.full(len(order), qid[i]))
-            out_c.append(cid[order])
-            out_d.append(d[i][order])
-        if not out_q:
-            return pd.DataFrame({"q_id": [], "nn_id": [], "dist2": []})
-        return pd.DataFrame({"q_id": np.concatenate(out_q).astype("int64"),
-                             "nn_id": np.concatenate(out_c).astype("int64"),
-                             "dist2": np.concatenate(out_d)})
+        parts = [_topk_rows(d, qid, cid, k)]
+        if qb != cb:  # the distance is symmetric: the same matrix serves the other block
+            parts.append(_topk_rows(d.T, cid, qid, k))
+        return pd.DataFrame({"q_id": np.concatenate([p[0] for p in parts]).astype("int64"),
+                             "nn_id": np.concatenate([p[1] for p in parts]).astype("int64"),
+                             "dist2": np.concatenate([p[2] for p in parts]).astype("float64")})
     return run
 
 
@@ -59,19 +69,22 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, cat_col: str | Non
         penalty: float = 0.0, block_rows: int = 2048) -> DataFrame:
     """Exact k nearest neighbours (squared Euclidean, plus ``penalty`` per
     categorical mismatch) of every row among the other rows of ``df``.
-    Returns ``(id, nn_rank, nn_id, dist2)``."""
+    Only block pairs ``qb <= cb`` are formed (the distance is symmetric, so
+    one matrix answers both blocks): B(B+1)/2 tasks of at most two blocks
+    each.  Returns ``(id, nn_rank, nn_id, dist2)``."""
     n = df.count()
     blocks = max(1, math.ceil(n / block_rows))
     cols = [F.col(id_col).cast("long").alias("_id"), F.col(vec_col).alias("_v")]
     if cat_col:
         cols.append(F.col(cat_col).alias("_cat"))
     base = df.select(*cols).withColumn("_b", hash_int("_id", modulus=blocks, seed="knn"))
-    seq = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     data = [c for c in base.columns if c != "_b"]
     # fresh aliases on each side: the two sides of the cogroup descend from
     # the same plan and must not share attribute ids
-    q = base.select(*[F.col(c).alias(c) for c in data], F.col("_b").alias("_qb"), seq.alias("_cb"))
-    c = base.select(*[F.col(c).alias(c) for c in data], F.col("_b").alias("_cb"), seq.alias("_qb"))
+    q = base.select(*[F.col(c).alias(c) for c in data], F.col("_b").alias("_qb"),
+                    F.explode(F.sequence(F.col("_b"), F.lit(blocks - 1))).alias("_cb"))
+    c = base.select(*[F.col(c).alias(c) for c in data], F.col("_b").alias("_cb"),
+                    F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("_qb"))
     cand = (q.groupBy("_qb", "_cb").cogroup(c.groupBy("_qb", "_cb"))
             .applyInPandas(_block_topk(k, penalty), _KNN_SCHEMA))
     w = Window.partitionBy("q_id").orderBy("dist2", "nn_id")  # <= blocks*k rows per id

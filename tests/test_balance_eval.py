@@ -72,3 +72,20 @@ def test_hash_unit_range(spark):
     df = spark.range(1000).select(hashing.hash_unit("id").alias("u"))
     r = df.agg(F.min("u"), F.max("u")).first()
     assert 0 <= r[0] and r[1] < 1
+
+
+def test_knn_mixed_penalty_multi_block(spark):
+    rng = np.random.default_rng(5)
+    n = 70
+    x = rng.normal(size=(n, 3))
+    cats = rng.choice(["a", "b", "c"], size=(n, 2))
+    pdf = pd.DataFrame({"id": np.arange(n), "v": list(x), "c": [list(r) for r in cats]})
+    df = spark.createDataFrame(pdf, "id long, v array<double>, c array<string>")
+    pen = 0.7
+    got = balance.knn(df, "id", "v", k=4, cat_col="c", penalty=pen, block_rows=9).collect()
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(2) + pen * (cats[:, None, :] != cats[None, :, :]).sum(2)
+    np.fill_diagonal(d, np.inf)
+    assert len(got) == n * 4
+    for r in got:
+        order = np.lexsort((np.arange(n), d[r.id]))[:4]
+        assert order[r.nn_rank - 1] == r.nn_id
