@@ -252,3 +252,16 @@ def split_shape_report(df: DataFrame, split: str = "split", id_col: str | None =
     return g.select(split, F.col("rows").cast("long").alias("rows"),
                     *([F.col("ids").cast("long").alias("ids")] if id_col else []),
                     share.alias("share_pct"))
+
+
+def leakage_check(df: DataFrame, target: Column, feats: list[str], threshold: float = 0.99,
+                  digits: int = 6) -> DataFrame:
+    """Target-leakage guard: Pearson r of every feature with the target in
+    one aggregate; ``leak`` is true when |r| exceeds the threshold (e.g. the
+    raw target left among the features of its own log transform)."""
+    t = df.select(target.cast("double").alias("_t"), *feats)
+    one = t.agg(*[F.corr(f, "_t").alias(f"r__{i}") for i, f in enumerate(feats)])
+    long = one.selectExpr(f"stack({len(feats)}, " + ", ".join(
+        f"'{f}', `r__{i}`" for i, f in enumerate(feats)) + ") as (feature, r)")
+    return long.select("feature", F.round("r", digits).alias("r"),
+                       (F.abs("r") > F.lit(threshold)).alias("leak"))

@@ -358,3 +358,16 @@ def k03(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     out = map_encode_join(c, "c_nationkey", d, "region_code", default=-1, bounded=True)
     return out.select("c_custkey", F.col("region_code").cast("int"))
+
+
+@query("a15_leakage_check", """
+WITH t AS (SELECT *, ln(1 + l_extendedprice) AS y, l_extendedprice * 1.0 AS raw_target FROM lineitem)
+SELECT * FROM (""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, round(corr({c}, y), 6) AS r, abs(corr({c}, y)) > 0.99 AS leak FROM t"
+    for c in ["l_quantity", "l_discount", "l_tax", "raw_target"]) + ")")
+def a15l(spark, sf):
+    """The regression track's leakage guard: the raw target
+    sits among the features of its log1p transform."""
+    li = table(spark, sf, "lineitem").withColumn("raw_target", F.col("l_extendedprice") * 1.0)
+    return profile.leakage_check(li, F.log1p("l_extendedprice"), ["l_quantity", "l_discount", "l_tax", "raw_target"],
+                                 threshold=0.99)
