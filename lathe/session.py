@@ -42,15 +42,18 @@ def get_spark(master: str | None = None, app: str = "lathe",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator and points at shared storage;
-    it is only invented here (under the system temp folder) when the session
-    has none, which is the case for unit tests on a laptop.
+    On a cluster this is set by the operator and points at shared storage
+    (a missing setting is an error there); only a ``local[...]`` session
+    without one gets a folder under the system temp folder, as in tests.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="lathe-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
+                               "(stage tables and checkpoints must survive executor loss)")
+        d = tempfile.mkdtemp(prefix="lathe-ckpt-")  # single-machine sessions (tests) only
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
