@@ -21,6 +21,9 @@ def test_stratified_split_exact_shares_and_determinism(spark):
         assert (grp.split == "train").sum() == n_tr
         assert (grp.split == "val").sum() == n_va
     assert dict(zip(pa.k, pa.split)) == {r.k: r.split for r in b.collect()}
+    for parts in (1, 4, 16):  # same seed -> same split, whatever the partitioning
+        c = split.stratified_split(df.repartition(parts), "k", "s").select("k", "split")
+        assert dict(zip(pa.k, pa.split)) == {r.k: r.split for r in c.collect()}
 
 
 def test_group_split_keeps_ids_together(spark):
