@@ -59,3 +59,36 @@ def test_median_impute_fits_on_train(spark):
     train = spark.createDataFrame([(1.0,), (3.0,), (None,)], "v double")
     df = spark.createDataFrame([(None,), (10.0,)], "v double")
     assert [r.v for r in encode.median_impute(train, df, ["v"]).collect()] == [2.0, 10.0]
+
+
+def test_route_by_cardinality_bands(spark):
+    rows = [(f"a{i % 1}", f"b{i % 5}", f"c{i % 20}", f"d{i % 40}") for i in range(200)]
+    train = spark.createDataFrame(rows, "a string, b string, c string, d string")
+    got = {r.column: (r.n_unique, r.route) for r in encode.route_by_cardinality(train, ["a", "b", "c", "d"]).collect()}
+    assert got == {"a": (1, "drop"), "b": (5, "frequency_ordinal"), "c": (20, "top_k_one_hot"),
+                   "d": (40, "frequency_encode")}
+
+
+def test_top_k_one_hot_unseen_and_same_columns(spark):
+    train = spark.createDataFrame([("x",), ("x",), ("y",), ("z",)], "c string")
+    val = spark.createDataFrame([("x",), ("new",)], "c string")
+    a = encode.top_k_one_hot(train, train, "c", k=2)
+    b = encode.top_k_one_hot(train, val, "c", k=2)
+    assert a.columns == b.columns == ["c", "c_x", "c_y", "c_other"]
+    got = {r.c: (r.c_x, r.c_y, r.c_other) for r in b.collect()}
+    assert got == {"x": (1, 0, 0), "new": (0, 0, 1)}
+
+
+def test_multi_select_flags_and_count(spark):
+    train = spark.createDataFrame([("email, phone",), ("phone",)], "v string")
+    df = spark.createDataFrame([("email, phone",), ("work_email",), ("",)], "v string")
+    out = encode.multi_select_flags(train, df, "v").collect()
+    assert [(r.verified_email, r.verified_phone, r.verification_count) for r in out] == \
+        [(1, 1, 2), (1, 0, 1), (0, 0, 1)]
+
+
+def test_frequency_ordinal_most_frequent_is_zero_unseen_minus_one(spark):
+    train = spark.createDataFrame([("b",), ("b",), ("a",), ("c",), ("c",)], "t string")
+    df = spark.createDataFrame([("a",), ("b",), ("c",), ("zz",)], "t string")
+    got = {r.t: r.t_ordinal for r in encode.frequency_ordinal(train, df, ["t"]).collect()}
+    assert got == {"b": 0, "c": 1, "a": 2, "zz": -1}
