@@ -332,3 +332,18 @@ SELECT round(corr(p_retailprice, target), 6) AS r FROM lp WHERE split = 'test'""
 def m34(spark, sf):
     _, test = attr_frame(spark, sf)
     return explain.feature_target_corr(test, "p_retailprice", "target")
+
+
+@query("d10_sample_per_outcome", _CLS_SQL + """
+, o AS (SELECT line_key, CASE WHEN y = 1 AND yhat = 1 THEN 'TP' WHEN y = 0 AND yhat = 1 THEN 'FP'
+                              WHEN y = 1 AND yhat = 0 THEN 'FN' ELSE 'TN' END AS "group" FROM pred WHERE split = 'test'),
+rr AS (SELECT *, row_number() OVER (PARTITION BY "group" ORDER BY md5(concat_ws('|', CAST(line_key AS VARCHAR), '42')), line_key) AS rk FROM o)
+SELECT "group", line_key FROM rr WHERE rk <= 1""")
+def d10o(spark, sf):
+    """One hash-chosen example per outcome (TP / FP / FN / TN) of the test
+    split, as picked for local explanations."""
+    from lathe.operators.split import sample_per_group
+    p = cls_predictions(spark, sf).where(F.col("split") == "test")
+    outcome = (F.when((F.col("y") == 1) & (F.col("yhat") == 1), "TP").when((F.col("y") == 0) & (F.col("yhat") == 1), "FP")
+               .when((F.col("y") == 1) & (F.col("yhat") == 0), "FN").otherwise("TN"))
+    return sample_per_group(p.select("line_key", "y", "yhat"), "line_key", outcome, 1).select("group", "line_key")
