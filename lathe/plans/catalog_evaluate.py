@@ -347,3 +347,24 @@ def d10o(spark, sf):
     outcome = (F.when((F.col("y") == 1) & (F.col("yhat") == 1), "TP").when((F.col("y") == 0) & (F.col("yhat") == 1), "FP")
                .when((F.col("y") == 1) & (F.col("yhat") == 0), "FN").otherwise("TN"))
     return sample_per_group(p.select("line_key", "y", "yhat"), "line_key", outcome, 1).select("group", "line_key")
+
+
+_CLS_PART = _CLS_SQL[len(_LINE_SPLIT_SQL):]
+
+
+@query("m33_local_explanation_per_outcome", _ATTR_SQL + _CLS_PART + """
+, o AS (SELECT line_key, CASE WHEN y = 1 AND yhat = 1 THEN 'TP' WHEN y = 0 AND yhat = 1 THEN 'FP'
+                              WHEN y = 1 AND yhat = 0 THEN 'FN' ELSE 'TN' END AS grp FROM pred WHERE split = 'test'),
+pick AS (SELECT line_key FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY md5(concat_ws('|', CAST(line_key AS VARCHAR), '42')), line_key) AS rk FROM o) WHERE rk <= 1),
+rr AS (SELECT line_key, feature, attr, row_number() OVER (PARTITION BY line_key ORDER BY abs(attr) DESC, feature) AS rk
+       FROM attr WHERE line_key IN (SELECT line_key FROM pick))
+SELECT line_key, feature, round(attr, 6) AS attr, CAST(rk AS INTEGER) AS rank FROM rr WHERE rk <= 2""")
+def m33o(spark, sf):
+    """Top-2 attributions for one hash-chosen example per outcome."""
+    from lathe.operators.split import sample_per_group
+    a, _ = attr_frame(spark, sf)
+    p = cls_predictions(spark, sf).where(F.col("split") == "test")
+    outcome = (F.when((F.col("y") == 1) & (F.col("yhat") == 1), "TP").when((F.col("y") == 0) & (F.col("yhat") == 1), "FP")
+               .when((F.col("y") == 1) & (F.col("yhat") == 0), "FN").otherwise("TN"))
+    ids = sample_per_group(p.select("line_key", "y", "yhat"), "line_key", outcome, 1)
+    return explain.local_explanation(a, "line_key", ids, k=2)
