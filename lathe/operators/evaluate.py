@@ -197,3 +197,12 @@ def improvement_report(metrics: DataFrame, baseline: str, candidate: str, model_
 def model_comparison(tables: list[DataFrame], sort_by: str, ascending: bool = True) -> DataFrame:
     u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
     return u.orderBy(F.col(sort_by).asc() if ascending else F.col(sort_by).desc())
+
+
+def bias_gap(per_group: DataFrame, g: str, col: str = "mean_signed_error", digits: int = 4) -> DataFrame:
+    """Gap between the groups with the largest and smallest mean signed
+    error (one aggregate over the per-group table, ties by group name)."""
+    return per_group.agg(
+        F.max_by(F.col(g), F.struct(F.col(col), F.col(g))).alias("group_high"),
+        F.min_by(F.col(g), F.struct(F.col(col), F.col(g))).alias("group_low"),
+        F.round(F.max(col) - F.min(col), digits).alias("gap"))

@@ -368,3 +368,16 @@ def m33o(spark, sf):
                .when((F.col("y") == 1) & (F.col("yhat") == 0), "FN").otherwise("TN"))
     ids = sample_per_group(p.select("line_key", "y", "yhat"), "line_key", outcome, 1)
     return explain.local_explanation(a, "line_key", ids, k=2)
+
+
+@query("m25_bias_gap", _REG_SQL + """
+, per AS (SELECT o_orderstatus, round(avg((exp(yhat) - 1) - (exp(y) - 1)), 4) AS mse
+          FROM pred WHERE split = 'test' GROUP BY o_orderstatus)
+SELECT arg_max(o_orderstatus, struct_pack(m := mse, g := o_orderstatus)) AS group_high,
+       arg_min(o_orderstatus, struct_pack(m := mse, g := o_orderstatus)) AS group_low,
+       round(max(mse) - min(mse), 4) AS gap FROM per""")
+def m25g(spark, sf):
+    p = reg_predictions(spark, sf).where(F.col("split") == "test") \
+        .select("o_orderstatus", F.expm1("y").alias("actual"), F.expm1("yhat").alias("predicted"))
+    per = evaluate.bias_by_group(p, "o_orderstatus", "actual", "predicted")
+    return evaluate.bias_gap(per, "o_orderstatus")
