@@ -381,3 +381,36 @@ def m25g(spark, sf):
         .select("o_orderstatus", F.expm1("y").alias("actual"), F.expm1("yhat").alias("predicted"))
     per = evaluate.bias_by_group(p, "o_orderstatus", "actual", "predicted")
     return evaluate.bias_gap(per, "o_orderstatus")
+
+
+@query("m12_cv_fold_summary", _SQL_BASE + """
+, tr AS (SELECT *, CAST((row_number() OVER (ORDER BY md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), '42')), o_orderkey) - 1) % 5 AS INTEGER) AS fold
+         FROM splitted WHERE split = 'train'),
+fc AS (SELECT fold, o_orderpriority, sum(y) AS s, count(*) AS c FROM tr GROUP BY fold, o_orderpriority),
+tot AS (SELECT o_orderpriority, sum(s) AS ts, sum(c) AS tc FROM fc GROUP BY o_orderpriority),
+gl AS (SELECT fold, (SELECT sum(y) FROM tr) - sum(s) AS gs, (SELECT count(*) FROM tr) - sum(c) AS gc FROM fc GROUP BY fold),
+m AS (SELECT fc.fold, fc.o_orderpriority, CASE WHEN tot.tc - fc.c > 0 THEN (tot.ts - fc.s) / (tot.tc - fc.c) END AS mu
+      FROM fc JOIN tot USING (o_orderpriority)),
+pr AS (SELECT tr.fold, tr.y, coalesce(m.mu, gl.gs / gl.gc) AS yhat FROM tr LEFT JOIN m USING (fold, o_orderpriority) JOIN gl USING (fold)),
+f AS (SELECT fold, sqrt(avg(power(yhat - y, 2))) AS rmse FROM pr GROUP BY fold)
+SELECT 'validation' AS part, 'rmse_log' AS metric, round(avg(rmse), 6) AS mean, round(stddev_pop(rmse), 6) AS std,
+       round(min(rmse), 6) AS min, round(max(rmse), 6) AS max FROM f""")
+def m12f(spark, sf):
+    """5-fold CV of the train-mean-per-priority predictor without a driver
+    loop: leave-one-fold-out means come from per-(fold, priority) sums."""
+    from lathe.operators import models, split as sp
+    from pyspark.sql import Window
+    tr = sp.assign_folds(split_orders(spark, sf).where(F.col("split") == "train"), "o_orderkey", k=5)
+    fc = tr.groupBy("fold", "o_orderpriority").agg(F.sum("y").alias("s"), F.count(F.lit(1)).alias("c"))
+    w_all = Window.partitionBy("o_orderpriority")          # <= folds rows per priority
+    m = fc.select("fold", "o_orderpriority",
+                  F.when(F.sum("c").over(w_all) - F.col("c") > 0,
+                         (F.sum("s").over(w_all) - F.col("s")) / (F.sum("c").over(w_all) - F.col("c"))).alias("mu"))
+    g = fc.groupBy("fold").agg(F.sum("s").alias("fs"), F.sum("c").alias("fcnt"))
+    w_g = Window.partitionBy()                              # <= folds rows
+    g = g.select("fold", ((F.sum("fs").over(w_g) - F.col("fs")) / (F.sum("fcnt").over(w_g) - F.col("fcnt"))).alias("gmu"))
+    pr = tr.join(m, ["fold", "o_orderpriority"], "left").join(F.broadcast(g), "fold") \
+        .withColumn("yhat", F.coalesce("mu", "gmu"))
+    folds = pr.groupBy("fold").agg(F.sqrt(F.avg((F.col("yhat") - F.col("y")) ** 2)).alias("value")) \
+        .select("fold", F.lit("validation").alias("part"), F.lit("rmse_log").alias("metric"), "value")
+    return models.summarize_folds(folds)
