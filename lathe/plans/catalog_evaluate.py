@@ -414,3 +414,27 @@ def m12f(spark, sf):
     folds = pr.groupBy("fold").agg(F.sqrt(F.avg((F.col("yhat") - F.col("y")) ** 2)).alias("value")) \
         .select("fold", F.lit("validation").alias("part"), F.lit("rmse_log").alias("metric"), "value")
     return models.summarize_folds(folds)
+
+
+@query("m16_ensemble_vs_individual", _REG_SQL + """
+, gm2 AS (SELECT avg(y) AS g FROM splitted WHERE split = 'train'),
+ts AS (SELECT o_orderstatus AS k, avg(y) AS v FROM splitted WHERE split = 'train' GROUP BY o_orderstatus),
+allp AS (SELECT p.o_orderkey, p.y, p.split, p.yhat AS a, coalesce(ts.v, gm2.g) AS b
+         FROM pred p LEFT JOIN ts ON p.o_orderstatus = ts.k, gm2),
+lng AS (SELECT 'priority_mean' AS model, y, a AS yhat FROM allp WHERE split = 'test'
+        UNION ALL SELECT 'status_mean', y, b FROM allp WHERE split = 'test'
+        UNION ALL SELECT 'ensemble_mean', y, (a + b) / 2 FROM allp WHERE split = 'test')
+SELECT model, round(sqrt(avg(power(yhat - y, 2))), 6) AS rmse_log, round(avg(abs(yhat - y)), 6) AS mae_log FROM lng GROUP BY model""")
+def m16e(spark, sf):
+    """Individual predictors vs the average of their predictions (test)."""
+    a = reg_predictions(spark, sf, "o_orderpriority").select("o_orderkey", "y", "split", F.col("yhat").alias("a"))
+    b = reg_predictions(spark, sf, "o_orderstatus").select("o_orderkey", F.col("yhat").alias("b"))
+    j = a.join(b, "o_orderkey").where(F.col("split") == "test")
+    long = j.select("y", F.array(F.struct(F.lit("priority_mean").alias("model"), F.col("a").alias("yhat")),
+                                 F.struct(F.lit("status_mean").alias("model"), F.col("b").alias("yhat")),
+                                 F.struct(F.lit("ensemble_mean").alias("model"),
+                                          ((F.col("a") + F.col("b")) / 2).alias("yhat"))).alias("_p")) \
+        .select("y", F.explode("_p").alias("_q")).select("y", "_q.*")
+    e = F.col("yhat") - F.col("y")
+    return long.groupBy("model").agg(F.round(F.sqrt(F.avg(e * e)), 6).alias("rmse_log"),
+                                     F.round(F.avg(F.abs(e)), 6).alias("mae_log"))
