@@ -438,3 +438,50 @@ def m16e(spark, sf):
     e = F.col("yhat") - F.col("y")
     return long.groupBy("model").agg(F.round(F.sqrt(F.avg(e * e)), 6).alias("rmse_log"),
                                      F.round(F.avg(F.abs(e)), 6).alias("mae_log"))
+
+
+_FR8 = [0.25 + 0.75 * i / 7 for i in range(8)]
+
+
+@query("m15_learning_curve_summary", _SQL_BASE + """
+, t0 AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), '42')), o_orderkey) AS trk,
+                count(*) OVER () AS tn FROM splitted WHERE split = 'train'),
+tr AS (SELECT *, CAST((trk - 1) % 5 AS INTEGER) AS fold, CAST(CASE """ + " ".join(
+    f"WHEN trk <= floor(tn * {f!r} + 0.5) THEN {i}" for i, f in enumerate(_FR8)) + """ END AS INTEGER) AS size_index FROM t0),
+sz AS (SELECT DISTINCT size_index AS s FROM tr),
+fo AS (SELECT DISTINCT fold AS f FROM tr),
+mu AS (SELECT s, f, o_orderpriority, sum(y) FILTER (WHERE fold <> f AND size_index <= s) / nullif(count(*) FILTER (WHERE fold <> f AND size_index <= s), 0) AS m
+       FROM tr, sz, fo GROUP BY s, f, o_orderpriority),
+gm AS (SELECT s, f, sum(y) FILTER (WHERE fold <> f AND size_index <= s) / count(*) FILTER (WHERE fold <> f AND size_index <= s) AS g
+       FROM tr, sz, fo GROUP BY s, f),
+pr AS (SELECT sz.s, tr.fold, tr.y, coalesce(mu.m, gm.g) AS yhat FROM tr JOIN sz ON true
+       LEFT JOIN mu ON mu.s = sz.s AND mu.f = tr.fold AND mu.o_orderpriority = tr.o_orderpriority
+       JOIN gm ON gm.s = sz.s AND gm.f = tr.fold),
+r AS (SELECT s, fold, sqrt(avg(power(yhat - y, 2))) AS rmse FROM pr GROUP BY s, fold)
+SELECT CAST(s AS INTEGER) AS size_index, round(avg(rmse), 6) AS mean, round(stddev_pop(rmse), 6) AS std FROM r GROUP BY s""")
+def m15s(spark, sf):
+    """Validation RMSE of the train-mean-per-priority predictor for 8 nested
+    training sizes x 5 folds, loop-free: cumulative (size, fold, priority)
+    sums give every leave-fold-out mean; each validation row is scored once
+    per size (8 copies of one fold at a time)."""
+    from lathe.operators import split as sp
+    from pyspark.sql import Window
+    tr = sp.assign_folds(split_orders(spark, sf).where(F.col("split") == "train"), "o_orderkey", k=5)
+    tr = sp.learning_sizes(tr, "o_orderkey", n_sizes=8, lo=0.25, hi=1.0)
+    a = tr.groupBy("fold", "size_index", "o_orderpriority").agg(F.sum("y").alias("s"), F.count(F.lit(1)).alias("c"))
+    sizes = list(range(8))
+    # per target size s: sums over rows with size_index <= s, all folds and own fold
+    ex = a.select("*", F.explode(F.array(*[F.lit(x) for x in sizes])).alias("ts")).where(F.col("size_index") <= F.col("ts"))
+    per_f = ex.groupBy("ts", "fold", "o_orderpriority").agg(F.sum("s").alias("fs"), F.sum("c").alias("fc"))
+    w = Window.partitionBy("ts", "o_orderpriority")        # <= folds rows per (size, priority)
+    mu = per_f.select("ts", "fold", "o_orderpriority",
+                      ((F.sum("fs").over(w) - F.col("fs")) / F.nullif(F.sum("fc").over(w) - F.col("fc"), F.lit(0))).alias("mu"))
+    g = per_f.groupBy("ts", "fold").agg(F.sum("fs").alias("gs"), F.sum("fc").alias("gc"))
+    wg = Window.partitionBy("ts")                          # <= folds rows per size
+    g = g.select("ts", "fold", ((F.sum("gs").over(wg) - F.col("gs")) / (F.sum("gc").over(wg) - F.col("gc"))).alias("gmu"))
+    val = tr.select("fold", "o_orderpriority", "y", F.explode(F.array(*[F.lit(x) for x in sizes])).alias("ts"))
+    pr = val.join(mu, ["ts", "fold", "o_orderpriority"], "left").join(F.broadcast(g), ["ts", "fold"]) \
+        .withColumn("yhat", F.coalesce("mu", "gmu"))
+    r = pr.groupBy("ts", "fold").agg(F.sqrt(F.avg((F.col("yhat") - F.col("y")) ** 2)).alias("rmse"))
+    return r.groupBy(F.col("ts").cast("int").alias("size_index")).agg(
+        F.round(F.avg("rmse"), 6).alias("mean"), F.round(F.stddev_pop("rmse"), 6).alias("std"))
