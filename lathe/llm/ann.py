@@ -25,8 +25,8 @@ TOP = 20
 SAMPLE_ROWS = 6_000   # vectors that the partition and the classifier are fitted on, at most
 ROWS_PER_PART = 64    # of the sample, at least: bounds the number of parts
 NEIGHBOURS = 10
-MASS = 0.98
-LEAST_PROBES = 4
+MASS = 0.995
+LEAST_PROBES = 6
 BLOCK = 4096          # rows of a part searched at once
 QUERIES = 512         # queries searched at once
 
