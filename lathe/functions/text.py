@@ -18,6 +18,24 @@ def safe_name(value: str, max_len: int | None = None) -> str:
     return s[:max_len] if max_len else s
 
 
+def safe_names(values: list, max_len: int | None = None) -> list[str]:
+    """``safe_name`` of each value; names that would repeat get ``_2``, ``_3`` …"""
+    taken, out = set(), []
+    for v in values:
+        base = name = safe_name(v, max_len)
+        k = 2
+        while name in taken:
+            name, k = f"{base}_{k}", k + 1
+        taken.add(name)
+        out.append(name)
+    return out
+
+
+def strip_blanks(c) -> Column:
+    """Without leading and trailing white space (blanks, tabs, line breaks)."""
+    return F.btrim(_c(c), F.lit(" \t\n\r\f\x0b"))
+
+
 def parse_amount(c, strict: bool = True) -> Column:
     """``"1,250,000"`` -> 1250000.0.  Strict casts raise on bad text (ANSI),
     lenient ones give NULL."""
@@ -43,9 +61,9 @@ def normalize_text(c, mode: str = "letters") -> Column:
     """``letters``: lower, drop everything but ASCII letters and blanks, trim.
     ``dots``: drop dots, trim, lower."""
     if mode == "letters":
-        return F.trim(F.regexp_replace(F.lower(_c(c)), r"[^a-zA-Z\s]", ""))
+        return strip_blanks(F.regexp_replace(F.lower(_c(c)), r"[^a-zA-Z\s]", ""))
     if mode == "dots":
-        return F.lower(F.trim(F.regexp_replace(_c(c), r"\.", "")))
+        return F.lower(strip_blanks(F.regexp_replace(_c(c), r"\.", "")))
     raise ValueError(mode)
 
 
@@ -62,7 +80,7 @@ def canonicalize(c, rules: list[tuple[str, str]], default=None) -> Column:
 
 def normalize_range_label(c) -> Column:
     """``"5-7 years"`` -> ``"5 - 7 years"`` (also the singular form)."""
-    return F.regexp_replace(F.trim(_c(c)), r"^(\d+)-(\d+)\s+(years?)$", "$1 - $2 $3")
+    return F.regexp_replace(strip_blanks(c), r"^(\d+)-(\d+)\s+(years?)$", "$1 - $2 $3")
 
 
 def parse_flag(c, true_value: str = "t", null_as: bool | None = None) -> Column:
@@ -108,4 +126,4 @@ def split_explode_distinct(df: DataFrame, col: str, sep: str = ",",
     """Vocabulary of a multi-value text column: split, trim, distinct,
     empty tokens dropped."""
     tok = df.select(F.explode(F.split(F.col(col), re.escape(sep), -1)).alias(out))
-    return tok.select(F.trim(F.col(out)).alias(out)).where(F.col(out) != "").distinct()
+    return tok.select(strip_blanks(out).alias(out)).where(F.col(out) != "").distinct()

@@ -10,13 +10,11 @@ from itertools import chain
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lathe.functions.text import safe_name
+from lathe.functions.text import safe_names, strip_blanks
 from lathe.operators.joins import map_encode_join
 from lathe.operators.ordering import exact_quantiles
 from lathe.operators.windows import frequency_rank
 
-MAX_LITERAL_VOCAB = 10_000  # guard for encoders that turn values into columns
-
 
 def _map_literal(mapping: dict) -> Column:
     return F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in mapping.items()))
@@ -29,7 +27,7 @@ def ordinal_encode(df: DataFrame, orders: dict[str, list[str]], strict: bool = F
     unknown label raises when ``strict`` else gives ``unknown``."""
     new = []
     for col, order in orders.items():
-        key = F.trim(F.col(col)) if trim else F.col(col)
+        key = strip_blanks(F.col(col)) if trim else F.col(col)
         if normalise and col in normalise:
             key = normalise[col](key)
         code = F.try_element_at(_map_literal({v: i for i, v in enumerate(order)}), key)
@@ -56,30 +54,25 @@ def fit_frequency_ordinal(train: DataFrame, col: str) -> DataFrame:
 
 
 def frequency_ordinal(train: DataFrame, df: DataFrame, cols: list[str], unseen: int = -1) -> DataFrame:
-    """Columns routed to 2..10 distinct values: broadcast dictionary (its
-    size is bounded by the routing rule)."""
+    """Columns routed to 2..10 distinct values: lookup in the dictionary."""
     for c in cols:
         d = fit_frequency_ordinal(train, c)
-        df = map_encode_join(df, c, d, f"{c}_ordinal", default=unseen, bounded=True)
+        df = map_encode_join(df, c, d, f"{c}_ordinal", default=unseen)
         df = df.withColumn(f"{c}_ordinal", F.col(f"{c}_ordinal").cast("int"))
     return df
 
 
-def fit_vocabulary(train: DataFrame, col: str, max_values: int = MAX_LITERAL_VOCAB) -> list:
-    """Sorted distinct values of a column (bounded; raises above the cap
-    instead of truncating)."""
-    vals = train.select(col).where(F.col(col).isNotNull()).distinct().limit(max_values + 1).collect()
-    if len(vals) > max_values:
-        raise ValueError(f"{col}: more than {max_values} distinct values; use frequency_encode")
-    return sorted(r[0] for r in vals)
+def fit_vocabulary(train: DataFrame, col: str) -> list:
+    """Sorted distinct values of a column: the names of the columns to come."""
+    return sorted(r[0] for r in train.select(col).where(F.col(col).isNotNull()).distinct().collect())
 
 
 def one_hot_all(train: DataFrame, df: DataFrame, col: str, prefix: str | None = None) -> DataFrame:
     """One indicator per value seen in train (same columns on every split)."""
     vocab = fit_vocabulary(train, col)
     p = prefix or col
-    return df.select("*", *[(F.col(col) == F.lit(v)).cast("int").alias(f"{p}_{safe_name(v)}")
-                            for v in vocab])
+    return df.select("*", *[(F.col(col) == F.lit(v)).cast("int").alias(f"{p}_{name}")
+                            for v, name in zip(vocab, safe_names(vocab))])
 
 
 def multi_hot_tokens(df: DataFrame, col: str, options: list[str], prefix: str,
@@ -88,9 +81,9 @@ def multi_hot_tokens(df: DataFrame, col: str, options: list[str], prefix: str,
     option (missing -> 0).  The same result as explode -> pivot(explicit
     values) -> fill 0 -> join back, but as one projection with no shuffle."""
     toks = F.transform(F.split(F.coalesce(F.col(col), F.lit("")), re.escape(sep), -1),
-                       lambda t: F.trim(t))
+                       strip_blanks)
     return df.select("*", *[F.array_contains(toks, F.lit(o)).cast("int")
-                            .alias(f"{prefix}_{safe_name(o)}") for o in options])
+                            .alias(f"{prefix}_{name}") for o, name in zip(options, safe_names(options))])
 
 
 def multi_select_flags(train: DataFrame, df: DataFrame, col: str, sep: str = ",",
@@ -98,17 +91,10 @@ def multi_select_flags(train: DataFrame, df: DataFrame, col: str, sep: str = ","
     """Token vocabulary from train; a literal-substring flag per token and
     the token count."""
     toks = (train.select(F.explode(F.split(F.col(col), re.escape(sep), -1)).alias("t"))
-            .select(F.trim("t").alias("t")).where(F.col("t") != "").distinct().orderBy("t"))
-    vocab = [r[0] for r in toks.limit(MAX_LITERAL_VOCAB + 1).collect()]
-    if len(vocab) > MAX_LITERAL_VOCAB:
-        raise ValueError("vocabulary too large for indicator columns")
-    seen, flags = set(), []
-    for v in vocab:
-        name = f"{prefix}_{safe_name(v)}"
-        if name in seen:
-            continue
-        seen.add(name)
-        flags.append(F.col(col).contains(v).cast("int").alias(name))
+            .select(strip_blanks(F.col("t")).alias("t")).where(F.col("t") != "").distinct().orderBy("t"))
+    vocab = [r[0] for r in toks.collect()]
+    flags = [F.col(col).contains(v).cast("int").alias(f"{prefix}_{name}")
+             for v, name in zip(vocab, safe_names(vocab))]
     return df.select("*", *flags, F.size(F.split(F.col(col), re.escape(sep), -1)).alias(count_col))
 
 
@@ -121,8 +107,9 @@ def fit_top_k(train: DataFrame, col: str, k: int = 10) -> list:
 def top_k_one_hot(train: DataFrame, df: DataFrame, col: str, k: int = 10) -> DataFrame:
     """Indicators for the k most frequent train values plus ``_other``."""
     top = fit_top_k(train, col, k)
-    flags = [(F.col(col) == F.lit(v)).cast("int").alias(f"{col}_{safe_name(v, 50)}")
-             for v in top if v is not None]
+    known = [v for v in top if v is not None]
+    flags = [(F.col(col) == F.lit(v)).cast("int").alias(f"{col}_{name}")
+             for v, name in zip(known, safe_names(known, 50))]
     other = (~F.col(col).isin([v for v in top if v is not None])).cast("int").alias(f"{col}_other")
     return df.select("*", *flags, other)
 
@@ -140,7 +127,7 @@ def frequency_encode(train: DataFrame, df: DataFrame, col: str, normalize: bool
     """Train count (or share) per value, unseen -> ``default``.  The
     dictionary grows with the vocabulary, so it is not force-broadcast."""
     d = fit_frequency(train, col, normalize)
-    return map_encode_join(df, col, d, out or f"{col}_freq", default=default, bounded=False) \
+    return map_encode_join(df, col, d, out or f"{col}_freq", default=default) \
         .withColumn(out or f"{col}_freq", F.col(out or f"{col}_freq").cast("double"))
 
 
@@ -149,7 +136,8 @@ def route_by_cardinality(train: DataFrame, cols: list[str], bands=(2, 10, 30)) -
     ``lo..mid`` -> frequency_ordinal, ``mid+1..hi`` -> top_k_one_hot,
     ``> hi`` -> frequency_encode, below ``lo`` -> drop."""
     lo, mid, hi = bands
-    one = train.agg(*[F.count_distinct(c).alias(f"nu__{i}") for i, c in enumerate(cols)])
+    one = train.agg(*[(F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).alias(f"nu__{i}")
+                      for i, c in enumerate(cols)])  # NULL is a value
     long = one.selectExpr(f"stack({len(cols)}, " + ", ".join(
         f"'{c}', `nu__{i}`" for i, c in enumerate(cols)) + ") as (column, n_unique)")
     route = (F.when(F.col("n_unique") < lo, "drop")

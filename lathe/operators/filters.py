@@ -85,6 +85,8 @@ def filter_text_length(df: DataFrame, col: str, max_len: int) -> DataFrame:
 def contains_any(c, words) -> Column:
     """Any literal substring occurs (one alternation regex, quoted)."""
     rx = "|".join(re.escape(w) for w in words)
+    if not rx:  # no words: nothing occurs
+        return F.lit(False)
     return _c(c).rlike(rx)
 
 

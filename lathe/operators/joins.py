@@ -1,22 +1,11 @@
-"""Joins (K01-K03).  Broadcast is used only for tables with a proven size
-bound (fitted dictionaries over a bounded vocabulary); everything else is a
-plain join that AQE may turn into a broadcast after measuring it."""
+"""Joins (K01-K03): plain joins that AQE may turn into a broadcast after
+measuring the smaller side."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
 
-MAX_BROADCAST_ROWS = 100_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after checking the row count (a bounded
-    ``limit(max+1).count()``); larger tables stay a plain join for AQE."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def join_features(base: DataFrame, feats: DataFrame, key, how: str = "inner") -> DataFrame:
     return base.join(feats, key, how)
 
@@ -26,14 +15,10 @@ def semi_join_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 def map_encode_join(df: DataFrame, col: str, dictionary: DataFrame, out: str,
-                    default=None, bounded: bool = False, key_col: str = "key",
-                    value_col: str = "value") -> DataFrame:
-    """Left lookup of ``col`` in a fitted ``(key, value)`` table with a
-    default for unseen keys.  ``bounded=True`` broadcasts the dictionary
-    after checking its size."""
-    d = dictionary.select(F.col(key_col).alias("_k"), F.col(value_col).alias("_v"))
-    if bounded:
-        d = checked_broadcast(d)
-    j = df.join(d, df[col] == d["_k"], "left")
-    v = F.coalesce(F.col("_v"), F.lit(default)) if default is not None else F.col("_v")
-    return j.withColumn(out, v).drop("_k", "_v")
+                    default=None, key_col: str = "key", value_col: str = "value") -> DataFrame:
+    """Left lookup of ``col`` in a fitted ``(key, value)`` table; NULL is a
+    key like any other, and ``default`` is for keys without a row only."""
+    d = dictionary.select(F.col(key_col).alias("_k"), F.col(value_col).alias("_v"), F.lit(True).alias("_met"))
+    j = df.join(d, df[col].eqNullSafe(d["_k"]), "left")
+    v = F.col("_v") if default is None else F.when(F.col("_met"), F.col("_v")).otherwise(F.lit(default))
+    return j.withColumn(out, v).drop("_k", "_v", "_met")

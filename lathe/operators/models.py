@@ -30,7 +30,7 @@ from lathe.operators.evaluate import balanced_weights
 
 
 def assemble(df: DataFrame, feats: list[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=feats, outputCol=out, handleInvalid="keep").transform(df)
+    return VectorAssembler(inputCols=feats, outputCol=out, handleInvalid="error").transform(df)
 
 
 def _persisted(df: DataFrame) -> DataFrame:

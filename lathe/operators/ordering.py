@@ -55,9 +55,8 @@ def rank_within(df: DataFrame, group_cols: list[str], order_by, *,
     (ordered by ``order_by``; give a total order for determinism), the group
     size and, optionally, inclusive running sums ``{out_col: value_col}``.
 
-    ``bounded_groups=True`` states that the number of groups is small (strata,
-    classes), which lets the offset table be broadcast; otherwise the join is
-    left to AQE, which broadcasts it only after measuring it.
+    The join with the offset table is left to AQE, which broadcasts it only
+    after measuring it; ``bounded_groups`` is kept for callers and changes nothing.
     """
     group_cols = list(group_cols)
     staged = _stage_sorted(df, group_cols, order_by, partitions, "rank")
@@ -74,8 +73,6 @@ def rank_within(df: DataFrame, group_cols: list[str], order_by, *,
     if count_col:
         cols.append(F.sum("_cnt").over(Window.partitionBy(*group_cols)).alias(count_col))
     stats = stats.select(*keys, "_first", *cols)
-    if bounded_groups:
-        stats = F.broadcast(stats)
     s = stats.alias("_st")
     joined = staged.alias("_d").join(
         s, _null_safe_on(staged.alias("_d"), s, keys), "inner")
@@ -132,25 +129,6 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
 #   bucket counts give exact offsets.
 # --------------------------------------------------------------------------
 
-SMALL_GROUP_ROWS = 2_000_000
-"""Largest group (rows) whose exact quantiles may come from the built-in
-``percentile`` aggregate (its per-group value map is bounded by this size);
-above it the bucketed selection runs.  Override with
-``spark.lathe.smallGroupRows``."""
-
-
-def small_group_limit(spark) -> int:
-    return int(spark.conf.get("spark.lathe.smallGroupRows", str(SMALL_GROUP_ROWS)))
-
-
-def max_group_size(df: DataFrame, group_cols: list[str]) -> int:
-    """Rows in the largest group (one partial aggregate, one small result)."""
-    if not group_cols:
-        return df.count()
-    r = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return int(r or 0)
-
-
 def hash_rank_within(df: DataFrame, group_cols: list[str], key: str, *, seed=42,
                      rank_col: str = "_rank", count_col: str | None = "_n", digits: int = 4,
                      bounded_groups: bool = False, keep_hash: str | None = None,
@@ -176,8 +154,6 @@ def hash_rank_within(df: DataFrame, group_cols: list[str], key: str, *, seed=42,
     if count_col:
         cols.append(F.sum("_c").over(Window.partitionBy(*group_cols)).cast("long").alias(count_col))
     offs = counts.select(*[F.col(g).alias(f"_g_{g}") for g in group_cols], F.col("_hb").alias("_ob"), *cols)
-    if bounded_groups:
-        offs = F.broadcast(offs)
     cond = F.col("_hb") == F.col("_ob")
     for g in group_cols:
         cond = cond & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
@@ -202,18 +178,15 @@ def _splits(cuts) -> list[float]:
     return [-math.inf, *sorted(pts), math.inf]
 
 
-MAX_PIVOT_GROUPS = 256
-
-
 def _bucket_by_cuts(df: DataFrame, col: str, group_cols: list[str], buckets: int,
                     bounded_groups: bool, out: str = "_vb", accuracy: int = 10000) -> DataFrame:
     """Add a range-bucket index of ``col``, monotone in ``col`` inside each
     group.  Cut points are approximate quantiles PER GROUP (one grouped
     aggregate, at most ``buckets-1`` per group) so groups on very different
     scales are cut evenly, and every cut value has a singleton bucket, so a
-    value holding a third of the rows never needs sorting.  The lookup is
-    Spark ML's ``Bucketizer`` (a JVM binary search); with a bounded number
-    of groups each group gets its own splits column."""
+    value holding a third of the rows never needs sorting.  Without groups
+    the lookup is Spark ML's ``Bucketizer`` (a JVM binary search); with groups
+    the cut arrays are joined to the rows and searched there."""
     from pyspark.ml.feature import Bucketizer
     probs = [i / buckets for i in range(1, buckets)]
     pa = F.percentile_approx(F.col(col).cast("double"), probs, accuracy)
@@ -226,42 +199,11 @@ def _bucket_by_cuts(df: DataFrame, col: str, group_cols: list[str], buckets: int
         b = Bucketizer(splits=_splits(cuts), inputCol="_bin", outputCol="_bout", handleInvalid="keep")
         return b.transform(df.withColumn("_bin", F.col(col).cast("double"))) \
             .withColumn(out, F.col("_bout").cast("int")).drop("_bin", "_bout")
-    if bounded_groups:
-        sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n")).limit(MAX_PIVOT_GROUPS + 1).collect()
-        if len(sizes) <= MAX_PIVOT_GROUPS:
-            def gcond(r):
-                cond = None
-                for g in group_cols:
-                    c = F.col(g).eqNullSafe(F.lit(r[g]))
-                    cond = c if cond is None else cond & c
-                return cond
-            keep = None
-            for r in sizes:
-                frac = min(1.0, per_bucket * buckets / max(r["n"], 1))
-                c = gcond(r) & (F.rand(17) < F.lit(frac))
-                keep = c if keep is None else keep | c
-            rows = df.where(keep).groupBy(*group_cols).agg(pa.alias("c")).collect()
-            ins, outs, splits, conds = [], [], [], []
-            d = df
-            for i, r in enumerate(rows):
-                cond = gcond(r)
-                d = d.withColumn(f"_bi{i}", F.when(cond, F.col(col).cast("double")))
-                ins.append(f"_bi{i}")
-                outs.append(f"_bo{i}")
-                splits.append(_splits(r["c"]))
-                conds.append(cond)
-            b = Bucketizer(splitsArray=splits, inputCols=ins, outputCols=outs, handleInvalid="keep")
-            d = b.transform(d)
-            expr = None
-            for cond, o in zip(conds, outs):
-                expr = F.when(cond, F.col(o)) if expr is None else expr.when(cond, F.col(o))
-            return d.withColumn(out, expr.cast("int")).drop(*ins, *outs)
-    return _bucket_by_search(df, col, group_cols, buckets, bounded_groups, out, accuracy)
-
-
-def _bucket_by_search(df: DataFrame, col: str, group_cols: list[str], buckets: int,
-                      bounded_groups: bool, out: str = "_vb", accuracy: int = 10000) -> DataFrame:
-    """Unbounded number of groups: the per-group cut arrays are joined to the
+    return _bucket_by_search(df, col, group_cols, buckets, out, accuracy)
+
+
+def _bucket_by_search(df: DataFrame, col: str, group_cols: list[str], buckets: int, out: str = "_vb", accuracy: int = 10000) -> DataFrame:
+    """The per-group cut arrays are joined to the
     rows and searched with a ``log2(buckets)``-step binary search; index
     ``2·#(cuts <= v) − [v is a cut]`` keeps cut values in singleton buckets."""
     import math
@@ -273,7 +215,7 @@ def _bucket_by_search(df: DataFrame, col: str, group_cols: list[str], buckets: i
     for g in group_cols:
         c = F.col(g).eqNullSafe(F.col(f"_cg_{g}"))
         cond = c if cond is None else cond & c
-    d = df.join(F.broadcast(ren) if bounded_groups else ren, cond, "inner") \
+    d = df.join(ren, cond, "inner") \
         .drop(*[f"_cg_{g}" for g in group_cols])
     steps = max(1, int(math.ceil(math.log2(buckets + 1))) + 1)
     v = F.col(col).cast("double")
@@ -300,12 +242,6 @@ def select_quantiles(df: DataFrame, value_col: str, qs: list[float], group_cols:
     group_cols = list(group_cols or [])
     names = names or [f"q{int(round(q * 100)):02d}" for q in qs]
     base = df.where(F.col(value_col).isNotNull()).select(*group_cols, F.col(value_col).cast("double").alias("_v"))
-    if method == "linear" and max_group_size(base, group_cols) <= small_group_limit(df.sparkSession):
-        # size-checked fast path: exact built-in percentile (its value map per
-        # group is bounded by the checked group size)
-        pc = F.percentile(F.col("_v"), [float(q) for q in qs]).alias("_p")
-        agg = base.groupBy(*group_cols).agg(pc) if group_cols else base.agg(pc)
-        return agg.select(*group_cols, *[F.col("_p")[i].alias(nm) for i, nm in enumerate(names)])
     # several passes follow (sizes, sampled cuts, counts, target rows): stage
     # the narrow (group, value) table once instead of recomputing upstream
     base = stage_table(base, "quantile-input")
@@ -335,8 +271,6 @@ def select_quantiles(df: DataFrame, value_col: str, qs: list[float], group_cols:
     known = hit.where(F.col("_mn") == F.col("_mx")).select(*group_cols, "qi", "side", "fr", F.col("_mn").alias("val"))
     need = hit.where(F.col("_mn") < F.col("_mx")).select(*group_cols, "_vb", "qi", "side", "fr", "_local")
     need_b = need.select(*group_cols, "_vb").distinct()
-    if bounded_groups:
-        need_b = F.broadcast(need_b)
     rows = bk.join(need_b, [*group_cols, "_vb"], "left_semi")
     w = Window.partitionBy(*group_cols, "_vb").orderBy("_v")
     ranked = rows.select("*", F.row_number().over(w).alias("_lr"))
@@ -369,8 +303,6 @@ def bucketed_cumsum(df: DataFrame, order_col: str, sums: dict, group_cols: list[
     w_prev = Window.partitionBy(*group_cols).orderBy("_vb").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(*[F.col(g).alias(f"_g_{g}") for g in group_cols], F.col("_vb").alias("_ob"),
                       *[F.coalesce(F.sum(f"_t_{o}").over(w_prev), F.lit(0)).alias(f"_o_{o}") for o in sums])
-    if bounded_groups:
-        offs = F.broadcast(offs)
     cond = F.col("_vb") == F.col("_ob")
     for g in group_cols:
         cond = cond & F.col(g).eqNullSafe(F.col(f"_g_{g}"))

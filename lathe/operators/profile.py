@@ -4,6 +4,8 @@ quantiles are exact and computed without a one-task window."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lathe.operators.ordering import exact_quantiles
@@ -194,6 +196,15 @@ def duplicate_report(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
 
 
+def duplicate_rows(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """All rows whose key combination (every column by default) occurs more
+    than once; NULLs count as equal."""
+    keys = keys or df.columns
+    twice = duplicate_report(df, keys).select(*[F.col(k).alias(f"_d_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_d_{k}")) for k in keys]
+    return df.join(twice, reduce(lambda a, b: a & b, same), "left_semi")
+
+
 def drop_duplicates(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     return df.dropDuplicates(subset) if subset else df.distinct()
 

@@ -33,21 +33,16 @@ def union_all_by_name(dfs: list[DataFrame]) -> DataFrame:
 
 def overlap_check(df: DataFrame, split_col: str, id_col: str) -> DataFrame:
     """Ids shared by each pair of splits (all zero for a leakage-safe
-    split).  Per id the set of splits is bounded by the number of splits."""
-    per_id = df.groupBy(id_col).agg(F.array_sort(F.collect_set(split_col)).alias("_s"))
-    splits = [r[0] for r in df.select(split_col).distinct().orderBy(split_col).limit(101).collect()]
-    if len(splits) > 100:
-        raise ValueError(f"{split_col} has more than 100 values; it is not a split column")
-    rows = []
-    for i, a in enumerate(splits):
-        for b in splits[i + 1:]:
-            rows.append(F.struct(F.lit(a).alias("split_a"), F.lit(b).alias("split_b"),
-                                 (F.array_contains("_s", a) & F.array_contains("_s", b))
-                                 .cast("int").alias("hit")))
-    if not rows:
-        return df.sparkSession.createDataFrame([], "split_a string, split_b string, shared_ids long")
-    ex = per_id.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
-    return ex.groupBy("split_a", "split_b").agg(F.sum("hit").cast("long").alias("shared_ids"))
+    split)."""
+    placed = df.select(F.col(id_col).alias("_id"), F.col(split_col).alias("_s")).distinct()
+    names = placed.select(F.col("_s").alias("split_a")).distinct()
+    pairs = names.join(names.withColumnRenamed("split_a", "split_b"), F.col("split_a") < F.col("split_b"))
+    met = (placed.alias("l").join(placed.alias("r"), F.col("l._id").eqNullSafe(F.col("r._id"))
+                                  & (F.col("l._s") < F.col("r._s")))
+           .groupBy(F.col("l._s").alias("split_a"), F.col("r._s").alias("split_b"))
+           .agg(F.count(F.lit(1)).alias("n")))
+    return (pairs.join(met, ["split_a", "split_b"], "left")
+            .select("split_a", "split_b", F.coalesce("n", F.lit(0)).cast("long").alias("shared_ids")))
 
 
 def set_difference(left: DataFrame, right: DataFrame, key: str | list[str]) -> DataFrame:

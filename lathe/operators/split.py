@@ -6,6 +6,8 @@ cuts a stratum holding a third of the rows into many balanced buckets."""
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lathe.functions.hashing import DEFAULT_SEED, hash_order
@@ -30,11 +32,12 @@ def target_bins(df: DataFrame, y: str, n_edges: int = 20, out: str = "stratum",
     return df.withColumn(out, F.least(F.greatest(b, F.lit(1)), F.lit(k)).cast("int"))
 
 
-def _cuts(fractions) -> list[int]:
-    acc, out = 0.0, []
+def _cuts(fractions) -> list[Fraction]:
+    """Running sums of the fractions, exactly as written in decimals."""
+    acc, out = Fraction(0), []
     for f in fractions[:-1]:
-        acc += f
-        out.append(int(round(acc * 100)))
+        acc += Fraction(str(f))
+        out.append(acc)
     return out
 
 
@@ -49,8 +52,8 @@ def stratified_split(df: DataFrame, key: str, strata: str | None = None,
     ranked = hash_rank_within(df, groups, key, seed=seed, rank_col="_rank", count_col="_n",
                               bounded_groups=True)
     expr = None
-    for pct, nm in zip(_cuts(fractions), names):
-        cut = F.floor((F.col("_n") * pct + 50) / 100)
+    for part, nm in zip(_cuts(fractions), names):
+        cut = F.floor((F.col("_n") * (2 * part.numerator) + part.denominator) / (2 * part.denominator))
         expr = F.when(F.col("_rank") <= cut, nm) if expr is None else expr.when(F.col("_rank") <= cut, nm)
     expr = expr.otherwise(names[len(fractions) - 1])
     return ranked.withColumn(out, expr).drop("_rank", "_n")

@@ -56,7 +56,9 @@ def forward_fill(df: DataFrame, id_col: str, order_col: str, cols: list[str],
               .rowsBetween(Window.unboundedPreceding, -1))
     carry = carry.select(id_col, "_seg", *[F.last(f"_last_{c}", ignorenulls=True).over(w_prev)
                                            .alias(f"_prev_{c}") for c in cols])
-    j = local.join(carry, [id_col, "_seg"], "left")
+    prev = carry.select(F.col(id_col).alias("_cid"), F.col("_seg").alias("_cseg"),
+                        *[f"_prev_{c}" for c in cols])
+    j = local.join(prev, F.col(id_col).eqNullSafe(F.col("_cid")) & (F.col("_seg") == F.col("_cseg")), "left")
     return j.select(*[F.coalesce(F.col(c), F.col(f"_prev_{c}")).alias(c) if c in cols else F.col(c)
                       for c in df.columns])
 

@@ -46,7 +46,7 @@ def _reg_eval(model, mf):
 def _cls_eval(model, mf):
     d = models.assemble(mf, FEATS)
     p = model.transform(d)
-    p = p.withColumn("p1", F.round(vector_to_array(F.col("probability"))[1], 6))
+    p = p.withColumn("p1", vector_to_array(F.col("probability"))[1])
     return evaluate.classification_metrics(p.withColumn("yhat", F.col("prediction").cast("int")),
                                            "y", "yhat", "p1", by=["split"])
 
@@ -80,8 +80,8 @@ def m04(spark, sf):
 @query("m05_fit_stacking")
 def m05(spark, sf):
     mf = model_frame(spark, sf)
-    tr = split.assign_folds(_train(mf), "line_key", k=3)
-    st = models.fit_stacking(tr, FEATS, "target", "fold", k=3, base_factories={
+    tr = split.assign_folds(_train(mf), "line_key", k=5)
+    st = models.fit_stacking(tr, FEATS, "target", "fold", k=5, base_factories={
         "ridge": lambda d, f, y: models.fit_ridge(d, f, y, 1.0),
         "gbt": lambda d, f, y: models.fit_gbt_regressor(d, f, y, 5, 3)})
     p = st.transform(mf).withColumnRenamed("prediction", "yhat")
@@ -114,7 +114,7 @@ def m10(spark, sf):
     m = models.fit_mlp_classifier(scaled, FEATS, "y", hidden=(127, 64, 32), max_iter=20)
     d = scale.apply_scaler(mf, fitted)
     p = m.transform(models.assemble(d, FEATS))
-    p = p.withColumn("p1", F.round(vector_to_array(F.col("probability"))[1], 6))
+    p = p.withColumn("p1", vector_to_array(F.col("probability"))[1])
     return evaluate.classification_metrics(p.withColumn("yhat", F.col("prediction").cast("int")),
                                            "y", "yhat", "p1", by=["split"])
 
@@ -125,7 +125,7 @@ def _ridge_scores(m, d):
 
 @query("m12_cross_validate")
 def m12(spark, sf):
-    tr = split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=3)
+    tr = split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=5)
     folds = models.cross_validate(lambda d: models.fit_ridge(d, FEATS, "target"), _ridge_scores, tr, "fold", 3)
     return models.summarize_folds(folds)
 
@@ -133,7 +133,7 @@ def m12(spark, sf):
 @query("m13_random_search")
 def m13(spark, sf):
     from pyspark.ml.regression import LinearRegression
-    tr = models.assemble(split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=3), FEATS)
+    tr = models.assemble(split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=5), FEATS)
     est = LinearRegression(featuresCol="features", labelCol="target", solver="normal")
     _, table_ = models.random_search(est, {"regParam": (0.0, 0.1), "elasticNetParam": [0.0]}, 4,
                                      models.rmse_evaluator("target"), tr, "fold")
@@ -143,7 +143,7 @@ def m13(spark, sf):
 @query("m14_refine_grid")
 def m14(spark, sf):
     from pyspark.ml.regression import LinearRegression
-    tr = models.assemble(split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=3), FEATS)
+    tr = models.assemble(split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=5), FEATS)
     est = LinearRegression(featuresCol="features", labelCol="target", solver="normal")
     grid = models.refine_grid(est, {"regParam": 0.01}, {"regParam": [-0.02, -0.005, 0.0, 0.005, 0.02]},
                               valid=lambda n, v: v >= 0)
@@ -153,8 +153,8 @@ def m14(spark, sf):
 
 @query("m15_learning_curve")
 def m15(spark, sf):
-    tr = split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=3)
-    tr = split.learning_sizes(tr, "line_key", n_sizes=4, lo=0.25, hi=1.0)
+    tr = split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=5)
+    tr = split.learning_sizes(tr, "line_key", n_sizes=8, lo=0.125, hi=1.0)
     return models.learning_curve(lambda d: models.fit_ridge(d, FEATS, "target"),
                                  lambda m, d: _ridge_scores(m, d)["r2"], tr, "size_index", "fold", 4, 3)
 
@@ -192,7 +192,7 @@ def m36c(spark, sf):
     e = table(spark, sf, "embeddings").select("vec_id", "embedding",
                                               (F.col("label") == 0).cast("int").alias("y"))
     e = split.stratified_split(e, "vec_id", "y")
-    dims = [f"x{i}" for i in range(8)]
+    dims = [f"x{i}" for i in range(64)]
     flat = e.select("vec_id", "split", "y", "embedding", *[F.col("embedding")[i].cast("double").alias(d)
                                                            for i, d in enumerate(dims)])
     tr = flat.where(F.col("split") == "train")
@@ -203,7 +203,7 @@ def m36c(spark, sf):
     bal = bal.select("y", *[F.col("vec")[i].alias(d) for i, d in enumerate(dims)])
     m = models.fit_logistic(bal, dims, "y", max_iter=100)
     p = m.transform(models.assemble(scaled, dims))
-    p = p.withColumn("p1", F.round(vector_to_array(F.col("probability"))[1], 6))
+    p = p.withColumn("p1", vector_to_array(F.col("probability"))[1])
     return evaluate.classification_metrics(p.withColumn("yhat", F.col("prediction").cast("int")),
                                            "y", "yhat", "p1", by=["split"])
 
@@ -221,6 +221,19 @@ def i01(spark, sf):
     return files.read_csv_table(spark, path, o.schema)
 
 
+@query("i01_i05_csv_text_roundtrip", """
+SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN text WHEN 1 THEN '  ' || text || chr(9) WHEN 2 THEN 'say "hi", \\ ' || text
+  WHEN 3 THEN '' ELSE NULL END AS text FROM documents""")
+def i01t(spark, sf):
+    d = table(spark, sf, "documents")
+    kind = F.col("doc_id") % 5
+    t = (F.when(kind == 0, F.col("text")).when(kind == 1, F.concat(F.lit("  "), "text", F.lit("\t")))
+         .when(kind == 2, F.concat(F.lit('say "hi", \\ '), "text")).when(kind == 3, F.lit("")))
+    path = _io_dir(spark, "csv-text")
+    files.write_csv_table(d.select("doc_id", t.alias("text")), path)
+    return files.read_csv_table(spark, path, "doc_id long, text string")
+
+
 @query("i03_i04_parquet_roundtrip", _SQL_BASE + """
 SELECT split, count(*) AS rows FROM splitted GROUP BY split""")
 def i03(spark, sf):

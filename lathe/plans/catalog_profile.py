@@ -145,6 +145,14 @@ def a17(spark, sf):
     return profile.duplicate_report(table(spark, sf, "documents").select("text"))
 
 
+@query("a17_duplicate_rows", """
+SELECT doc_id, text, lang, source FROM documents
+QUALIFY count(*) OVER (PARTITION BY text, lang, source) > 1""")
+def a17r(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    return profile.duplicate_rows(d, ["text", "lang", "source"])
+
+
 @query("a18_drop_duplicates", "SELECT DISTINCT text, lang FROM documents")
 def a18(spark, sf):
     return profile.drop_duplicates(table(spark, sf, "documents").select("text", "lang"))
@@ -229,11 +237,12 @@ def i02(spark, sf):
 
 
 @query("s03_set_difference", """
-SELECT n_nationkey FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier)""")
+SELECT l_orderkey FROM (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_quantity > 25) a
+WHERE NOT EXISTS (SELECT 1 FROM lineitem b WHERE b.l_orderkey = a.l_orderkey AND b.l_discount > 0.05)""")
 def s03(spark, sf):
-    n = table(spark, sf, "nation").select("n_nationkey")
-    s = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("n_nationkey"))
-    return sets.set_difference(n, s, "n_nationkey")
+    li = table(spark, sf, "lineitem")
+    bulk = li.where(F.col("l_quantity") > 25).select("l_orderkey").distinct()
+    return sets.set_difference(bulk, li.where(F.col("l_discount") > 0.05), "l_orderkey")
 
 
 @query("f03_drop_nulls", _GAPS_SQL + "SELECT event_id FROM g WHERE value IS NOT NULL")
@@ -356,7 +365,7 @@ def k03(spark, sf):
     from lathe.operators.joins import map_encode_join
     d = table(spark, sf, "nation").select(F.col("n_nationkey").alias("key"), F.col("n_regionkey").alias("value"))
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    out = map_encode_join(c, "c_nationkey", d, "region_code", default=-1, bounded=True)
+    out = map_encode_join(c, "c_nationkey", d, "region_code", default=-1)
     return out.select("c_custkey", F.col("region_code").cast("int"))
 
 

@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from lathe.functions import text
 from lathe.operators import fuzzy
 from lathe.operators.filters import contains_any
@@ -11,7 +13,8 @@ from lathe.sources.tables import table
 
 
 @query("p05_normalize_text", """
-SELECT doc_id, trim(regexp_replace(lower(text), '[^a-zA-Z\\s]', '', 'g')) AS norm FROM documents""")
+SELECT doc_id, trim(regexp_replace(lower(text), '[^a-zA-Z\\s]', '', 'g'), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS norm
+FROM documents""")
 def p05(spark, sf):
     d = table(spark, sf, "documents")
     return d.select("doc_id", text.normalize_text("text", "letters").alias("norm"))
@@ -24,6 +27,14 @@ def p05d(spark, sf):
     return p.select("page_id", text.normalize_text("url", "dots").alias("norm"))
 
 
+@query("p05_normalize_text_blanks", """
+SELECT doc_id, trim(regexp_replace(lower(chr(9) || text || chr(13) || chr(10)), '[^a-zA-Z\\s]', '', 'g'),
+  chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS norm FROM documents""")
+def p05b(spark, sf):
+    d = table(spark, sf, "documents").withColumn("text", F.concat(F.lit("\t"), "text", F.lit("\r\n")))
+    return d.select("doc_id", text.normalize_text("text", "letters").alias("norm"))
+
+
 @query("p14_text_length_features", """
 SELECT doc_id, lang, CAST(strlen(text) AS INTEGER) AS text_length, CAST(len(string_split(text, ' ')) AS INTEGER) AS text_word_count
 FROM documents""")

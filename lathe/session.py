@@ -3,7 +3,6 @@ checkpoint folder and durable staging of intermediate tables."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -19,6 +18,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+_STAGED: list[str] = []
+
 
 def get_spark(master: str | None = None, app: str = "lathe",
               shuffle_partitions: int | None = None,
@@ -50,7 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
                                "(stage tables and checkpoints must survive executor loss)")
         d = tempfile.mkdtemp(prefix="lathe-ckpt-")  # single-machine sessions (tests) only
@@ -68,11 +70,19 @@ def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     base = checkpoint_dir(spark)
     path = f"{base}/lathe-stage/{name}-{uuid.uuid4().hex}"
-    if "://" not in path:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
+    _STAGED.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def clear_stages(spark: SparkSession) -> None:
+    """Delete the stage tables written so far.  Call it once the results that
+    read them have been written or collected."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _STAGED:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def num_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -7,11 +7,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from lathe.operators.sets import union_all_by_name
 
 
-def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Header CSV with quoted multi-line fields and an explicit schema (no
-    inference pass over the data)."""
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
-            .option("escape", '"').option("quote", '"').csv(path))
+# both sides agree on quotes doubled inside quotes, blanks kept, empty text
+# written as "" (the writer's default) and NULL as \\N
+_CSV = {"header": True, "quote": '"', "escape": '"', "nullValue": "\\N",
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str,
+                   multi_line: bool = True) -> DataFrame:
+    """Header CSV with an explicit schema (no inference pass over the data).
+    ``multi_line`` lets quoted fields hold line breaks and reads each file in
+    one task; without it files are split among tasks."""
+    return spark.read.schema(schema).options(**_CSV, emptyValue="", multiLine=multi_line).csv(path)
 
 
 def read_parquet_table(spark: SparkSession, path: str) -> DataFrame:
@@ -44,7 +51,7 @@ def write_parquet_table(df: DataFrame, path: str, partition_by: list[str] | None
 
 
 def write_csv_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(**_CSV).csv(path)
 
 
 def write_metrics(df: DataFrame, path: str) -> None:
