@@ -77,8 +77,8 @@ def _cut_pieces(path: str, end_id: int, capacity: int, with_ids: bool):
         tokenizer = ChunkTokenizer(path)
         for batch in batches:
             keys, rows, ids_out = [], [], []
-            for i, text in enumerate(batch.column(1)):
-                ids = np.append(tokenizer.encode(text.as_py() or b""), np.uint32(end_id)).astype("<u4")
+            for i, ids in enumerate(tokenizer.encode_all(t.as_py() for t in batch.column(1))):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for a in range(0, len(ids), capacity):
                     part = ids[a:a + capacity]
                     keys.append(i)

@@ -35,8 +35,8 @@ def _write(folder: str, path: str, end_id: int):
         nth = 0
         with fs.open_output_stream(f"{base}/{name}", compression=None) as out:
             for batch in batches:
-                for text in batch.column(1):
-                    ids = np.append(tokenizer.encode(text.as_py() or b""), np.uint32(end_id))
+                for ids in tokenizer.encode_all(t.as_py() for t in batch.column(1)):
+                    ids = np.append(ids, np.uint32(end_id))
                     if ids.max() > np.iinfo(DTYPE).max:
                         raise ValueError("the vocabulary does not fit 16-bit ids")
                     out.write(ids.astype(DTYPE).tobytes())

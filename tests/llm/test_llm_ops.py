@@ -168,7 +168,9 @@ def test_tokens_equal_whole_encoding():
     t, own = Tokenizer.from_file(path), ChunkTokenizer(path)
     own.CACHE = 5
     for text in ["", "  ", "it's the U.S.A. don't\n\nwe'll 123 45", "e\u0301 \u0301 a\u00a0b\u2003c \x1cx", "ΣΑΣ İstanbul ß",
-                 "a<|endoftext|>b <|startoftext|>", "naïve café über 漢字かな 😀!? -- ''s", "\x00 \x85 a\u0085b ' s"]:
+                 "a<|endoftext|>b <|startoftext|>", "naïve café über 漢字かな 😀!? -- ''s", "\x00 \x85 a\u0085b ' s",
+                 "End. of, it's. x.. y., z.\nÀÉÎ. ñandú ÆØÅ ŒUVRE ſtraße ǅ ŉ ª º µm Ⅷ ʼn 1st. a1. A.B. <|ENDOFTEXT|> w.",
+                 "ÅNGSTRÖM ǆ Ǆ Ĳ ĳ ŀ a\u030Angstrom K Ω café."]:
         assert own.encode(text.encode()).tolist() == t.encode(text, add_special_tokens=False).ids, text
 
 
