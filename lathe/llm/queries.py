@@ -17,4 +17,37 @@ QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_line_dedup, op3_token_counts, op4_ngram_join, op5_warc, op6_quality_rules, op7_ann,
     op8_url_templates, op9_mixing, op10_packing)}
 
-ORACLE: dict[str, str] = {}
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+ORACLE: dict[str, str] = {
+    "op2_line_dedup": f"""
+WITH l AS (
+  SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS k,
+         unnest(string_split(coalesce(text, ''), chr(10))) AS raw FROM documents),
+u AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS nth, doc_id * 1000000 + k AS place
+  FROM (SELECT *, trim(raw, {_BLANKS}) AS s FROM l) WHERE s <> ''),
+three AS (
+  SELECT doc_id, nth, place, s, lead(s, 1) OVER w AS s2, lead(s, 2) OVER w AS s3 FROM u
+  WINDOW w AS (PARTITION BY doc_id ORDER BY nth)),
+again AS (
+  SELECT doc_id, nth, 3 AS size, place > min(place) OVER (PARTITION BY s, s2, s3) AS later FROM three WHERE s3 IS NOT NULL
+  UNION ALL
+  SELECT doc_id, nth, 1, place > min(place) OVER (PARTITION BY s) FROM u
+  WHERE len(regexp_extract_all(s, '[^\\x20\\x09-\\x0D]+')) >= 50),
+gone AS (SELECT DISTINCT doc_id, nth + d AS nth FROM again, (VALUES (0), (1), (2)) v(d) WHERE later AND d < size),
+marked AS (
+  SELECT l.doc_id, l.k, l.raw, u.nth, g.nth AS cut FROM l LEFT JOIN u ON u.doc_id = l.doc_id AND u.k = l.k
+  LEFT JOIN gone g ON g.doc_id = u.doc_id AND g.nth = u.nth),
+kept AS (
+  SELECT doc_id, count(nth) AS n_lines, count(cut) AS n_removed,
+         coalesce(string_agg(raw, chr(10) ORDER BY k) FILTER (WHERE cut IS NULL), '') AS rest FROM marked GROUP BY doc_id)
+SELECT doc_id, n_lines, n_removed, CASE WHEN text IS NOT NULL THEN sha256(rest) END AS text_sha256
+FROM documents JOIN kept USING (doc_id)""",
+    "op5_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+q AS (SELECT *, strlen(html) AS payload_bytes, max(page_id) OVER (PARTITION BY html) AS largest FROM p),
+r AS (SELECT *, payload_bytes >= 1000 AND page_id <> largest AS again FROM q)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN largest END AS refers_to FROM r""",
+}
