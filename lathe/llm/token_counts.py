@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lathe.llm.common import open_folder, shared_folder, table
-from lathe.llm.tokens import ChunkTokenizer, default_tokenizer
+from lathe.llm.tokens import default_tokenizer, worker_tokenizer
 
 END_ID = 49407       # <|endoftext|> of the default vocabulary
 BLOCK_IDS = 1 << 20
@@ -31,7 +31,7 @@ def _write(folder: str, path: str, end_id: int):
         fs, base = open_folder(folder)
         fs.create_dir(base, recursive=True)
         name = f"part-{uuid.uuid4().hex}.ids"  # one of its own for every attempt
-        tokenizer = ChunkTokenizer(path, special_as_text=True)
+        tokenizer = worker_tokenizer(path, special_as_text=True)
         nth = 0
         with fs.open_output_stream(f"{base}/{name}", compression=None) as out:
             for batch in batches:

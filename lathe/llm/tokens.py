@@ -2,20 +2,33 @@
 
 The word tokenizer used here lower-cases and never joins characters over ASCII
 blanks, so a text's ids are the ids of its blank-separated chunks one after
-another; each distinct chunk of a task is encoded once and kept in a bounded
+another; each distinct chunk of a worker is encoded once and kept in a bounded
 cache.  Chunks that are one Latin word go straight to the tokenizer's model, as
 normalising and splitting would leave them whole."""
 
 from __future__ import annotations
 
-import re
+from functools import lru_cache
 
 import numpy as np
 
 
-#: a single stop or comma between a letter (a to z, or Latin-1 in UTF-8) and a
-#: blank is a token of its own
-_STOP = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))[.,](?=[ \n]|\Z)")
+def _apart(text: bytes) -> bytes:
+    """The text with a blank before each single stop or comma between a letter
+    (a to z, or Latin-1 in UTF-8) and a blank, where it is a token of its own."""
+    buf = np.frombuffer(text, np.uint8)
+    at = np.flatnonzero((buf == ord(".")) | (buf == ord(",")))
+    at = at[at > 0]
+    if not len(at):
+        return text
+    after = buf[np.minimum(at + 1, len(buf) - 1)]
+    at = at[(after == ord(" ")) | (after == ord("\n")) | (at == len(buf) - 1)]
+    last, lead = buf[at - 1], buf[np.maximum(at - 2, 0)]
+    ascii_letter = (last >= ord("a")) & (last <= ord("z"))
+    latin_letter = (lead == 0xC3) & (at > 1) & (last >= 0x80) & (last <= 0xBF) & (last != 0x97) & (last != 0xB7)
+    return np.insert(buf, at[ascii_letter | latin_letter], ord(" ")).tobytes()
+
+
 _LATIN = "\u0250"  # letters below are composed already and have one lower case each, but for one
 
 
@@ -66,6 +79,8 @@ class ChunkTokenizer:
     def _word(self, chunk: bytes) -> list[int] | None:
         """Ids of a chunk that is one Latin word; None for any other."""
         word = chunk.decode()
+        if chunk.isalpha() and chunk.islower():
+            return [t.id for t in self.model.tokenize(word)]
         if not word.isalpha() or max(word) >= _LATIN or "\u0130" in word:
             return None
         if not (word.isascii() and word.islower()):
@@ -79,16 +94,16 @@ class ChunkTokenizer:
     @staticmethod
     def _chunks(text: bytes) -> list[bytes]:
         if b"<|" not in text:  # the text of a special token is left as it is
-            text = _STOP.sub(rb" \g<0>", text.lower())
+            text = _apart(text.lower())
         return text.split()
 
     def _ids(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the chunks one after another, and how many each has."""
-        fresh = list(dict.fromkeys(c for c in chunks if c not in self.index))
+        fresh = list(set(chunks).difference(self.index))
         if fresh:
             if len(self.index) + len(fresh) > self.CACHE:
                 self._clear()
-                fresh = list(dict.fromkeys(chunks))
+                fresh = list(set(chunks))
             self._learn(fresh)
         at = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
         size = self.size[at]
@@ -123,6 +138,12 @@ class ChunkTokenizer:
             yield from settle()
 
 
+@lru_cache(maxsize=2)
+def worker_tokenizer(path: str, special_as_text: bool = False) -> ChunkTokenizer:
+    """One tokenizer for all tasks of a Python worker, which share its cache."""
+    return ChunkTokenizer(path, special_as_text)
+
+
 def default_tokenizer(name: str) -> str:
     import public_tokenizers
     return str(public_tokenizers.path(name))
