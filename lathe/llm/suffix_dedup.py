@@ -16,7 +16,7 @@ and the groups left after the last pass are exactly the repeated windows:
    are grouped window by window on the whole threshold.
 
 Groups are formed by Spark aggregates (partial sums before the shuffle) and
-joined back, so a hot group is split by AQE and never meets in one task.
+joined back with salts, so a hot group never meets in one task.
 Envelopes and windows use two 64-bit fingerprints together.
 """
 
@@ -33,6 +33,7 @@ from lathe.llm.common import WindowHash, buffers, mix64, signed, stage_table, ta
 
 STEP = 42            # offsets settled together by one core and one envelope
 BLOCK = 1 << 20      # window starts handled at once; texts of any length go block by block
+HOT_SHARE = 1000     # a key with more than this part of the rows is split
 _POS = np.uint64((1 << 22) - 1)  # a block and its margins fit
 
 
@@ -183,10 +184,24 @@ _CUT = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("n_removed", pa.int64
                   ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
 
-def _repeated(df: DataFrame, keys: list[str], place) -> DataFrame:
-    """Keys met at two or more different places."""
-    return (df.groupBy(*keys).agg(F.min(place).alias("_a"), F.max(place).alias("_b"))
-            .where("_a <> _b").select(*keys))
+def _repeated(df: DataFrame, keys: list[str], place, name: str) -> DataFrame:
+    """Keys met at two or more different places, and the rows ``_n`` that have them."""
+    return stage_table(df.groupBy(*keys).agg(F.min(place).alias("_a"), F.max(place).alias("_b"), F.count("*").alias("_n"))
+                       .where("_a <> _b").select(*keys, "_n"), name)
+
+
+def _split_join(rows: DataFrame, keys: DataFrame, on: list[str], spread, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``keys`` with hot keys dealt over many tasks: a key
+    held by more than 1 / HOT_SHARE of the rows gets as many salts as it holds
+    such shares.  Fewer than HOT_SHARE keys can be hot, which bounds the
+    broadcast; the salts together number less than twice that."""
+    share = max(1, -(-rows.count() // HOT_SHARE))
+    salts = F.ceil(F.col("_n") / share).cast("long")
+    hot = keys.where(F.col("_n") > share).select(*on, salts.alias("_salts"))
+    salted = (rows.join(F.broadcast(hot), on, "left")
+              .withColumn("_salt", F.pmod(spread, F.coalesce("_salts", F.lit(1)).cast("long"))).drop("_salts"))
+    dealt = (keys.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("_n"))
+    return salted.join(dealt, [*on, "_salt"], how).drop("_salt")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -209,8 +224,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     anchors = stage_table(long_texts.mapInArrow(_digit_one(window, gram), "h long, k1 long, k2 long, at long"),
                           "suffix-anchors")
-    met = _repeated(anchors, ["h"], F.xxhash64("k1", "k2", "at"))
-    open_texts = anchors.join(met, "h").groupBy("k1", "k2").agg(F.collect_set("at").alias("at"))
+    spot = F.xxhash64("k1", "k2", "at")
+    met = _repeated(anchors, ["h"], spot, "suffix-grams")
+    open_texts = _split_join(anchors, met, ["h"], spot).groupBy("k1", "k2").agg(F.collect_set("at").alias("at"))
     # partial aggregation leaves one copy of a text per map task before the shuffle
     texts = long_texts.groupBy("k1", "k2").agg(F.first("t").alias("t"))
     cand = stage_table(texts.join(open_texts, ["k1", "k2"])
@@ -220,9 +236,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _digit_two(window, gram), "cid long, core long, s_lo long, s_hi long, c1 long, e1 long, e2 long"),
         "suffix-runs")
     place = F.xxhash64("cid", "core")
-    cores = _repeated(runs, ["c1"], place)
-    envelopes = _repeated(runs.where("e1 is not null"), ["e1", "e2"], place).withColumn("whole", F.lit(True))
-    settled = stage_table(runs.join(cores, "c1").join(envelopes, ["e1", "e2"], "left"), "suffix-settled")
+    cores = _repeated(runs, ["c1"], place, "suffix-cores")
+    envelopes = _repeated(runs.where("e1 is not null"), ["e1", "e2"], place, "suffix-envelopes")
+    open_runs = stage_table(_split_join(runs, cores, ["c1"], place), "suffix-open")
+    settled = stage_table(_split_join(open_runs, envelopes.withColumn("whole", F.lit(True)), ["e1", "e2"], place, "left"),
+                          "suffix-settled")
     undecided = settled.where("whole is null")
     # a window still open may repeat inside a settled run: one run for each envelope answers for its equals
     answers = (settled.where("whole").join(undecided.select("c1").distinct(), "c1", "left_semi")
@@ -232,8 +250,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                  .agg(F.collect_list(F.struct("s_lo", "s_hi")).alias("runs")))
     starts = stage_table(cand.select("cid", "t").join(undecided, "cid").select("cid", "t", "runs")
                          .mapInArrow(_digit_three(window), "cid long, s long, w1 long, w2 long"), "suffix-windows")
-    same = starts.groupBy("w1", "w2").agg(F.count("*").alias("_n")).where("_n > 1").select("w1", "w2")
-    hits = starts.join(same, ["w1", "w2"]).select("cid", F.col("s").alias("s_lo"), F.col("s").alias("s_hi"))
+    same = stage_table(starts.groupBy("w1", "w2").agg(F.count("*").alias("_n")).where("_n > 1"), "suffix-same")
+    hits = _split_join(starts, same, ["w1", "w2"], F.xxhash64("cid", "s")).select("cid", F.col("s").alias("s_lo"), F.col("s").alias("s_hi"))
     covered = (settled.where("whole").select("cid", "s_lo", "s_hi").unionByName(hits).groupBy("cid")
                .agg(F.collect_list(F.struct("s_lo", "s_hi")).alias("runs")))
     cut = (cand.select("cid", "k1", "k2", "t").join(covered, "cid").select("k1", "k2", "t", "runs")
