@@ -19,26 +19,39 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lathe.functions.hashing import DEFAULT_SEED, hash_int, hash_unit
-from lathe.operators.ordering import hash_rank_within
+from lathe.operators.ordering import cut_by_hash, hash_rank_within
+from lathe.session import stage_table
 
 _KNN_SCHEMA = "q_id long, nn_id long, dist2 double"
 
 
 def _topk_rows(d, row_ids, col_ids, k):
-    """Per row of the distance matrix, the k best (distance, id) columns."""
-    out_q, out_c, out_d = [], [], []
+    """Per row of the distance matrix, the k best (distance, id) columns:
+    a partial selection of the k-th distance, then a sort of what reaches it."""
+    out_q, out_c, out_d = [np.array([], dtype="int64")], [np.array([], dtype="int64")], [np.array([], dtype="float64")]
     kk = min(k, d.shape[1])
-    for i in range(d.shape[0]):
-        order = np.lexsort((col_ids, d[i]))[:kk]
-        order = order[np.isfinite(d[i][order])]
-        out_q.append(np.full(len(order), row_ids[i]))
-        out_c.append(col_ids[order])
-        out_d.append(d[i][order])
-    if not out_q:
-        return [np.array([], dtype="int64")] * 2 + [np.array([], dtype="float64")]
+    for i, row in enumerate(d):
+        near = np.flatnonzero((row <= np.partition(row, kk - 1)[kk - 1]) & np.isfinite(row))
+        near = near[np.lexsort((col_ids[near], row[near]))[:kk]]
+        out_q.append(np.full(len(near), row_ids[i]))
+        out_c.append(col_ids[near])
+        out_d.append(row[near])
     return np.concatenate(out_q), np.concatenate(out_c), np.concatenate(out_d)
 
 
+CHUNK_CELLS = 4_000_000  # doubles in a block of coordinate differences (32 MB)
+
+
+def _distances(qx: np.ndarray, cx: np.ndarray) -> np.ndarray:
+    """Squared distances, by as many rows at a time as the chunk bound allows."""
+    d = np.empty((len(qx), len(cx)))
+    step = max(1, CHUNK_CELLS // max(1, cx.size))
+    for lo in range(0, len(qx), step):
+        diff = qx[lo:lo + step, None, :] - cx[None, :, :]
+        d[lo:lo + step] = np.square(diff, out=diff).sum(axis=2)
+    return d
+
+
 def _block_topk(k: int, penalty: float):
     def run(key, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"q_id": pd.Series([], dtype="int64"), "nn_id": pd.Series([], dtype="int64"),
@@ -48,11 +61,12 @@ def _block_topk(k: int, penalty: float):
         qb, cb = int(key[0]), int(key[1])
         qx = np.stack(q["_v"].to_numpy()).astype(np.float64)
         cx = np.stack(c["_v"].to_numpy()).astype(np.float64)
-        d = ((qx[:, None, :] - cx[None, :, :]) ** 2).sum(axis=2)
+        d = _distances(qx, cx)
         if "_cat" in q.columns:
             qc = np.stack(q["_cat"].to_numpy())
             cc = np.stack(c["_cat"].to_numpy())
-            d = d + penalty * (qc[:, None, :] != cc[None, :, :]).sum(axis=2)
+            for j in range(qc.shape[1]):
+                d += penalty * (qc[:, None, j] != cc[None, :, j])
         qid = q["_id"].to_numpy().astype("int64")
         cid = c["_id"].to_numpy().astype("int64")
         d[qid[:, None] == cid[None, :]] = np.inf  # never your own neighbour
@@ -106,9 +120,8 @@ def random_undersample(df: DataFrame, key: str, is_minority, ratio: float = 0.75
     n_min, n_maj = class_counts(df, is_minority)
     n_keep = min(n_maj, int(n_min / ratio))
     d = df.withColumn("_maj", (~is_minority).cast("int"))
-    ranked = hash_rank_within(d, ["_maj"], key, seed=seed, rank_col="_r", count_col=None,
-                              bounded_groups=True)
-    return ranked.where((F.col("_maj") == 0) | (F.col("_r") <= n_keep)).drop("_maj", "_r")
+    cut = cut_by_hash(d, ["_maj"], key, [lambda n: F.least(n, F.lit(n_keep))], seed=seed)
+    return cut.where((F.col("_maj") == 0) | (F.col("_part") == 0)).drop("_maj", "_part")
 
 
 def smote(df: DataFrame, id_col: str, vec_col: str, is_minority, ratio: float = 0.5, k: int = 5,
@@ -125,6 +138,8 @@ def smote(df: DataFrame, id_col: str, vec_col: str, is_minority, ratio: float =
     n_synth = max(int(ratio * n_maj) - n_min, 0)
     spark = df.sparkSession
     schema = f"synth_id long, base_id long, nn_id long, gap double, {vec_col} array<double>"
+    if cat_col:
+        schema += f", {cat_col} {df.schema[cat_col].dataType.simpleString()}"
     if n_synth == 0 or n_min < 2:
         return spark.createDataFrame([], schema)
     kk = min(k, n_min - 1)
@@ -164,14 +179,17 @@ def smote(df: DataFrame, id_col: str, vec_col: str, is_minority, ratio: float =
 
 def rebalance(df: DataFrame, id_col: str, vec_col: str, label_col: str, minority_value,
               smote_ratio: float = 0.5, under_ratio: float = 0.75, k: int = 5,
-              seed=DEFAULT_SEED) -> DataFrame:
-    """SMOTE up to ``smote_ratio``, then undersample the majority to
-    ``under_ratio``; synthetic rows get negative ids ``-(synth_id+1)``."""
+              seed=DEFAULT_SEED, cat_col: str | None = None, penalty: float = 0.0) -> DataFrame:
+    """SMOTE (SMOTENC with ``cat_col``) up to ``smote_ratio``, then undersample
+    the majority to ``under_ratio``; synthetic rows get negative ids
+    ``-(synth_id+1)`` and NULL in any other column of ``df``."""
     is_min = F.col(label_col) == F.lit(minority_value)
-    syn = smote(df, id_col, vec_col, is_min, ratio=smote_ratio, k=k, seed=seed)
-    syn_rows = syn.select((-(F.col("synth_id") + 1)).alias(id_col),
-                          F.col(vec_col).cast(df.schema[vec_col].dataType).alias(vec_col),
-                          F.lit(minority_value).cast(df.schema[label_col].dataType).alias(label_col))
-    grown = df.select(id_col, vec_col, label_col).unionByName(syn_rows)
+    syn = smote(df, id_col, vec_col, is_min, ratio=smote_ratio, k=k, seed=seed, cat_col=cat_col, penalty=penalty)
+    own = [vec_col, *([cat_col] if cat_col else [])]
+    made = stage_table(syn.select(
+        (-(F.col("synth_id") + 1)).cast(df.schema[id_col].dataType).alias(id_col),
+        *[F.col(c).cast(df.schema[c].dataType).alias(c) for c in own],
+        F.lit(minority_value).cast(df.schema[label_col].dataType).alias(label_col)), "synthetic-rows")
+    grown = df.unionByName(made, allowMissingColumns=True)
     return random_undersample(grown, id_col, F.col(label_col) == F.lit(minority_value),
                               ratio=under_ratio, seed=seed)

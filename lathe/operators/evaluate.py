@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lathe.operators.ordering import bucketed_cumsum, exact_quantiles
 from lathe.functions.rules import tier_label
+from lathe.session import stage_table
 
 
 def _r(c, d=6):
@@ -71,7 +72,7 @@ def roc_curve(df: DataFrame, y: str, p: str, by: list[str] | None = None, digits
     c = bucketed_cumsum(g, "threshold", {"_cp": "_pos", "_cn": "_neg"}, group_cols=by, descending=True)
     tot = c.groupBy(*by).agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
     if by:
-        j = c.join(F.broadcast(tot), by)
+        j = c.join(tot, by)
     else:
         P, N = [tot.first()[k] for k in ("_P", "_N")]
         j = c.withColumn("_P", F.lit(P)).withColumn("_N", F.lit(N))
@@ -103,10 +104,13 @@ def classification_metrics(df: DataFrame, y: str, yhat: str, p: str | None = Non
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """``n / (classes · n_c)`` per row; class counts are a tiny table."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    n, k = df.count(), counts.count()
-    return df.join(F.broadcast(counts), label).withColumn(out, F.lit(float(n)) / (F.lit(k) * F.col("_nc"))).drop("_nc")
+    """``n / (classes · n_c)`` per row.  One staged count per class gives all
+    three numbers; rows without a label keep a NULL weight and count nowhere."""
+    counts = stage_table(df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("_class"))
+                         .agg(F.count(F.lit(1)).alias("_nc")), "class-counts")
+    n, k = counts.agg(F.sum("_nc"), F.count(F.lit(1))).first()
+    return (df.join(counts, F.col(label) == F.col("_class"), "left")
+            .withColumn(out, F.lit(float(n or 0)) / (F.lit(k) * F.col("_nc"))).drop("_class", "_nc"))
 
 
 def constant_baseline(df: DataFrame, y: str, majority: int, score: float = 0.5) -> DataFrame:

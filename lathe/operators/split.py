@@ -1,8 +1,11 @@
 """Leakage-safe splits, folds and samples.
 
 Randomness comes only from ``hash_order`` (md5 of key and seed), and ranks
-are exact per stratum through ``hash_rank_within``: the uniform md5 prefix
-cuts a stratum holding a third of the rows into many balanced buckets."""
+are exact per stratum: splits, sizes and undersampling locate their cut
+points by counts per md5 prefix (``cut_by_hash``), so only the rows of the
+cut buckets are ever ranked; folds, which need every rank, go through
+``hash_rank_within``.  The uniform prefix cuts a stratum holding a third of
+the rows into many balanced buckets either way."""
 
 from __future__ import annotations
 
@@ -11,8 +14,9 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lathe.functions.hashing import DEFAULT_SEED, hash_order
-from lathe.operators.ordering import hash_rank_within
+from lathe.operators.ordering import cut_by_hash, hash_rank_within
 from lathe.operators.profile import last_by_group
+from lathe.session import stage_table
 
 
 def fit_range(df: DataFrame, col: str) -> tuple[float, float]:
@@ -44,19 +48,16 @@ def _cuts(fractions) -> list[Fraction]:
 def stratified_split(df: DataFrame, key: str, strata: str | None = None,
                      fractions=(0.70, 0.15, 0.15), names=("train", "val", "test"),
                      seed=DEFAULT_SEED, out: str = "split") -> DataFrame:
-    """Exact proportions per stratum: rows ranked by ``md5(key|seed)`` inside
+    """Exact proportions per stratum: rows ordered by ``md5(key|seed)`` inside
     their stratum; the first ``round(n·f1)`` are ``train``, up to
     ``round(n·(f1+f2))`` ``val``, the rest ``test``.  Disjoint, exhaustive,
-    deterministic in the seed and independent of partitioning."""
-    groups = [strata] if strata else []
-    ranked = hash_rank_within(df, groups, key, seed=seed, rank_col="_rank", count_col="_n",
-                              bounded_groups=True)
-    expr = None
-    for part, nm in zip(_cuts(fractions), names):
-        cut = F.floor((F.col("_n") * (2 * part.numerator) + part.denominator) / (2 * part.denominator))
-        expr = F.when(F.col("_rank") <= cut, nm) if expr is None else expr.when(F.col("_rank") <= cut, nm)
-    expr = expr.otherwise(names[len(fractions) - 1])
-    return ranked.withColumn(out, expr).drop("_rank", "_n")
+    deterministic in the seed and independent of partitioning; rows of one
+    key (and stratum) never part.  Wide rows are not shuffled."""
+    def target(part: Fraction):
+        return lambda n: F.floor((n * (2 * part.numerator) + part.denominator) / (2 * part.denominator))
+    cut = cut_by_hash(df, [strata] if strata else [], key, [target(p) for p in _cuts(fractions)], seed=seed)
+    expr = F.element_at(F.array(*[F.lit(nm) for nm in names[:len(fractions)]]), F.col("_part") + 1)
+    return cut.withColumn(out, expr).drop("_part")
 
 
 def group_stratified_split(df: DataFrame, id_col: str, order_col: str, label_col: str,
@@ -65,7 +66,8 @@ def group_stratified_split(df: DataFrame, id_col: str, order_col: str, label_col
     """Split ids, stratified by their last known label; every row of an id
     lands in the id's split.  The per-id table has one row per id, so the
     join back is a plain (AQE, skew-join capable) equi-join."""
-    last = last_by_group(df, id_col, order_col, label_col, tiebreak=tiebreak, out="_last_label")
+    last = stage_table(last_by_group(df, id_col, order_col, label_col, tiebreak=tiebreak, out="_last_label")
+                       .select(id_col, "_last_label"), "last-labels")
     ids = stratified_split(last, id_col, "_last_label", fractions=fractions, seed=seed, out=out)
     return df.join(ids.select(id_col, out), id_col, "inner")
 
@@ -85,14 +87,11 @@ def learning_sizes(df: DataFrame, key: str, n_sizes: int = 8, lo: float = 0.25,
     """Nested training subsets: fractions ``linspace(lo, hi, n_sizes)``; a row
     belongs to every size from ``size_index`` on (hash-ordered prefixes)."""
     fr = [lo + (hi - lo) * i / (n_sizes - 1) for i in range(n_sizes)] if n_sizes > 1 else [hi]
-    ranked = hash_rank_within(df, [], key, seed=seed, rank_col="_rank", count_col="_n",
-                              bounded_groups=True)
-    # smallest i whose prefix holds the row
-    expr = None
-    for i, f in enumerate(fr):
-        cond = F.col("_rank") <= F.floor(F.col("_n") * F.lit(f) + F.lit(0.5))
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return ranked.withColumn(out, expr.cast("int")).drop("_rank", "_n")
+    def target(f: float):
+        return lambda n: F.floor(n * F.lit(f) + F.lit(0.5))
+    # the number of cuts before a row is the smallest size that holds it
+    cut = cut_by_hash(df, [], key, [target(f) for f in fr], seed=seed)
+    return cut.withColumn(out, F.when(F.col("_part") < len(fr), F.col("_part"))).drop("_part")
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed=DEFAULT_SEED) -> DataFrame:
