@@ -166,49 +166,63 @@ def hash_rank_within(df: DataFrame, group_cols: list[str], key: str, *, seed=42,
 
 
 def cut_by_hash(df: DataFrame, group_cols: list[str], key: str, targets, *, seed=42, out: str = "_part",
-                digits: int = 4) -> DataFrame:
+                digits: int = 3) -> DataFrame:
     """Add ``out``: how many of the cuts each row lies beyond, in ``(md5(key|seed), key)`` order inside its
     group.  ``targets`` are functions from the group size to the (ascending) ranks of the last row before
     each cut.
 
-    No row is ranked or moved but those of the buckets (leading md5 digits) that hold a cut: counts per
-    (group, bucket) are partial aggregates, they locate each cut, and all rows are then labelled by
-    comparison with their group's cut points.  The cut points (one row per group) are staged, so Spark
-    knows their size: they are broadcast below its threshold and joined by AQE beyond it.  Rows with equal
-    keys lie on the same side of every cut."""
+    No wide row moves.  Counts per (group, bucket of the leading ``digits`` of the md5) are partial
+    aggregates and locate the bucket of each cut; only the rows of those buckets are cut again by the next
+    ``digits`` and ranked there, so a task ranks about one row in ``16**(2 * digits)`` of a group.  All rows
+    are then labelled by comparison with their group's cut points.  With groups these (one row per group)
+    are staged, so Spark knows their size: broadcast below its threshold, joined by AQE beyond it.  Without
+    groups there is one per target.  Rows with equal keys lie on the same side of every cut."""
     from lathe.functions.hashing import hash_order
     gs = [f"_g{i}" for i in range(len(group_cols))]
+    names = [f"_cut{i}" for i in range(len(targets))]
     h = hash_order(key, seed=seed)
-    narrow = df.select(*[F.col(g).alias(a) for g, a in zip(group_cols, gs)], h.alias("_h"),
-                       F.col(key).alias("_key")) \
-        .withColumn("_hb", F.conv(F.substring("_h", 1, digits), 16, 10).cast("int"))
-    counts = narrow.groupBy(*gs, "_hb").agg(F.count(F.lit(1)).alias("_c"))
-    w_prev = Window.partitionBy(*gs).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
-    sized = counts.select(*gs, "_hb", "_c", F.coalesce(F.sum("_c").over(w_prev), F.lit(0)).alias("_off"),
-                          F.sum("_c").over(Window.partitionBy(*gs)).alias("_n"))
+    narrow = df.select(*[F.col(g).alias(a) for g, a in zip(group_cols, gs)], h.alias("_h"), F.col(key).alias("_key"),
+                       F.substring(h, 1, digits).alias("_b"), F.substring(h, digits + 1, digits).alias("_sub"))
+
+    def before(*by, order):
+        w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_c").over(w), F.lit(0))
+
+    n = F.sum("_c").over(Window.partitionBy(*gs))
     at = F.array(*[F.struct(F.lit(i).alias("_i"), F.least(t(F.col("_n")), F.col("_n")).cast("long").alias("_t"))
                    for i, t in enumerate(targets)])
-    need = (sized.select(*gs, "_hb", "_c", "_off", F.inline(at))
-            .where("_t > _off and _t <= _off + _c")
-            .select(*[F.col(g).alias(f"_n{g}") for g in gs], F.col("_hb").alias("_nb"), "_i",
+    need = (narrow.groupBy(*gs, "_b").agg(F.count(F.lit(1)).alias("_c"))
+            .select(*gs, "_b", "_c", before(*gs, order="_b").alias("_off"), n.alias("_n"))
+            .select(*gs, "_b", "_c", "_off", F.inline(at)).where("_t > _off and _t <= _off + _c")
+            .select(*[F.col(g).alias(f"_n{g}") for g in gs], F.col("_b").alias("_nb"), "_i",
                     (F.col("_t") - F.col("_off")).alias("_local")))
-    need = stage_table(need, "hash-need")
+    if gs:
+        need = stage_table(need, "hash-need")
+    else:  # a row per target
+        need = F.broadcast(df.sparkSession.createDataFrame(need.collect(), need.schema))
     same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_n{g}")) for g in gs],
-                  F.col("_hb") == F.col("_nb"))
-    w = Window.partitionBy(*gs, "_hb").orderBy("_h", "_key")
-    ranked = narrow.join(need, same, "left_semi").withColumn("_lr", F.row_number().over(w))
-    found = ranked.join(need, same & (F.col("_lr") == F.col("_local")))
-    cuts = stage_table(found.groupBy(*gs).agg(
-        *[F.max(F.when(F.col("_i") == i, F.struct("_h", "_key"))).alias(f"_cut{i}")
-          for i in range(len(targets))]), "hash-cuts")
-    names = [f"_cut{i}" for i in range(len(targets))]
+                  F.col("_b") == F.col("_nb"))
+    rows = narrow.join(need, same).select(*gs, "_i", "_sub", "_local", "_h", "_key")
+    spots = (rows.groupBy(*gs, "_i", "_sub").agg(F.count(F.lit(1)).alias("_c"), F.max("_local").alias("_t"))
+             .select(*gs, "_i", "_sub", "_c", "_t", before(*gs, "_i", order="_sub").alias("_off"))
+             .where("_t > _off and _t <= _off + _c")
+             .select(*[F.col(g).alias(f"_s{g}") for g in gs], F.col("_i").alias("_si"), F.col("_sub").alias("_ss"),
+                     (F.col("_t") - F.col("_off")).alias("_rest")))
+    spot = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_s{g}")) for g in gs],
+                  (F.col("_i") == F.col("_si")) & (F.col("_sub") == F.col("_ss")))
+    w = Window.partitionBy(*gs, "_i", "_sub").orderBy("_h", "_key")
+    found = rows.withColumn("_lr", F.row_number().over(w)).join(spots, spot).where("_lr = _rest")
     if gs:
+        cuts = stage_table(found.groupBy(*gs).agg(
+            *[F.max(F.when(F.col("_i") == i, F.struct("_h", "_key"))).alias(c) for i, c in enumerate(names)]),
+            "hash-cuts")
         on = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(a)) for g, a in zip(group_cols, gs)])
         df, points = df.join(cuts, on, "left"), [F.col(c) for c in names]
-    else:  # one row
-        row, key_type = cuts.first(), df.schema[key].dataType
-        points = [F.struct(F.lit(row[c]["_h"]).alias("_h"), F.lit(row[c]["_key"]).cast(key_type).alias("_key"))
-                  if row[c] else None for c in names]
+    else:
+        key_type = df.schema[key].dataType
+        row = {r["_i"]: r for r in found.select("_i", "_h", "_key").collect()}
+        points = [F.struct(F.lit(row[i]["_h"]).alias("_h"), F.lit(row[i]["_key"]).cast(key_type).alias("_key"))
+                  if i in row else None for i in range(len(targets))]
     own = F.struct(h.alias("_h"), F.col(key).alias("_key"))
     beyond = reduce(lambda a, b: a + b, [F.lit(1) if c is None else F.coalesce((own > c).cast("int"), F.lit(1))
                                          for c in points])
