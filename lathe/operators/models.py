@@ -219,12 +219,19 @@ def refine_grid(estimator, best: dict, steps: dict, valid=None) -> list:
     return b.build()
 
 
-def learning_curve(fit_fn, score_fn, df: DataFrame, size_col: str, fold_col: str, n_sizes: int, k: int):
-    """Train / validation score mean and std per nested training size."""
+def _values(df: DataFrame, col: str) -> list[int]:
+    """The values of a fold or size column, in order."""
+    return sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
+
+
+def learning_curve(fit_fn, score_fn, df: DataFrame, size_col: str, fold_col: str):
+    """Train / validation score mean and std per nested training size, over
+    every size and every fold of the frame."""
     spark = df.sparkSession
     rows = []
-    for s in range(n_sizes):
-        for fold in range(k):
+    sizes, folds = _values(df, size_col), _values(df, fold_col)
+    for s in sizes:
+        for fold in folds:
             tr = df.where((F.col(fold_col) != fold) & (F.col(size_col) <= s))
             va = df.where(F.col(fold_col) == fold)
             m = fit_fn(tr)

@@ -18,7 +18,7 @@ from lathe.operators import evaluate, explain, models, scale, split
 from lathe.plans.catalog_features import LINE_FEATS, line_split
 from lathe.plans.catalog_regression import _SQL_BASE, split_orders
 from lathe.plans.registry import query
-from lathe.session import checkpoint_dir
+from lathe.session import checkpoint_dir, stage_table
 from lathe.sources import files
 from lathe.sources.tables import table
 
@@ -154,9 +154,9 @@ def m14(spark, sf):
 @query("m15_learning_curve")
 def m15(spark, sf):
     tr = split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=5)
-    tr = split.learning_sizes(tr, "line_key", n_sizes=8, lo=0.125, hi=1.0)
+    tr = stage_table(split.learning_sizes(tr, "line_key", n_sizes=8, lo=0.25, hi=1.0), "curve-rows")
     return models.learning_curve(lambda d: models.fit_ridge(d, FEATS, "target"),
-                                 lambda m, d: _ridge_scores(m, d)["r2"], tr, "size_index", "fold", 4, 3)
+                                 lambda m, d: _ridge_scores(m, d)["r2"], tr, "size_index", "fold")
 
 
 @query("m26_coefficient_table")
