@@ -147,13 +147,18 @@ def fit_mlp_classifier(df, feats, label, hidden=(127, 64, 32), max_iter: int = 1
     return m
 
 
-def cross_validate(fit_fn, score_fn, df: DataFrame, fold_col: str, k: int):
-    """Per-fold train and validation scores (``score_fn(pred_df) -> dict``)
-    as a long table ``(fold, part, metric, value)``; aggregate it with
-    ``summarize_folds``."""
+def _values(df: DataFrame, col: str) -> list[int]:
+    """The values of a fold or size column, in order."""
+    return sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
+
+
+def cross_validate(fit_fn, score_fn, df: DataFrame, fold_col: str):
+    """Train and validation scores (``score_fn(pred_df) -> dict``) of every
+    fold of the frame as a long table ``(fold, part, metric, value)``;
+    aggregate it with ``summarize_folds``."""
     spark = df.sparkSession
     rows = []
-    for fold in range(k):
+    for fold in _values(df, fold_col):
         tr, va = df.where(F.col(fold_col) != fold), df.where(F.col(fold_col) == fold)
         m = fit_fn(tr)
         for part, d in (("train", tr), ("validation", va)):
@@ -219,11 +224,6 @@ def refine_grid(estimator, best: dict, steps: dict, valid=None) -> list:
     return b.build()
 
 
-def _values(df: DataFrame, col: str) -> list[int]:
-    """The values of a fold or size column, in order."""
-    return sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
-
-
 def learning_curve(fit_fn, score_fn, df: DataFrame, size_col: str, fold_col: str):
     """Train / validation score mean and std per nested training size, over
     every size and every fold of the frame."""

@@ -125,8 +125,8 @@ def _ridge_scores(m, d):
 
 @query("m12_cross_validate")
 def m12(spark, sf):
-    tr = split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=5)
-    folds = models.cross_validate(lambda d: models.fit_ridge(d, FEATS, "target"), _ridge_scores, tr, "fold", 3)
+    tr = stage_table(split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=5), "fold-rows")
+    folds = models.cross_validate(lambda d: models.fit_ridge(d, FEATS, "target"), _ridge_scores, tr, "fold")
     return models.summarize_folds(folds)
 
 

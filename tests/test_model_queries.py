@@ -21,3 +21,9 @@ def test_learning_curve_takes_every_size_and_fold(spark, monkeypatch):
     got = {(r.size_index, r.part) for r in cm.m15(spark, SF).collect()}
     assert got == {(s, p) for s in range(8) for p in ("train", "validation")}
     assert sorted(map(sorted, fits)) == sorted([f for f in range(5) if f != out] for out in range(5) for _ in range(8))
+
+
+def test_cross_validation_holds_every_fold_out_once(spark, monkeypatch):
+    fits = held_out(monkeypatch)
+    assert cm.m12(spark, SF).count() == 6
+    assert sorted(map(sorted, fits)) == sorted([f for f in range(5) if f != out] for out in range(5))
