@@ -1,13 +1,14 @@
 """Operator 8: URL filters from a path-template tree, in DataFrame functions only.
 
-Per host, paths are generalised level by level.  A segment with enough rows
-under its parent stays literal; otherwise its shape (digit runs as ``#``) is
-kept if that has enough rows, else it becomes the wildcard ``*``.  Sibling
-branches whose labelled share of bad pages does not differ significantly from
-their parent's are merged into the wildcard too, so only branches that say
-something of their own stay apart.  A template is rejected when its labelled
-purity, smoothed towards the share of good pages of the whole table, is below
-a threshold.  Fixed rules come first; the longest that fits wins.
+Per host, paths are generalised level by level.  A segment whose labelled share
+of bad pages differs significantly from its parent's stays literal; one with
+few rows gives way to its shape (digit runs as ``#``) if that differs, and
+stays by itself only if its own labels turn the parent's verdict.  All others
+are merged into the wildcard ``*``, so only branches that say something of
+their own stay apart, however small a share of the host they are.  A template
+is rejected when its labelled purity, smoothed towards the share of good pages
+of the whole table, is below a threshold.  Fixed rules come first; the longest
+that fits wins.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from lathe.llm.common import stage_table, table
 
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block"))
+SMOOTHING, MIN_PURITY = 10.0, 0.5
 
 
 def url_host(url: Column) -> Column:
@@ -46,26 +48,38 @@ def _stats() -> list[Column]:
     return [F.count("*").alias("n"), F.count("bad").alias("seen"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")]
 
 
-def _branches(state: DataFrame, value: str, parents: DataFrame, min_rows: int, min_share: float,
-              z_apart: float) -> DataFrame:
-    """Branches with enough rows whose bad share stands apart from their parent's."""
+def _prior(row) -> float:
+    """Share of good pages over all labelled ones (1 if none is labelled)."""
+    return 1 - row["bad"] / row["seen"] if row["seen"] else 1.0
+
+
+def _purity(seen: Column, bad: Column, smoothing: float, prior: float) -> Column:
+    return (seen - bad + smoothing * prior) / (seen + smoothing)
+
+
+def _branches(state: DataFrame, value: str, parents: DataFrame, min_rows: int, z_apart: float,
+              prior: float) -> DataFrame:
+    """Branches with enough rows, and smaller ones whose labels turn their
+    parent's verdict; apart if their bad share stands apart from its."""
     nodes = state.where(f"{value} is not null").groupBy("host", "template", value).agg(*_stats())
     p = F.col("p_bad") / F.col("p_seen")
     error = F.sqrt(p * (1 - p) * (1 / F.col("seen") - 1 / F.col("p_seen")))
     apart = ((F.col("seen") > 0) & (F.col("seen") < F.col("p_seen")) & (error > 0)
              & (F.abs(F.col("bad") / F.col("seen") - p) > z_apart * error))
-    return (nodes.join(parents, ["host", "template"])
-            .where((F.col("n") >= min_rows) & (F.col("n") >= F.col("p_n") * min_share))
+    turned = ((_purity(F.col("seen"), F.col("bad"), SMOOTHING, prior) < MIN_PURITY)
+              != (_purity(F.col("p_seen"), F.col("p_bad"), SMOOTHING, prior) < MIN_PURITY))
+    many = F.col("n") >= min_rows
+    return (nodes.join(parents, ["host", "template"]).where(many | (apart & turned))
             .select(F.col("host").alias(f"{value}_host"), F.col("template").alias(f"{value}_template"),
-                    F.col(value).alias(f"{value}_value"), apart.alias(f"{value}_apart")))
+                    F.col(value).alias(f"{value}_value"), apart.alias(f"{value}_apart"), many.alias(f"{value}_many")))
 
 
-def path_templates(paths: DataFrame, max_depth: int = 8, min_rows: int = 20, min_share: float = 0.01,
-                   z_apart: float = 2.58) -> DataFrame:
+def path_templates(paths: DataFrame, max_depth: int = 8, min_rows: int = 20, z_apart: float = 2.58) -> DataFrame:
     """Adds the template to (id, host, path, bad) rows.  Segments below
     ``max_depth`` are one wildcard tail ``/**``."""
     state = stage_table(paths.select("id", "host", "path", "bad", F.split("path", "/").alias("segments"))
                         .withColumn("template", F.lit("")), "url-tree")
+    prior = _prior(state.agg(*_stats()).first())
     deepest = state.agg(F.max(F.size("segments"))).first()[0] or 0
     for level in range(1, min(deepest, max_depth + 1)):
         segment = F.when(F.size("segments") > level, F.col("segments")[level])
@@ -74,28 +88,26 @@ def path_templates(paths: DataFrame, max_depth: int = 8, min_rows: int = 20, min
                    .select("host", "template", F.col("n").alias("p_n"), F.col("seen").alias("p_seen"),
                            F.col("bad").alias("p_bad")))
         for value in ("seg", "shape"):
-            found = _branches(state, value, parents, min_rows, min_share, z_apart)
+            found = _branches(state, value, parents, min_rows, z_apart, prior)
             state = state.join(found, (F.col("host") == F.col(f"{value}_host"))
                                & (F.col("template") == F.col(f"{value}_template"))
                                & (F.col(value) == F.col(f"{value}_value")), "left")
-        step = (F.when(F.col("seg_apart"), F.col("seg"))
-                .when(F.col("seg_apart").isNull() & F.col("shape_apart"), F.col("shape")).otherwise(F.lit("*")))
+        step = (F.when(F.col("seg_many"), F.when(F.col("seg_apart"), F.col("seg")).otherwise(F.lit("*")))
+                .when(F.col("shape_apart"), F.col("shape"))
+                .when(F.col("seg_apart"), F.col("seg")).otherwise(F.lit("*")))
         template = F.when(F.col("seg").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), step))
         state = stage_table(state.select("id", "host", "path", "bad", "segments", template.alias("template")), "url-tree")
     tail = F.when(F.size("segments") > max_depth + 1, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
     return state.select("id", "host", "path", tail.alias("template"), "bad")
 
 
-def template_verdicts(templates: DataFrame, smoothing: float = 10.0, min_purity: float = 0.5) -> DataFrame:
+def template_verdicts(templates: DataFrame, smoothing: float = SMOOTHING,
+                      min_purity: float = MIN_PURITY) -> DataFrame:
     """(host, template, purity, rejected): labelled purity smoothed towards the
     share of good pages over all labelled ones (1 if none is labelled)."""
     nodes = templates.groupBy("host", "template").agg(*_stats())
-    total = nodes.agg(F.sum("seen").alias("all_seen"), F.sum("bad").alias("all_bad"))
-    prior = F.when(F.col("all_seen") > 0, 1 - F.col("all_bad") / F.col("all_seen")).otherwise(F.lit(1.0))
-    purity = (F.col("seen") - F.col("bad") + smoothing * prior) / (F.col("seen") + smoothing)
-    row = total.first()  # two numbers
-    return (nodes.withColumn("all_seen", F.lit(row[0] or 0)).withColumn("all_bad", F.lit(row[1] or 0))
-            .withColumn("purity", purity)
+    prior = _prior(nodes.agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad")).first())  # two numbers
+    return (nodes.withColumn("purity", _purity(F.col("seen"), F.col("bad"), smoothing, prior))
             .select("host", "template", "purity", (F.col("purity") < min_purity).alias("rejected")))
 
 

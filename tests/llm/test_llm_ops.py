@@ -371,6 +371,17 @@ def test_url_templates_learn_and_generalise(spark):
     assert len({r.template for r in found}) <= 3 and "/bad/*" in {r.template for r in found}
 
 
+def test_url_branches_of_a_small_share(spark):
+    """A bad branch stands apart and is blocked whatever its share of the host."""
+    from lathe.llm.url_templates import judge_urls
+    rows = [(i, f"http://h.org/{'spam' if i < 25 else 'few' if i < 40 else 'good'}/p{i}") for i in range(3000)]
+    labels = [(i, int(i >= 40), 0) for i in range(3000)]
+    found = judge_urls(spark.createDataFrame(rows, "page_id long, url string"),
+                       spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert all((r.verdict == "block") == (r.page_id < 40) for r in found)
+    assert {r.template for r in found} == {"/spam/*", "/few/*", "/good/*"}
+
+
 def brute_targets(sizes, share=1.5, epochs=2.0):
     names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
