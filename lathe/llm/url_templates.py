@@ -13,6 +13,8 @@ that fits wins.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,19 +76,22 @@ def _branches(state: DataFrame, value: str, parents: DataFrame, min_rows: int, z
                     F.col(value).alias(f"{value}_value"), apart.alias(f"{value}_apart"), many.alias(f"{value}_many")))
 
 
-def path_templates(paths: DataFrame, max_depth: int = 8, min_rows: int = 20, z_apart: float = 2.58) -> DataFrame:
-    """Adds the template to (id, host, path, bad) rows.  Segments below
-    ``max_depth`` are one wildcard tail ``/**``."""
+def path_templates(paths: DataFrame, min_rows: int = 20, z_apart: float = 2.58) -> DataFrame:
+    """Adds the template to (id, host, path, bad) rows.  Levels run on as long
+    as some node can still part: no branch's z is above the root of its
+    parent's labelled rows, and these only get fewer from level to level, so
+    below the last such level every segment is a wildcard."""
     state = stage_table(paths.select("id", "host", "path", "bad", F.split("path", "/").alias("segments"))
                         .withColumn("template", F.lit("")), "url-tree")
     prior = _prior(state.agg(*_stats()).first())
-    deepest = state.agg(F.max(F.size("segments"))).first()[0] or 0
-    for level in range(1, min(deepest, max_depth + 1)):
+    for level in count(1):
         segment = F.when(F.size("segments") > level, F.col("segments")[level])
         state = state.withColumn("seg", segment).withColumn("shape", F.regexp_replace("seg", "[0-9]+", "#"))
         parents = (state.where("seg is not null").groupBy("host", "template").agg(*_stats())
-                   .select("host", "template", F.col("n").alias("p_n"), F.col("seen").alias("p_seen"),
-                           F.col("bad").alias("p_bad")))
+                   .where((F.col("bad") > 0) & (F.col("bad") < F.col("seen")) & (F.col("seen") > z_apart ** 2))
+                   .select("host", "template", F.col("seen").alias("p_seen"), F.col("bad").alias("p_bad")))
+        if parents.isEmpty():
+            break
         for value in ("seg", "shape"):
             found = _branches(state, value, parents, min_rows, z_apart, prior)
             state = state.join(found, (F.col("host") == F.col(f"{value}_host"))
@@ -97,8 +102,8 @@ def path_templates(paths: DataFrame, max_depth: int = 8, min_rows: int = 20, z_a
                 .when(F.col("seg_apart"), F.col("seg")).otherwise(F.lit("*")))
         template = F.when(F.col("seg").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), step))
         state = stage_table(state.select("id", "host", "path", "bad", "segments", template.alias("template")), "url-tree")
-    tail = F.when(F.size("segments") > max_depth + 1, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
-    return state.select("id", "host", "path", tail.alias("template"), "bad")
+    tail = F.repeat(F.lit("/*"), F.greatest(F.size("segments") - level, F.lit(0)))
+    return state.select("id", "host", "path", F.concat("template", tail).alias("template"), "bad")
 
 
 def template_verdicts(templates: DataFrame, smoothing: float = SMOOTHING,
@@ -119,8 +124,8 @@ def judge_urls(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url
     it is toxic or of quality 0.  Several labels of one id count as bad if any
     is; null labels say nothing.  A null url, or one without ``://``, has empty
     host and path, fits no rule, and is judged with the other such urls; rows
-    are judged one by one, so repeated rows and null ids stay; long paths end
-    in a wildcard tail; an empty table gives no rows.
+    are judged one by one, so repeated rows and null ids stay; paths are judged
+    at any depth; an empty table gives no rows.
     """
     url = F.col(url_col)
     base = pages.select(F.col(id_col).alias("id"), url_host(url).alias("host"), url_path(url).alias("path"))

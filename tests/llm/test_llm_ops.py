@@ -382,6 +382,18 @@ def test_url_branches_of_a_small_share(spark):
     assert {r.template for r in found} == {"/spam/*", "/few/*", "/good/*"}
 
 
+def test_url_branches_below_any_depth(spark):
+    """Branches that differ from the eleventh segment on are told apart."""
+    from lathe.llm.url_templates import judge_urls
+    deep = "/".join("abcdefghij")
+    rows = [(i, f"http://h.org/{deep}/{'bad' if i % 3 == 0 else 'good'}/p{i}") for i in range(300)]
+    labels = [(i, int(i % 3 != 0), 0) for i in range(200)]
+    found = judge_urls(spark.createDataFrame(rows, "page_id long, url string"),
+                       spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert all((r.verdict == "block") == ("/bad/" in r.path) for r in found)
+    assert {r.template for r in found} == {"/*" * 10 + "/bad/*", "/*" * 10 + "/good/*"}
+
+
 def brute_targets(sizes, share=1.5, epochs=2.0):
     names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
