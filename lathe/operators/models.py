@@ -197,7 +197,7 @@ def tune(estimator, param_maps: list, evaluator, df: DataFrame, fold_col: str, p
     """``CrossValidator`` with a precomputed fold column; returns the fitted
     CV model and a table of (draw, params, mean metric)."""
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=param_maps, evaluator=evaluator,
-                        foldCol=fold_col, parallelism=parallelism)
+                        foldCol=fold_col, numFolds=_values(df, fold_col)[-1] + 1, parallelism=parallelism)
     model = cv.fit(df)
     spark = df.sparkSession
     rows = [(i, ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name)), float(m))
@@ -210,17 +210,23 @@ def random_search(estimator, space: dict, n: int, evaluator, df, fold_col, seed:
     return tune(estimator, draw_param_maps(estimator, space, n, seed), evaluator, df, fold_col, parallelism)
 
 
-def refine_grid(estimator, best: dict, steps: dict, valid=None) -> list:
-    """Neighbourhood grid around the best values: ``steps = {name: [deltas]}``;
-    values failing ``valid(name, value)`` are dropped."""
+def best_params(model, evaluator) -> dict:
+    """``{name: value}`` of the best draw of a fitted search."""
+    pick = max if evaluator.isLargerBetter() else min
+    at = model.avgMetrics.index(pick(model.avgMetrics))
+    return {p.name: v for p, v in model.getEstimatorParamMaps()[at].items()}
+
+
+def refine_grid(estimator, best: dict, steps: dict, valid=None, factors: dict | None = None) -> list:
+    """Neighbourhood grid around the best values: ``steps = {name: [deltas]}``,
+    ``factors = {name: [multipliers]}``; the other best values stay as they
+    are; values failing ``valid(name, value)`` are dropped."""
     b = ParamGridBuilder()
-    for name, deltas in steps.items():
-        p = estimator.getParam(name)
-        base = best[name]
-        vals = sorted({type(base)(base + d) for d in deltas})
-        if valid:
-            vals = [v for v in vals if valid(name, v)]
-        b = b.addGrid(p, vals)
+    near = {n: {type(best[n])(best[n] + d) for d in deltas} for n, deltas in steps.items()}
+    near |= {n: {type(best[n])(best[n] * f) for f in fs} for n, fs in (factors or {}).items()}
+    b.baseOn({estimator.getParam(n): v for n, v in best.items() if n not in near})
+    for name, vals in near.items():
+        b = b.addGrid(estimator.getParam(name), [v for v in sorted(vals) if not valid or valid(name, v)])
     return b.build()
 
 

@@ -4,8 +4,7 @@ back must equal the SQL result).
 
 Model frame: lineitem ⋈ part, target ``log1p(l_extendedprice)`` for
 regression and ``l_linestatus = 'F'`` for classification, split 70/15/15 by
-hashed line key.  Tree counts and iterations are kept small in these
-registered queries (the library defaults are the reference's values)."""
+hashed line key.  Fits use the library defaults (the reference's values)."""
 
 from __future__ import annotations
 
@@ -66,24 +65,23 @@ def m02(spark, sf):
 @query("m03_fit_gbt_regressor")
 def m03(spark, sf):
     mf = model_frame(spark, sf)
-    m = models.fit_gbt_regressor(_train(mf), FEATS, "target", n_trees=10, depth=4, subsample=0.8,
-                                 colsample="0.8")
+    m = models.fit_gbt_regressor(_train(mf), FEATS, "target", subsample=0.8, colsample="0.8")
     return _reg_eval(m, mf)
 
 
 @query("m04_fit_rf_regressor")
 def m04(spark, sf):
     mf = model_frame(spark, sf)
-    return _reg_eval(models.fit_rf_regressor(_train(mf), FEATS, "target", n_trees=20), mf)
+    return _reg_eval(models.fit_rf_regressor(_train(mf), FEATS, "target"), mf)
 
 
 @query("m05_fit_stacking")
 def m05(spark, sf):
     mf = model_frame(spark, sf)
     tr = split.assign_folds(_train(mf), "line_key", k=5)
-    st = models.fit_stacking(tr, FEATS, "target", "fold", k=5, base_factories={
+    st = models.fit_stacking(tr, FEATS, "target", "fold", k=5, passthrough=True, base_factories={
         "ridge": lambda d, f, y: models.fit_ridge(d, f, y, 1.0),
-        "gbt": lambda d, f, y: models.fit_gbt_regressor(d, f, y, 5, 3)})
+        "gbt": lambda d, f, y: models.fit_gbt_regressor(d, f, y)})
     p = st.transform(mf).withColumnRenamed("prediction", "yhat")
     return evaluate.regression_metrics(p, "target", "yhat", by=["split"])
 
@@ -97,13 +95,13 @@ def m06(spark, sf):
 @query("m08_fit_rf_classifier")
 def m08(spark, sf):
     mf = model_frame(spark, sf)
-    return _cls_eval(models.fit_rf_classifier(_train(mf), FEATS, "y", n_trees=20, depth=8), mf)
+    return _cls_eval(models.fit_rf_classifier(_train(mf), FEATS, "y"), mf)
 
 
 @query("m09_fit_gbt_classifier")
 def m09(spark, sf):
     mf = model_frame(spark, sf)
-    return _cls_eval(models.fit_gbt_classifier(_train(mf), FEATS, "y", n_trees=10, depth=4), mf)
+    return _cls_eval(models.fit_gbt_classifier(_train(mf), FEATS, "y"), mf)
 
 
 @query("m10_fit_mlp_classifier")
@@ -111,7 +109,7 @@ def m10(spark, sf):
     mf = model_frame(spark, sf)
     tr = _train(mf)
     scaled, fitted = scale.standard_scale(tr, tr, FEATS)
-    m = models.fit_mlp_classifier(scaled, FEATS, "y", hidden=(127, 64, 32), max_iter=20)
+    m = models.fit_mlp_classifier(scaled, FEATS, "y", hidden=(127, 64, 32))
     d = scale.apply_scaler(mf, fitted)
     p = m.transform(models.assemble(d, FEATS))
     p = p.withColumn("p1", vector_to_array(F.col("probability"))[1])
@@ -130,24 +128,34 @@ def m12(spark, sf):
     return models.summarize_folds(folds)
 
 
+#: the reference's search space in Spark's names
+GBT_SPACE = {"maxIter": [100, 200, 300, 500], "maxDepth": [3, 4, 5, 6, 7, 8], "stepSize": [0.01, 0.05, 0.1, 0.15],
+             "subsamplingRate": [0.6, 0.7, 0.8, 0.9], "featureSubsetStrategy": ["0.6", "0.7", "0.8", "0.9"],
+             "minInfoGain": [0.0, 0.1, 0.2, 0.3], "minInstancesPerNode": [1, 2, 3, 5]}
+
+
+def _gbt_search(spark, sf):
+    """30 draws over 5 folds: (estimator, evaluator, rows, fitted search, table)."""
+    from pyspark.ml.regression import GBTRegressor
+    tr = split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=5)
+    tr = stage_table(models.assemble(tr, FEATS), "search-rows")
+    est = GBTRegressor(featuresCol="features", labelCol="target", seed=42)
+    ev = models.rmse_evaluator("target")
+    return est, ev, tr, *models.random_search(est, GBT_SPACE, 30, ev, tr, "fold")
+
+
 @query("m13_random_search")
 def m13(spark, sf):
-    from pyspark.ml.regression import LinearRegression
-    tr = models.assemble(split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=5), FEATS)
-    est = LinearRegression(featuresCol="features", labelCol="target", solver="normal")
-    _, table_ = models.random_search(est, {"regParam": (0.0, 0.1), "elasticNetParam": [0.0]}, 4,
-                                     models.rmse_evaluator("target"), tr, "fold")
-    return table_
+    return _gbt_search(spark, sf)[-1]
 
 
 @query("m14_refine_grid")
 def m14(spark, sf):
-    from pyspark.ml.regression import LinearRegression
-    tr = models.assemble(split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=5), FEATS)
-    est = LinearRegression(featuresCol="features", labelCol="target", solver="normal")
-    grid = models.refine_grid(est, {"regParam": 0.01}, {"regParam": [-0.02, -0.005, 0.0, 0.005, 0.02]},
-                              valid=lambda n, v: v >= 0)
-    _, table_ = models.tune(est, grid, models.rmse_evaluator("target"), tr, "fold")
+    """The grid around m13's best draw."""
+    est, ev, tr, search, _ = _gbt_search(spark, sf)
+    grid = models.refine_grid(est, models.best_params(search, ev), {"maxIter": [-50, 0, 50], "maxDepth": [-1, 0, 1]},
+                              valid=lambda n, v: v > 0, factors={"stepSize": [0.8, 1.0, 1.2]})
+    _, table_ = models.tune(est, grid, ev, tr, "fold")
     return table_
 
 

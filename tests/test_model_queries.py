@@ -1,5 +1,10 @@
 """The registered model queries run the whole job: every size, every fold."""
 
+import inspect
+from types import SimpleNamespace
+
+import pytest
+
 from lathe.plans import catalog_models as cm
 
 SF = "/root/testdata/sf0.001"
@@ -27,3 +32,66 @@ def test_cross_validation_holds_every_fold_out_once(spark, monkeypatch):
     fits = held_out(monkeypatch)
     assert cm.m12(spark, SF).count() == 6
     assert sorted(map(sorted, fits)) == sorted([f for f in range(5) if f != out] for out in range(5))
+
+
+def small_frame(spark, monkeypatch):
+    rows = [(i, "train", *[float(i * k % 7) for k in (1, 2, 3, 4, 5)], float(i % 9), i % 2) for i in range(60)]
+    names = ["line_key", "split", *cm.FEATS, "target", "y"]
+    frame = spark.createDataFrame(rows, names)
+    monkeypatch.setattr(cm, "model_frame", lambda *_: frame)
+    return frame
+
+
+def test_fits_use_the_operators_defaults(spark, monkeypatch):
+    small_frame(spark, monkeypatch)
+
+    class Stop(Exception):
+        pass
+
+    def settings(fit, run):
+        own = inspect.signature(getattr(cm.models, fit))
+
+        def recorded(*args, **kwargs):
+            bound = own.bind(*args, **kwargs)
+            bound.apply_defaults()
+            raise Stop(bound.arguments)
+        with monkeypatch.context() as m:
+            m.setattr(cm.models, fit, recorded)
+            with pytest.raises(Stop) as stop:
+                run(spark, SF)
+        return stop.value.args[0]
+    for fit, run, want in [("fit_gbt_regressor", cm.m03, {"n_trees": 100, "depth": 6}),
+                           ("fit_rf_regressor", cm.m04, {"n_trees": 100}),
+                           ("fit_stacking", cm.m05, {"passthrough": True, "k": 5}),
+                           ("fit_gbt_regressor", cm.m05, {"n_trees": 100, "depth": 6}),
+                           ("fit_rf_classifier", cm.m08, {"n_trees": 200, "depth": 15}),
+                           ("fit_gbt_classifier", cm.m09, {"n_trees": 100, "depth": 6}),
+                           ("fit_mlp_classifier", cm.m10, {"max_iter": 100})]:
+        got = settings(fit, run)
+        assert {k: got[k] for k in want} == want, run.__name__
+
+
+def test_search_and_grid(spark, monkeypatch):
+    """30 draws of boosted trees; the grid stands around the best of them."""
+    small_frame(spark, monkeypatch)
+    calls = []
+
+    def tune(est, maps, ev, df, fold_col, parallelism=4):
+        calls.append((type(est).__name__, maps, sorted(r[0] for r in df.select(fold_col).distinct().collect())))
+        model = SimpleNamespace(avgMetrics=[abs(i - 7.0) for i in range(len(maps))],
+                                getEstimatorParamMaps=lambda: maps)
+        return model, len(maps)
+    monkeypatch.setattr(cm.models, "tune", tune)
+    assert cm.m13(spark, SF) == 30 and len(calls[0][1][0]) == 7
+    assert cm.m14(spark, SF) == 27
+    assert all(c[0] == "GBTRegressor" and c[2] == list(range(5)) for c in calls)
+    best = {p.name: v for p, v in calls[1][1][7].items()}
+    assert best in [{p.name: v for p, v in m.items()} for m in calls[2][1]]
+
+
+def test_tune_validates_every_fold(spark, monkeypatch):
+    from pyspark.ml.regression import LinearRegression
+    tr = cm.models.assemble(cm.split.assign_folds(small_frame(spark, monkeypatch), "line_key", k=5), cm.FEATS)
+    est = LinearRegression(featuresCol="features", labelCol="target", solver="normal")
+    model, table = cm.models.tune(est, [{est.regParam: 0.1}], cm.models.rmse_evaluator("target"), tr, "fold")
+    assert model.getNumFolds() == 5 and table.count() == 1
