@@ -23,7 +23,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later repeated runs of lines; documents left without any
     line go.  n_chars follows the text."""
     from pyspark.sql import functions as F
-    cleaned = dedup_lines(docs).where("n_removed < n_lines or n_removed = 0")
+    cleaned = dedup_lines(docs, joint=True).where("n_removed < n_lines or n_removed = 0")
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return cleaned.select(*[F.col(f"`{c}`") for c in docs.columns])

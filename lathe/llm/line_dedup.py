@@ -2,7 +2,8 @@
 
 Units are lines that hold a word, with outer blanks left out.  A run counts as
 repeated from ``min_lines`` consecutive lines on, or as one line of at least
-``min_words`` words.  Winnowing over the line hashes chooses, in every window
+``min_words`` words; with ``joint`` also as fewer lines that together have
+``min_words`` words (the pipeline's rule; op2's SQL is without).  Winnowing over the line hashes chooses, in every window
 of ``min_lines`` lines, the least hash of a ``gram`` of lines, so any repeated
 run shares a fingerprint with its copies wherever it stands.  Positions of
 fingerprints met more than once are joined; from each, the match is extended
@@ -31,7 +32,7 @@ def _line_hash(line: bytes) -> bytes:
     return hashlib.blake2b(line, digest_size=16).digest()
 
 
-def _fingerprints(min_lines: int, gram: int, min_words: int):
+def _fingerprints(min_lines: int, gram: int, min_words: int, joint: bool):
     width = min_lines - gram + 1
 
     def run(batches):
@@ -46,6 +47,14 @@ def _fingerprints(min_lines: int, gram: int, min_words: int):
                         fp, key = half[k, 0], half[k]
                         rows.append(i)
                         out.append((np.array([fp]), key[:1], key[1:], np.array([k]), np.array([1])))
+                total = np.cumsum([0] + [len(x.split()) for x in lines]) if joint else None
+                for size in range(2, min(min_lines, len(lines) + 1)) if joint else ():
+                    at = np.flatnonzero(total[size:] - total[:-size] >= min_words)
+                    one, two = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
+                    for j in range(size):
+                        one, two = mix64(one ^ half[at + j, 0]), mix64(two ^ half[at + j, 1])
+                    rows.append(i)
+                    out.append((one, one, two, at, np.full(len(at), size)))
                 n = len(lines) - min_lines + 1
                 if n <= 0:
                     continue
@@ -88,14 +97,14 @@ def _without(batches):
 
 
 def repeated_line_windows(docs: DataFrame, id_col: str, text_col: str, min_lines: int = MIN_LINES, gram: int = GRAM,
-                          min_words: int = MIN_WORDS) -> DataFrame:
+                          min_words: int = MIN_WORDS, joint: bool = False) -> DataFrame:
     """(id, th, at, size) of the windows of lines that stand at an earlier
     position, ordered by id, text hash and line number."""
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{text_col}`").alias("th"),
                          F.col(f"`{text_col}`").cast("binary").alias("t"))
     id_type = docs.schema[id_col].dataType.simpleString()
     marks = stage_table(source.mapInArrow(
-        _fingerprints(min_lines, gram, min_words),
+        _fingerprints(min_lines, gram, min_words, joint),
         f"id {id_type}, th long, fp long, w1 long, w2 long, at long, size long"), "line-marks")
     met = marks.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "th", "at")

@@ -143,6 +143,19 @@ def test_line_dedup(spark, docs):
     assert dedup_lines(empty(spark)).count() == 0
 
 
+def test_pipeline_deletes_joint_lines(spark):
+    """Two repeated lines that together have 50 words go; 49 words stay."""
+    import corpus_pipeline
+    rng = random.Random(5)
+    a, b, c, d, e = (" ".join(words(rng, n, 9000)) for n in (30, 20, 29, 55, 3))
+    new = [" ".join(words(rng, 8, 9000)) for _ in range(5)]
+    texts = [f"{a}\n{b}\n{new[0]}", f"{new[1]}\n{a}\n\n{b}", f"{c}\n{b}\n{new[2]}", f"{new[3]}\n{c}\n{b}",
+             f"{d}\n{e}", f"{new[4]}\n{d}\n{e}"]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, frame, "").collect()}
+    assert got == {**dict(enumerate(texts)), 1: f"{new[1]}\n", 5: new[4]}
+
+
 def test_token_counts(spark, docs):
     from tokenizers import Tokenizer
     from lathe.llm.token_counts import count_tokens, document_token_counts, write_tokens
