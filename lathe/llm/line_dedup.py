@@ -1,14 +1,14 @@
-"""Operator 2: deletion of repeated runs of lines by winnowing.
+"""Operator 2: deletion of repeated runs of lines.
 
 Units are lines that hold a word, with outer blanks left out.  A run counts as
 repeated from ``min_lines`` consecutive lines on, or as one line of at least
 ``min_words`` words; with ``joint`` also as fewer lines that together have
-``min_words`` words (the pipeline's rule; op2's SQL is without).  Winnowing over the line hashes chooses, in every window
-of ``min_lines`` lines, the least hash of a ``gram`` of lines, so any repeated
-run shares a fingerprint with its copies wherever it stands.  Positions of
-fingerprints met more than once are joined; from each, the match is extended
-both ways to the windows that own the fingerprint, and windows whose text was
-met at an earlier position are deleted; unions of such windows are the runs.
+``min_words`` words (the pipeline's rule; op2's SQL is without).  Every such
+run is a window, and windows are grouped whole by a 128-bit hash of their
+lines; those whose text was met at an earlier position are deleted, and unions
+of such windows are the runs.  Nothing is selected or extended as in
+winnowing: the least hash of a ``gram`` of lines in a window is only a filter
+before the grouping, which would give the same rows without it.
 """
 
 from __future__ import annotations
