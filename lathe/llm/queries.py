@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from lathe.llm.ann import op7_ann
+from lathe.llm.byte_bpe import op12_byte_bpe
 from lathe.llm.line_dedup import op2_line_dedup
+from lathe.llm.merkle import op11_merkle
 from lathe.llm.mixing import op9_mixing
 from lathe.llm.ngram_join import op4_ngram_join
 from lathe.llm.packing import op10_packing
@@ -15,7 +17,7 @@ from lathe.llm.warc import op5_warc
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_line_dedup, op3_token_counts, op4_ngram_join, op5_warc, op6_quality_rules, op7_ann,
-    op8_url_templates, op9_mixing, op10_packing)}
+    op8_url_templates, op9_mixing, op10_packing, op11_merkle, op12_byte_bpe)}
 
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -44,6 +46,49 @@ kept AS (
          coalesce(string_agg(raw, chr(10) ORDER BY k) FILTER (WHERE cut IS NULL), '') AS rest FROM marked GROUP BY doc_id)
 SELECT doc_id, n_lines, n_removed, CASE WHEN text IS NOT NULL THEN sha256(rest) END AS text_sha256
 FROM documents JOIN kept USING (doc_id)""",
+    "op11_merkle": """
+WITH RECURSIVE
+-- CRC-32: every byte enters, then eight steps of one bit (-1)
+crc AS (SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+    string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda x, b: CASE WHEN b >= 0 THEN xor(x, b) WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS crc
+  FROM documents),
+fields AS (SELECT doc_id, lang, text,
+  CASE WHEN crc % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS changed,
+  coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+  || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS front
+  FROM crc),
+leaves AS (SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS g,
+  sha256(front || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+  sha256(front || coalesce(strlen(changed) || ':' || changed, '-')) AS other FROM fields),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r FROM leaves),
+nodes(g, k, j, h) AS (
+  SELECT g, 0, r, leaf FROM ranked UNION ALL
+  SELECT g, k + 1, j // 8, sha256(string_agg(h, '' ORDER BY j))
+  FROM (SELECT *, count(*) OVER (PARTITION BY g) AS c FROM nodes) WHERE c > 1 GROUP BY g, k, j // 8),
+subroots AS (SELECT g, arg_max(h, k) AS subroot, row_number() OVER (ORDER BY g) - 1 AS r FROM nodes GROUP BY g),
+tops(k, j, h) AS (
+  SELECT 0, r, subroot FROM subroots UNION ALL
+  SELECT k + 1, j // 8, sha256(string_agg(h, '' ORDER BY j))
+  FROM (SELECT *, count(*) OVER () AS c FROM tops) WHERE c > 1 GROUP BY k, j // 8),
+beside AS (SELECT g, k, j,
+  coalesce(string_agg(h, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(h, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r,
+  count(*) OVER (PARTITION BY g, k) AS c
+  FROM (SELECT g, k, j, h FROM nodes UNION ALL SELECT NULL, k, j, h FROM tops) WINDOW run AS (PARTITION BY g, k, j // 8 ORDER BY j)),
+climb(doc_id, leaf, g, k, j, cur, proof) AS (
+  SELECT doc_id, leaf, g, 0, r, other, '' FROM ranked UNION ALL
+  SELECT c.doc_id, c.leaf, c.g, c.k + 1, c.j // 8, sha256(b.l || c.cur || b.r), c.proof || b.l || b.r
+  FROM climb c JOIN beside b ON b.g = c.g AND b.k = c.k AND b.j = c.j WHERE b.c > 1),
+below AS (SELECT c.*, s.subroot, s.r FROM climb c JOIN beside b ON b.g = c.g AND b.k = c.k AND b.j = c.j
+  JOIN subroots s ON s.g = c.g WHERE b.c = 1),
+ascent(doc_id, leaf, subroot, k, j, cur, proof) AS (
+  SELECT doc_id, leaf, subroot, 0, r, cur, proof FROM below UNION ALL
+  SELECT c.doc_id, c.leaf, c.subroot, c.k + 1, c.j // 8, sha256(b.l || c.cur || b.r), c.proof || b.l || b.r
+  FROM ascent c JOIN beside b ON b.g IS NULL AND b.k = c.k AND b.j = c.j WHERE b.c > 1),
+top AS (SELECT arg_max(h, k) AS root, max(k) AS k FROM tops)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified
+FROM ascent JOIN top USING (k)""",
     "op5_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 q AS (SELECT *, strlen(html) AS payload_bytes, max(page_id) OVER (PARTITION BY html) AS largest FROM p),
