@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lathe.llm.ann import op7_ann
 from lathe.llm.byte_bpe import op12_byte_bpe
+from lathe.llm.lexical_search import op13_lexical_search
 from lathe.llm.line_dedup import op2_line_dedup
 from lathe.llm.merkle import op11_merkle
 from lathe.llm.mixing import op9_mixing
@@ -17,11 +18,31 @@ from lathe.llm.warc import op5_warc
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_line_dedup, op3_token_counts, op4_ngram_join, op5_warc, op6_quality_rules, op7_ann,
-    op8_url_templates, op9_mixing, op10_packing, op11_merkle, op12_byte_bpe)}
+    op8_url_templates, op9_mixing, op10_packing, op11_merkle, op12_byte_bpe, op13_lexical_search)}
 
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLE: dict[str, str] = {
+    "op13_lexical_search": """
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row,
+         unnest(regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS raw FROM documents),
+t AS (SELECT doc_id, row, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+sizes AS (SELECT row, count(*) AS n FROM t GROUP BY row),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes),
+tfs AS (SELECT row, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM t GROUP BY row, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM tfs, whole GROUP BY term, docs),
+b AS (SELECT item_id, row_number() OVER () AS item,
+             unnest(regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS raw FROM benchmark),
+asked AS (SELECT DISTINCT item_id, item, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM b),
+scores AS (
+  SELECT item, any_value(item_id) AS item_id, row, any_value(doc_id) AS doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total)))) AS BIGINT) AS score
+  FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN sizes USING (row), whole GROUP BY item, row),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+           FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
     "op2_line_dedup": f"""
 WITH l AS (
   SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS k,

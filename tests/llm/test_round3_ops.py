@@ -150,3 +150,94 @@ def test_byte_bpe_cuts():
     for size in (1, 7, 300):
         ids = [i for p, _ in byte_bpe.parts(text, size) for i in codec.encoding.encode_ordinary(p)]
         assert ids == whole
+
+
+# -- ranked lexical search --------------------------------------------------
+
+TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def terms_of(text):
+    return [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in TERM.findall(text or "")]
+
+
+def brute_search(docs, items, k=10):
+    bags = [(r[0], Counter(terms_of(r[1]))) for r in docs]
+    bags = [b for b in bags if b[1]]
+    n_docs, total = len(bags), sum(sum(b[1].values()) for b in bags)
+    df = Counter(t for _, bag in bags for t in bag)
+    out = Counter()
+    for item_id, text in items:
+        found = []
+        for doc_id, bag in bags:
+            m = 100 - 90 + 90 * sum(bag.values()) * n_docs // total
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                        * (1000000000 * bag[t] // (1000 * bag[t] + 8 * m)) for t in set(terms_of(text)) if t in bag)
+            if score > 0:
+                found.append((-score, doc_id is None, doc_id or 0))
+        for rank, (score, none, doc_id) in enumerate(sorted(found)[:k], 1):
+            out[(item_id, rank, None if none else doc_id, -score)] += 1
+    return out
+
+
+def search_tables():
+    rng = random.Random(9)
+    vocabulary = [f"t{i}" for i in range(300)] + ["Éa", "naïve", "日本", "B2"]
+
+    def text(n):
+        return "".join(rng.choice(vocabulary) + rng.choice([" ", ", ", "\n", "--"]) for _ in range(n))
+    items = [(i, text(rng.choice([1, 5, 40]))) for i in range(25)]
+    items += [(100, None), (101, ""), (102, "zzz yyy"), (3, items[3][1]), (None, "t1 T1 t2"), (103, "  t4!t4 ")]
+    docs = [(i, text(rng.choice([1, 4, 60, 300])), "en", "s", 0) for i in range(400)]
+    docs += [(500 + i, text(3) + items[i % 20][1] + text(30), "en", "s", 0) for i in range(60)]
+    docs += [(700 + i, docs[5][1], "en", "s", 0) for i in range(300)]  # copies: ties
+    docs += [(9, docs[9][1], "en", "s", 0), (None, docs[9][1], "en", "s", 0), (None, items[1][1], None, None, None),
+             (800, None, None, None, None), (801, "", "en", "s", 0), (802, " .!\n", "en", "s", 0),
+             (803, text(60_000), "en", "s", 0), (804, "x" * 3_000_000 + " t1", "en", "s", 0)]
+    rng.shuffle(docs)
+    return docs, items
+
+
+def test_lexical_search(spark, tmp_path, monkeypatch):
+    from lathe.llm import lexical_search
+    monkeypatch.setattr(lexical_search, "SUBTREE", 128)
+    docs, items = search_tables()
+    d = spark.createDataFrame(docs, DOCS).selectExpr("*", "1 AS id", "2 AS n", "3 AS codes", "4 AS tf", "5 AS rank", "6 AS t")
+    b = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS item", "2 AS terms", "3 AS doc_id")
+    sf = parquet_dir(tmp_path, documents=d, benchmark=b)
+    want = brute_search(docs, items)
+    assert Counter(tuple(r) for r in lexical_search.op13_lexical_search(spark, sf).collect()) == want
+    monkeypatch.setattr(lexical_search, "BLOCK_ITEMS", 4)  # many blocks of items, small ones by terms
+    monkeypatch.setattr(lexical_search, "BLOCK_TERMS", 30)
+    few = [i for i in items if i[0] is None or i[0] > 18]
+    report = {}
+    found = lexical_search.ranked_search(spark.createDataFrame(docs, DOCS), spark.createDataFrame(
+        few, "item_id long, text string").coalesce(1), report=report)
+    assert Counter(tuple(r) for r in found.collect()) == brute_search(docs, few)
+    assert 0 < report["scored"] < report["pairs"]
+
+
+def test_lexical_search_empty(spark):
+    from lathe.llm.lexical_search import ranked_search
+    items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    assert ranked_search(empty(spark), items).collect() == []
+    docs = spark.createDataFrame([(1, "a", None, None, 1)], DOCS)
+    assert ranked_search(docs, items.limit(0)).collect() == []
+    assert [r["doc_id"] for r in ranked_search(docs, items).collect()] == [1]
+
+
+def test_ball_bounds():
+    """No ball's bound lies below the score of a document in it."""
+    from lathe.llm.lexical_search import Items, Rows, Tree, _leaf_scores
+    rng = np.random.default_rng(2)
+    rows = [np.sort(rng.choice(200, rng.integers(1, 40), replace=False)) for _ in range(300)]
+    start = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    x = Rows(start, np.concatenate(rows), rng.integers(1, 10**11, start[-1]))
+    tree = Tree(x)
+    vocabulary = np.arange(200)
+    items = Items([np.sort(rng.choice(200, n, replace=False)) for n in (1, 5, 40, 200)], vocabulary)
+    bound = tree.bounds(items, np.arange(4))
+    for i, codes in enumerate(items.codes):
+        wanted = np.isin(tree.vocabulary, codes).astype(np.int64)
+        for node in range(len(tree.lo)):
+            assert _leaf_scores(tree, node, wanted).max() <= bound[node, i]
