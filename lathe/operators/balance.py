@@ -1,11 +1,15 @@
 """Class rebalancing.
 
-k-NN is exact and blocked: rows are hashed into ``B`` blocks; every block
-pair ``qb <= cb`` meets in one ``cogroup`` task that computes the pair's
-distance matrix with numpy and emits only the k best candidates per row of
-both blocks, so no task ever holds more than two blocks and no all-pairs
-table is materialised.  A final top-k over the ``B·k``
-survivors per row gives the exact neighbours (ties by neighbour id).
+k-NN is exact, blocked and pruned.  Rows are ordered by their nearest pivot (of
+a bounded sample) and their distance to it, and cut into blocks of
+``block_rows``.  A search in each block and the two beside it gives every row a
+first k-th distance.
+By the triangle inequality two rows are at least as far apart as their
+distances to any pivot differ, so a block pair whose pivot intervals lie
+further apart than both blocks' largest k-th distance is skipped; in the pairs
+that are left, rows whose own k-th distance rules the other block out are
+skipped too.  No task holds more than two blocks, and a final top-k over the
+survivors gives the exact neighbours (ties by neighbour id).
 Synthetic draws (base row, neighbour, gap) are hash-derived, hence
 reproducible and checkable in SQL.
 """
@@ -19,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lathe.functions.hashing import DEFAULT_SEED, hash_int, hash_unit
-from lathe.operators.ordering import cut_by_hash, hash_rank_within
+from lathe.operators.ordering import cut_by_hash, global_row_number, hash_rank_within
 from lathe.session import stage_table
 
 _KNN_SCHEMA = "q_id long, nn_id long, dist2 double"
@@ -52,61 +56,160 @@ def _distances(qx: np.ndarray, cx: np.ndarray) -> np.ndarray:
     return d
 
 
-def _block_topk(k: int, penalty: float):
+PIVOTS = 32           # pivots of the k-NN, from a sample of 1,024 rows
+_CHUNK = 256          # blocks whose pivot intervals are compared in one task
+
+
+def _pivots(base: DataFrame) -> np.ndarray:
+    """Rows far from each other among the 1,024 of smallest hash: they only
+    steer which pairs can be skipped."""
+    drawn = base.orderBy(hash_int("_id", modulus=2**31, seed="pivot"), "_id").limit(1024).select("_v").collect()
+    x = np.array([r["_v"] for r in drawn], np.float64)
+    chosen = [0]
+    away = ((x - x[0]) ** 2).sum(axis=1)
+    while len(chosen) < min(PIVOTS, len(x)) and away.max() > 0:
+        chosen.append(int(away.argmax()))
+        away = np.minimum(away, ((x - x[chosen[-1]]) ** 2).sum(axis=1))
+    chain, left = [chosen.pop(0)], chosen  # near pivots get near numbers, and blocks follow these
+    while left:
+        chain.append(min(left, key=lambda i: ((x[i] - x[chain[-1]]) ** 2).sum()))
+        left.remove(chain[-1])
+    return x[chain]
+
+
+def _to_pivots(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.sqrt(_distances(x, pivots))
+
+
+def _matrix(part: pd.DataFrame, column: str) -> np.ndarray:
+    return np.stack(part[column].to_numpy()).astype(np.float64)
+
+
+def _pair_distances(q: pd.DataFrame, c: pd.DataFrame, penalty: float) -> np.ndarray:
+    d = _distances(_matrix(q, "_v"), _matrix(c, "_v"))
+    if "_cat" in q.columns:
+        qc, cc = np.stack(q["_cat"].to_numpy()), np.stack(c["_cat"].to_numpy())
+        for j in range(qc.shape[1]):
+            d += penalty * (qc[:, None, j] != cc[None, :, j])
+    d[q["_id"].to_numpy()[:, None] == c["_id"].to_numpy()[None, :]] = np.inf  # never your own neighbour
+    return d
+
+
+def _found(parts) -> pd.DataFrame:
+    q, c, d = (np.concatenate(x) for x in zip(*parts)) if parts else ([], [], [])
+    return pd.DataFrame({"q_id": np.asarray(q, "int64"), "nn_id": np.asarray(c, "int64"), "dist2": np.asarray(d, "float64")})
+
+
+def _own_block(k: int, penalty: float):
+    """The k best among its own block and the two beside it for each row of a block."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        mine = rows[rows["_b"] == rows["_home"]]
+        if not len(mine):
+            return _found([])
+        ids = mine["_id"].to_numpy().astype("int64")
+        return _found([_topk_rows(_pair_distances(mine, other, penalty), ids, other["_id"].to_numpy().astype("int64"), k)
+                       for _, other in rows.groupby("_b")])
+    return run
+
+
+def _two_blocks(k: int, penalty: float):
+    """The k best candidates across a block pair for the rows that can have any:
+    those whose k-th distance so far reaches the other block."""
+    def reach(mine: pd.DataFrame, other: pd.DataFrame) -> np.ndarray:
+        a, b = _matrix(mine, "_pd"), _matrix(other, "_pd")
+        gap = np.maximum(a - b.max(axis=0), b.min(axis=0) - a).max(axis=1)
+        bound = np.maximum(gap - 1e-9 * (a.max() + b.max()), 0) ** 2
+        return bound <= mine["_tau"].to_numpy()
+
     def run(key, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"q_id": pd.Series([], dtype="int64"), "nn_id": pd.Series([], dtype="int64"),
-                              "dist2": pd.Series([], dtype="float64")})
         if q.empty or c.empty:
-            return empty
-        qb, cb = int(key[0]), int(key[1])
-        qx = np.stack(q["_v"].to_numpy()).astype(np.float64)
-        cx = np.stack(c["_v"].to_numpy()).astype(np.float64)
-        d = _distances(qx, cx)
-        if "_cat" in q.columns:
-            qc = np.stack(q["_cat"].to_numpy())
-            cc = np.stack(c["_cat"].to_numpy())
-            for j in range(qc.shape[1]):
-                d += penalty * (qc[:, None, j] != cc[None, :, j])
-        qid = q["_id"].to_numpy().astype("int64")
-        cid = c["_id"].to_numpy().astype("int64")
-        d[qid[:, None] == cid[None, :]] = np.inf  # never your own neighbour
-        parts = [_topk_rows(d, qid, cid, k)]
-        if qb != cb:  # the distance is symmetric: the same matrix serves the other block
-            parts.append(_topk_rows(d.T, cid, qid, k))
-        return pd.DataFrame({"q_id": np.concatenate([p[0] for p in parts]).astype("int64"),
-                             "nn_id": np.concatenate([p[1] for p in parts]).astype("int64"),
-                             "dist2": np.concatenate([p[2] for p in parts]).astype("float64")})
+            return _found([])
+        parts = []
+        for mine, other in ((q, c), (c, q)):
+            mine = mine[reach(mine, other)]
+            if len(mine):
+                parts.append(_topk_rows(_pair_distances(mine, other, penalty), mine["_id"].to_numpy().astype("int64"),
+                                        other["_id"].to_numpy().astype("int64"), k))
+        return _found(parts)
     return run
 
 
+def _close_pairs(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    """The block pairs of two chunks whose intervals do not rule each other out."""
+    none = pd.DataFrame({"a": np.zeros(0, "int64"), "b": np.zeros(0, "int64")})
+    if a.empty or b.empty:
+        return none
+    alo, ahi, blo, bhi = _matrix(a, "lo"), _matrix(a, "hi"), _matrix(b, "lo"), _matrix(b, "hi")
+    out = []
+    for i in range(len(a)):
+        gap = np.maximum(alo[i] - bhi, blo - ahi[i]).max(axis=1)
+        bound = np.maximum(gap - 1e-9 * (ahi[i].max() + bhi.max(axis=1)), 0) ** 2
+        near = (bound <= np.maximum(a["tau"].iloc[i], b["tau"].to_numpy())) & (a["_b"].iloc[i] + 1 < b["_b"].to_numpy())
+        out.append(pd.DataFrame({"a": np.full(near.sum(), a["_b"].iloc[i], "int64"), "b": b["_b"].to_numpy()[near].astype("int64")}))
+    return pd.concat(out) if out else none
+
+
 def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, cat_col: str | None = None,
-        penalty: float = 0.0, block_rows: int = 2048) -> DataFrame:
+        penalty: float = 0.0, block_rows: int = 2048, report: dict | None = None) -> DataFrame:
     """Exact k nearest neighbours (squared Euclidean, plus ``penalty`` per
-    categorical mismatch) of every row among the other rows of ``df``.
-    Only block pairs ``qb <= cb`` are formed (the distance is symmetric, so
-    one matrix answers both blocks): B(B+1)/2 tasks of at most two blocks
-    each.  Returns ``(id, nn_rank, nn_id, dist2)``."""
-    n = df.count()
-    blocks = max(1, math.ceil(n / block_rows))
-    cols = [F.col(id_col).cast("long").alias("_id"), F.col(vec_col).alias("_v")]
+    categorical mismatch) of every row among the other rows of ``df``: (id,
+    nn_rank, nn_id, dist2).  ``report`` receives "pairs" and "compared", the
+    numbers of block pairs and of those that were not skipped."""
+    cols = [F.col(id_col).cast("long").alias("_id"), F.col(vec_col).cast("array<double>").alias("_v")]
     if cat_col:
         cols.append(F.col(cat_col).alias("_cat"))
-    base = df.select(*cols).withColumn("_b", hash_int("_id", modulus=blocks, seed="knn"))
-    data = [c for c in base.columns if c != "_b"]
-    # fresh aliases on each side: the two sides of the cogroup descend from
-    # the same plan and must not share attribute ids
-    q = base.select(*[F.col(c).alias(c) for c in data], F.col("_b").alias("_qb"),
-                    F.explode(F.sequence(F.col("_b"), F.lit(blocks - 1))).alias("_cb"))
-    c = base.select(*[F.col(c).alias(c) for c in data], F.col("_b").alias("_cb"),
-                    F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("_qb"))
-    cand = (q.groupBy("_qb", "_cb").cogroup(c.groupBy("_qb", "_cb"))
-            .applyInPandas(_block_topk(k, penalty), _KNN_SCHEMA))
-    w = Window.partitionBy("q_id").orderBy("dist2", "nn_id")  # <= blocks*k rows per id
-    best = cand.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
+    base = stage_table(df.select(*cols), "knn-rows")
+    n = base.count()
+    blocks = max(1, math.ceil(n / block_rows))
+    if blocks == 1:
+        one = base.select("*", *[F.lit(0).cast("long").alias(c) for c in ("_b", "_home")])
+        found = one.groupBy("_home").applyInPandas(_own_block(k, penalty), _KNN_SCHEMA)
+    else:
+        found = _pruned(base, k, penalty, block_rows, blocks, report)
+    w = Window.partitionBy("q_id").orderBy("dist2", "nn_id")  # at most k rows of each block compared
+    best = found.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
     return best.select(F.col("q_id").alias(id_col), F.col("nn_rank").cast("int"),
                        "nn_id", "dist2")
 
 
+def _pruned(base: DataFrame, k: int, penalty: float, block_rows: int, blocks: int, report: dict | None) -> DataFrame:
+    pivots = _pivots(base)
+    p = len(pivots)
+
+    @F.pandas_udf("array<double>")
+    def to_pivots(v: pd.Series) -> pd.Series:
+        return pd.Series(list(_to_pivots(np.stack(v.to_numpy()).astype(np.float64), pivots)))
+    placed = base.withColumn("_pd", to_pivots("_v")).withColumn("_near", F.array_min("_pd"))
+    placed = placed.withColumn("_cell", F.array_position("_pd", F.col("_near")))
+    ranked = global_row_number(placed, ["_cell", "_near", "_id"], col="_rn")
+    rows = stage_table(ranked.withColumn("_b", F.expr(f"(_rn - 1) div {block_rows}")).drop("_rn", "_near", "_cell"), "knn-blocks")
+    beside = rows.withColumn("_home", F.explode(F.sequence(F.greatest(F.col("_b") - 1, F.lit(0)),
+                                                           F.least(F.col("_b") + 1, F.lit(blocks - 1)))))
+    own = stage_table(beside.groupBy("_home").applyInPandas(_own_block(k, penalty), _KNN_SCHEMA), "knn-own")
+    # the k-th distance so far; fewer candidates rule nothing out
+    tau = own.groupBy(F.col("q_id").alias("_id")).agg(F.array_sort(F.collect_list("dist2")).alias("_d")).select(
+        "_id", F.coalesce(F.try_element_at("_d", F.lit(k)), F.lit(float("inf"))).alias("_tau"))
+    reached = stage_table(rows.join(tau, "_id", "left").withColumn("_tau", F.coalesce("_tau", F.lit(float("inf")))), "knn-reach")
+    stats = reached.groupBy("_b").agg(
+        F.array(*[F.min(F.col("_pd")[i]) for i in range(p)]).alias("lo"),
+        F.array(*[F.max(F.col("_pd")[i]) for i in range(p)]).alias("hi"), F.max("_tau").alias("tau"))
+    stats = stage_table(stats.withColumn("_chunk", F.expr(f"_b div {_CHUNK}")), "knn-intervals")
+    chunks = -(-blocks // _CHUNK)
+    left = stats.withColumn("_other", F.explode(F.sequence(F.col("_chunk"), F.lit(chunks - 1)))) \
+        .select(F.col("_chunk").alias("_ca"), F.col("_other").alias("_cb"), "_b", "lo", "hi", "tau")
+    right = stats.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_chunk")))) \
+        .select(F.col("_other").alias("_ca"), F.col("_chunk").alias("_cb"), *[F.col(c).alias(c) for c in ("_b", "lo", "hi", "tau")])
+    pairs = stage_table(left.groupBy("_ca", "_cb").cogroup(right.groupBy("_ca", "_cb"))
+                        .applyInPandas(_close_pairs, "a long, b long"), "knn-pairs")
+    if report is not None:
+        report.update(pairs=blocks * (blocks - 1) // 2, compared=pairs.count() + blocks - 1)
+    data = [c for c in reached.columns if c != "_b"]
+    q = reached.join(pairs, F.col("_b") == F.col("a")).select("a", "b", *data)
+    c = reached.join(pairs, F.col("_b") == F.col("b")).select(*[F.col(x).alias(x) for x in ("a", "b", *data)])
+    across = (q.groupBy("a", "b").cogroup(c.groupBy("a", "b")).applyInPandas(_two_blocks(k, penalty), _KNN_SCHEMA))
+    return own.unionByName(across)
+
+
 def class_counts(df: DataFrame, is_minority) -> tuple[int, int]:
     r = df.agg(F.count_if(is_minority).alias("mn"),
                F.count_if(~is_minority).alias("mj")).first()

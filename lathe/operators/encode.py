@@ -6,14 +6,19 @@ routing rule), so train, validation and test always get the same columns."""
 from __future__ import annotations
 
 import re
+import uuid
 from itertools import chain
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from lathe.functions.text import safe_names, strip_blanks
 from lathe.operators.joins import map_encode_join
-from lathe.operators.ordering import exact_quantiles
+from lathe.operators.ordering import global_row_number
+from lathe.operators.quantiles import wide_quantiles
 from lathe.operators.windows import frequency_rank
+from lathe.session import checkpoint_dir, stage_table
 
 
 def _map_literal(mapping: dict) -> Column:
@@ -98,6 +103,38 @@ def multi_select_flags(train: DataFrame, df: DataFrame, col: str, sep: str = ","
     return df.select("*", *flags, F.size(F.split(F.col(col), re.escape(sep), -1)).alias(count_col))
 
 
+def fit_token_index(train: DataFrame, tokens: Column) -> DataFrame:
+    """(name, index): the distinct tokens of an array column, numbered from 0
+    in their order without passing through the driver or one task."""
+    names = train.select(F.explode(tokens).alias("name")).where("name is not null").distinct()
+    return stage_table(global_row_number(names, ["name"], col="_n").select("name", (F.col("_n") - 1).cast("int").alias("index")),
+                       "token-index")
+
+
+def sparse_indicators(df: DataFrame, id_col: str, tokens: Column, index: DataFrame, out: str = "features") -> DataFrame:
+    """(id, ``out``): a 0/1 indicator for each token of ``index`` as the parts of
+    a sparse vector (size, sorted indices, values).  Tokens without an index are
+    left out; a row without any (or with NULL) has an empty one.  ``id_col``
+    identifies the row.  Any number of tokens, as no column is made for one."""
+    size = index.count()
+    met = (df.select(F.col(id_col).alias("_id"), F.explode(F.array_distinct(tokens)).alias("name"))
+           .join(index, "name").groupBy("_id").agg(F.array_sort(F.collect_list("index")).alias("_at")))
+    held = df.select(F.col(id_col)).join(met, F.col(id_col).eqNullSafe(F.col("_id")), "left")
+    at = F.coalesce("_at", F.array().cast("array<int>"))
+    return held.select(id_col, F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), at.alias("indices"),
+        F.transform(at, lambda _: F.lit(1.0)).alias("values")).alias(out))
+
+
+def as_vectors(df: DataFrame, col: str = "features") -> DataFrame:
+    """Sparse parts (``sparse_indicators``) as a Spark ML vector column: written
+    once and read again as vectors, whose stored form is just these parts."""
+    schema = StructType([StructField(f.name, VectorUDT(), True) if f.name == col else f for f in df.schema])
+    path = f"{checkpoint_dir(df.sparkSession)}/lathe-stage/vectors-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def fit_top_k(train: DataFrame, col: str, k: int = 10) -> list:
     top = (train.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
            .orderBy(F.desc("n"), F.asc_nulls_first(col)).limit(k).collect())
@@ -148,11 +185,8 @@ def route_by_cardinality(train: DataFrame, cols: list[str], bands=(2, 10, 30)) -
 
 
 def fit_medians(train: DataFrame, cols: list[str]) -> dict:
-    """Exact median per column (NULLs ignored): one unpivot, exact ranks."""
-    long = train.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        [], cols, "column", "value")
-    med = exact_quantiles(long, "value", [0.5], group_cols=["column"], names=["median"],
-                          bounded_groups=True)
+    """Exact median per column (NULLs ignored), all columns at once."""
+    med = wide_quantiles(train, cols, [0.5], ["median"])
     return {r["column"]: r["median"] for r in med.collect()}
 
 

@@ -9,7 +9,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from lathe.operators.ordering import bucketed_cumsum, exact_quantiles
+from lathe.operators.ordering import bucketed_cumsum
+from lathe.operators.quantiles import exact_quantiles
 from lathe.functions.rules import tier_label
 from lathe.session import stage_table
 
@@ -125,7 +126,7 @@ def residual_stats(df: DataFrame, y: str, yhat: str, by: list[str] | None = None
     g = df.groupBy(*by).agg(F.avg(res).alias("mean"), F.stddev_pop(res).alias("std"),
                             F.min(res).alias("min"), F.max(res).alias("max"),
                             F.avg(F.abs(res)).alias("_mae"))
-    med = exact_quantiles(df, y, [0.5], group_cols=by, names=["_med"], bounded_groups=True)
+    med = exact_quantiles(df, y, [0.5], group_cols=by, names=["_med"])
     j = g.join(med, by) if by else g.withColumn("_med", F.lit(med.first()["_med"]))
     return j.select(*by, _r(F.col("mean"), digits).alias("mean"), _r(F.col("std"), digits).alias("std"),
                     _r(1.96 * F.col("std"), digits).alias("ci95"), _r(F.col("min"), digits).alias("min"),
@@ -141,7 +142,7 @@ def error_by_band(df: DataFrame, y: str, yhat: str, bands: list[tuple[str, float
         .where(F.col("band").isNotNull()).withColumn("_ae", F.abs("_e"))
     g = d.groupBy("band").agg(F.count(F.lit(1)).alias("count"), F.avg("_ae").alias("mean_error"),
                               F.sqrt(F.avg(F.col("_e") * F.col("_e"))).alias("rmse"))
-    med = exact_quantiles(d, "_ae", [0.5], group_cols=["band"], names=["median_error"], bounded_groups=True)
+    med = exact_quantiles(d, "_ae", [0.5], group_cols=["band"], names=["median_error"])
     j = g.join(med, "band")
     return j.select("band", F.col("count").cast("long"), _r(F.col("mean_error"), digits).alias("mean_error"),
                     _r(F.col("median_error"), digits).alias("median_error"), _r(F.col("rmse"), digits).alias("rmse"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lathe.functions.hashing import hash_order
+from lathe.functions.hashing import keyed_permutation
 from lathe.operators.ordering import rank_within
 from lathe.operators.windows import top_k_per_group
 
@@ -89,26 +89,33 @@ def feature_target_corr(df: DataFrame, feature: str, target: str, digits: int =
     return df.agg(F.round(F.corr(feature, target), digits).alias("r"))
 
 
-def permute_column(df: DataFrame, key: str, col: str, seed=42) -> DataFrame:
-    """Replace ``col`` by its value in the row whose hash rank equals this
-    row's key rank: a deterministic permutation done with two exact ranks
-    and one equi-join (no driver shuffle, no one-task window)."""
-    by_key = rank_within(df, [], [F.col(key)], rank_col="_rk", count_col=None, bounded_groups=True)
-    src = rank_within(df.select(key, col).withColumn("_h", hash_order(key, seed=seed)), [],
-                      [F.col("_h"), F.col(key)], rank_col="_rk", count_col=None, bounded_groups=True) \
-        .select("_rk", F.col(col).alias("_perm"))
-    return by_key.join(src, "_rk").drop(col, "_rk").withColumnRenamed("_perm", col)
-
-
-def permutation_importance(model, df: DataFrame, key: str, feats: list[str], score_fn,
-                           assemble_fn, seed=42) -> DataFrame:
-    """Metric drop when each feature is permuted (``score_fn(pred_df) ->
-    float``, higher is better)."""
-    spark = df.sparkSession
-    base = score_fn(model.transform(assemble_fn(df)))
-    rows = []
-    for f in feats:
-        s = score_fn(model.transform(assemble_fn(permute_column(df, key, f, seed))))
-        rows.append((f, float(base), float(s), float(base - s)))
-    return spark.createDataFrame(rows, "feature string, base_score double, permuted_score double, drop double") \
-        .orderBy(F.desc("drop"), "feature")
+def permuted_values(df: DataFrame, key: str, cols: list[str], seed=42) -> DataFrame:
+    """``df`` with ``_p0``, ``_p1``, ...: each column's values dealt to other rows
+    by a keyed permutation of its own.  One range sort numbers the rows by
+    ``key`` (unique); the permutations are arithmetic on that number, and the
+    values travel in one narrow shuffle."""
+    ranked = rank_within(df, [], [F.col(key)], rank_col="_rk", count_col=None)
+    n = ranked.count()
+    moved = ranked.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), keyed_permutation(F.col("_rk") - 1, n, f"{c}|{seed}").alias("to"),
+                 F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("m"))
+    dealt = moved.groupBy((F.col("m.to") + 1).alias("_rk")).agg(
+        *[F.max(F.when(F.col("m.i") == i, F.col("m.v"))).alias(f"_p{i}") for i in range(len(cols))])
+    return ranked.join(dealt, "_rk").drop("_rk")
+
+
+def permutation_importance(model, df: DataFrame, key: str, feats: list[str], score, assemble_fn, seed=42) -> DataFrame:
+    """Drop of a score (an aggregate expression over the scored rows, higher is
+    better) when each feature is permuted.  All variants of a row are scored
+    in one pass."""
+    dealt = permuted_values(df, key, feats, seed)
+    rest = [c for c in df.columns if c not in feats]
+    variants = [F.struct(F.lit(k).alias("_variant"), *[(F.col(f"_p{k}") if i == k else F.col(f).cast("double")).alias(f)
+                                                      for i, f in enumerate(feats)]) for k in range(-1, len(feats))]
+    rows = dealt.select(*rest, F.explode(F.array(*variants)).alias("_v")).select(*rest, "_v.*")
+    scored = model.transform(assemble_fn(rows)).groupBy("_variant").agg(score.alias("s"))
+    scores = {r["_variant"]: float(r["s"]) for r in scored.collect()}  # a row a feature
+    base = scores[-1]
+    out = [(f, base, scores[k], base - scores[k]) for k, f in enumerate(feats)]
+    return df.sparkSession.createDataFrame(
+        out, "feature string, base_score double, permuted_score double, drop double").orderBy(F.desc("drop"), "feature")

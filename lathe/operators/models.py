@@ -15,9 +15,10 @@ Fits run on a persisted (memory and disk) vector table, released after."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
@@ -27,6 +28,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from lathe.operators.evaluate import balanced_weights
+from lathe.session import stage_table
 
 
 def assemble(df: DataFrame, feats: list[str], out: str = "features") -> DataFrame:
@@ -37,6 +39,12 @@ def _persisted(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _rows(df: DataFrame, feats: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The persisted vector table of an iterative fit, and how the fit reads it."""
+    held = _persisted(assemble(df, feats))
+    return held, few_tasks(held)
+
+
 def fit_linear(df: DataFrame, feats: list[str], label: str):
     d = _persisted(assemble(df, feats))
     m = LinearRegression(featuresCol="features", labelCol=label, regParam=0.0, solver="normal").fit(d)
@@ -56,18 +64,18 @@ def fit_ridge(df: DataFrame, feats: list[str], label: str, alpha: float = 1.0):
 
 def fit_gbt_regressor(df, feats, label, n_trees: int = 100, depth: int = 6, lr: float = 0.1,
                       subsample: float = 1.0, colsample: str = "all", seed: int = 42):
-    d = _persisted(assemble(df, feats))
+    held, d = _rows(df, feats)
     m = GBTRegressor(featuresCol="features", labelCol=label, maxIter=n_trees, maxDepth=depth, stepSize=lr,
                      subsamplingRate=subsample, featureSubsetStrategy=colsample, seed=seed).fit(d)
-    d.unpersist()
+    held.unpersist()
     return m
 
 
 def fit_rf_regressor(df, feats, label, n_trees: int = 100, feature_frac: str = "0.7", seed: int = 42):
-    d = _persisted(assemble(df, feats))
+    held, d = _rows(df, feats)
     m = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=n_trees,
                               featureSubsetStrategy=feature_frac, seed=seed).fit(d)
-    d.unpersist()
+    held.unpersist()
     return m
 
 
@@ -76,7 +84,7 @@ class StackingModel:
     bases: list
     meta: object
     feats: list[str]
-    passthrough: bool = False
+    passthrough: bool = True
     names: list[str] = field(default_factory=list)
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -89,61 +97,66 @@ class StackingModel:
 
 
 def fit_stacking(df: DataFrame, feats: list[str], label: str, fold_col: str, k: int = 5,
-                 base_factories=None, meta_alpha: float = 0.1, passthrough: bool = False) -> StackingModel:
+                 base_factories=None, meta_alpha: float = 0.1, passthrough: bool = True, parallelism: int = 6) -> StackingModel:
     """Out-of-fold base predictions (+ features) -> ridge meta-model; bases
     refit on all rows.  ``base_factories``: ``{name: fn(df, feats, label)}``."""
     base_factories = base_factories or {"ridge": lambda d, f, y: fit_ridge(d, f, y, 1.0),
                                         "gbt": lambda d, f, y: fit_gbt_regressor(d, f, y, 20, 4)}
     names = list(base_factories)
+    df = few_tasks(stage_table(df, "stacking-rows"))
+    # the fits of all folds, and of all rows (fold None), do not depend on each other
+    jobs = [(name, fold) for fold in [*range(k), None] for name in names]
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        fitted = dict(zip(jobs, pool.map(inheritable_thread_target(df.sparkSession)(
+            lambda job: base_factories[job[0]](df if job[1] is None else df.where(F.col(fold_col) != job[1]), feats, label)), jobs)))
     oof = None
     for fold in range(k):
-        tr, va = df.where(F.col(fold_col) != fold), df.where(F.col(fold_col) == fold)
-        v = assemble(va, feats)
-        for name, fac in base_factories.items():
-            v = fac(tr, feats, label).transform(v).withColumnRenamed("prediction", name)
-        part = v.drop("features")
+        part = assemble(df.where(F.col(fold_col) == fold), feats)
+        for name in names:
+            part = fitted[(name, fold)].transform(part).withColumnRenamed("prediction", name)
+        part = part.drop("features")
         oof = part if oof is None else oof.unionByName(part)
     meta = fit_ridge(oof, names + (feats if passthrough else []), label, meta_alpha)
-    bases = [fac(df, feats, label) for fac in base_factories.values()]
+    bases = [fitted[(name, None)] for name in names]
     return StackingModel(bases, meta, feats, passthrough, names)
 
 
 def fit_logistic(df: DataFrame, feats: list[str], label: str, balanced: bool = True, max_iter: int = 1000):
     d = balanced_weights(df, label) if balanced else df.withColumn("weight", F.lit(1.0))
-    d = _persisted(assemble(d, feats))
+    held, d = _rows(d, feats)
     n = d.count()
     m = LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight", regParam=1.0 / n,
                            elasticNetParam=0.0, standardization=False, maxIter=max_iter).fit(d)
-    d.unpersist()
+    held.unpersist()
     return m
 
 
 def fit_rf_classifier(df, feats, label, n_trees: int = 200, depth: int = 15, min_leaf: int = 5,
                       balanced: bool = True, seed: int = 42):
     d = balanced_weights(df, label) if balanced else df.withColumn("weight", F.lit(1.0))
-    d = _persisted(assemble(d, feats))
+    held, d = _rows(d, feats)
     m = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="weight", numTrees=n_trees,
                                maxDepth=depth, minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt",
-                               seed=seed).fit(d)
-    d.unpersist()
+                               seed=seed, maxMemoryInMB=1024).fit(d)
+    held.unpersist()
     return m
 
 
 def fit_gbt_classifier(df, feats, label, n_trees: int = 100, depth: int = 6, lr: float = 0.1,
                        subsample: float = 1.0, seed: int = 42):
-    d = _persisted(assemble(df, feats))
+    held, d = _rows(df, feats)
     m = GBTClassifier(featuresCol="features", labelCol=label, maxIter=n_trees, maxDepth=depth, stepSize=lr,
                       subsamplingRate=subsample, seed=seed).fit(d)
-    d.unpersist()
+    held.unpersist()
     return m
 
 
 def fit_mlp_classifier(df, feats, label, hidden=(127, 64, 32), max_iter: int = 100, seed: int = 42):
-    d = _persisted(assemble(df, feats))
+    held, d = _rows(df, feats)
     layers = [len(feats), *hidden, 2]
     m = MultilayerPerceptronClassifier(featuresCol="features", labelCol=label, layers=layers,
                                        maxIter=max_iter, seed=seed).fit(d)
-    d.unpersist()
+    held.unpersist()
     return m
 
 
@@ -206,6 +219,50 @@ def tune(estimator, param_maps: list, evaluator, df: DataFrame, fold_col: str, p
     return model, table
 
 
+def few_tasks(df: DataFrame, rows_per_task: int = 50_000) -> DataFrame:
+    """A staged table read by no more tasks than its rows need: boosting reads
+    it a thousand times, and each read costs every task its start."""
+    return df.coalesce(max(1, -(-df.count() // rows_per_task)))
+
+
+def tune_boosted(estimator, param_maps: list, df: DataFrame, fold_col: str, parallelism: int = 8):
+    """Mean validation RMSE over the folds of every parameter map of a boosted
+    regressor.  Maps that differ in ``maxIter`` alone share one fit per fold:
+    the first trees of a longer fit are the shorter one, so its error after
+    every number of trees is all that is needed.  Fits do not depend on each
+    other, and ``parallelism`` of them run at once.  Returns the table (draw,
+    params, metric) and the best map as ``{name: value}``."""
+    rounds = estimator.getParam("maxIter")
+    shared: dict[tuple, int] = {}
+    keys = []
+    for pm in param_maps:
+        key = tuple(sorted(((p.name, v) for p, v in pm.items() if p != rounds)))
+        keys.append(key)
+        shared[key] = max(shared.get(key, 0), pm.get(rounds, estimator.getMaxIter()))
+    folds = _values(df, fold_col)
+    parts = {f: (_persisted(df.where(F.col(fold_col) != f)), _persisted(df.where(F.col(fold_col) == f))) for f in folds}
+
+    def errors(job):
+        key, fold = job
+        train, held = parts[fold]
+        model = estimator.copy({**{estimator.getParam(n): v for n, v in key}, rounds: shared[key]}).fit(train)
+        return [e ** 0.5 for e in model.evaluateEachIteration(held, "squared")]
+    jobs = sorted(((k, f) for k in shared for f in folds), key=lambda job: -shared[job[0]])  # the longest first
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        found = dict(zip(jobs, pool.map(inheritable_thread_target(df.sparkSession)(errors), jobs)))
+    for pair in parts.values():
+        for part in pair:
+            part.unpersist()
+    rows = []
+    for i, (pm, key) in enumerate(zip(param_maps, keys)):
+        n = pm.get(rounds, estimator.getMaxIter())
+        rows.append((i, ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name)),
+                     sum(found[(key, f)][n - 1] for f in folds) / len(folds)))
+    best = param_maps[min(rows, key=lambda r: r[2])[0]]
+    return (df.sparkSession.createDataFrame(rows, "draw int, params string, metric double"),
+            {p.name: v for p, v in best.items()})
+
+
 def random_search(estimator, space: dict, n: int, evaluator, df, fold_col, seed: int = 42, parallelism: int = 4):
     return tune(estimator, draw_param_maps(estimator, space, n, seed), evaluator, df, fold_col, parallelism)
 

@@ -109,14 +109,6 @@ def global_cumsum(df: DataFrame, order_by, sums: dict, group_cols: list[str] | N
                        partitions=partitions, sums=sums, bounded_groups=bounded_groups)
 
 
-def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
-                    group_cols: list[str] | None = None, method: str = "linear",
-                    bounded_groups: bool = False, names: list[str] | None = None) -> DataFrame:
-    """Exact quantiles per group (NULLs ignored); see ``select_quantiles``."""
-    return select_quantiles(df, value_col, qs, group_cols=group_cols, method=method, names=names,
-                            bounded_groups=bounded_groups)
-
-
 # --------------------------------------------------------------------------
 # Fast exact paths that need no staging.
 #
@@ -297,61 +289,6 @@ def _bucket_by_search(df: DataFrame, col: str, group_cols: list[str], buckets: i
     return d.withColumn(out, (2 * le - on_cut).cast("int")).drop("_cuts")
 
 
-def select_quantiles(df: DataFrame, value_col: str, qs: list[float], group_cols: list[str] | None = None,
-                     method: str = "linear", names: list[str] | None = None, buckets: int = 1024,
-                     bounded_groups: bool = False) -> DataFrame:
-    """Exact quantiles by distributed selection: bucket counts locate each
-    target rank; a bucket holding one value answers directly, otherwise
-    only the rows of the few target buckets are ranked."""
-    group_cols = list(group_cols or [])
-    names = names or [f"q{int(round(q * 100)):02d}" for q in qs]
-    base = df.where(F.col(value_col).isNotNull()).select(*group_cols, F.col(value_col).cast("double").alias("_v"))
-    # several passes follow (sizes, sampled cuts, counts, target rows): stage
-    # the narrow (group, value) table once instead of recomputing upstream
-    base = stage_table(base, "quantile-input")
-    bk = _bucket_by_cuts(base, "_v", group_cols, buckets, bounded_groups)
-    st = bk.groupBy(*group_cols, "_vb").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_mn"),
-                                           F.max("_v").alias("_mx"))
-    w_prev = Window.partitionBy(*group_cols).orderBy("_vb").rowsBetween(Window.unboundedPreceding, -1)
-    st = st.select("*", F.coalesce(F.sum("_c").over(w_prev), F.lit(0)).alias("_cb"),
-                   F.sum("_c").over(Window.partitionBy(*group_cols)).alias("_n"))
-    # target ranks per group and quantile (lo and hi neighbours)
-    tgt = []
-    for i, q in enumerate(qs):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(q))
-        if method == "nearest":
-            lo = F.floor(pos + F.lit(0.5)) + 1
-            hi, frac = lo, F.lit(0.0)
-        else:
-            lo, hi, frac = F.floor(pos) + 1, F.ceil(pos) + 1, pos - F.floor(pos)
-        tgt.append(F.struct(F.lit(i).alias("qi"), lo.cast("long").alias("lo"), hi.cast("long").alias("hi"),
-                            frac.alias("fr")))
-    hit = st.select("*", F.explode(F.array(*tgt)).alias("_t")).select("*", "_t.*").drop("_t")
-    hit = hit.select("*", F.explode(F.array(
-        F.struct(F.lit("lo").alias("side"), F.col("lo").alias("r")),
-        F.struct(F.lit("hi").alias("side"), F.col("hi").alias("r")))).alias("_s")).select("*", "_s.*").drop("_s")
-    hit = hit.where((F.col("r") > F.col("_cb")) & (F.col("r") <= F.col("_cb") + F.col("_c"))) \
-        .withColumn("_local", F.col("r") - F.col("_cb"))
-    known = hit.where(F.col("_mn") == F.col("_mx")).select(*group_cols, "qi", "side", "fr", F.col("_mn").alias("val"))
-    need = hit.where(F.col("_mn") < F.col("_mx")).select(*group_cols, "_vb", "qi", "side", "fr", "_local")
-    need_b = need.select(*group_cols, "_vb").distinct()
-    rows = bk.join(need_b, [*group_cols, "_vb"], "left_semi")
-    w = Window.partitionBy(*group_cols, "_vb").orderBy("_v")
-    ranked = rows.select("*", F.row_number().over(w).alias("_lr"))
-    picked = ranked.join(need, [*group_cols, "_vb"]).where(F.col("_lr") == F.col("_local")) \
-        .select(*group_cols, "qi", "side", "fr", F.col("_v").alias("val"))
-    vals = known.unionByName(picked)
-    aggs = []
-    for i, nm in enumerate(names):
-        lo_v = F.max(F.when((F.col("qi") == i) & (F.col("side") == "lo"), F.col("val")))
-        hi_v = F.max(F.when((F.col("qi") == i) & (F.col("side") == "hi"), F.col("val")))
-        fr = F.max(F.when(F.col("qi") == i, F.col("fr")))
-        aggs.append((lo_v + fr * (hi_v - lo_v)).alias(nm))
-    if group_cols:
-        return vals.groupBy(*group_cols).agg(*aggs)
-    return vals.agg(*aggs)
-
-
 def bucketed_cumsum(df: DataFrame, order_col: str, sums: dict, group_cols: list[str] | None = None,
                     descending: bool = False, buckets: int = 1024, bounded_groups: bool = True) -> DataFrame:
     """Inclusive running sums over a single numeric key that is DISTINCT

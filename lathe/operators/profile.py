@@ -6,9 +6,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lathe.operators.ordering import exact_quantiles
+from lathe.operators.gram import gram_blocks
+from lathe.operators.quantiles import exact_quantiles, wide_quantiles
 
 
 def unpivot(df: DataFrame, ids: list[str], cols: list[str], var: str = "column",
@@ -34,18 +37,27 @@ def null_profile(df: DataFrame, cols=None, only_missing: bool = True) -> DataFra
     return out.orderBy(F.desc("null_count"), "column")
 
 
+def _by_column(df: DataFrame, cols: list[str], measures: dict, by: list[str] | None = None) -> DataFrame:
+    """(by..., column, a column for each measure) from one aggregate over all
+    columns; a measure is a function of a column."""
+    by = list(by or [])
+    one = df.groupBy(*by).agg(*[F.struct(*[m(F.col(c)).alias(k) for k, m in measures.items()]).alias(f"_m{i}")
+                                for i, c in enumerate(cols)])
+    cells = [F.struct(F.lit(c).alias("column"), F.col(f"_m{i}").alias("m"))
+             for i, c in enumerate(cols)]
+    return (one.select(*by, F.explode(F.array(*cells)).alias("_c"))
+            .select(*by, "_c.column", *[F.col(f"_c.m.{k}").alias(k) for k in measures]))
+
+
 def describe_table(df: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:
     """count, null_count, mean, std (sample), min, 25/50/75 %, max per
-    column: one unpivot, one grouped aggregate, exact quantiles."""
-    long = unpivot(df, [], cols)
-    base = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.count_if(F.col("value").isNull()).alias("null_count"),
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], group_cols=["column"],
-                        bounded_groups=True, names=["p25", "p50", "p75"])
-    out = base.join(q, "column", "left")
+    column: one aggregate over all columns, and exact quantiles of all."""
+    number = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    out = _by_column(number, cols, {
+        "count": F.count, "null_count": lambda c: F.count_if(c.isNull()), "mean": F.avg, "std": F.stddev_samp,
+        "min": F.min, "max": F.max})
+    q = wide_quantiles(number, cols, [0.25, 0.5, 0.75], ["p25", "p50", "p75"], stage=False)
+    out = out.join(q, "column", "left")
     r = lambda c: F.round(F.col(c), digits).alias(c)
     return out.select("column", F.col("count").cast("long").alias("count"),
                       F.col("null_count").cast("long").alias("null_count"),
@@ -75,6 +87,24 @@ def n_unique(df: DataFrame, cols: list[str]) -> DataFrame:
         f"'{c}', `nu__{i}`" for i, c in enumerate(cols)) + ") as (column, n_unique)")
 
 
+def distinct_up_to(df: DataFrame, cols: list[str], limit: int) -> dict[str, int]:
+    """Distinct values per column, NULL one of them, counted no further than
+    ``limit``: tasks keep at most that many values a column, so nothing grows
+    with a column's vocabulary."""
+    def run(batches):
+        seen = [set() for _ in cols]
+        for batch in batches:
+            for values, column in zip(seen, batch.columns):
+                if len(values) < limit:
+                    values.update(column.unique().slice(0, limit).to_pylist())
+        rows = [(i, v) for i, values in enumerate(seen) for v in sorted(values, key=lambda v: (v is None, v))[:limit]]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
+                                          pa.array([r[1] for r in rows], pa.string())], names=["at", "value"])
+    text = df.select(*[F.col(c).cast("string").alias(f"v{i}") for i, c in enumerate(cols)])
+    counts = text.mapInArrow(run, "at int, value string").distinct().groupBy("at").count().collect()
+    return {c: 0 for c in cols} | {cols[r["at"]]: min(r["count"], limit) for r in counts}
+
+
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct().orderBy(F.asc_nulls_first(col))
 
@@ -83,11 +113,9 @@ def skew_kurtosis(df: DataFrame, cols: list[str], by: list[str] | None = None,
                   digits: int = 6) -> DataFrame:
     """Population skewness (g1) and excess kurtosis per column (and group)."""
     by = list(by or [])
-    long = unpivot(df, by, cols)
-    return long.groupBy(*by, "column").agg(
-        F.count("value").alias("n"),
-        F.round(F.skewness("value"), digits).alias("skewness"),
-        F.round(F.kurtosis("value"), digits).alias("kurtosis"))
+    number = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
+    return _by_column(number, cols, {"n": F.count, "skewness": lambda c: F.round(F.skewness(c), digits),
+                                     "kurtosis": lambda c: F.round(F.kurtosis(c), digits)}, by)
 
 
 def quantiles(df: DataFrame, col: str, qs=(0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99),
@@ -99,8 +127,7 @@ def quantiles(df: DataFrame, col: str, qs=(0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0
 
 def median_by(df: DataFrame, col: str, by: list[str] | None = None,
               bounded_groups: bool = False) -> DataFrame:
-    return exact_quantiles(df, col, [0.5], group_cols=by, names=["median"],
-                           bounded_groups=bounded_groups)
+    return exact_quantiles(df, col, [0.5], group_cols=by, names=["median"])
 
 
 def mean_std_by_split(df: DataFrame, col: str, split: str = "split", digits: int = 4) -> DataFrame:
@@ -144,10 +171,10 @@ def rate_by_category(df: DataFrame, cats: list[str], target: Column, min_count:
 
 def mean_diff_by_class(df: DataFrame, feats: list[str], target: Column, digits: int = 4) -> DataFrame:
     """Per feature: class means, difference and % difference."""
-    long = unpivot(df.withColumn("_y", target.cast("int")), ["_y"], feats, "feature", "value")
-    g = long.groupBy("feature").agg(
-        F.avg(F.when(F.col("_y") == 1, F.col("value"))).alias("mean_pos"),
-        F.avg(F.when(F.col("_y") == 0, F.col("value"))).alias("mean_neg"))
+    number = df.select(target.cast("int").alias("_y"), *[F.col(c).cast("double").alias(c) for c in feats])
+    g = _by_column(number, feats, {"mean_pos": lambda c: F.avg(F.when(F.col("_y") == 1, c)),
+                                   "mean_neg": lambda c: F.avg(F.when(F.col("_y") == 0, c))}) \
+        .withColumnRenamed("column", "feature")
     return g.select("feature", F.round("mean_pos", digits).alias("mean_pos"),
                     F.round("mean_neg", digits).alias("mean_neg"),
                     F.round(F.col("mean_pos") - F.col("mean_neg"), digits).alias("diff"),
@@ -160,15 +187,18 @@ def group_means(df: DataFrame, by: list[str], cols: list[str], digits: int = 4)
 
 
 def correlation_matrix(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
-    """Pearson correlation of every pair on complete rows: ONE aggregate over
-    the unordered pairs, stacked into both orientations."""
+    """Pearson correlation of every pair on complete rows, both ways round, from
+    one Gram block (any number of columns in one pass); NULL where a column
+    is constant."""
     complete = df.select(*cols).na.drop("any")
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    one = complete.agg(*[F.corr(a, b).alias(f"r__{k}") for k, (a, b) in enumerate(pairs)])
-    entries = [f"'{a}', '{b}', `r__{k}`" for k, (a, b) in enumerate(pairs)]
-    entries += [f"'{b}', '{a}', `r__{k}`" for k, (a, b) in enumerate(pairs) if a != b]
-    long = one.selectExpr(f"stack({len(entries)}, {', '.join(entries)}) as (col_a, col_b, r)")
-    return long.select("col_a", "col_b", F.round("r", digits).alias("r"))
+    block = gram_blocks(complete, cols[:-1], cols[-1]).total()
+    n = block[0, 0]
+    cov = block[1:, 1:] - np.outer(block[0, 1:], block[0, 1:]) / n if n else np.zeros((len(cols), len(cols)))
+    spread = np.sqrt(np.maximum(np.diag(cov), 0))
+    rows = [(a, b, float(np.clip(cov[i, j] / (spread[i] * spread[j]), -1, 1)) if spread[i] and spread[j] else None)
+            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double") \
+        .withColumn("r", F.round("r", digits))
 
 
 def target_correlation_topk(df: DataFrame, target: Column, feats: list[str], k: int,
@@ -233,11 +263,10 @@ def box_stats(df: DataFrame, col: str, by: list[str], digits: int = 4,
               bounded_groups: bool = False) -> DataFrame:
     """Quartiles, 1.5·IQR whiskers (most extreme values inside the fences)
     and outlier count per group."""
-    q = exact_quantiles(df, col, [0.25, 0.5, 0.75], group_cols=by, names=["q1", "median", "q3"],
-                        bounded_groups=bounded_groups)
+    q = exact_quantiles(df, col, [0.25, 0.5, 0.75], group_cols=by, names=["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     j = df.select(*by, col).where(F.col(col).isNotNull()).join(
-        F.broadcast(q) if bounded_groups else q, by)
+        q, by)
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
     inside = (F.col(col) >= lo_f) & (F.col(col) <= hi_f)

@@ -29,7 +29,7 @@ def minority(spark, sf):
 @query("k04_knn_self_join", _KNN_SQL + """
 SELECT vec_id, nn_rank, nn_id, round(d2, 4) AS dist2 FROM knn""")
 def k04(spark, sf):
-    nn = balance.knn(minority(spark, sf), "vec_id", "embedding", k=K)
+    nn = balance.knn(minority(spark, sf), "vec_id", "embedding", k=K, block_rows=16)
     return nn.select("vec_id", "nn_rank", "nn_id", F.round("dist2", 4).alias("dist2"))
 
 
@@ -85,7 +85,34 @@ def d08(spark, sf):
     return out.groupBy((F.col("y") == 0).alias("is_minority")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("d07_smotenc", None)
+_NC_SQL = """
+WITH w AS (SELECT doc_id, quality, CAST(n_chars AS DOUBLE) AS a, CAST(len(string_split(text, ' ')) AS DOUBLE) AS b, lang, source
+           FROM documents JOIN labels USING (doc_id)),
+m AS (SELECT * FROM w WHERE quality = 0),
+sd AS (SELECT (stddev_pop(a) + stddev_pop(b)) / 2 AS med FROM m),
+d AS (SELECT x.doc_id AS q, y.doc_id AS c,
+             power(x.a - y.a, 2) + power(x.b - y.b, 2)
+             + med * med * (CAST(x.lang <> y.lang AS INTEGER) + CAST(x.source <> y.source AS INTEGER)) AS d2
+      FROM m x JOIN m y ON x.doc_id <> y.doc_id, sd),
+knn AS (SELECT q AS base_id, CAST(row_number() OVER (PARTITION BY q ORDER BY d2, c) AS INTEGER) AS nn_rank, c AS nn_id
+        FROM d QUALIFY nn_rank <= 5),
+par AS (SELECT count(*) FILTER (WHERE quality = 0) AS n_min,
+               greatest(CAST(floor(0.5 * count(*) FILTER (WHERE quality <> 0)) AS BIGINT) - count(*) FILTER (WHERE quality = 0), 0) AS n_syn FROM w),
+base AS (SELECT doc_id AS base_id, a, b, row_number() OVER (ORDER BY md5(concat_ws('|', CAST(doc_id AS VARCHAR), '42')), doc_id) AS r FROM m),
+s AS (SELECT base_id, a, b, (j - 1) * n_min + r - 1 AS synth_id FROM (
+  SELECT *, unnest(range(1, CAST(n_syn // n_min + CASE WHEN r <= n_syn % n_min THEN 1 ELSE 0 END AS BIGINT) + 1)) AS j FROM base, par)),
+s2 AS (SELECT *, CAST(('0x' || substr(md5(concat_ws('|', CAST(synth_id AS VARCHAR), 'nn', '42')), 1, 8))::BIGINT % 5 + 1 AS INTEGER) AS nn_rank,
+              ('0x' || substr(md5(concat_ws('|', CAST(synth_id AS VARCHAR), 'gap', '42')), 1, 8))::BIGINT / 4294967296.0 AS gap FROM s),
+modes AS (SELECT base_id, max(v) FILTER (WHERE p = 0) AS lang, max(v) FILTER (WHERE p = 1) AS source FROM (
+  SELECT base_id, p, v, row_number() OVER (PARTITION BY base_id, p ORDER BY count(*) DESC, v) AS o FROM (
+    SELECT base_id, 0 AS p, lang AS v FROM knn JOIN m ON nn_id = doc_id UNION ALL
+    SELECT base_id, 1, source FROM knn JOIN m ON nn_id = doc_id) GROUP BY base_id, p, v) WHERE o = 1 GROUP BY base_id)
+SELECT synth_id, s2.base_id, knn.nn_id, round(gap, 6) AS gap, round(s2.a + gap * (n.a - s2.a), 4) AS num0,
+       round(s2.b + gap * (n.b - s2.b), 4) AS num1, modes.lang AS cat0, modes.source AS cat1
+FROM s2 JOIN knn USING (base_id, nn_rank) JOIN m n ON n.doc_id = knn.nn_id JOIN modes ON modes.base_id = s2.base_id"""
+
+
+@query("d07_smotenc", _NC_SQL)
 def d07(spark, sf):
     """SMOTENC on documents: numeric (length, words) + categorical (lang,
     source); minority = quality 0.  Mismatch penalty = (median of the
@@ -97,8 +124,11 @@ def d07(spark, sf):
                                       F.stddev_pop(F.col("num")[1]).alias("b")).first()
     med = sorted([stds["a"] or 0.0, stds["b"] or 0.0])
     med = (med[0] + med[1]) / 2
-    return balance.smote(d, "doc_id", "num", F.col("quality") == 0, ratio=0.5, k=K, cat_col="cat",
-                         penalty=med * med)
+    syn = balance.smote(d, "doc_id", "num", F.col("quality") == 0, ratio=0.5, k=K, cat_col="cat",
+                        penalty=med * med)
+    return syn.select("synth_id", "base_id", "nn_id", F.round("gap", 6).alias("gap"),
+                      *[F.round(F.col("num")[i], 4).alias(f"num{i}") for i in range(2)],
+                      *[F.col("cat")[i].alias(f"cat{i}") for i in range(2)])
 
 
 @query("d04_assign_folds", """

@@ -308,6 +308,25 @@ def e08(spark, sf):
     return _long(out, "p_partkey", feats)
 
 
+@query("e08_sparse_indicators", """
+WITH w AS (SELECT doc_id, unnest(list_distinct(list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda t: t <> ''))) AS name FROM documents),
+ix AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS i FROM (SELECT DISTINCT name FROM w)),
+g AS (SELECT doc_id, count(*) AS n_tokens, sum(i) AS index_sum, min(i) AS first_index, max(i) AS last_index FROM w JOIN ix USING (name) GROUP BY doc_id)
+SELECT doc_id, (SELECT count(*) FROM ix) AS size, coalesce(n_tokens, 0) AS n_tokens, CAST(index_sum AS BIGINT) AS index_sum,
+       CAST(first_index AS INTEGER) AS first_index, CAST(last_index AS INTEGER) AS last_index
+FROM documents LEFT JOIN g USING (doc_id)""")
+def e08s(spark, sf):
+    """Every word of every document as a sparse indicator: the vocabulary is a
+    table, and no column is made for a word."""
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    words = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda t: t != "")
+    rows = encode.sparse_indicators(d, "doc_id", words, encode.fit_token_index(d, words))
+    at = F.col("features.indices")
+    return rows.select("doc_id", F.col("features.size").cast("long").alias("size"), F.size(at).cast("long").alias("n_tokens"),
+                       F.when(F.size(at) > 0, F.aggregate(at, F.lit(0).cast("long"), lambda a, x: a + x)).alias("index_sum"),
+                       F.try_element_at(at, F.lit(1)).alias("first_index"), F.try_element_at(at, F.lit(-1)).alias("last_index"))
+
+
 @query("e09_top_k_one_hot", """
 WITH c AS (SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey),
 r AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', CAST(c_custkey AS VARCHAR), '42')), c_custkey) AS rk,

@@ -1,6 +1,7 @@
-"""Model queries (rows-only checks: fitted models are not SQL-expressible)
-and source/sink round trips (these keep an oracle: what is written and read
-back must equal the SQL result).
+"""Model queries and source/sink round trips.  Linear and ridge fits have an
+oracle that solves the normal equations in SQL; fitted trees, networks and
+logistic models are not SQL-expressible (rows-only).  Of the round trips,
+what is written and read back must equal the SQL result.
 
 Model frame: lineitem ⋈ part, target ``log1p(l_extendedprice)`` for
 regression and ``l_linestatus = 'F'`` for classification, split 70/15/15 by
@@ -13,10 +14,11 @@ import uuid
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from lathe.operators import evaluate, explain, models, scale, split
-from lathe.plans.catalog_features import LINE_FEATS, line_split
+from lathe.operators import evaluate, explain, gram, models, scale, split, tree_explain
+from lathe.plans.catalog_features import _LINE_SPLIT_SQL, LINE_FEATS, line_split
 from lathe.plans.catalog_regression import _SQL_BASE, split_orders
 from lathe.plans.registry import query
+from lathe.plans.sql_ridge import predicted, ridge_ctes
 from lathe.session import checkpoint_dir, stage_table
 from lathe.sources import files
 from lathe.sources.tables import table
@@ -28,10 +30,34 @@ def model_frame(spark, sf):
     ls = line_split(spark, sf).join(
         table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice",
                                         F.col("p_size").cast("double").alias("p_size")), "l_partkey")
-    return ls.select("line_key", "split", *FEATS, F.log1p("l_extendedprice").alias("target"),
+    key = F.concat_ws("|", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+    return ls.select("line_key", key.alias("row_key"), "split", *FEATS, F.log1p("l_extendedprice").alias("target"),
                      (F.col("l_linestatus") == "F").cast("int").alias("y"))
 
 
+_FRAME_SQL = _LINE_SPLIT_SQL.replace("WITH", "WITH RECURSIVE", 1) + """
+, mf AS (SELECT concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_key, split, l_quantity, l_discount, l_tax, p_retailprice, CAST(p_size AS DOUBLE) AS p_size,
+                ln(1 + l_extendedprice) AS target FROM ls JOIN part ON l_partkey = p_partkey),
+tr AS (SELECT 0 AS g, * FROM mf WHERE split = 'train'),
+"""
+_METRICS_SQL = """SELECT split, count(*) AS n, round(sqrt(avg(power(yhat - y, 2))), 6) AS rmse_log,
+       round(avg(abs(yhat - y)), 6) AS mae_log,
+       round(1 - sum(power(yhat - y, 2)) / (count(*) * var_pop(y)), 6) AS r2_log,
+       round(sqrt(avg(power((exp(yhat) - 1) - (exp(y) - 1), 2))), 4) AS rmse,
+       round(avg(abs((exp(yhat) - 1) - (exp(y) - 1))), 4) AS mae,
+       round(1 - sum(power((exp(yhat) - 1) - (exp(y) - 1), 2)) / (count(*) * var_pop(exp(y) - 1)), 6) AS r2
+FROM pred GROUP BY split"""
+_FOLD_SQL = _FRAME_SQL + """
+folded AS (SELECT * EXCLUDE (g), row_number() OVER (ORDER BY md5(concat_ws('|', row_key, '42')), row_key) AS rk,
+                  count(*) OVER () AS n FROM tr),
+"""
+
+
+def _linear_sql(alpha: float) -> str:
+    return (_FRAME_SQL + ridge_ctes("tr", FEATS, "target", alpha)
+            + f", pred AS (SELECT split, target AS y, {predicted(FEATS)} AS yhat FROM mf, fit)\n" + _METRICS_SQL)
+
+
 def _train(mf):
     return mf.where(F.col("split") == "train")
 
@@ -50,13 +76,13 @@ def _cls_eval(model, mf):
                                            "y", "yhat", "p1", by=["split"])
 
 
-@query("m01_fit_linear")
+@query("m01_fit_linear", _linear_sql(0.0))
 def m01(spark, sf):
     mf = model_frame(spark, sf)
     return _reg_eval(models.fit_linear(_train(mf), FEATS, "target"), mf)
 
 
-@query("m02_fit_ridge")
+@query("m02_fit_ridge", _linear_sql(1.0))
 def m02(spark, sf):
     mf = model_frame(spark, sf)
     return _reg_eval(models.fit_ridge(_train(mf), FEATS, "target", alpha=1.0), mf)
@@ -78,7 +104,7 @@ def m04(spark, sf):
 @query("m05_fit_stacking")
 def m05(spark, sf):
     mf = model_frame(spark, sf)
-    tr = split.assign_folds(_train(mf), "line_key", k=5)
+    tr = split.assign_folds(_train(mf), "row_key", k=5)
     st = models.fit_stacking(tr, FEATS, "target", "fold", k=5, passthrough=True, base_factories={
         "ridge": lambda d, f, y: models.fit_ridge(d, f, y, 1.0),
         "gbt": lambda d, f, y: models.fit_gbt_regressor(d, f, y)})
@@ -89,7 +115,7 @@ def m05(spark, sf):
 @query("m06_fit_logistic")
 def m06(spark, sf):
     mf = model_frame(spark, sf)
-    return _cls_eval(models.fit_logistic(_train(mf), FEATS, "y", max_iter=100), mf)
+    return _cls_eval(models.fit_logistic(_train(mf), FEATS, "y"), mf)
 
 
 @query("m08_fit_rf_classifier")
@@ -117,15 +143,20 @@ def m10(spark, sf):
                                            "y", "yhat", "p1", by=["split"])
 
 
-def _ridge_scores(m, d):
-    return models.regression_scores(m, d, FEATS, "target")
-
-
-@query("m12_cross_validate")
+@query("m12_cross_validate", _FOLD_SQL + """
+fr AS (SELECT *, CAST((rk - 1) % 5 AS INTEGER) AS fold FROM folded),
+fo AS (SELECT DISTINCT fold AS g FROM fr),
+sets AS (SELECT fo.g, fr.* FROM fr JOIN fo ON fr.fold <> fo.g),""" + ridge_ctes("sets", FEATS, "target") + """,
+pr AS (SELECT fit.g, CASE WHEN fold = fit.g THEN 'validation' ELSE 'train' END AS part, target AS y, """
+       + predicted(FEATS) + """ AS yhat FROM fr, fit),
+sc AS (SELECT g, part, sqrt(avg(power(yhat - y, 2))) AS rmse, avg(abs(yhat - y)) AS mae,
+              1 - sum(power(yhat - y, 2)) / (count(*) * var_pop(y)) AS r2 FROM pr GROUP BY g, part),
+long AS (SELECT g, part, unnest(['rmse', 'mae', 'r2']) AS metric, unnest([rmse, mae, r2]) AS value FROM sc)
+SELECT part, metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, round(min(value), 6) AS min,
+       round(max(value), 6) AS max FROM long GROUP BY part, metric""")
 def m12(spark, sf):
-    tr = stage_table(split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=5), "fold-rows")
-    folds = models.cross_validate(lambda d: models.fit_ridge(d, FEATS, "target"), _ridge_scores, tr, "fold")
-    return models.summarize_folds(folds)
+    tr = stage_table(split.assign_folds(_train(model_frame(spark, sf)), "row_key", k=5), "fold-rows")
+    return models.summarize_folds(gram.cross_validate_ridge(tr, FEATS, "target", "fold"))
 
 
 #: the reference's search space in Spark's names
@@ -135,60 +166,109 @@ GBT_SPACE = {"maxIter": [100, 200, 300, 500], "maxDepth": [3, 4, 5, 6, 7, 8], "s
 
 
 def _gbt_search(spark, sf):
-    """30 draws over 5 folds: (estimator, evaluator, rows, fitted search, table)."""
+    """30 draws over 5 folds: (estimator, rows, table, best)."""
     from pyspark.ml.regression import GBTRegressor
-    tr = split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=5)
-    tr = stage_table(models.assemble(tr, FEATS), "search-rows")
+    tr = split.assign_folds(_train(model_frame(spark, sf)), "row_key", k=5)
+    tr = models.few_tasks(stage_table(models.assemble(tr, FEATS).select("features", "target", "fold"), "search-rows"))
     est = GBTRegressor(featuresCol="features", labelCol="target", seed=42)
-    ev = models.rmse_evaluator("target")
-    return est, ev, tr, *models.random_search(est, GBT_SPACE, 30, ev, tr, "fold")
+    return est, tr, *models.tune_boosted(est, models.draw_param_maps(est, GBT_SPACE, 30), tr, "fold")
 
 
 @query("m13_random_search")
 def m13(spark, sf):
-    return _gbt_search(spark, sf)[-1]
+    return _gbt_search(spark, sf)[2]
 
 
 @query("m14_refine_grid")
 def m14(spark, sf):
     """The grid around m13's best draw."""
-    est, ev, tr, search, _ = _gbt_search(spark, sf)
-    grid = models.refine_grid(est, models.best_params(search, ev), {"maxIter": [-50, 0, 50], "maxDepth": [-1, 0, 1]},
+    est, tr, _, best = _gbt_search(spark, sf)
+    grid = models.refine_grid(est, best, {"maxIter": [-50, 0, 50], "maxDepth": [-1, 0, 1]},
                               valid=lambda n, v: v > 0, factors={"stepSize": [0.8, 1.0, 1.2]})
-    _, table_ = models.tune(est, grid, ev, tr, "fold")
-    return table_
+    return models.tune_boosted(est, grid, tr, "fold")[0]
+
+
+_SIZES = [0.25 + 0.75 * i / 7 for i in range(8)]
 
 
-@query("m15_learning_curve")
+@query("m15_learning_curve", _FOLD_SQL + """
+fr AS (SELECT *, CAST((rk - 1) % 5 AS INTEGER) AS fold, CAST(CASE """ + " ".join(
+    f"WHEN rk <= floor(n * {f!r} + 0.5) THEN {i}" for i, f in enumerate(_SIZES)) + """ END AS INTEGER) AS size_index FROM folded),
+sets AS (SELECT s.size * 10 + f.fold AS g, fr.* FROM fr JOIN (SELECT DISTINCT size_index AS size FROM fr) s ON fr.size_index <= s.size
+         JOIN (SELECT DISTINCT fold FROM fr) f ON fr.fold <> f.fold),""" + ridge_ctes("sets", FEATS, "target") + """,
+tp AS (SELECT sets.g, 'train' AS part, target AS y, """ + predicted(FEATS) + """ AS yhat FROM sets JOIN fit USING (g)),
+vp AS (SELECT fit.g, 'validation' AS part, target AS y, """ + predicted(FEATS) + """ AS yhat FROM fr JOIN fit ON fit.g % 10 = fr.fold),
+sc AS (SELECT g, part, 1 - sum(power(yhat - y, 2)) / (count(*) * var_pop(y)) AS r2
+       FROM (SELECT * FROM tp UNION ALL SELECT * FROM vp) GROUP BY g, part)
+SELECT CAST(g // 10 AS INTEGER) AS size_index, part, round(avg(r2), 6) AS mean, round(stddev_pop(r2), 6) AS std
+FROM sc GROUP BY g // 10, part""")
 def m15(spark, sf):
-    tr = split.assign_folds(_train(model_frame(spark, sf)), "line_key", k=5)
-    tr = stage_table(split.learning_sizes(tr, "line_key", n_sizes=8, lo=0.25, hi=1.0), "curve-rows")
-    return models.learning_curve(lambda d: models.fit_ridge(d, FEATS, "target"),
-                                 lambda m, d: _ridge_scores(m, d)["r2"], tr, "size_index", "fold")
+    tr = split.assign_folds(_train(model_frame(spark, sf)), "row_key", k=5)
+    tr = stage_table(split.learning_sizes(tr, "row_key", n_sizes=8, lo=0.25, hi=1.0), "curve-rows")
+    return gram.learning_curve_ridge(tr, FEATS, "target", "size_index", "fold")
 
 
-@query("m26_coefficient_table")
+@query("m26_coefficient_table", _FRAME_SQL + ridge_ctes("tr", FEATS, "target") + f"""
+, long AS (SELECT unnest({FEATS!r}) AS feature, unnest(w) AS coefficient FROM fit),
+rk AS (SELECT *, CAST(row_number() OVER (ORDER BY coefficient DESC, feature) AS INTEGER) AS rank_desc,
+              CAST(row_number() OVER (ORDER BY coefficient, feature) AS INTEGER) AS rank_asc FROM long)
+SELECT feature, round(coefficient, 8) AS coefficient, rank_desc, rank_asc FROM rk WHERE rank_desc <= 2 OR rank_asc <= 2""")
 def m26(spark, sf):
     m = models.fit_ridge(_train(model_frame(spark, sf)), FEATS, "target")
-    return explain.coefficient_table(spark, FEATS, m.coefficients.toArray(), k=2)
+    return explain.coefficient_table(spark, FEATS, m.coefficients.toArray(), k=2) \
+        .withColumn("coefficient", F.round("coefficient", 8))
 
 
 @query("m27_tree_importance")
 def m27(spark, sf):
-    m = models.fit_rf_regressor(_train(model_frame(spark, sf)), FEATS, "target", n_trees=20)
+    m = models.fit_rf_regressor(_train(model_frame(spark, sf)), FEATS, "target")
     return explain.tree_importance(spark, FEATS, m.featureImportances.toArray(), k=3)
 
 
-@query("m28_permutation_importance")
+def _feature_of(row: str) -> str:
+    return "CASE f " + " ".join(f"WHEN '{f}' THEN {row}.{f}" for f in FEATS) + " END"
+
+
+_PERMUTED_SQL = _FRAME_SQL + ridge_ctes("tr", FEATS, "target") + f""",
+te AS (SELECT *, row_number() OVER (ORDER BY row_key) - 1 AS rk FROM mf WHERE split = 'test'),
+dims AS (SELECT n, a, (n + a - 1) // a AS b FROM (
+  SELECT n, CAST(floor(sqrt(n - 1)) AS BIGINT) + 1 AS a FROM (SELECT count(*) AS n FROM te))),
+names AS (SELECT i, f, w FROM (SELECT unnest(range(1, {len(FEATS) + 1})) AS i, unnest({FEATS!r}) AS f, unnest(w) AS w FROM fit)),
+walk(f, rk, x, t) AS (
+  SELECT f, rk, rk, 0 FROM te, names UNION ALL
+  SELECT f, rk, y.l * b + y.r, t + 1 FROM (
+    SELECT f, rk, t, b, list_reduce([1, 2, 3, 4], lambda s, i: CASE WHEN i % 2 = 1
+      THEN {{'l': (s.l + CAST('0x' || substr(md5(f || '|42|' || i || '|' || s.r), 1, 8) AS BIGINT)) % a, 'r': s.r}}
+      ELSE {{'l': s.l, 'r': (s.r + CAST('0x' || substr(md5(f || '|42|' || i || '|' || s.l), 1, 8) AS BIGINT)) % b}} END,
+      {{'l': x // b, 'r': x % b}}) AS y FROM walk, dims WHERE t = 0 OR x >= n)),
+dealt AS (SELECT walk.f, x AS rk, {_feature_of("te")} AS v FROM walk JOIN te USING (rk), dims WHERE t > 0 AND x < n),
+own AS (SELECT te.*, {predicted(FEATS)} AS yhat FROM te, fit),
+base AS (SELECT 1 - sum(power(yhat - target, 2)) / (count(*) * var_pop(target)) AS r2 FROM own),
+moved AS (SELECT f, target, yhat + w * (v - ({_feature_of("own")})) AS yhat FROM own JOIN dealt USING (rk) JOIN names USING (f)),
+sc AS (SELECT f, 1 - sum(power(yhat - target, 2)) / (count(*) * var_pop(target)) AS s FROM moved GROUP BY f)
+SELECT f AS feature, round(r2, 8) AS base_score, round(s, 8) AS permuted_score, round(r2 - s, 8) AS drop FROM sc, base"""
+
+
+@query("m28_permutation_importance", _PERMUTED_SQL)
 def m28(spark, sf):
     mf = model_frame(spark, sf)
     m = models.fit_ridge(_train(mf), FEATS, "target")
     test = mf.where(F.col("split") == "test")
     return explain.permutation_importance(
-        m, test, "line_key", FEATS,
-        score_fn=lambda p: p.agg(1 - F.sum((F.col("prediction") - F.col("target")) ** 2) /
-                                 (F.count(F.lit(1)) * F.var_pop("target"))).first()[0],
-        assemble_fn=lambda d: models.assemble(d, FEATS))
+        m, test, "row_key", FEATS,
+        score=1 - F.sum((F.col("prediction") - F.col("target")) ** 2) / (F.count(F.lit(1)) * F.var_pop("target")),
+        assemble_fn=lambda d: models.assemble(d, FEATS)) \
+        .select("feature", *[F.round(c, 8).alias(c) for c in ("base_score", "permuted_score", "drop")])
+
+
+@query("m30_tree_attribution_importance")
+def m30t(spark, sf):
+    """Shapley values of the boosted trees on the test rows: mean |attribution|
+    per feature and its share."""
+    mf = model_frame(spark, sf)
+    m = models.fit_gbt_regressor(_train(mf), FEATS, "target", subsample=0.8, colsample="0.8")
+    attr = tree_explain.tree_attribution(mf.where(F.col("split") == "test"), "line_key", FEATS, tree_explain.leaf_table(m))
+    return explain.attribution_importance(attr)
 
 
 @query("m36_classification_flow")
@@ -209,7 +289,7 @@ def m36c(spark, sf):
     tr_s = scaled.where(F.col("split") == "train")
     bal = balance.rebalance(tr_s.select("vec_id", "vec", "y"), "vec_id", "vec", "y", 1)
     bal = bal.select("y", *[F.col("vec")[i].alias(d) for i, d in enumerate(dims)])
-    m = models.fit_logistic(bal, dims, "y", max_iter=100)
+    m = models.fit_logistic(bal, dims, "y")
     p = m.transform(models.assemble(scaled, dims))
     p = p.withColumn("p1", vector_to_array(F.col("probability"))[1])
     return evaluate.classification_metrics(p.withColumn("yhat", F.col("prediction").cast("int")),

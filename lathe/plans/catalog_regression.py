@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lathe.functions import dates, numeric, rules
 from lathe.operators import encode, filters, profile, split
-from lathe.operators.ordering import exact_quantiles
+from lathe.operators.quantiles import exact_quantiles
 from lathe.plans.registry import query
 from lathe.sources.tables import table
 

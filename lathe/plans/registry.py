@@ -25,4 +25,4 @@ def load_all() -> None:
     """Import every catalog module (registration happens on import)."""
     from lathe.plans import (catalog_regression, catalog_profile, catalog_panel,  # noqa: F401
                              catalog_features, catalog_balance, catalog_evaluate,
-                             catalog_text, catalog_models)
+                             catalog_text, catalog_models, catalog_flows)

@@ -5,13 +5,33 @@ from pyspark.sql import functions as F
 from lathe.operators import fuzzy
 
 
-def test_word_match_semantics():
+def test_ratio_matches_the_standard_library():
+    import difflib
+    import random
+    rng = random.Random(5)
     assert round(fuzzy.ratio("us", "united states"), 3) == 0.267
-    assert not fuzzy.word_match("US", "united states", 0.6)
-    assert fuzzy.word_match("United Kingdom", "united states", 0.6)   # "united" = 0.632
-    assert not fuzzy.word_match(None, "united states", 0.6)
-    assert fuzzy.bigram_match("untied states", "united", "states", 0.6)
-    assert not fuzzy.bigram_match("united arab emirates", "united", "states", 0.6)
+    for _ in range(2000):
+        a, b = ("".join(rng.choice("abcde ") for _ in range(rng.randrange(0, 14))) for _ in range(2))
+        assert fuzzy.ratio(a, b) == difflib.SequenceMatcher(None, a, b).ratio()
+
+
+def test_word_match_semantics(spark):
+    rows = [("US",), ("United Kingdom",), (None,), ("",), ("  UNTIED  states ",), ("canada",)]
+    df = spark.createDataFrame(rows, "c string")
+    got = {r.c: r.is_match for r in fuzzy.fuzzy_word_match(df, "c", "united states", 0.6).collect()}
+    assert got == {"US": False, "United Kingdom": True, None: False, "": False, "  UNTIED  states ": True, "canada": False}
+    pair = ("united", "states")
+    df = spark.createDataFrame([("untied states",), ("united arab emirates",), ("states",)], "c string")
+    got = {r.c: r.is_match for r in fuzzy.fuzzy_bigram_match(df, "c", pair).collect()}
+    assert got == {"untied states": True, "united arab emirates": False, "states": False}
+
+
+def test_bound_is_never_below_the_ratio(spark):
+    import random
+    rng = random.Random(6)
+    words = [("".join(rng.choice("unitedsax") for _ in range(rng.randrange(1, 16))),) for _ in range(500)]
+    rows = spark.createDataFrame(words, "w string").select("w", fuzzy.ratio_bound(F.col("w"), "united states").alias("b"))
+    assert all(r.b >= fuzzy.ratio(r.w, "united states") - 1e-12 for r in rows.collect())
 
 
 def test_fuzzy_join_back_on_distinct_values(spark):

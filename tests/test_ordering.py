@@ -5,7 +5,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from lathe.operators.ordering import exact_quantiles, global_cumsum, rank_within
+from lathe.operators.ordering import global_cumsum, rank_within
+from lathe.operators.quantiles import exact_quantiles
 
 
 def _skewed(spark, n=600):
@@ -51,7 +52,7 @@ def test_exact_quantiles_linear_and_nearest(spark):
 
 
 def test_bucketed_selection_path_is_exact(spark):
-    """Force the scale path (bucket selection) and compare with numpy,
+    """Selection by brackets against numpy,
     including a value that holds a third of all rows and groups on very
     different scales."""
     rng = np.random.default_rng(7)
@@ -62,14 +63,9 @@ def test_bucketed_selection_path_is_exact(spark):
     pdf = pd.DataFrame({"g": g, "v": v})
     df = spark.createDataFrame(pdf)
     qs = [0.0, 0.1, 0.5, 0.77, 1.0]
-    old = spark.conf.get("spark.lathe.smallGroupRows", None)
-    spark.conf.set("spark.lathe.smallGroupRows", "0")
-    try:
-        got = exact_quantiles(df, "v", qs, group_cols=["g"], bounded_groups=True,
-                              names=[f"q{i}" for i in range(len(qs))]).toPandas()
-        glob = exact_quantiles(df, "v", [0.5], names=["m"]).first()["m"]
-    finally:
-        spark.conf.set("spark.lathe.smallGroupRows", old or "2000000")
+    got = exact_quantiles(df, "v", qs, group_cols=["g"],
+                          names=[f"q{i}" for i in range(len(qs))]).toPandas()
+    glob = exact_quantiles(df, "v", [0.5], names=["m"]).first()["m"]
     for _, row in got.iterrows():
         vals = np.sort(pdf.loc[pdf.g == row["g"], "v"].to_numpy())
         for i, q in enumerate(qs):
