@@ -35,6 +35,7 @@ BANDS, ROWS = 50, 6
 TOLERANCE = 1e-9
 STEP = 20            # MinHash values compared between two prunings
 BLOCK = 256          # classes per block
+SLICE = 256          # rows of a batch worked on at once
 VOCABULARY = 16_384  # shingles verified at once, which bounds a task's matrices
 
 
@@ -81,8 +82,16 @@ def least_matches(threshold: float, tolerance: float, step: int, total: int) ->
     return out
 
 
-def _signatures(batches):
+def _small(batches):
+    """The rows of the batches, few at a time: what a task holds beside its own
+    input does not grow with Spark's batch size."""
     for batch in batches:
+        for at in range(0, len(batch), SLICE):
+            yield batch.slice(at, SLICE)
+
+
+def _signatures(batches):
+    for batch in _small(batches):
         k1, k2, size, bands = [], [], [], []
         for buf in buffers(batch.column(2)):
             sh = shingles(buf)
@@ -105,7 +114,7 @@ def _signatures(batches):
 
 
 def _sets(batches):
-    for batch in batches:
+    for batch in _small(batches):
         sh = [shingles(buf) for buf in buffers(batch.column("t"))]
         yield pa.RecordBatch.from_arrays(
             [batch.column(c) for c in ("uid", "cluster", "n")]
@@ -223,7 +232,7 @@ def _compare(batches):
         return found + [(int(uid[i]), int(uid[j]), 0) for i, j in edges]
 
     out = []
-    for batch in batches:
+    for batch in _small(batches):
         columns = [batch.column(c).to_pylist() for c in ("cluster", "p", "q", "uid", "mine", "n", "sh", "sig")]
         for cluster, p, q, *row in zip(*columns):
             if (cluster, p, q) != key:
@@ -273,8 +282,14 @@ def similarity_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     hits = sets.select("uid", F.explode("bands").alias("band"))
     buckets = (hits.groupBy("band").agg(F.min("uid").alias("least"), F.count("*").alias("n"))
                .where("n > 1").select("band", "least"))
-    edges = hits.join(buckets, "band").where("uid <> least").select(F.col("uid").alias("u"), F.col("least").alias("v"))
-    clusters = components(edges)
+    # a class meets the least class of each of its buckets (at most BANDS of them); it hangs on the least of these,
+    # and only the links between least classes go into the search for components
+    met = stage_table(hits.join(buckets, "band").groupBy("uid").agg(F.collect_set("least").alias("near"))
+                      .select("uid", F.array_min("near").alias("hub"), "near"), "join-hubs")
+    edges = met.select(F.col("hub").alias("u"), F.explode("near").alias("v")).where("u <> v").distinct()
+    hubs = components(edges)
+    clusters = (met.join(hubs, met.hub == hubs.id, "left")
+                .select(F.col("uid").alias("id"), F.coalesce("label", "hub").alias("label")))
 
     chosen = (sets.join(clusters, sets.uid == clusters.id)
               .select("uid", F.col("label").alias("cluster"), "n", "rep.id", F.col("rep.th").alias("th")))
