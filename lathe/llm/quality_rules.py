@@ -174,15 +174,16 @@ def learn_rules(x: np.ndarray, bad: np.ndarray, names: list[str], min_precision:
 def fit_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               sample_rows: int = SAMPLE_ROWS, seed: int = 5, **limits) -> DecisionList:
     """Learn from the ``sample_rows`` labelled ids that come first in a seeded
-    hash order.  Contradictory labels of one id count as bad; null labels and
-    null ids are left out."""
+    hash order, and of at most ``2 * sample_rows`` rows that have these ids (the
+    first by id and statistics, where ids repeat).  Contradictory labels of
+    one id count as bad; null labels and null ids are left out."""
     known = (labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
              .agg(F.min("quality").alias("quality")))
     sample = (known.orderBy(F.xxhash64(F.lit(seed), F.col("doc_id")), "doc_id").limit(sample_rows)
               .select(F.col("doc_id").alias("l_id"), "quality"))
     chosen = docs.select(F.col(f"`{id_col}`").alias("l_id"), F.col(f"`{text_col}`").alias("text"))
-    # the sample's size is bounded by sample_rows
-    rows = with_stats(chosen.join(F.broadcast(sample), "l_id").select("l_id", "text", "quality"))
+    # the sample's size is bounded by sample_rows; its texts are staged, so that statistics are made of them alone
+    rows = with_stats(stage_table(chosen.join(F.broadcast(sample), "l_id").select("l_id", "text", "quality"), "rules-sample"))
     features = _features()
     rows = rows.where(~base_failed()).select("row.l_id", "row.quality", *[c.alias(n) for n, c in features.items()])
     got = rows.orderBy("l_id", *features).limit(2 * sample_rows).toPandas()
