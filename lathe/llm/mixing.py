@@ -5,8 +5,10 @@ times their size are clamped there and the excess is reshared by weight among
 the rest, until none is above.  A source's epochs = target / size are served
 by that many whole repetitions of every document and one more of a seeded
 sample, drawn so that its words meet the fractional rest: documents are dealt
-by hash into 2**20 cells per source, and running sums over cells (two levels
-of 1024) find the cell where the rest is reached.
+by a hash of id and text into 2**20 cells per source, and running sums over
+cells (two levels of 1024) find the cell where the rest is reached.  Only the
+rows of that cell are put in order (also where it is large, as with many equal
+rows), and a running sum over them ends the sample within half a document.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lathe.llm.common import stage_table, table
-from lathe.operators.ordering import global_row_number
+from lathe.operators.ordering import global_row_number, rank_within
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -59,8 +61,8 @@ def _cut(cells: DataFrame, key: str, goal: str, names: list[str]) -> DataFrame:
 
 
 def _dealt(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> list:
-    draw = F.xxhash64(F.lit(seed), F.col(id_col))
-    return [F.col(source_col).alias("source"), n_words(text_col).alias("size"),
+    draw = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
+    return [F.col(source_col).alias("source"), n_words(text_col).alias("size"), draw.alias("draw"),
             F.pmod(F.shiftrightunsigned(draw, 10), F.lit(CELLS)).cast("int").alias("c1"),
             F.pmod(F.shiftrightunsigned(draw, 30), F.lit(CELLS)).cast("int").alias("c2")]
 
@@ -86,16 +88,22 @@ def mixing_plan(narrow: DataFrame, total_share: float = TOTAL_SHARE, max_epochs:
     cut2 = _cut(two, "c2", "rest", ["cut2", "base2", "s2"]).withColumnRenamed("source", "c_source")
     return stage_table(
         plan.join(cut1, same("source", "k_source"), "left").join(cut2, same("source", "c_source"), "left")
-        .select(F.col("source").alias("p_source"), "source_size", "target", "whole", "cut1", "cut2",
-                (F.col("base2") + F.col("s2") - F.col("rest") <= F.col("rest") - F.col("base2")).alias("take_cut")),
+        .select(F.col("source").alias("p_source"), "source_size", "target", "whole", "cut1", "cut2", "base2", "rest"),
         "mix-decided")
 
 
-def _repetitions():
-    extra = ((F.col("c1") < F.col("cut1"))
-             | ((F.col("c1") == F.col("cut1"))
-                & ((F.col("c2") < F.col("cut2")) | ((F.col("c2") == F.col("cut2")) & F.col("take_cut")))))
-    return F.col("whole") + F.coalesce(extra, F.lit(False)).cast("long")
+def _repeated(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` (source, size, draw, c1, c2 and more) with the plan and ``times``,
+    how often each is taken."""
+    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("p_source")))
+    at_cut = F.coalesce((F.col("c1") == F.col("cut1")) & (F.col("c2") == F.col("cut2")), F.lit(False))
+    before_cut = (F.col("c1") < F.col("cut1")) | ((F.col("c1") == F.col("cut1")) & (F.col("c2") < F.col("cut2")))
+    others = joined.where(~at_cut).withColumn("times", F.col("whole") + F.coalesce(before_cut, F.lit(False)).cast("long"))
+    cell = joined.where(at_cut).withColumn("copy", F.monotonically_increasing_id())
+    ordered = rank_within(cell, ["source"], ["draw", "copy"], count_col=None, sums={"upto": "size"})
+    before = F.col("base2") + F.col("upto") - F.col("size")
+    taken = before + F.col("size") - F.col("rest") <= F.col("rest") - before
+    return others.unionByName(ordered.withColumn("times", F.col("whole") + taken.cast("long")).select(*others.columns))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -103,16 +111,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """One row per document: id, source, size, source_size, target, taken.
 
     A null text has size 0; a null source is a source of its own, last in the
-    order of weights; rows with one id (or with null ids) share their draw and
-    are taken alike; a source without words has target 0; a long text counts
-    whole; an empty table gives no rows; other columns are ignored.
+    order of weights; rows with one id or a null id draw by their texts too,
+    and equal rows are interchangeable; a source without words has target 0; a
+    long text counts whole; an empty table gives no rows; other columns are
+    ignored.
     """
     narrow = stage_table(docs.select(F.col(id_col).alias("_id"), *_dealt(docs, id_col, text_col, source_col, seed)),
                          "mix-docs")
     plan = mixing_plan(narrow, **limits)
-    return (narrow.join(plan, F.col("source").eqNullSafe(F.col("p_source")))
-            .select(F.col("_id").alias(id_col), "source", "size", "source_size", "target",
-                    (F.col("size") * _repetitions()).alias("taken")))
+    return _repeated(narrow, plan).select(F.col("_id").alias(id_col), "source", "size", "source_size", "target",
+                                          (F.col("size") * F.col("times")).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -123,9 +131,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"),
                         *_dealt(docs, id_col, text_col, source_col, seed))
     plan = mixing_plan(stage_table(boxed.drop("_row"), "mix-docs"), **limits)
-    return (boxed.join(plan, F.col("source").eqNullSafe(F.col("p_source")))
-            .withColumn("_n", _repetitions()).where("_n > 0")
-            .select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select("_row.*"))
+    return (_repeated(boxed, plan).where("times > 0")
+            .select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("_row.*"))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

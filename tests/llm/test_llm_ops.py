@@ -426,7 +426,9 @@ def test_mixing(spark, docs):
     rng = random.Random(1)
     rows = [(i, " ".join(["w"] * rng.randrange(0, 60)), None, rng.choice(["a", "b", "b", "b", "\U0001F600", "\uff00", None]), 0)
             for i in range(6000)]
-    for frame, data in ((spark.createDataFrame(rows, DOCS), rows), (docs, sample_docs())):
+    same = [(None, " ".join(["w"] * 10) + f" {i % 2}", None, f"s{i % 2}", 0) for i in range(3000)]  # no ids, two texts
+    for frame, data in ((spark.createDataFrame(rows, DOCS), rows), (docs, sample_docs()),
+                        (spark.createDataFrame(same, DOCS).repartition(4), same)):
         got = mix(frame).collect()
         sizes = Counter()
         for r in data:
@@ -443,6 +445,8 @@ def test_mixing(spark, docs):
         assert sorted(map(str, got)) == sorted(map(str, mix(frame.repartition(3)).collect()))
     out = mixed_documents(docs)
     assert out.columns == docs.columns and out.count() > 0
+    assert sum(r.size for r in mix(spark.createDataFrame(same, DOCS)).collect()) * 1.5 // 11 - 1 <= mixed_documents(
+        spark.createDataFrame(same, DOCS)).count()
     assert mix(empty(spark)).count() == 0 and mixed_documents(empty(spark)).count() == 0
 
 
