@@ -206,7 +206,7 @@ def panel_features(rows):
 
 
 _CLS_FRAME_SQL = f"""
-WITH g AS (SELECT event_id, ts, user_id, event_type, props,
+WITH g AS (SELECT event_id, ts, user_id, event_type, CASE WHEN event_type = 'view' THEN NULL ELSE props END AS props,
   CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value,
   CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS is_purchase FROM events),
 last AS (SELECT user_id, arg_max(is_purchase, struct_pack(t := ts, e := event_id)) AS lbl FROM g GROUP BY user_id),
