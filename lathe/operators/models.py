@@ -131,6 +131,22 @@ def fit_logistic(df: DataFrame, feats: list[str], label: str, balanced: bool = T
     return m
 
 
+def logistic_gradient(model, df: DataFrame, feats: list[str], label: str, balanced: bool = True) -> DataFrame:
+    """(term, gradient, scale) of the penalised log-loss that ``fit_logistic``
+    minimises, at the model's weights, from one aggregate: the mean of
+    weight * (p - y) * x plus penalty * w (no penalty for the intercept), and the
+    mean of weight * |x| to judge it by.  At the optimum every gradient is 0."""
+    d = balanced_weights(df, label) if balanced else df.withColumn("weight", F.lit(1.0))
+    w = [float(v) for v in model.coefficients.toArray()]
+    margin = sum((F.col(f).cast("double") * v for f, v in zip(feats, w)), F.lit(float(model.intercept)))
+    d = d.withColumn("_e", F.col("weight") * (1 / (1 + F.exp(-margin)) - F.col(label)))
+    terms = [("intercept", F.lit(1.0), 0.0)] + [(f, F.col(f).cast("double"), v) for f, v in zip(feats, w)]
+    one = d.agg(F.sum("weight").alias("_w"), F.count(F.lit(1)).alias("_n"), *[x for i, (_, c, _) in enumerate(terms) for x in (
+        F.sum(F.col("_e") * c).alias(f"g{i}"), F.sum(F.col("weight") * F.abs(c)).alias(f"s{i}"))]).first()
+    rows = [(name, one[f"g{i}"] / one["_w"] + v / one["_n"], one[f"s{i}"] / one["_w"]) for i, (name, _, v) in enumerate(terms)]
+    return df.sparkSession.createDataFrame(rows, "term string, gradient double, scale double")
+
+
 def fit_rf_classifier(df, feats, label, n_trees: int = 200, depth: int = 15, min_leaf: int = 5,
                       balanced: bool = True, seed: int = 42):
     d = balanced_weights(df, label) if balanced else df.withColumn("weight", F.lit(1.0))

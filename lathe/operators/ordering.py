@@ -35,7 +35,7 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
 
-def _stage_sorted(df: DataFrame, group_cols: list[str], order_by, partitions: int | None,
+def stage_sorted(df: DataFrame, group_cols: list[str], order_by, partitions: int | None,
                   name: str) -> DataFrame:
     spark = df.sparkSession
     p = partitions or num_partitions(spark)
@@ -59,7 +59,7 @@ def rank_within(df: DataFrame, group_cols: list[str], order_by, *,
     after measuring it; ``bounded_groups`` is kept for callers and changes nothing.
     """
     group_cols = list(group_cols)
-    staged = _stage_sorted(df, group_cols, order_by, partitions, "rank")
+    staged = stage_sorted(df, group_cols, order_by, partitions, "rank")
     sums = sums or {}
     keys = ["_pid"] + group_cols
     aggs = [F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_cnt")]

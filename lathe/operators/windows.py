@@ -6,59 +6,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lathe.functions.hashing import hash_int
-from lathe.operators.ordering import global_row_number
-
-
-def _segment_bounds(df: DataFrame, order_col: str, segments: int) -> list:
-    """``segments-1`` approximate quantile cut points of the order column —
-    a bounded list of scalars (one small aggregate)."""
-    if segments <= 1:
-        return []
-    probs = [i / segments for i in range(1, segments)]
-    cuts = df.agg(F.percentile_approx(F.col(order_col), probs, 10000).alias("c")).first()["c"]
-    return sorted(set(c for c in (cuts or []) if c is not None))
-
-
-def _segment_of(order_col: str, cuts: list) -> Column:
-    """Index of the range segment of ``order_col`` (monotone in it)."""
-    seg = F.lit(0)
-    for c in cuts:
-        seg = seg + (F.col(order_col) >= F.lit(c)).cast("int")
-    return seg
+from lathe.operators.ordering import global_row_number, stage_sorted
 
 
 def forward_fill(df: DataFrame, id_col: str, order_col: str, cols: list[str],
-                 tiebreak: str | None = None, segments: int = 16) -> DataFrame:
+                 tiebreak: str | None = None, partitions: int | None = None) -> DataFrame:
     """Carry the last non-NULL value forward inside each id, in
     ``(order_col, tiebreak)`` order (a leading NULL stays NULL).
 
-    Skew-safe: rows are cut into range segments of the order column, so a
-    hot id is spread over ``segments`` window partitions.  Each segment is
-    filled locally; the last non-NULL value of every (id, segment) is then
-    carried across segments on a table with at most ``segments`` rows per
+    Rows are range-partitioned by id and order, which splits an id of any size,
+    also one whose rows fall into a short time, over as many partitions as it
+    fills.  Each part is filled by itself; the last non-NULL value of every
+    (partition, id) is carried on in a table with one row for each part of an
     id, and joined back.
     """
     order = [F.col(order_col)] + ([F.col(tiebreak)] if tiebreak else [])
-    cuts = _segment_bounds(df, order_col, segments)
-    if not cuts:
-        w = Window.partitionBy(id_col).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in cols else F.col(c)
-                           for c in df.columns])
-    seg = df.withColumn("_seg", _segment_of(order_col, cuts))
-    w_loc = (Window.partitionBy(id_col, "_seg").orderBy(*order)
-             .rowsBetween(Window.unboundedPreceding, 0))
-    local = seg.select(*[F.col(c) for c in df.columns if c not in cols], "_seg",
-                       *[F.last(c, ignorenulls=True).over(w_loc).alias(c) for c in cols])
-    okey = F.struct(*order)
-    carry = seg.groupBy(id_col, "_seg").agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(f"_last_{c}") for c in cols])
-    w_prev = (Window.partitionBy(id_col).orderBy("_seg")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carry = carry.select(id_col, "_seg", *[F.last(f"_last_{c}", ignorenulls=True).over(w_prev)
-                                           .alias(f"_prev_{c}") for c in cols])
-    prev = carry.select(F.col(id_col).alias("_cid"), F.col("_seg").alias("_cseg"),
-                        *[f"_prev_{c}" for c in cols])
-    j = local.join(prev, F.col(id_col).eqNullSafe(F.col("_cid")) & (F.col("_seg") == F.col("_cseg")), "left")
+    parts = stage_sorted(df, [id_col], order, partitions, "forward-fill")
+    upto = Window.partitionBy("_pid", id_col).orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
+    local = parts.select(*[F.col(c) for c in df.columns if c not in cols], "_pid",
+                         *[F.last(c, ignorenulls=True).over(upto).alias(c) for c in cols])
+    last = parts.groupBy("_pid", id_col).agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_idx"))).alias(f"_last_{c}") for c in cols])
+    before = Window.partitionBy(id_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select(F.col("_pid").alias("_cpid"), F.col(id_col).alias("_cid"),
+                        *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_prev_{c}") for c in cols])
+    j = local.join(carry, F.col(id_col).eqNullSafe(F.col("_cid")) & (F.col("_pid") == F.col("_cpid")), "left")
     return j.select(*[F.coalesce(F.col(c), F.col(f"_prev_{c}")).alias(c) if c in cols else F.col(c)
                       for c in df.columns])
 

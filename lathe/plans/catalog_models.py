@@ -118,6 +118,16 @@ def m06(spark, sf):
     return _cls_eval(models.fit_logistic(_train(mf), FEATS, "y"), mf)
 
 
+@query("m06_logistic_optimality", "SELECT unnest(['intercept', " + ", ".join(f"'{f}'" for f in FEATS)
+       + "]) AS term, true AS gradient_is_zero")
+def m06o(spark, sf):
+    """The fitted weights are a minimum of the balanced, penalised log-loss: its
+    gradient over the train rows is 0 in every direction."""
+    tr = _train(model_frame(spark, sf))
+    g = models.logistic_gradient(models.fit_logistic(tr, FEATS, "y"), tr, FEATS, "y")
+    return g.select("term", (F.abs("gradient") <= 1e-3 * F.col("scale")).alias("gradient_is_zero"))
+
+
 @query("m08_fit_rf_classifier")
 def m08(spark, sf):
     mf = model_frame(spark, sf)

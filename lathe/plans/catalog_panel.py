@@ -39,7 +39,7 @@ SELECT event_id, round(last_value(CASE WHEN event_type = 'error' THEN NULL ELSE
 FROM events""")
 def w01(spark, sf):
     e = events_with_gaps(spark, sf)
-    ff = windows.forward_fill(e, "user_id", "ts", ["value"], tiebreak="event_id", segments=16)
+    ff = windows.forward_fill(e, "user_id", "ts", ["value"], tiebreak="event_id")
     return ff.select("event_id", F.round("value", 4).alias("value"))
 
 

@@ -55,10 +55,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
                                "(stage tables and checkpoints must survive executor loss)")
-        d = tempfile.mkdtemp(prefix="lathe-ckpt-")  # single-machine sessions (tests) only
-        spark.conf.set("spark.checkpoint.dir", d)
+        # single-machine sessions (tests) only; the setting itself is fixed once a session runs
+        d = tempfile.mkdtemp(prefix="lathe-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
+        if not spark.conf.get("spark.checkpoint.dir", None):
+            d = spark.sparkContext.getCheckpointDir()
     return d.rstrip("/")
 
 

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,6 +13,4 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from lathe.session import get_spark
     s = get_spark("local[4]", app="lathe-tests", shuffle_partitions=8)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lathe-test-ckpt-"))
     yield s

@@ -17,7 +17,7 @@ def test_null_is_a_category(spark):
 def test_null_id_is_filled(spark):
     from lathe.operators.windows import forward_fill
     rows = [(i, t, "x" if t == 0 else None) for i in (None, 1) for t in range(40)]
-    out = forward_fill(spark.createDataFrame(rows, "id int, t int, v string"), "id", "t", ["v"], segments=8)
+    out = forward_fill(spark.createDataFrame(rows, "id int, t int, v string"), "id", "t", ["v"], partitions=8)
     assert out.where("v is null").count() == 0
 
 

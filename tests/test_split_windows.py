@@ -47,12 +47,27 @@ def test_forward_fill_edges(spark):
     exp = pdf.assign(v=pdf.groupby("id")["v"].ffill())
     exp = {(r.id, r.ts): r.v for r in exp.itertuples()}
     for seg in (1, 4, 16):
-        got = windows.forward_fill(df, "id", "ts", ["v"], segments=seg).collect()
+        got = windows.forward_fill(df, "id", "ts", ["v"], partitions=seg).collect()
         for r in got:
             e = exp[(r.id, r.ts)]
             assert (r.v is None and pd.isna(e)) or r.v == e, (seg, r)
 
 
+def test_forward_fill_splits_an_id_of_one_short_time(spark):
+    """One id with a third of all rows, all within one time step of the others."""
+    from lathe.operators.ordering import stage_sorted
+    rows = [(0, 500, e, float(e) if e % 50 == 0 else None) for e in range(1000)]
+    rows += [(1 + i % 40, i, 1000 + i, float(i) if i % 3 == 0 else None) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, ts long, e long, v double").repartition(5)
+    parts = stage_sorted(df, ["id"], ["ts", "e"], 8, "hot-id").where("id = 0").groupBy("_pid").count().collect()
+    assert len(parts) >= 3 and max(r["count"] for r in parts) < 600
+    pdf = pd.DataFrame(rows, columns=["id", "ts", "e", "v"]).sort_values(["id", "ts", "e"])
+    exp = dict(zip(pdf.e, pdf.groupby("id")["v"].ffill()))
+    got = windows.forward_fill(df, "id", "ts", ["v"], tiebreak="e", partitions=8).collect()
+    assert len(got) == 3000
+    assert all((r.v is None and pd.isna(exp[r.e])) or r.v == exp[r.e] for r in got)
+
+
 def test_top_k_per_group_salted(spark):
     rows = [("hot" if i < 300 else "cold", i, float(i % 97)) for i in range(600)]
     df = spark.createDataFrame(rows, "g string, k long, v double")
