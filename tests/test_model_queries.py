@@ -1,7 +1,6 @@
 """The registered model queries run the whole job: every size, every fold."""
 
 import inspect
-from types import SimpleNamespace
 
 import pytest
 
@@ -10,33 +9,36 @@ from lathe.plans import catalog_models as cm
 SF = "/root/testdata/sf0.001"
 
 
-def held_out(monkeypatch):
-    """Records, for every ridge fit, the folds that its rows have."""
-    fits, fit = [], cm.models.fit_ridge
+def fit_sizes(monkeypatch):
+    """Records, for every ridge fit, how many rows it has."""
+    fits, solve = [], cm.gram.solve_ridge
 
-    def recorded(d, *args, **kwargs):
-        fits.append(frozenset(r.fold for r in d.select("fold").distinct().collect()))
-        return fit(d, *args, **kwargs)
-    monkeypatch.setattr(cm.models, "fit_ridge", recorded)
+    def recorded(blocks, block, *args, **kwargs):
+        fits.append(int(block[0, 0]))
+        return solve(blocks, block, *args, **kwargs)
+    monkeypatch.setattr(cm.gram, "solve_ridge", recorded)
     return fits
 
 
 def test_learning_curve_takes_every_size_and_fold(spark, monkeypatch):
-    fits = held_out(monkeypatch)
+    fits = fit_sizes(monkeypatch)
     got = {(r.size_index, r.part) for r in cm.m15(spark, SF).collect()}
     assert got == {(s, p) for s in range(8) for p in ("train", "validation")}
-    assert sorted(map(sorted, fits)) == sorted([f for f in range(5) if f != out] for out in range(5) for _ in range(8))
+    tr = cm.split.assign_folds(cm._train(cm.model_frame(spark, SF)), "row_key", k=5)
+    rows = cm.split.learning_sizes(tr, "row_key", n_sizes=8, lo=0.25, hi=1.0).select("size_index", "fold").collect()
+    assert sorted(fits) == sorted(sum(r.size_index <= s and r.fold != f for r in rows) for s in range(8) for f in range(5))
 
 
 def test_cross_validation_holds_every_fold_out_once(spark, monkeypatch):
-    fits = held_out(monkeypatch)
+    fits = fit_sizes(monkeypatch)
     assert cm.m12(spark, SF).count() == 6
-    assert sorted(map(sorted, fits)) == sorted([f for f in range(5) if f != out] for out in range(5))
+    rows = cm.split.assign_folds(cm._train(cm.model_frame(spark, SF)), "row_key", k=5).select("fold").collect()
+    assert sorted(fits) == sorted(sum(r.fold != f for r in rows) for f in range(5))
 
 
 def small_frame(spark, monkeypatch):
-    rows = [(i, "train", *[float(i * k % 7) for k in (1, 2, 3, 4, 5)], float(i % 9), i % 2) for i in range(60)]
-    names = ["line_key", "split", *cm.FEATS, "target", "y"]
+    rows = [(i, str(i), "train", *[float(i * k % 7) for k in (1, 2, 3, 4, 5)], float(i % 9), i % 2) for i in range(60)]
+    names = ["line_key", "row_key", "split", *cm.FEATS, "target", "y"]
     frame = spark.createDataFrame(rows, names)
     monkeypatch.setattr(cm, "model_frame", lambda *_: frame)
     return frame
@@ -76,12 +78,10 @@ def test_search_and_grid(spark, monkeypatch):
     small_frame(spark, monkeypatch)
     calls = []
 
-    def tune(est, maps, ev, df, fold_col, parallelism=4):
+    def tune(est, maps, df, fold_col, parallelism=8):
         calls.append((type(est).__name__, maps, sorted(r[0] for r in df.select(fold_col).distinct().collect())))
-        model = SimpleNamespace(avgMetrics=[abs(i - 7.0) for i in range(len(maps))],
-                                getEstimatorParamMaps=lambda: maps)
-        return model, len(maps)
-    monkeypatch.setattr(cm.models, "tune", tune)
+        return len(maps), {p.name: v for p, v in maps[7].items()}
+    monkeypatch.setattr(cm.models, "tune_boosted", tune)
     assert cm.m13(spark, SF) == 30 and len(calls[0][1][0]) == 7
     assert cm.m14(spark, SF) == 27
     assert all(c[0] == "GBTRegressor" and c[2] == list(range(5)) for c in calls)
@@ -89,6 +89,20 @@ def test_search_and_grid(spark, monkeypatch):
     assert best in [{p.name: v for p, v in m.items()} for m in calls[2][1]]
 
 
+def test_shared_prefixes_score_like_separate_fits(spark, monkeypatch):
+    from pyspark.ml.regression import GBTRegressor
+    tr = cm.models.assemble(cm.split.assign_folds(small_frame(spark, monkeypatch), "line_key", k=2), cm.FEATS).cache()
+    est = GBTRegressor(featuresCol="features", labelCol="target", seed=1, maxDepth=2)
+    maps = [{est.maxIter: 1}, {est.maxIter: 3}, {est.maxIter: 3, est.maxDepth: 1}]
+    table, best = cm.models.tune_boosted(est, maps, tr, "fold")
+    got = {r.draw: r.metric for r in table.collect()}
+    ev = cm.models.rmse_evaluator("target")
+    want = [sum(ev.evaluate(est.copy(m).fit(tr.where(f"fold <> {f}")).transform(tr.where(f"fold = {f}"))) for f in (0, 1)) / 2
+            for m in maps]
+    assert all(abs(got[i] - w) < 1e-9 for i, w in enumerate(want))
+    assert best == {p.name: v for p, v in maps[want.index(min(want))].items()}
+
+
 def test_tune_validates_every_fold(spark, monkeypatch):
     from pyspark.ml.regression import LinearRegression
     tr = cm.models.assemble(cm.split.assign_folds(small_frame(spark, monkeypatch), "line_key", k=5), cm.FEATS)
