@@ -1,10 +1,9 @@
 """Operator 2: deletion of repeated runs of lines.
 
 Units are lines that hold a word, with outer blanks left out.  A run counts as
-repeated from ``min_lines`` consecutive lines on, or as one line of at least
-``min_words`` words; with ``joint`` also as fewer lines that together have
-``min_words`` words (the pipeline's rule; op2's SQL is without).  Every such
-run is a window, and windows are grouped whole by a 128-bit hash of their
+repeated from ``min_lines`` consecutive lines on, or as fewer lines that have
+``min_words`` words together (``joint``; without it only as one such line).  Every
+such run is a window, and windows are grouped whole by a 128-bit hash of their
 lines; those whose text was met at an earlier position are deleted, and unions
 of such windows are the runs.  Nothing is selected or extended as in
 winnowing: the least hash of a ``gram`` of lines in a window is only a filter
@@ -97,7 +96,7 @@ def _without(batches):
 
 
 def repeated_line_windows(docs: DataFrame, id_col: str, text_col: str, min_lines: int = MIN_LINES, gram: int = GRAM,
-                          min_words: int = MIN_WORDS, joint: bool = False) -> DataFrame:
+                          min_words: int = MIN_WORDS, joint: bool = True) -> DataFrame:
     """(id, th, at, size) of the windows of lines that stand at an earlier
     position, ordered by id, text hash and line number."""
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{text_col}`").alias("th"),

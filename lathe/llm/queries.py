@@ -57,7 +57,10 @@ again AS (
   SELECT doc_id, nth, 3 AS size, place > min(place) OVER (PARTITION BY s, s2, s3) AS later FROM three WHERE s3 IS NOT NULL
   UNION ALL
   SELECT doc_id, nth, 1, place > min(place) OVER (PARTITION BY s) FROM u
-  WHERE len(regexp_extract_all(s, '[^\\x20\\x09-\\x0D]+')) >= 50),
+  WHERE len(regexp_extract_all(s, '[^\\x20\\x09-\\x0D]+')) >= 50
+  UNION ALL
+  SELECT doc_id, nth, 2, place > min(place) OVER (PARTITION BY s, s2) FROM three
+  WHERE len(regexp_extract_all(s, '[^\\x20\\x09-\\x0D]+')) + len(regexp_extract_all(s2, '[^\\x20\\x09-\\x0D]+')) >= 50),
 gone AS (SELECT DISTINCT doc_id, nth + d AS nth FROM again, (VALUES (0), (1), (2)) v(d) WHERE later AND d < size),
 marked AS (
   SELECT l.doc_id, l.k, l.raw, u.nth, g.nth AS cut FROM l LEFT JOIN u ON u.doc_id = l.doc_id AND u.k = l.k

@@ -113,8 +113,9 @@ def brute_lines(rows, min_lines=3, min_words=50):
         for at in range(len(u)):
             if at + min_lines <= len(u):
                 yield at, tuple(s for _, s in u[at:at + min_lines])
-            if len(u[at][1].split()) >= min_words:
-                yield at, (u[at][1],)
+            for size in range(1, min_lines):  # fewer lines that have the words together
+                if at + size <= len(u) and sum(len(s.split()) for _, s in u[at:at + size]) >= min_words:
+                    yield at, tuple(s for _, s in u[at:at + size])
     for i, u in enumerate(units):
         for at, w in windows(u):
             met.setdefault(w, set()).add(place(i, at)[:2] + (i if rows[i][0] is None else rows[i][1], at))
@@ -123,7 +124,10 @@ def brute_lines(rows, min_lines=3, min_words=50):
 
 def test_line_dedup(spark, docs):
     from lathe.llm.line_dedup import dedup_lines
+    rng = random.Random(12)
+    pair = "\n".join(" ".join(words(rng, 30)) for _ in range(2))  # 60 words on two lines
     rows = [r for r in sample_docs() if r[0] is not None]
+    rows += [(200 + i, f"own {i}\n{pair}\nend {i}", "en", "s", 0) for i in range(4)]
     frame = spark.createDataFrame(rows, DOCS).withColumnRenamed("lang", "_row").withColumnRenamed("n_chars", "n_lines")
     units, met, windows, _ = brute_lines(rows)
     want = Counter()
