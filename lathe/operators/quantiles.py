@@ -41,6 +41,14 @@ def _with_brackets(base: DataFrame, brackets: DataFrame, groups: list[str], name
     return base.join(side, _on(groups)).drop(*[f"h{i}" for i in range(len(groups))])
 
 
+def _pinned(df: DataFrame, groups: list[str], name: str) -> DataFrame:
+    """A table of one row a group, computed now: staged, or held as it is where
+    there is one row in all."""
+    if groups:
+        return stage_table(df, name)
+    return df.sparkSession.createDataFrame([tuple(df.first())], df.schema)
+
+
 def wide_quantiles(df: DataFrame, cols: list[str], qs: list[float], names: list[str],
                    group_cols: list[str] | None = None, method: str = "linear", stage: bool = True) -> DataFrame:
     """(group..., column, a column for each quantile): exact quantiles of every
@@ -68,9 +76,9 @@ def wide_quantiles(df: DataFrame, cols: list[str], qs: list[float], names: list[
         return F.floor(pos) + 1, F.ceil(pos) + 1, pos - F.floor(pos)
 
     # 1. sketches and first brackets
-    sketched = stage_table(base.groupBy(*gs).agg(*[x for i, v in enumerate(vs) for x in (
+    sketched = _pinned(base.groupBy(*gs).agg(*[x for i, v in enumerate(vs) for x in (
         F.count(v).alias(f"n_{i}"), F.min(v).alias(f"min_{i}"), F.max(v).alias(f"max_{i}"),
-        F.kll_sketch_agg_double(v, F.lit(SKETCH)).alias(f"s_{i}"))]), "quantile-sketches")
+        F.kll_sketch_agg_double(v, F.lit(SKETCH)).alias(f"s_{i}"))]), groups, "quantile-sketches")
     first = []
     for i, j in targets:
         a, b, fr = ranks(i, j)
@@ -97,7 +105,7 @@ def wide_quantiles(df: DataFrame, cols: list[str], qs: list[float], names: list[
             inside = (v >= lo) & (v <= hi)
             counts += [F.count_if(v < lo).alias(t("below", i, j)), F.count_if(inside).alias(t("in", i, j))]
         counted = held.groupBy(*gs).agg(*counts)
-        state = stage_table(_beside(brackets, counted, groups), "quantile-brackets")
+        state = _pinned(_beside(brackets, counted, groups), groups, "quantile-brackets")
         missed = [F.coalesce((F.col(f"n_{i}") > 0) & ((F.col(t("below", i, j)) >= F.col(t("a", i, j)))
                              | (F.col(t("below", i, j)) + F.col(t("in", i, j)) < F.col(t("b", i, j)))), F.lit(False))
                   for i, j in targets]
