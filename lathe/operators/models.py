@@ -45,6 +45,14 @@ def _rows(df: DataFrame, feats: list[str]) -> tuple[DataFrame, DataFrame]:
     return held, few_tasks(held)
 
 
+def spread_rows(df: DataFrame, rows_per_task: int = 5_000) -> DataFrame:
+    """A small table dealt over the cores that are there: growing many deep trees
+    is work for every row, unlike boosting, which mostly waits for its jobs."""
+    now = df.rdd.getNumPartitions()
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_per_task))
+    return df.repartition(wanted) if wanted > now else df
+
+
 def fit_linear(df: DataFrame, feats: list[str], label: str):
     d = _persisted(assemble(df, feats))
     m = LinearRegression(featuresCol="features", labelCol=label, regParam=0.0, solver="normal").fit(d)
@@ -72,7 +80,8 @@ def fit_gbt_regressor(df, feats, label, n_trees: int = 100, depth: int = 6, lr:
 
 
 def fit_rf_regressor(df, feats, label, n_trees: int = 100, feature_frac: str = "0.7", seed: int = 42):
-    held, d = _rows(df, feats)
+    held = _persisted(assemble(df, feats))
+    d = spread_rows(held)
     m = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=n_trees,
                               featureSubsetStrategy=feature_frac, seed=seed).fit(d)
     held.unpersist()
@@ -150,7 +159,8 @@ def logistic_gradient(model, df: DataFrame, feats: list[str], label: str, balanc
 def fit_rf_classifier(df, feats, label, n_trees: int = 200, depth: int = 15, min_leaf: int = 5,
                       balanced: bool = True, seed: int = 42):
     d = balanced_weights(df, label) if balanced else df.withColumn("weight", F.lit(1.0))
-    held, d = _rows(d, feats)
+    held = _persisted(assemble(d, feats))
+    d = spread_rows(held)
     m = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="weight", numTrees=n_trees,
                                maxDepth=depth, minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt",
                                seed=seed, maxMemoryInMB=1024).fit(d)

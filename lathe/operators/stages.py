@@ -26,6 +26,7 @@ from lathe.functions.text import safe_names
 from lathe.operators import encode, profile, scale
 from lathe.operators.evaluate import balanced_weights
 from lathe.operators.joins import map_encode_join
+from lathe.operators.models import spread_rows
 
 
 def _param(name: str, doc: str) -> Param:
@@ -259,7 +260,7 @@ class BalancedForest(Estimator, HasFeaturesCol, HasLabelCol, HasSeed, _Saved):
             featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(), weightCol="_weight",
             numTrees=self.getOrDefault("numTrees"), maxDepth=self.getOrDefault("maxDepth"),
             minInstancesPerNode=self.getOrDefault("minLeaf"), featureSubsetStrategy="sqrt", seed=self.getSeed(),
-            maxMemoryInMB=1024).fit(rows)
+            maxMemoryInMB=1024).fit(spread_rows(rows))
 
 
 class StackingRegressor(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
