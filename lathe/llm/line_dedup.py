@@ -25,6 +25,16 @@ from lathe.llm.common import BLANKS, mix64, signed, stage_table, table
 MIN_LINES = 3
 GRAM = 2
 MIN_WORDS = 50
+#: rows whose windows or texts are held in Python at once; a worker keeps the memory
+#: of its largest batch
+BATCH_ROWS = 500
+
+
+def _small(batches):
+    """The batches in slices of at most ``BATCH_ROWS`` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
 
 
 def _line_hash(line: bytes) -> bytes:
@@ -35,7 +45,7 @@ def _fingerprints(min_lines: int, gram: int, min_words: int, joint: bool):
     width = min_lines - gram + 1
 
     def run(batches):
-        for batch in batches:
+        for batch in _small(batches):
             rows, out = [], []
             for i, text in enumerate(batch.column(2)):
                 lines = [s for s in (x.strip(BLANKS) for x in (text.as_py() or b"").split(b"\n")) if s]
@@ -78,7 +88,7 @@ def _fingerprints(min_lines: int, gram: int, min_words: int, joint: bool):
 
 def _without(batches):
     """Texts without the lines of their spans; lines without a word stay."""
-    for batch in batches:
+    for batch in _small(batches):
         texts, counts, gone = [], [], []
         for text, spans in zip(batch.column("_t"), batch.column("_spans")):
             value = text.as_py()
@@ -140,5 +150,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(2 * BATCH_ROWS))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
