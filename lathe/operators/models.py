@@ -11,7 +11,8 @@ Mappings to the reference's estimators:
   column sample -> ``featureSubsetStrategy`` (per node), min child weight
   -> ``minInstancesPerNode``, gamma -> ``minInfoGain``; L1/L2 leaf penalties
   have no counterpart.
-Fits run on a persisted (memory and disk) vector table, released after."""
+Fits run on a persisted (memory and disk) vector table, released after; forests,
+which keep their own form of the rows, on a staged one."""
 
 from __future__ import annotations
 
@@ -45,11 +46,16 @@ def _rows(df: DataFrame, feats: list[str]) -> tuple[DataFrame, DataFrame]:
     return held, few_tasks(held)
 
 
+#: rows of a fit that one task reads at most; a forest holds about half a kB of each
+TASK_ROWS = 500_000
+
+
 def spread_rows(df: DataFrame, rows_per_task: int = 5_000) -> DataFrame:
     """A small table dealt over the cores that are there: growing many deep trees
-    is work for every row, unlike boosting, which mostly waits for its jobs."""
-    now = df.rdd.getNumPartitions()
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_per_task))
+    is work for every row, unlike boosting, which mostly waits for its jobs.  A
+    large one is dealt over more tasks, so that none reads over ``TASK_ROWS`` rows."""
+    now, rows = df.rdd.getNumPartitions(), df.count()
+    wanted = max(min(df.sparkSession.sparkContext.defaultParallelism, -(-rows // rows_per_task)), -(-rows // TASK_ROWS))
     return df.repartition(wanted) if wanted > now else df
 
 
@@ -80,12 +86,9 @@ def fit_gbt_regressor(df, feats, label, n_trees: int = 100, depth: int = 6, lr:
 
 
 def fit_rf_regressor(df, feats, label, n_trees: int = 100, feature_frac: str = "0.7", seed: int = 42):
-    held = _persisted(assemble(df, feats))
-    d = spread_rows(held)
-    m = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=n_trees,
-                              featureSubsetStrategy=feature_frac, seed=seed).fit(d)
-    held.unpersist()
-    return m
+    d = spread_rows(stage_table(assemble(df, feats).select("features", label), "forest-rows"))
+    return RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=n_trees,
+                                 featureSubsetStrategy=feature_frac, seed=seed).fit(d)
 
 
 @dataclass
@@ -159,13 +162,10 @@ def logistic_gradient(model, df: DataFrame, feats: list[str], label: str, balanc
 def fit_rf_classifier(df, feats, label, n_trees: int = 200, depth: int = 15, min_leaf: int = 5,
                       balanced: bool = True, seed: int = 42):
     d = balanced_weights(df, label) if balanced else df.withColumn("weight", F.lit(1.0))
-    held = _persisted(assemble(d, feats))
-    d = spread_rows(held)
-    m = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="weight", numTrees=n_trees,
-                               maxDepth=depth, minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt",
-                               seed=seed, maxMemoryInMB=1024).fit(d)
-    held.unpersist()
-    return m
+    d = spread_rows(stage_table(assemble(d, feats).select("features", label, "weight"), "forest-rows"))
+    return RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="weight", numTrees=n_trees,
+                                  maxDepth=depth, minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt",
+                                  seed=seed, maxMemoryInMB=1024).fit(d)
 
 
 def fit_gbt_classifier(df, feats, label, n_trees: int = 100, depth: int = 6, lr: float = 0.1,
