@@ -12,6 +12,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 
 from lathe.operators import stages
+from lathe.operators.models import few_tasks
 from lathe.session import stage_table
 from lathe.sources import files
 
@@ -36,11 +37,8 @@ def fit_features(train: DataFrame, before: list[Transformer], impute: list[str],
 
 def fit_rows(df: DataFrame, keep: list[str], rows_per_task: int = 50_000) -> DataFrame:
     """The rows of a fit, staged once.  Iterative fits read them hundreds of
-    times, so small tables are read by few tasks; large ones keep one task
-    for every ``rows_per_task`` rows at least."""
-    staged = stage_table(df.select("features", *keep), "fit-rows")
-    tasks = max(1, -(-staged.count() // rows_per_task))
-    return staged.coalesce(tasks)
+    times, so they are read by few tasks (``models.few_tasks``)."""
+    return few_tasks(stage_table(df.select("features", *keep), "fit-rows"), rows_per_task)
 
 
 def fit_and_save(features: PipelineModel, rows: DataFrame, predictors: dict, path: str,
