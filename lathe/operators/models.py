@@ -11,8 +11,8 @@ Mappings to the reference's estimators:
   column sample -> ``featureSubsetStrategy`` (per node), min child weight
   -> ``minInstancesPerNode``, gamma -> ``minInfoGain``; L1/L2 leaf penalties
   have no counterpart.
-Fits run on a persisted (memory and disk) vector table, released after; forests,
-which keep their own form of the rows, on a staged one."""
+Fits run on a persisted (memory and disk) vector table, released after,
+large forests on a staged one."""
 
 from __future__ import annotations
 
@@ -59,6 +59,14 @@ def spread_rows(df: DataFrame, rows_per_task: int = 5_000) -> DataFrame:
     return df.repartition(wanted) if wanted > now else df
 
 
+def _forest_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What a forest fit holds, and how it reads it.  Beyond ``TASK_ROWS`` rows they
+    are staged, not persisted: one task reads a persisted partition whole, but
+    only a split of a staged file."""
+    held = stage_table(df, "forest-rows") if df.count() > TASK_ROWS else _persisted(df)
+    return held, spread_rows(held)
+
+
 def fit_linear(df: DataFrame, feats: list[str], label: str):
     d = _persisted(assemble(df, feats))
     m = LinearRegression(featuresCol="features", labelCol=label, regParam=0.0, solver="normal").fit(d)
@@ -86,9 +94,11 @@ def fit_gbt_regressor(df, feats, label, n_trees: int = 100, depth: int = 6, lr:
 
 
 def fit_rf_regressor(df, feats, label, n_trees: int = 100, feature_frac: str = "0.7", seed: int = 42):
-    d = spread_rows(stage_table(assemble(df, feats).select("features", label), "forest-rows"))
-    return RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=n_trees,
-                                 featureSubsetStrategy=feature_frac, seed=seed).fit(d)
+    held, d = _forest_rows(assemble(df, feats).select("features", label))
+    m = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=n_trees,
+                              featureSubsetStrategy=feature_frac, seed=seed).fit(d)
+    held.unpersist()
+    return m
 
 
 @dataclass
@@ -162,10 +172,12 @@ def logistic_gradient(model, df: DataFrame, feats: list[str], label: str, balanc
 def fit_rf_classifier(df, feats, label, n_trees: int = 200, depth: int = 15, min_leaf: int = 5,
                       balanced: bool = True, seed: int = 42):
     d = balanced_weights(df, label) if balanced else df.withColumn("weight", F.lit(1.0))
-    d = spread_rows(stage_table(assemble(d, feats).select("features", label, "weight"), "forest-rows"))
-    return RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="weight", numTrees=n_trees,
-                                  maxDepth=depth, minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt",
-                                  seed=seed, maxMemoryInMB=1024).fit(d)
+    held, d = _forest_rows(assemble(d, feats).select("features", label, "weight"))
+    m = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="weight", numTrees=n_trees,
+                               maxDepth=depth, minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt",
+                               seed=seed, maxMemoryInMB=1024).fit(d)
+    held.unpersist()
+    return m
 
 
 def fit_gbt_classifier(df, feats, label, n_trees: int = 100, depth: int = 6, lr: float = 0.1,

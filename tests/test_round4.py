@@ -14,6 +14,18 @@ def test_rows_of_a_large_forest_are_dealt_over_more_tasks_than_cores(spark, monk
     assert len(parts(models.spread_rows(spark.range(0, 90, numPartitions=1), rows_per_task=500))) == 1
 
 
+def test_a_large_forest_reads_staged_rows(spark, monkeypatch):
+    rows = models.assemble(spark.range(0, 300, numPartitions=2).selectExpr("id", "id % 7 as a", "id * 1.0 as y"), ["a"])
+    held, _ = models._forest_rows(rows)
+    assert held.is_cached
+    held.unpersist()
+    monkeypatch.setattr(models, "TASK_ROWS", 100)
+    held, dealt = models._forest_rows(rows)
+    assert not held.is_cached and held.inputFiles() and max(parts(dealt)) <= 110
+    model = models.fit_rf_regressor(rows.drop("features"), ["a"], "y", n_trees=3)
+    assert model.getNumTrees == 3
+
+
 def test_rows_of_boosting_are_dealt_evenly_over_the_cores(spark, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
     uneven = spark.range(0, 2_000, numPartitions=1).union(spark.range(2_000, 2_010, numPartitions=20))
