@@ -40,9 +40,15 @@ def _persisted(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _rows(df: DataFrame, feats: list[str]) -> tuple[DataFrame, DataFrame]:
+def _vectors(df: DataFrame, feats: list[str], *keep: str) -> DataFrame:
+    """The vectors of a fit and the columns ``keep``: a persisted table holds every
+    column it is given, read or not."""
+    return assemble(df, feats).select("features", *keep)
+
+
+def _rows(df: DataFrame, feats: list[str], *keep: str) -> tuple[DataFrame, DataFrame]:
     """The persisted vector table of an iterative fit, and how the fit reads it."""
-    held = _persisted(assemble(df, feats))
+    held = _persisted(_vectors(df, feats, *keep))
     return held, few_tasks(held)
 
 
@@ -68,14 +74,14 @@ def _forest_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def fit_linear(df: DataFrame, feats: list[str], label: str):
-    d = _persisted(assemble(df, feats))
+    d = _persisted(_vectors(df, feats, label))
     m = LinearRegression(featuresCol="features", labelCol=label, regParam=0.0, solver="normal").fit(d)
     d.unpersist()
     return m
 
 
 def fit_ridge(df: DataFrame, feats: list[str], label: str, alpha: float = 1.0):
-    d = _persisted(assemble(df, feats))
+    d = _persisted(_vectors(df, feats, label))
     st = d.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("s")).first()
     reg = alpha * (st["s"] or 0.0) / st["n"]
     m = LinearRegression(featuresCol="features", labelCol=label, regParam=reg, elasticNetParam=0.0,
@@ -86,7 +92,7 @@ def fit_ridge(df: DataFrame, feats: list[str], label: str, alpha: float = 1.0):
 
 def fit_gbt_regressor(df, feats, label, n_trees: int = 100, depth: int = 6, lr: float = 0.1,
                       subsample: float = 1.0, colsample: str = "all", seed: int = 42):
-    held, d = _rows(df, feats)
+    held, d = _rows(df, feats, label)
     m = GBTRegressor(featuresCol="features", labelCol=label, maxIter=n_trees, maxDepth=depth, stepSize=lr,
                      subsamplingRate=subsample, featureSubsetStrategy=colsample, seed=seed).fit(d)
     held.unpersist()
@@ -94,7 +100,7 @@ def fit_gbt_regressor(df, feats, label, n_trees: int = 100, depth: int = 6, lr:
 
 
 def fit_rf_regressor(df, feats, label, n_trees: int = 100, feature_frac: str = "0.7", seed: int = 42):
-    held, d = _forest_rows(assemble(df, feats).select("features", label))
+    held, d = _forest_rows(_vectors(df, feats, label))
     m = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=n_trees,
                               featureSubsetStrategy=feature_frac, seed=seed).fit(d)
     held.unpersist()
@@ -145,7 +151,7 @@ def fit_stacking(df: DataFrame, feats: list[str], label: str, fold_col: str, k:
 
 def fit_logistic(df: DataFrame, feats: list[str], label: str, balanced: bool = True, max_iter: int = 1000):
     d = balanced_weights(df, label) if balanced else df.withColumn("weight", F.lit(1.0))
-    held, d = _rows(d, feats)
+    held, d = _rows(d, feats, label, "weight")
     n = d.count()
     m = LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight", regParam=1.0 / n,
                            elasticNetParam=0.0, standardization=False, maxIter=max_iter).fit(d)
@@ -172,7 +178,7 @@ def logistic_gradient(model, df: DataFrame, feats: list[str], label: str, balanc
 def fit_rf_classifier(df, feats, label, n_trees: int = 200, depth: int = 15, min_leaf: int = 5,
                       balanced: bool = True, seed: int = 42):
     d = balanced_weights(df, label) if balanced else df.withColumn("weight", F.lit(1.0))
-    held, d = _forest_rows(assemble(d, feats).select("features", label, "weight"))
+    held, d = _forest_rows(_vectors(d, feats, label, "weight"))
     m = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="weight", numTrees=n_trees,
                                maxDepth=depth, minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt",
                                seed=seed, maxMemoryInMB=1024).fit(d)
@@ -182,7 +188,7 @@ def fit_rf_classifier(df, feats, label, n_trees: int = 200, depth: int = 15, min
 
 def fit_gbt_classifier(df, feats, label, n_trees: int = 100, depth: int = 6, lr: float = 0.1,
                        subsample: float = 1.0, seed: int = 42):
-    held, d = _rows(df, feats)
+    held, d = _rows(df, feats, label)
     m = GBTClassifier(featuresCol="features", labelCol=label, maxIter=n_trees, maxDepth=depth, stepSize=lr,
                       subsamplingRate=subsample, seed=seed).fit(d)
     held.unpersist()
@@ -190,7 +196,7 @@ def fit_gbt_classifier(df, feats, label, n_trees: int = 100, depth: int = 6, lr:
 
 
 def fit_mlp_classifier(df, feats, label, hidden=(127, 64, 32), max_iter: int = 100, seed: int = 42):
-    held, d = _rows(df, feats)
+    held, d = _rows(df, feats, label)
     layers = [len(feats), *hidden, 2]
     m = MultilayerPerceptronClassifier(featuresCol="features", labelCol=label, layers=layers,
                                        maxIter=max_iter, seed=seed).fit(d)

@@ -1,4 +1,6 @@
-"""Fourth round: how many tasks read the rows of a fit."""
+"""Fourth round: how many tasks read the rows of a fit, and which columns it holds."""
+
+from pyspark.ml.linalg import Vectors
 
 from lathe.operators import flows, models
 
@@ -40,3 +42,15 @@ def test_rows_of_a_flow_are_dealt_in_the_same_way(spark):
     rows = spark.range(0, 500, numPartitions=1).selectExpr("id as y", "array(id) as features")
     got = parts(flows.fit_rows(rows, ["y"], rows_per_task=10))
     assert len(got) == spark.sparkContext.defaultParallelism and sum(got) == 500
+
+
+def test_a_fit_holds_only_the_columns_it_reads(spark, monkeypatch):
+    seen = []
+    real = models._persisted
+    monkeypatch.setattr(models, "_persisted", lambda df: seen.append(sorted(df.columns)) or real(df))
+    rows = spark.range(0, 40).selectExpr("id", "cast(id as string) as name", "cast(id % 5 as double) as a", "id * 2.0 as t", "int(id % 2) as y")
+    assert abs(models.fit_ridge(rows, ["a"], "t").predict(Vectors.dense([2.0])) - 39.0) < 5
+    models.fit_linear(rows, ["a"], "t")
+    models.fit_logistic(rows, ["a"], "y", max_iter=3)
+    models.fit_gbt_regressor(rows, ["a"], "t", n_trees=1, depth=1)
+    assert seen == [["features", "t"], ["features", "t"], ["features", "weight", "y"], ["features", "t"]]
