@@ -8,7 +8,7 @@ By the triangle inequality two rows are at least as far apart as their
 distances to any pivot differ, so a block pair whose pivot intervals lie
 further apart than both blocks' largest k-th distance is skipped; in the pairs
 that are left, rows whose own k-th distance rules the other block out are
-skipped too.  No task holds more than two blocks, and a final top-k over the
+skipped too.  No task holds more than three blocks, and a final top-k over the
 survivors gives the exact neighbours (ties by neighbour id).
 Synthetic draws (base row, neighbour, gap) are hash-derived, hence
 reproducible and checkable in SQL.
@@ -29,21 +29,8 @@ from lathe.session import stage_table
 _KNN_SCHEMA = "q_id long, nn_id long, dist2 double"
 
 
-def _topk_rows(d, row_ids, col_ids, k):
-    """Per row of the distance matrix, the k best (distance, id) columns:
-    a partial selection of the k-th distance, then a sort of what reaches it."""
-    out_q, out_c, out_d = [np.array([], dtype="int64")], [np.array([], dtype="int64")], [np.array([], dtype="float64")]
-    kk = min(k, d.shape[1])
-    for i, row in enumerate(d):
-        near = np.flatnonzero((row <= np.partition(row, kk - 1)[kk - 1]) & np.isfinite(row))
-        near = near[np.lexsort((col_ids[near], row[near]))[:kk]]
-        out_q.append(np.full(len(near), row_ids[i]))
-        out_c.append(col_ids[near])
-        out_d.append(row[near])
-    return np.concatenate(out_q), np.concatenate(out_c), np.concatenate(out_d)
-
-
 CHUNK_CELLS = 4_000_000  # doubles in a block of coordinate differences (32 MB)
+SCREEN_CELLS = 1_000_000  # distances that one matrix product gives (8 MB)
 
 
 def _distances(qx: np.ndarray, cx: np.ndarray) -> np.ndarray:
@@ -57,6 +44,8 @@ def _distances(qx: np.ndarray, cx: np.ndarray) -> np.ndarray:
 
 
 PIVOTS = 32           # pivots of the k-NN, from a sample of 1,024 rows
+BLOCKS = 32           # blocks a table is cut into, if they have more than the rows asked for
+BLOCK_ROWS = 16_384   # rows of such a block at most
 _CHUNK = 256          # blocks whose pivot intervals are compared in one task
 
 
@@ -85,14 +74,45 @@ def _matrix(part: pd.DataFrame, column: str) -> np.ndarray:
     return np.stack(part[column].to_numpy()).astype(np.float64)
 
 
-def _pair_distances(q: pd.DataFrame, c: pd.DataFrame, penalty: float) -> np.ndarray:
-    d = _distances(_matrix(q, "_v"), _matrix(c, "_v"))
-    if "_cat" in q.columns:
-        qc, cc = np.stack(q["_cat"].to_numpy()), np.stack(c["_cat"].to_numpy())
-        for j in range(qc.shape[1]):
-            d += penalty * (qc[:, None, j] != cc[None, :, j])
-    d[q["_id"].to_numpy()[:, None] == c["_id"].to_numpy()[None, :]] = np.inf  # never your own neighbour
-    return d
+def _nearest(q: pd.DataFrame, c: pd.DataFrame, k: int, penalty: float, tau: np.ndarray | None = None):
+    """Per row of ``q`` the k best (distance, id) among the rows of ``c``, of which
+    those beyond ``tau`` may be left out: ids, neighbours' ids, distances.  A matrix
+    product gives every distance up to its rounding; coordinates are subtracted
+    only for the pairs that this leaves among the k best."""
+    qx, cx, qid, cid = _matrix(q, "_v"), _matrix(c, "_v"), q["_id"].to_numpy(), c["_id"].to_numpy()
+    qc, cc = (np.stack(x["_cat"].to_numpy()) if "_cat" in x.columns else np.empty((len(x), 0)) for x in (q, c))
+    kk, cats, dims = min(k, len(c)), range(qc.shape[1]), qx.shape[1]
+    limit = np.full(len(q), np.inf) if tau is None else tau
+    rounding = 1e-15 * (dims + len(cats) + 8)
+    out = []
+    step, some = max(1, SCREEN_CELLS // len(c)), max(1, CHUNK_CELLS // max(1, dims))
+    with np.errstate(over="ignore", invalid="ignore"):
+        q2, c2 = np.square(qx).sum(axis=1), np.square(cx).sum(axis=1)
+        for lo in range(0, len(q), step):
+            part = slice(lo, lo + step)
+            slack = q2[part, None] + c2[None, :]
+            d = slack - 2 * (qx[part] @ cx.T)
+            for x in cats:
+                d += penalty * (qc[part, None, x] != cc[None, :, x])
+            slack = rounding * (slack + abs(penalty) * len(cats))
+            own = qid[part, None] == cid[None, :]  # never your own neighbour
+            kth = np.partition(np.where(own, np.inf, d + slack), kk - 1, axis=1)[:, kk - 1]
+            # a distance that is not a number here may still be one when subtracted
+            i, j = np.nonzero(~(d - slack > np.minimum(limit[part], kth)[:, None]) & ~own)
+            i += lo
+            exact = np.empty(len(i))
+            for at in range(0, len(i), some):
+                a, b = i[at:at + some], j[at:at + some]
+                diff = qx[a] - cx[b]
+                exact[at:at + some] = np.square(diff, out=diff).sum(axis=1)
+                for x in cats:
+                    exact[at:at + some] += penalty * (qc[a, x] != cc[b, x])
+            order = np.lexsort((cid[j], exact, i))
+            order = order[np.isfinite(exact[order])]
+            i, j, exact = i[order], j[order], exact[order]
+            best = np.arange(len(i)) - np.searchsorted(i, i) < kk
+            out.append((qid[i[best]].astype("int64"), cid[j[best]].astype("int64"), exact[best]))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def _found(parts) -> pd.DataFrame:
@@ -106,9 +126,7 @@ def _own_block(k: int, penalty: float):
         mine = rows[rows["_b"] == rows["_home"]]
         if not len(mine):
             return _found([])
-        ids = mine["_id"].to_numpy().astype("int64")
-        return _found([_topk_rows(_pair_distances(mine, other, penalty), ids, other["_id"].to_numpy().astype("int64"), k)
-                       for _, other in rows.groupby("_b")])
+        return _found([_nearest(mine, rows, k, penalty)])
     return run
 
 
@@ -128,8 +146,7 @@ def _two_blocks(k: int, penalty: float):
         for mine, other in ((q, c), (c, q)):
             mine = mine[reach(mine, other)]
             if len(mine):
-                parts.append(_topk_rows(_pair_distances(mine, other, penalty), mine["_id"].to_numpy().astype("int64"),
-                                        other["_id"].to_numpy().astype("int64"), k))
+                parts.append(_nearest(mine, other, k, penalty, mine["_tau"].to_numpy()))
         return _found(parts)
     return run
 
@@ -153,13 +170,16 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, cat_col: str | Non
         penalty: float = 0.0, block_rows: int = 2048, report: dict | None = None) -> DataFrame:
     """Exact k nearest neighbours (squared Euclidean, plus ``penalty`` per
     categorical mismatch) of every row among the other rows of ``df``: (id,
-    nn_rank, nn_id, dist2).  ``report`` receives "pairs" and "compared", the
-    numbers of block pairs and of those that were not skipped."""
+    nn_rank, nn_id, dist2).  A block has ``block_rows`` rows, of a large table
+    more: the block pairs, and the copies of a row for them, grow with the square
+    of the blocks.  ``report`` receives "pairs" and "compared", the numbers of
+    block pairs and of those that were not skipped."""
     cols = [F.col(id_col).cast("long").alias("_id"), F.col(vec_col).cast("array<double>").alias("_v")]
     if cat_col:
         cols.append(F.col(cat_col).alias("_cat"))
     base = stage_table(df.select(*cols), "knn-rows")
     n = base.count()
+    block_rows = max(block_rows, min(BLOCK_ROWS, n // BLOCKS))
     blocks = max(1, math.ceil(n / block_rows))
     if blocks == 1:
         one = base.select("*", *[F.lit(0).cast("long").alias(c) for c in ("_b", "_home")])

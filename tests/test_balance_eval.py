@@ -89,3 +89,24 @@ def test_knn_mixed_penalty_multi_block(spark):
     for r in got:
         order = np.lexsort((np.arange(n), d[r.id]))[:4]
         assert order[r.nn_rank - 1] == r.nn_id
+
+
+def test_knn_blocks_grow_with_the_table(spark):
+    """Block pairs do not grow with the square of the rows, and the neighbours stay
+    exact: ties by id, distances to the last bit, far from the origin too."""
+    rng = np.random.default_rng(11)
+    n, pen = 600, 0.3
+    x = rng.normal(size=(n, 7)) + 1e4
+    x[200:260] = x[3]
+    cats = rng.choice(["a", "b"], size=(n, 1))
+    pdf = pd.DataFrame({"id": np.arange(n), "v": list(x), "c": [list(r) for r in cats]})
+    df = spark.createDataFrame(pdf, "id long, v array<double>, c array<string>")
+    report = {}
+    got = balance.knn(df, "id", "v", k=4, cat_col="c", penalty=pen, block_rows=2, report=report).collect()
+    d = np.square(x[:, None, :] - x[None, :, :]).sum(axis=2) + pen * (cats[:, None, 0] != cats[None, :, 0])
+    np.fill_diagonal(d, np.inf)
+    assert len(got) == 4 * n
+    for r in got:
+        order = np.lexsort((np.arange(n), d[r.id]))[:4]
+        assert (order[r.nn_rank - 1], d[r.id][r.nn_id]) == (r.nn_id, r.dist2)
+    assert report["pairs"] <= 1000
