@@ -100,6 +100,41 @@ def test_suffix_dedup_blocks(spark, docs, monkeypatch):
     assert whole
 
 
+def test_suffix_dedup_deals_a_hot_key(spark):
+    """The rows of one frequent gram don't meet in one task; rows of null keys neither."""
+    from pyspark.sql import functions as F
+
+    from lathe.llm import suffix_dedup
+    n = 8 * suffix_dedup.HOT
+    df = spark.range(n).select(F.when(F.col("id") % 10 == 0, F.col("id")).when(F.col("id") % 10 > 1, F.lit(-7)).alias("h"),
+                               F.col("id").alias("at"))
+    place = F.xxhash64("at")
+    found = suffix_dedup.stage_table(suffix_dedup._repeated(df.where("h is not null"), ["h"], place).withColumn("whole", F.lit(True)))
+    assert [r.h for r in found.collect()] == [-7]
+    joined = suffix_dedup._join_repeated(df, found, ["h"], place, "left")
+    assert joined.columns == ["h", "at", "whole"]
+    assert joined.agg(F.count("*"), F.countDistinct("at"), F.count(F.when(F.expr("whole and h = -7"), 1))).first()[:] == (n, n, 0.8 * n)
+    inner = suffix_dedup._join_repeated(df, found, ["h"], place)
+    assert inner.count() == inner.where("h = -7").count() == 0.8 * n
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for key in ("h = -7", "h is null"):
+            sizes = [r["count"] for r in joined.where(key).groupBy(F.spark_partition_id()).count().collect()]
+            assert max(sizes) < 0.6 * sum(sizes), (key, sizes)
+        copies = suffix_dedup._join_repeated(df.withColumn("at", F.lit(3)), found, ["h"], F.monotonically_increasing_id())
+        sizes = [r["count"] for r in copies.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 0.8 * n and max(sizes) < 0.6 * sum(sizes), sizes
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_suffix_dedup_with_hot_keys_is_the_same(spark, docs, monkeypatch):
+    from lathe.llm import suffix_dedup
+    plain = sorted(map(str, suffix_dedup.repeated_spans(docs).collect()))
+    monkeypatch.setattr(suffix_dedup, "HOT", 1)
+    assert sorted(map(str, suffix_dedup.repeated_spans(docs).collect())) == plain
+
+
 def brute_lines(rows, min_lines=3, min_words=50):
     units, order = [], []
     for r in rows:
