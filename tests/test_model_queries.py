@@ -109,3 +109,26 @@ def test_tune_validates_every_fold(spark, monkeypatch):
     est = LinearRegression(featuresCol="features", labelCol="target", solver="normal")
     model, table = cm.models.tune(est, [{est.regParam: 0.1}], cm.models.rmse_evaluator("target"), tr, "fold")
     assert model.getNumFolds() == 5 and table.count() == 1
+
+
+def test_classifiers_are_scored_once(spark, monkeypatch):
+    """The metrics read staged scores, the model's own of every row."""
+    frame = small_frame(spark, monkeypatch)
+    seen, fit, metrics = {}, cm.models.fit_mlp_classifier, cm.evaluate.classification_metrics
+
+    def fitted(*args, **kwargs):
+        seen["model"] = fit(*args, **kwargs)
+        return seen["model"]
+
+    def measured(df, *args, **kwargs):
+        seen["scores"] = df
+        return metrics(df, *args, **kwargs)
+    monkeypatch.setattr(cm.models, "fit_mlp_classifier", fitted)
+    monkeypatch.setattr(cm.evaluate, "classification_metrics", measured)
+    assert [r.n for r in cm.m10(spark, SF).collect()] == [60]
+    files = seen["scores"].inputFiles()
+    assert files and all("scored-rows" in f for f in files)
+    scaled = cm.scale.standard_scale(frame, frame, cm.FEATS)[0]
+    own = seen["model"].transform(cm.models.assemble(scaled, cm.FEATS)).collect()
+    want = sorted((r.split, r.y, int(r.prediction), r.probability[1]) for r in own)
+    assert sorted((r.split, r.y, r.yhat, r.p1) for r in seen["scores"].collect()) == want
