@@ -103,20 +103,58 @@ def _shares(on: np.ndarray, z: np.ndarray) -> np.ndarray:
     return out
 
 
+#: a leaf with more features on its path is worked out by the patterns of its rows
+TABLE_FEATURES = 8
+
+
+class Explained:
+    """Leaves made ready for many batches of rows: per leaf the attributions of all
+    2^D patterns of its path, and per feature of the path which of the model's
+    intervals stay on it."""
+
+    def __init__(self, leaves: Leaves, width: int):
+        cuts = [{v for path in leaves.paths for s in path if s[0] == f for v in s[1:3] if math.isfinite(v)} for f in range(width)]
+        self.cuts = [np.array(sorted(c)) for c in cuts]
+        self.steps = []
+        for value, path in zip(leaves.values, leaves.paths):
+            if not path or not value:
+                continue
+            at, z = [s[0] for s in path], np.array([s[3] for s in path])
+            bits = np.uint8 if len(at) <= TABLE_FEATURES else np.int64
+            on = []
+            for j, (f, low, high, _) in enumerate(path):
+                cut = self.cuts[f]    # interval i is (cut[i - 1], cut[i]]; the last one is a missing value
+                i = np.arange(len(cut) + 1)
+                stays = (i > np.searchsorted(cut, low) if math.isfinite(low) else i >= 0) & (
+                    i <= np.searchsorted(cut, high) if math.isfinite(high) else i >= 0)
+                on.append(np.append(stays, False).astype(bits) << bits(j))
+            table = None
+            if len(at) <= TABLE_FEATURES:
+                patterns = (np.arange(1 << len(at))[:, None] >> np.arange(len(at))) & 1
+                table = np.ascontiguousarray((value * _shares(patterns.astype(float), z)).T)
+            self.steps.append((value, at, z, on, table))
+
+    def values(self, x: np.ndarray) -> np.ndarray:
+        """Attributions (rows x features) of the rows of a matrix."""
+        out = np.zeros((x.shape[1], len(x)))
+        inside = [np.where(np.isnan(x[:, f]), len(cut) + 1, np.searchsorted(cut, x[:, f])) for f, cut in enumerate(self.cuts)]
+        for value, at, z, on, table in self.steps:
+            code = on[0].take(inside[at[0]])
+            for f, bit in zip(at[1:], on[1:]):
+                code |= bit.take(inside[f])
+            if table is None:
+                patterns, which = np.unique(code, return_inverse=True)
+                table = value * _shares(((patterns[:, None] >> np.arange(len(at))) & 1).astype(float), z).T
+                code = which
+            code = code.astype(np.intp)
+            for f, shares in zip(at, table):
+                out[f] += shares.take(code)
+        return out.T
+
+
 def shapley_values(leaves: Leaves, x: np.ndarray) -> np.ndarray:
     """Attributions (rows x features) of the rows of a matrix."""
-    out = np.zeros(x.shape)
-    for value, path in zip(leaves.values, leaves.paths):
-        if not path or not value:
-            continue
-        at = [s[0] for s in path]
-        low, high, z = (np.array([s[k] for s in path]) for k in (1, 2, 3))
-        on = (x[:, at] > low) & (x[:, at] <= high)
-        code = on @ (1 << np.arange(len(at), dtype=np.int64))
-        patterns, which = np.unique(code, return_inverse=True)
-        bits = ((patterns[:, None] >> np.arange(len(at))) & 1).astype(float)
-        out[:, at] += value * _shares(bits, z)[which]
-    return out
+    return Explained(leaves, x.shape[1]).values(x)
 
 
 def tree_attribution(df: DataFrame, id_col: str, feats: list[str], leaves: Leaves) -> DataFrame:
@@ -124,9 +162,10 @@ def tree_attribution(df: DataFrame, id_col: str, feats: list[str], leaves: Leave
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
+        explained = Explained(leaves, len(feats))
         for batch in batches:
             x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns[1:]])
-            values = shapley_values(leaves, x)
+            values = explained.values(x)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(np.repeat(np.arange(len(x)), len(feats)))),
                  pa.array(feats * len(x)), pa.array(values.ravel())], names=[id_col, "feature", "attr"])
