@@ -13,14 +13,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from lathe.functions.dates import iso_weekday
 from lathe.operators import balance, evaluate, flows, split, stages, windows
+from lathe.operators.trees import BoostedClassifier, BoostedRegressor
 from lathe.plans.catalog_panel import panel_split
 from lathe.plans.catalog_regression import _SQL_BASE, PRIORITY_ORDER, split_orders
 from lathe.plans.registry import query
@@ -147,9 +146,9 @@ def regression_predictors():
     """The three models with the settings of the reference; its stacking
     leaves its boosted trees at their own defaults (rate 0.3, depth 6)."""
     trees = dict(labelCol="y", featuresCol="features", maxIter=100, maxDepth=6, seed=42, maxMemoryInMB=1024)
-    return {"ridge": stages.RidgeRegression("y", alpha=1.0), "boosted": GBTRegressor(stepSize=0.1, **trees),
-            "stacking": stages.StackingRegressor([stages.RidgeRegression("y", alpha=1.0), GBTRegressor(stepSize=0.3, **trees)],
-                                                 stages.RidgeRegression("y", alpha=0.1), "fold", labelCol="y")}
+    return {"ridge": stages.RidgeRegression("y", alpha=1.0), "boosted": BoostedRegressor(stepSize=0.1, **trees),
+            "stacking": stages.StackingRegressor([stages.RidgeRegression("y", alpha=1.0), BoostedRegressor(stepSize=0.3, **trees)],
+                                                 stages.RidgeRegression("y", alpha=0.1), "fold", labelCol="y", parallelism=6)}
 
 
 _RIDGE_PIPELINE_SQL = (_REG_FRAME_SQL + ",\ntr AS (SELECT 0 AS g, * FROM frame WHERE split = 'train'),"
@@ -253,8 +252,8 @@ def _classification_metrics(scored, name):
 
 def classification_predictors():
     return {"logistic": stages.BalancedLogistic("y"), "forest": stages.BalancedForest("y"),
-            "boosted": GBTClassifier(labelCol="y", featuresCol="features", maxIter=100, maxDepth=6, stepSize=0.1, seed=42,
-                                     maxMemoryInMB=1024)}
+            "boosted": BoostedClassifier(labelCol="y", featuresCol="features", maxIter=100, maxDepth=6, stepSize=0.1, seed=42,
+                                         maxMemoryInMB=1024)}
 
 
 @query("m36_classification_models")
