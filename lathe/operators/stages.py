@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params
 from pyspark.ml.param.shared import HasFeaturesCol, HasInputCols, HasLabelCol, HasPredictionCol, HasSeed
@@ -27,6 +27,7 @@ from lathe.operators import encode, profile, scale
 from lathe.operators.evaluate import balanced_weights
 from lathe.operators.joins import map_encode_join
 from lathe.operators.models import spread_rows
+from lathe.operators.trees import ForestClassifier
 
 
 def _param(name: str, doc: str) -> Param:
@@ -256,11 +257,13 @@ class BalancedForest(Estimator, HasFeaturesCol, HasLabelCol, HasSeed, _Saved):
 
     def _fit(self, dataset: DataFrame):
         rows = balanced_weights(dataset, self.getLabelCol(), "_weight")
-        return RandomForestClassifier(
+        est = ForestClassifier(
             featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(), weightCol="_weight",
             numTrees=self.getOrDefault("numTrees"), maxDepth=self.getOrDefault("maxDepth"),
             minInstancesPerNode=self.getOrDefault("minLeaf"), featureSubsetStrategy="sqrt", seed=self.getSeed(),
-            maxMemoryInMB=1024).fit(spread_rows(rows))
+            maxMemoryInMB=1024)
+        forest = est.grown(rows)
+        return forest.to_spark() if forest else est.on_spark(spread_rows(rows))
 
 
 class StackingRegressor(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
